@@ -298,4 +298,30 @@ SELECT age_group, diagnosis_name, icd_code, cases AS case_count FROM by_age
 ORDER BY cases DESC, icd_code ASC NULLS FIRST, diagnosis_name ASC NULLS FIRST,
          age_group ASC NULLS FIRST
 LIMIT 20"""
+    q["parquet_roundtrip"] = q["normalize_conditions"]
+    q["catalog_tables"] = q["top_conditions_clean_type"]
+    q["ingest_routed"] = """
+SELECT resource_type, CAST(sum(n) AS BIGINT) AS lines FROM (
+  SELECT 'Patient' AS resource_type, count(*) AS n FROM customer
+  UNION ALL SELECT 'Patient', count(*) FROM customer WHERE c_custkey % 53 = 0
+  UNION ALL SELECT 'Encounter', count(*) FROM orders
+  UNION ALL SELECT 'Condition', count(*) FROM lineitem
+  UNION ALL SELECT 'MedicationRequest', count(*) FROM lineitem) t
+GROUP BY resource_type"""
+    audit = _with(cp, cc, ce, _clean_medications(False).strip(), DIAG_STATS, GENDER_STATS,
+                  AGE_STATS, GEO_STATS, JOINED, BY_GENDER, BY_AGE) + """
+SELECT 'patients' AS "table", CAST(count(*) AS BIGINT) AS "rows" FROM clean_patients
+UNION ALL SELECT 'conditions', count(*) FROM clean_conditions
+UNION ALL SELECT 'encounters', count(*) FROM clean_encounters
+UNION ALL SELECT 'medications', count(*) FROM clean_medications
+UNION ALL SELECT 'diagnosis_statistics', count(*) FROM diag_stats
+UNION ALL SELECT 'demographics_gender', count(*) FROM gender_stats
+UNION ALL SELECT 'demographics_age_group', count(*) FROM age_stats
+UNION ALL SELECT 'demographics_geography', count(*) FROM geo_stats
+UNION ALL SELECT 'diagnosis_by_gender', count(*) FROM by_gender
+UNION ALL SELECT 'diagnosis_by_age_group', count(*) FROM by_age"""
+    q["load_audit"] = audit
+    q["pipeline_tables"] = audit + """
+UNION ALL SELECT 'corrupt:patients', 0 UNION ALL SELECT 'corrupt:conditions', 0
+UNION ALL SELECT 'corrupt:encounters', 0 UNION ALL SELECT 'corrupt:medications', 0"""
     return q

@@ -78,3 +78,123 @@ READ_QUERIES: dict[str, Query] = {
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minimum slice: raw conditions → normalise → top-50 diagnosis statistics."""
     return READ_QUERIES["diagnosis_statistics"](spark, sf_dir)
+
+
+# --- queries that go through sinks and sources (each run writes a fresh folder
+# --- under the cluster's shared folder, see ``session.run_dir``) ---------------
+
+def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the clean conditions as Parquet, read them back by declared schema."""
+    from clinark.session import run_dir
+    from clinark.sources.parquet import read_clean, write_parquet
+    root = run_dir(spark, "parquet")
+    write_parquet(Dataset(spark, sf_dir).conditions, f"{root}/conditions")
+    return read_clean(spark, root, "conditions")
+
+
+CATALOG_CONDITIONS_SQL = """
+SELECT diagnosis_name, icd_code,
+       COUNT(DISTINCT patient_id) AS patients,
+       COUNT(*) AS total
+FROM {db}.conditions
+WHERE lower(diagnosis_name) LIKE :pattern
+GROUP BY diagnosis_name, icd_code
+ORDER BY patients DESC, diagnosis_name ASC NULLS FIRST, icd_code ASC NULLS FIRST
+LIMIT :n
+"""
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean tables registered as external Parquet tables in a catalog
+    database, then the catalog path of the conditions route as SQL with bound
+    parameters, plus the type label."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from clinark.functions.exprs import condition_type
+    from clinark.session import run_dir
+    from clinark.sources.catalog import catalog_sql, register_clean
+    from clinark.sources.parquet import write_parquet
+    d = Dataset(spark, sf_dir)
+    root = run_dir(spark, "catalog")
+    write_parquet(d.conditions, f"{root}/conditions")
+    db = f"medical_{uuid.uuid4().hex[:8]}"
+    register_clean(spark, root, db, tables=("conditions",), db_location=f"{root}/{db}.db")
+    top = catalog_sql(spark, CATALOG_CONDITIONS_SQL.format(db=db),
+                      {"pattern": f"%({TYPE_DISORDER})", "n": 50})
+    return top.withColumn("condition_type", condition_type(F.col("diagnosis_name")))
+
+
+def ingest_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land all resources as mixed NDJSON, route them with the streaming ingest,
+    and count the routed lines per resource type (read through the sink log)."""
+    from clinark.session import run_dir
+    from clinark.sources.landing import land_mixed
+    from clinark.streaming.ingest import routed_counts, run_ingest
+    root = run_dir(spark, "ingest")
+    land_mixed(spark, sf_dir, f"{root}/landing")
+    run_ingest(spark, f"{root}/landing", f"{root}/routed", f"{root}/_checkpoint")
+    return routed_counts(spark, f"{root}/routed")
+
+
+def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixed NDJSON → routing ingest → raw scans → clean → gold; the load audit
+    (rows per written table, corrupt lines per resource)."""
+    from clinark.plans.jobs import run_pipeline
+    from clinark.session import run_dir
+    from clinark.sources.landing import land_mixed
+    from clinark.streaming.ingest import run_ingest
+    root = run_dir(spark, "pipeline")
+    land_mixed(spark, sf_dir, f"{root}/landing")
+    run_ingest(spark, f"{root}/landing", f"{root}/raw", f"{root}/_checkpoint")
+    return run_pipeline(spark, f"{root}/raw", f"{root}/out", layout="routed")
+
+
+def _serving_tables(d: Dataset) -> dict[str, DataFrame]:
+    return {
+        "diagnosis_statistics": d.diagnosis_statistics,
+        "demographics_gender": d.demographics_gender,
+        "demographics_age_group": d.demographics_age_group,
+        "demographics_geography": d.demographics_geography,
+        "diagnosis_by_gender": d.diagnosis_by_gender,
+        "diagnosis_by_age_group": d.diagnosis_by_age_group,
+        "conditions": d.conditions,
+        "patients": d.patients,
+        "encounters": d.encounters,
+        "medications": d.medications("plain"),
+    }
+
+
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the nine serving tables and medications; rows per load, observed
+    during the write (each plan runs once)."""
+    from clinark.plans.audit import load_tables
+    from clinark.session import run_dir
+    return load_tables(spark, _serving_tables(Dataset(spark, sf_dir)),
+                       root=run_dir(spark, "load"))
+
+
+def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the clean patients and conditions, then append a run row with their
+    counts to a fresh ledger and read it back (run id and time vary: rows-only)."""
+    from clinark.plans.audit import append_run, load_tables, read_runs
+    from clinark.session import run_dir
+    d = Dataset(spark, sf_dir)
+    root = run_dir(spark, "ledger")
+    audit = dict(load_tables(spark, {"patients": d.patients, "conditions": d.conditions},
+                             root=root).collect())
+    append_run(spark, f"{root}/pipeline_runs", audit["patients"], audit["conditions"])
+    return read_runs(spark, f"{root}/pipeline_runs")
+
+
+WRITE_QUERIES: dict[str, Query] = {
+    "parquet_roundtrip": parquet_roundtrip,
+    "catalog_tables": catalog_tables,
+    "ingest_routed": ingest_routed,
+    "pipeline_tables": pipeline_tables,
+    "load_audit": load_audit,
+    "run_ledger": run_ledger,
+}
+
+ALL_QUERIES: dict[str, Query] = {**READ_QUERIES, **WRITE_QUERIES}
