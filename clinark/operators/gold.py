@@ -17,10 +17,16 @@ def conditions_with_demographics(conditions: DataFrame, patients: DataFrame) ->
     orphan and NULL-key conditions keep NULL demographics; duplicate patients fan out).
 
     No hint: at scale both sides are large and the adaptive planner picks broadcast or
-    sort-merge from runtime sizes, splitting a skewed NULL-key partition of the
-    preserved side.
+    sort-merge from runtime sizes, and splits a skewed partition of the preserved side.
+    A NULL key never matches, yet would hash all such rows into one shuffle partition;
+    those rows join on a deterministic per-row salt instead (a value no patient key
+    can take), so they spread over all partitions and still find no partner.
     """
-    return conditions.join(patients.select(*DEMOGRAPHIC_COLUMNS), "patient_id", "left")
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*conditions.columns).cast("string"))
+    left = conditions.withColumn("_join_key", F.coalesce(F.col("patient_id"), salt))
+    right = patients.select(F.col("patient_id").alias("_join_key"),
+                            *DEMOGRAPHIC_COLUMNS[1:])
+    return left.join(right, "_join_key", "left").drop("_join_key")
 
 
 def diagnosis_statistics(conditions: DataFrame, n: int = 50) -> DataFrame:

@@ -173,11 +173,18 @@ def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DE
         offset = 0
     else:
         offset = (page - 1) * limit
-    one = first_row_per_key(df, "patient_id")
-    ordered = one.orderBy(F.asc_nulls_first("patient_id"))
+    # 1) The page's ids: distinct ids (a one-column hash aggregate, combined map-side)
+    #    and a top-k of offset+limit. 2) Only the rows of those <= 100 ids are
+    #    de-duplicated: the id list is broadcast, its size bounded by the page limit.
+    #    NULL ids sort last (the store's default) and match null-safely.
+    ids = df.select(F.col("patient_id").alias("_pid")).distinct() \
+            .orderBy(F.asc_nulls_last("_pid"))
     if offset:
-        ordered = ordered.offset(offset)
-    return ordered.limit(limit).select(*PATIENT_COLUMNS)
+        ids = ids.offset(offset)
+    ids = ids.limit(limit)
+    rows = df.join(F.broadcast(ids), df["patient_id"].eqNullSafe(ids["_pid"]), "left_semi")
+    return (first_row_per_key(rows, "patient_id")
+            .orderBy(F.asc_nulls_last("patient_id")).select(*PATIENT_COLUMNS))
 
 
 def patients_total(patients: DataFrame, q: str = "", gender: str = "",

@@ -46,3 +46,12 @@ def test_strip_prefix_anchored(spark):
     df = spark.createDataFrame([("Patient/x",), ("x/Patient/y",), ("Patient.x",)], "r string")
     got = [r[0] for r in df.select(X.strip_prefix("r", "Patient/")).collect()]
     assert got == ["x", "x/Patient/y", "Patient.x"]
+
+
+def test_strip_prefix_matches_regex_form(spark):
+    vals = ["Patient/x", "Patient/", "Patient", "xPatient/y", "", None, "Patient/Patient/z",
+            "patient/x", "Patient/ü"]
+    df = spark.createDataFrame([(v,) for v in vals], "r string")
+    a = [r[0] for r in df.select(X.strip_prefix("r", "Patient/")).collect()]
+    b = [r[0] for r in df.select(X.strip_prefix_regex("r", "Patient/")).collect()]
+    assert a == b

@@ -126,3 +126,14 @@ def test_genders_lowercased(spark):
                                  ("b", "male", None, None, None, "75+"),
                                  ("c", None, None, None, None, "75+")])
     assert [r[0] for r in serving.patient_genders(pts).collect()] == ["male"]
+
+
+def test_join_null_keys_kept_with_null_demographics(spark):
+    pts = df(spark, "patients", [("a", "m", None, "S", None, "75+"), ("a", "f", None, "S", None, "75+")])
+    cond = df(spark, "conditions", [("c1", "a", "X", "x", None, None),
+                                    ("c2", None, "X", "x", None, None),
+                                    ("c3", None, "X", "x", None, None),
+                                    ("c4", "zz", "Y", "y", None, None)])
+    got = sorted((r["condition_id"], r["gender"]) for r in
+                 gold.conditions_with_demographics(cond, pts).collect())
+    assert got == [("c1", "f"), ("c1", "m"), ("c2", None), ("c3", None), ("c4", None)]
