@@ -63,35 +63,43 @@ def demographics_geography(patients: DataFrame) -> DataFrame:
     return patients.groupBy("state").agg(F.count(F.lit(1)).alias("patient_count"))
 
 
-def diagnosis_demographics(conditions: DataFrame, patients: DataFrame) -> DataFrame:
-    """Cases of J1 per (icd_code, diagnosis_name, gender, age_group), computed without
-    materialising the fan-out.
+def _cases_by(conditions: DataFrame, patients: DataFrame, demographics: list[str]) -> DataFrame:
+    """Cases of J1 per (icd_code, diagnosis_name, *demographics), without materialising
+    the fan-out.
 
     Both sides are pre-aggregated before the join — conditions per (patient, code,
-    name), patients per (patient, gender, age_group) — and the join multiplies the
-    counts. A hot patient key (or the NULL key) thus reaches the join as a handful of
-    rows, not a third of the table. Unmatched conditions count once with NULL
-    demographics, as in the left join.
+    name), patients per (patient, *demographics) — and the join multiplies the counts.
+    A hot patient key (or the NULL key) thus reaches the join as a handful of rows,
+    not a third of the table. Unmatched conditions count once with NULL demographics,
+    as in the left join.
     """
     c = conditions.groupBy("patient_id", "icd_code", "diagnosis_name") \
                   .agg(F.count(F.lit(1)).alias("_n"))
-    p = patients.groupBy("patient_id", "gender", "age_group").agg(F.count(F.lit(1)).alias("_m"))
+    p = patients.groupBy("patient_id", *demographics).agg(F.count(F.lit(1)).alias("_m"))
     j = c.join(p, "patient_id", "left")
-    return j.groupBy("icd_code", "diagnosis_name", "gender", "age_group").agg(
+    return j.groupBy("icd_code", "diagnosis_name", *demographics).agg(
         F.sum(F.col("_n") * F.coalesce(F.col("_m"), F.lit(1))).alias("cases"))
 
 
-def diagnosis_by_gender(conditions: DataFrame, patients: DataFrame,
+def diagnosis_demographics(conditions: DataFrame, patients: DataFrame) -> DataFrame:
+    """J1 cases per (icd_code, diagnosis_name, gender, age_group): the shared input of
+    A5 and A6 when both are built (the batch job writes it once, rolls it up twice)."""
+    return _cases_by(conditions, patients, ["gender", "age_group"])
+
+
+def diagnosis_by_gender(conditions: DataFrame | None, patients: DataFrame | None,
                         pre: DataFrame | None = None) -> DataFrame:
-    """A5: J1 cases per (icd_code, diagnosis_name, gender)."""
-    pre = pre if pre is not None else diagnosis_demographics(conditions, patients)
+    """A5: J1 cases per (icd_code, diagnosis_name, gender); from ``pre`` if given."""
+    if pre is None:
+        return _cases_by(conditions, patients, ["gender"])
     return pre.groupBy("icd_code", "diagnosis_name", "gender").agg(
         F.sum("cases").alias("cases"))
 
 
-def diagnosis_by_age_group(conditions: DataFrame, patients: DataFrame,
+def diagnosis_by_age_group(conditions: DataFrame | None, patients: DataFrame | None,
                            pre: DataFrame | None = None) -> DataFrame:
-    """J1 cases per (icd_code, diagnosis_name, age_group)."""
-    pre = pre if pre is not None else diagnosis_demographics(conditions, patients)
+    """J1 cases per (icd_code, diagnosis_name, age_group); from ``pre`` if given."""
+    if pre is None:
+        return _cases_by(conditions, patients, ["age_group"])
     return pre.groupBy("icd_code", "diagnosis_name", "age_group").agg(
         F.sum("cases").alias("cases"))

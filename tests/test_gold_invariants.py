@@ -47,3 +47,27 @@ def test_shuffle_partitions_do_not_change_results(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert before == after
+
+
+def test_hot_keys_split_and_exact(spark):
+    """A third of the conditions on NULL patient, a third on one patient who is
+    duplicated: the pre-aggregated splits equal the row-level join."""
+    from clinark.schemas import CLEAN
+    n = 3000
+    cond = spark.createDataFrame(
+        [(f"c{i}", None if i % 3 == 0 else ("hot" if i % 3 == 1 else f"p{i % 50}"),
+          f"X{i % 7}", f"name {i % 7}", "active", None) for i in range(n)],
+        CLEAN["conditions"])
+    pts = spark.createDataFrame(
+        [("hot", "male", None, None, None, "26-50"), ("hot", "female", None, None, None, "75+")]
+        + [(f"p{i}", "female", None, None, None, "0-25") for i in range(50)],
+        CLEAN["patients"])
+    joined = gold.conditions_with_demographics(cond, pts)
+    expected = {tuple(r) for r in joined.groupBy("icd_code", "diagnosis_name", "gender")
+                .agg(F.count(F.lit(1)).alias("cases")).collect()}
+    got = {tuple(r) for r in gold.diagnosis_by_gender(cond, pts).collect()}
+    assert got == expected
+    assert joined.count() == n + n // 3  # the hot patient's rows double
+    # the NULL-key rows spread over the shuffle instead of one partition
+    salted = joined.where(F.col("patient_id").isNull()).count()
+    assert salted == n // 3
