@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from clinark.operators import gold, normalize
-from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables
+from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables, run_concurrently
 from clinark.schemas import conform
 from clinark.sources.jdbc import write_jdbc
 from clinark.sources.parquet import read_clean, write_parquet
@@ -39,43 +39,40 @@ class JdbcTarget:
 
 
 def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
-               top_n: int = 50) -> dict[str, int]:
+               top_n: int = 50, max_workers: int = 4) -> dict[str, int]:
     """Six gold tables from the written clean tier; returns rows written per table.
 
     The J1 fan-out is aggregated once per (code, name, gender, age group), written,
-    and rolled up twice — the join runs once for both demographic splits.
+    and rolled up twice — the join runs once for both demographic splits. Independent
+    writes run concurrently.
     """
     cond = read_clean(spark, clean_root, "conditions")
     pts = read_clean(spark, clean_root, "patients")
-    rows = {
-        "diagnosis_statistics": write_parquet(
-            conform(gold.diagnosis_statistics(cond, top_n), "diagnosis_statistics"),
-            f"{gold_root}/diagnosis_statistics"),
-        "demographics_gender": write_parquet(
-            conform(gold.demographics_gender(pts), "demographics_gender"),
-            f"{gold_root}/demographics_gender"),
-        "demographics_age_group": write_parquet(
-            conform(gold.demographics_age_group(pts), "demographics_age_group"),
-            f"{gold_root}/demographics_age_group"),
-        "demographics_geography": write_parquet(
-            conform(gold.demographics_geography(pts), "demographics_geography"),
-            f"{gold_root}/demographics_geography"),
-    }
     pre_path = f"{gold_root}/{PRE_AGGREGATE}"
-    write_parquet(gold.diagnosis_demographics(cond, pts), pre_path)
+
+    def out(name: str, df: DataFrame):
+        return lambda: write_parquet(conform(df, name), f"{gold_root}/{name}")
+
+    first = run_concurrently({
+        "diagnosis_statistics": out("diagnosis_statistics", gold.diagnosis_statistics(cond, top_n)),
+        "demographics_gender": out("demographics_gender", gold.demographics_gender(pts)),
+        "demographics_age_group": out("demographics_age_group", gold.demographics_age_group(pts)),
+        "demographics_geography": out("demographics_geography", gold.demographics_geography(pts)),
+        PRE_AGGREGATE: lambda: write_parquet(gold.diagnosis_demographics(cond, pts), pre_path),
+    }, max_workers)
+    first.pop(PRE_AGGREGATE)
     pre = spark.read.parquet(pre_path)
-    rows["diagnosis_by_gender"] = write_parquet(
-        conform(gold.diagnosis_by_gender(None, None, pre), "diagnosis_by_gender"),
-        f"{gold_root}/diagnosis_by_gender")
-    rows["diagnosis_by_age_group"] = write_parquet(
-        conform(gold.diagnosis_by_age_group(None, None, pre), "diagnosis_by_age_group"),
-        f"{gold_root}/diagnosis_by_age_group")
-    return rows
+    second = run_concurrently({
+        "diagnosis_by_gender": out("diagnosis_by_gender", gold.diagnosis_by_gender(None, None, pre)),
+        "diagnosis_by_age_group": out("diagnosis_by_age_group",
+                                      gold.diagnosis_by_age_group(None, None, pre)),
+    }, max_workers)
+    return {**first, **second}
 
 
 def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str = "routed",
                  patient_key: str = "hashed", jdbc: JdbcTarget | None = None,
-                 top_n: int = 50) -> DataFrame:
+                 top_n: int = 50, max_workers: int = 4) -> DataFrame:
     """Run the whole job; returns the load audit as (table, rows).
 
     Tables: the three clean tables and medications (Parquet), the six gold tables,
@@ -86,19 +83,26 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
     out_root = out_root.rstrip("/")
     clean_root, gold_root = f"{out_root}/clean", f"{out_root}/gold"
     audit: list[tuple[str, int]] = []
-    corrupt: list[tuple[str, int]] = []
 
     def clean_stage(resource, name, fn):
-        obs = Observation()
-        raw = read_raw(spark, raw_root, resource, layout, corrupt=obs)
-        audit.append((name, write_parquet(conform(fn(raw), name), f"{clean_root}/{name}")))
-        corrupt.append((f"corrupt:{name}", int(obs.get.get("corrupt_lines", 0))))
-
-    for resource, name, fn in CLEAN_JOBS:
-        clean_stage(resource, name, fn)
-    audit.extend(build_gold(spark, clean_root, gold_root, top_n).items())
-    clean_stage("MedicationRequest", "medications",
-                lambda raw: normalize.normalize_medications(raw, patient_key))
+        def run() -> int:
+            obs = Observation()
+            raw = read_raw(spark, raw_root, resource, layout, corrupt=obs)
+            rows = write_parquet(conform(fn(raw), name), f"{clean_root}/{name}")
+            corrupt_lines[name] = int(obs.get.get("corrupt_lines", 0))
+            return rows
+        return run
+
+    corrupt_lines: dict[str, int] = {}
+    stages = {name: clean_stage(resource, name, fn) for resource, name, fn in CLEAN_JOBS}
+    stages["medications"] = clean_stage(
+        "MedicationRequest", "medications",
+        lambda raw: normalize.normalize_medications(raw, patient_key))
+    clean_rows = run_concurrently(stages, max_workers)
+    audit.extend((name, clean_rows[name]) for _, name, _ in CLEAN_JOBS)
+    audit.extend(build_gold(spark, clean_root, gold_root, top_n, max_workers).items())
+    audit.append(("medications", clean_rows["medications"]))
+    corrupt = [(f"corrupt:{n}", corrupt_lines[n]) for n in stages]
 
     if jdbc is not None:
         def sink(df: DataFrame, name: str) -> int:

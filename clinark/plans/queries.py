@@ -151,28 +151,21 @@ def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, f"{root}/raw", f"{root}/out", layout="routed")
 
 
-def _serving_tables(d: Dataset) -> dict[str, DataFrame]:
-    return {
-        "diagnosis_statistics": d.diagnosis_statistics,
-        "demographics_gender": d.demographics_gender,
-        "demographics_age_group": d.demographics_age_group,
-        "demographics_geography": d.demographics_geography,
-        "diagnosis_by_gender": d.diagnosis_by_gender,
-        "diagnosis_by_age_group": d.diagnosis_by_age_group,
-        "conditions": d.conditions,
-        "patients": d.patients,
-        "encounters": d.encounters,
-        "medications": d.medications("plain"),
-    }
-
-
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load the nine serving tables and medications; rows per load, observed
-    during the write (each plan runs once)."""
-    from clinark.plans.audit import load_tables
+    """Load the clean tables, then the six gold tables built from the loaded clean
+    tier; rows per load, observed during each write (every plan runs once)."""
+    from clinark.plans.audit import AUDIT_SCHEMA, load_tables
+    from clinark.plans.jobs import build_gold
     from clinark.session import run_dir
-    return load_tables(spark, _serving_tables(Dataset(spark, sf_dir)),
-                       root=run_dir(spark, "load"))
+    d = Dataset(spark, sf_dir)
+    root = run_dir(spark, "load")
+    clean = load_tables(spark, {"patients": d.patients, "conditions": d.conditions,
+                                "encounters": d.encounters,
+                                "medications": d.medications("plain")},
+                        root=f"{root}/clean").collect()
+    gold_rows = build_gold(spark, f"{root}/clean", f"{root}/gold")
+    return spark.createDataFrame([tuple(r) for r in clean] + list(gold_rows.items()),
+                                 AUDIT_SCHEMA)
 
 
 def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
