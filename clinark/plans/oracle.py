@@ -258,6 +258,7 @@ WHERE diagnosis_name IS NOT NULL AND diagnosis_name <> ''"""
 SELECT diagnosis_name, {_label('diagnosis_name')} AS condition_type
 FROM (SELECT DISTINCT diagnosis_name FROM clean_conditions) t"""
     q["patients_page"] = _page_sql("", offset=25, limit=25)
+    q["patients_page_ranked"] = _page_sql("", offset=100, limit=25)
     q["patients_page_search"] = _page_sql(SEARCH_WHERE, offset=0, limit=25)
     q["patients_page_filtered"] = _page_sql(
         "WHERE lower(gender) = 'male' AND age_group = '26-50'", offset=0, limit=25)

@@ -17,6 +17,7 @@ SEARCH_TEXT = "nation_1"
 GENDER = "male"
 AGE_GROUP = "26-50"
 PAGE, PAGE_LIMIT = 2, 25
+RANKED_PAGE = 5  # found by distributed ranks instead of a top-k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +59,8 @@ READ_QUERIES: dict[str, Query] = {
     "condition_types_gold": _q(lambda d: serving.condition_types_gold(d.diagnosis_statistics)),
     "condition_type": _q(lambda d: serving.condition_labels(d.conditions)),
     "patients_page": _q(lambda d: serving.patients_page(d.patients, page=PAGE, limit=PAGE_LIMIT)),
+    "patients_page_ranked": _q(lambda d: serving.patients_page(
+        d.patients, page=RANKED_PAGE, limit=PAGE_LIMIT, method="ranked")),
     "patients_page_search": _q(lambda d: serving.patients_page(d.patients, q=SEARCH_TEXT)),
     "patients_page_filtered": _q(
         lambda d: serving.patients_page(d.patients, gender=GENDER, age_group=AGE_GROUP)),

@@ -137,3 +137,34 @@ def test_join_null_keys_kept_with_null_demographics(spark):
     got = sorted((r["condition_id"], r["gender"]) for r in
                  gold.conditions_with_demographics(cond, pts).collect())
     assert got == [("c1", "f"), ("c1", "m"), ("c2", None), ("c3", None), ("c4", None)]
+
+
+def _ids(page_df):
+    return [r["patient_id"] for r in page_df.collect()]
+
+
+def test_ranked_pages_equal_topk_pages(spark):
+    """The distributed-rank page equals the top-k page at every depth: duplicates kept
+    once, the NULL id last, pages past the end empty."""
+    rows = [(f"p{i:03d}", "male" if i % 2 else "female", None, None, None, "75+")
+            for i in range(57)]
+    rows += [("p010", "other", None, None, None, "75+"), (None, "x", None, None, None, "75+")]
+    pts = df(spark, "patients", rows).repartition(5)
+    seen = []
+    for page in range(1, 9):
+        ranked = _ids(serving.patients_page(pts, page, 8, method="ranked"))
+        assert ranked == _ids(serving.patients_page(pts, page, 8, method="topk"))
+        seen += ranked
+    assert seen == [f"p{i:03d}" for i in range(57)] + [None]
+    dup = serving.patients_page(pts, 2, 8, method="ranked").where("patient_id = 'p010'")
+    assert [r["gender"] for r in dup.collect()] == ["female"]
+
+
+def test_deep_offset_takes_ranked_path(spark, monkeypatch):
+    pts = df(spark, "patients", [(f"p{i}", None, None, None, None, "75+") for i in range(10)])
+    monkeypatch.setattr(serving, "PAGE_TOPK_MAX_ROWS", 4)
+    deep = serving.patients_page(pts, page=2, limit=3)
+    assert "TakeOrderedAndProject" not in deep._jdf.queryExecution().executedPlan().toString()
+    assert _ids(deep) == ["p3", "p4", "p5"]
+    with pytest.raises(ValueError):
+        serving.patients_page(pts, method="nope")
