@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
-                  app: str = "clinark") -> SparkSession:
+                  app: str = "clinark", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and the bench. Not used by library code."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -30,6 +30,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("CLINARK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.ansi.enabled", "true")
     )
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
