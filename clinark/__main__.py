@@ -4,7 +4,7 @@ Commands
   ingest  --landing DIR --routed DIR --checkpoint DIR [--continuous SECONDS]
           route landed NDJSON lines by resource type (exactly once per checkpoint)
   job     --raw DIR --out DIR [--layout routed|directory] [--patient-key plain|hashed]
-          [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR]
+          [--no-cluster] [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR]
           raw → clean → gold (+ optional JDBC loads); prints the load audit
   land    --sf-dir DIR --landing DIR
           write FHIR NDJSON derived from the star-schema test tables
@@ -36,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--layout", choices=["routed", "directory"], default="routed")
     j.add_argument("--patient-key", choices=["plain", "hashed"], default="hashed")
     j.add_argument("--top-n", type=int, default=50)
+    j.add_argument("--no-cluster", action="store_true",
+                   help="write the clean tables unclustered (no range sort by patient)")
     j.add_argument("--jdbc-url", default=None)
     j.add_argument("--jdbc-user", default=None)
     j.add_argument("--jdbc-password-env", default=None,
@@ -74,7 +76,8 @@ def main(argv: list[str] | None = None) -> int:
                 props["driver"] = args.jdbc_driver
             jdbc = JdbcTarget(args.jdbc_url, props)
         audit = run_pipeline(spark, args.raw, args.out, layout=args.layout,
-                             patient_key=args.patient_key, jdbc=jdbc, top_n=args.top_n)
+                             patient_key=args.patient_key, jdbc=jdbc, top_n=args.top_n,
+                             cluster=not args.no_cluster)
         for row in audit.collect():  # the audit is one row per table
             print(f"'{row['table']}': {row['rows']} rows")
     elif args.cmd == "land":

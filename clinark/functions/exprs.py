@@ -68,6 +68,17 @@ def strip_prefix_regex(c: Column | str, prefix: str) -> Column:
     return F.regexp_replace(col(c), "^" + re.escape(prefix), "")
 
 
+# Folder column of patient-clustered clean tables; its value is the first characters
+# of the patient key (256 folders for SHA-256 hex keys).
+PATIENT_BUCKET = "patient_bucket"
+PATIENT_BUCKET_CHARS = 2
+
+
+def patient_bucket(key: Column | str) -> Column:
+    """Folder value of a patient key (NULL key → NULL folder)."""
+    return F.substring(col(key), 1, PATIENT_BUCKET_CHARS)
+
+
 def birth_year(birth_date: Column | str) -> Column:
     return F.substring(col(birth_date), 1, 4)
 

@@ -248,11 +248,21 @@ def patients_total(patients: DataFrame, q: str = "", gender: str = "",
     return df.select("patient_id").distinct().agg(F.count(F.lit(1)).alias("total"))
 
 
+def _patient_rows(df: DataFrame, patient_id: str) -> DataFrame:
+    """Rows of one patient. On a patient-clustered table (it has the folder column)
+    the folder of the key is added as a predicate, so the scan prunes to one folder
+    and, by the Parquet statistics, to the row groups holding the key."""
+    pred = F.col("patient_id") == F.lit(patient_id)
+    if X.PATIENT_BUCKET in df.columns:
+        pred = pred & (F.col(X.PATIENT_BUCKET) == X.patient_bucket(F.lit(patient_id)))
+    return df.where(pred)
+
+
 def patient_encounters(encounters: DataFrame, patient_id: str,
                        limit: int = ENCOUNTERS_PER_PATIENT) -> DataFrame:
     """A patient's latest encounters, start_date descending with NULLs first."""
     cols = ["encounter_id", "encounter_class", "encounter_type", "start_date", "end_date"]
-    return (encounters.where(F.col("patient_id") == F.lit(patient_id)).select(*cols)
+    return (_patient_rows(encounters, patient_id).select(*cols)
                       .orderBy(F.desc_nulls_first("start_date"),
                                *_asc("encounter_id", "encounter_class", "encounter_type",
                                      "end_date"))
@@ -263,7 +273,7 @@ def patient_conditions(conditions: DataFrame, patient_id: str,
                        limit: int = CONDITIONS_PER_PATIENT) -> DataFrame:
     """A patient's latest conditions, onset_date descending with NULLs last."""
     cols = ["diagnosis_name", "icd_code", "clinical_status", "onset_date"]
-    return (conditions.where(F.col("patient_id") == F.lit(patient_id)).select(*cols)
+    return (_patient_rows(conditions, patient_id).select(*cols)
                       .orderBy(F.desc_nulls_last("onset_date"),
                                *_asc("diagnosis_name", "icd_code", "clinical_status"))
                       .limit(limit))

@@ -16,7 +16,7 @@ from clinark.operators import gold, normalize
 from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables, run_concurrently
 from clinark.schemas import conform
 from clinark.sources.jdbc import write_jdbc
-from clinark.sources.parquet import read_clean, write_parquet
+from clinark.sources.parquet import CLUSTERED_TABLES, read_clean, write_clustered, write_parquet
 from clinark.sources.raw import read_raw
 
 CLEAN_JOBS = (
@@ -39,15 +39,15 @@ class JdbcTarget:
 
 
 def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
-               top_n: int = 50, max_workers: int = 4) -> dict[str, int]:
+               top_n: int = 50, max_workers: int = 4, clustered: bool = False) -> dict[str, int]:
     """Six gold tables from the written clean tier; returns rows written per table.
 
     The J1 fan-out is aggregated once per (code, name, gender, age group), written,
     and rolled up twice — the join runs once for both demographic splits. Independent
     writes run concurrently.
     """
-    cond = read_clean(spark, clean_root, "conditions")
-    pts = read_clean(spark, clean_root, "patients")
+    cond = read_clean(spark, clean_root, "conditions", clustered=clustered)
+    pts = read_clean(spark, clean_root, "patients", clustered=clustered)
     pre_path = f"{gold_root}/{PRE_AGGREGATE}"
 
     def out(name: str, df: DataFrame):
@@ -72,13 +72,16 @@ def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
 
 def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str = "routed",
                  patient_key: str = "hashed", jdbc: JdbcTarget | None = None,
-                 top_n: int = 50, max_workers: int = 4) -> DataFrame:
+                 top_n: int = 50, max_workers: int = 4, cluster: bool = True) -> DataFrame:
     """Run the whole job; returns the load audit as (table, rows).
 
     Tables: the three clean tables and medications (Parquet), the six gold tables,
     the number of corrupt raw lines dropped per resource (``corrupt:<table>``), and,
     with ``jdbc``, the nine serving tables plus medications loaded over JDBC
     (``jdbc:<table>``), read from the written Parquet rather than recomputed.
+    With ``cluster`` (the default) patients, conditions and encounters are written
+    clustered by patient, so the per-patient lookups prune to one folder and a few
+    row groups (``sources.parquet.write_clustered``).
     """
     out_root = out_root.rstrip("/")
     clean_root, gold_root = f"{out_root}/clean", f"{out_root}/gold"
@@ -88,7 +91,9 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
         def run() -> int:
             obs = Observation()
             raw = read_raw(spark, raw_root, resource, layout, corrupt=obs)
-            rows = write_parquet(conform(fn(raw), name), f"{clean_root}/{name}")
+            out, path = conform(fn(raw), name), f"{clean_root}/{name}"
+            rows = (write_clustered(out, path, name) if cluster and name in CLUSTERED_TABLES
+                    else write_parquet(out, path))
             corrupt_lines[name] = int(obs.get.get("corrupt_lines", 0))
             return rows
         return run
@@ -100,7 +105,8 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
         lambda raw: normalize.normalize_medications(raw, patient_key))
     clean_rows = run_concurrently(stages, max_workers)
     audit.extend((name, clean_rows[name]) for _, name, _ in CLEAN_JOBS)
-    audit.extend(build_gold(spark, clean_root, gold_root, top_n, max_workers).items())
+    audit.extend(build_gold(spark, clean_root, gold_root, top_n, max_workers,
+                            clustered=cluster).items())
     audit.append(("medications", clean_rows["medications"]))
     corrupt = [(f"corrupt:{n}", corrupt_lines[n]) for n in stages]
 
@@ -108,7 +114,8 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
         def sink(df: DataFrame, name: str) -> int:
             return write_jdbc(df, jdbc.url, name, jdbc.properties, batchsize=jdbc.batchsize,
                               num_partitions=jdbc.num_partitions)
-        tables = {n: read_clean(spark, gold_root if n in GOLD_TABLES else clean_root, n)
+        tables = {n: conform(read_clean(spark, gold_root if n in GOLD_TABLES else clean_root, n,
+                                        clustered=cluster and n in CLUSTERED_TABLES), n)
                   for n in SERVING_TABLES + ("medications",)}
         loaded = load_tables(spark, tables, sink=sink).collect()
         audit.extend((f"jdbc:{r['table']}", r["rows"]) for r in loaded)

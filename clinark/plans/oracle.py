@@ -300,6 +300,8 @@ ORDER BY cases DESC, icd_code ASC NULLS FIRST, diagnosis_name ASC NULLS FIRST,
          age_group ASC NULLS FIRST
 LIMIT 20"""
     q["parquet_roundtrip"] = q["normalize_conditions"]
+    q["patient_conditions_clustered"] = q["patient_conditions"]
+    q["patient_encounters_clustered"] = q["patient_encounters"]
     q["catalog_tables"] = q["top_conditions_clean_type"]
     q["ingest_routed"] = """
 SELECT resource_type, CAST(sum(n) AS BIGINT) AS lines FROM (

@@ -6,8 +6,10 @@ from clinark.plans.catalog import Dataset
 from clinark.schemas import GOLD, conform
 from clinark.sources.catalog import catalog_sql, register_clean
 from clinark.sources.jdbc import jdbc_writer_options
-from clinark.sources.parquet import read_clean, write_parquet
-from clinark.operators import gold
+from clinark.sources.parquet import read_clean, write_clustered, write_parquet
+from clinark.operators import gold, serving
+from clinark.schemas import CLEAN
+from pyspark.sql import functions as F
 from conftest import SF_SMALL
 
 
@@ -45,3 +47,45 @@ def test_jdbc_options():
     o = jdbc_writer_options("t", {"user": "u"}, batchsize=500, num_partitions=4)
     assert o == {"user": "u", "dbtable": "t", "batchsize": "500", "truncate": "false",
                  "numPartitions": "4"}
+
+
+def test_clustered_lookup_prunes_folder_and_row_groups(spark, tmp_path):
+    d = Dataset(spark, SF_SMALL)
+    n = write_clustered(d.conditions, str(tmp_path / "conditions"), "conditions")
+    cond = read_clean(spark, str(tmp_path), "conditions", clustered=True)
+    assert n == cond.count() == d.conditions.count()
+    pid = d.conditions.where("patient_id IS NOT NULL").first()["patient_id"]
+    q = serving.patient_conditions(cond, pid)
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    try:
+        spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # ids are 64 characters
+        p = q._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert f"PartitionFilters: [isnotnull(patient_bucket#" in p and f"= {pid[:2]})]" in p
+    assert f"EqualTo(patient_id,{pid})" in p
+    plain = serving.patient_conditions(d.conditions, pid)
+    assert [tuple(r) for r in q.collect()] == [tuple(r) for r in plain.collect()]
+
+
+def test_clustered_write_spreads_a_hot_patient_and_keeps_text_folders(spark, tmp_path):
+    """A third of the rows on one patient land in several files (the adaptive planner
+    splits the hot folder; size thresholds scaled down to the test); a folder named 01
+    stays the text '01'."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    rows = [(f"c{i:05d}", "01hot" if i % 3 == 0 else f"{i % 97:02d}x{i}", "X", "x", None, None)
+            for i in range(6000)]
+    try:
+        spark.conf.set(key, "4k")
+        write_clustered(spark.createDataFrame(rows, CLEAN["conditions"]).repartition(8),
+                        str(tmp_path / "conditions"), "conditions")
+    finally:
+        spark.conf.set(key, old)
+    cond = read_clean(spark, str(tmp_path), "conditions", clustered=True)
+    hot = cond.where("patient_id = '01hot'")
+    assert hot.count() == 2000
+    assert hot.select(F.input_file_name()).distinct().count() > 1
+    assert {r[0] for r in hot.select("patient_bucket").distinct().collect()} == {"01"}
+    got = serving.patient_conditions(cond, "01hot", limit=5000).count()
+    assert got == 2000
