@@ -6,6 +6,8 @@ Commands
   job     --raw DIR --out DIR [--layout routed|directory] [--patient-key plain|hashed]
           [--no-cluster] [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR]
           raw → clean → gold (+ optional JDBC loads); prints the load audit
+  register --clean DIR [--db NAME] [--no-cluster]
+          clean tables as external Parquet tables of a catalog database
   land    --sf-dir DIR --landing DIR
           write FHIR NDJSON derived from the star-schema test tables
 The session comes from spark-submit (cluster settings are not overridden here).
@@ -43,6 +45,11 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--jdbc-password-env", default=None,
                    help="name of the environment variable holding the password")
     j.add_argument("--jdbc-driver", default=None)
+    r = sub.add_parser("register")
+    r.add_argument("--clean", required=True, help="the job's clean folder (<out>/clean)")
+    r.add_argument("--db", default="medical")
+    r.add_argument("--no-cluster", action="store_true",
+                   help="the clean tables were written without --cluster")
     ld = sub.add_parser("land")
     ld.add_argument("--sf-dir", required=True)
     ld.add_argument("--landing", required=True)
@@ -80,6 +87,10 @@ def main(argv: list[str] | None = None) -> int:
                              cluster=not args.no_cluster)
         for row in audit.collect():  # the audit is one row per table
             print(f"'{row['table']}': {row['rows']} rows")
+    elif args.cmd == "register":
+        from clinark.sources.catalog import register_clean
+        for name in register_clean(spark, args.clean, args.db, clustered=not args.no_cluster):
+            print(f"registered {name}")
     elif args.cmd == "land":
         from clinark.sources.landing import land_mixed
         land_mixed(spark, args.sf_dir, args.landing)

@@ -6,7 +6,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clinark.functions.exprs import PATIENT_BUCKET
 from clinark.schemas import CLEAN
+from clinark.sources.parquet import CLUSTERED_TABLES
 
 CATALOG_TABLES = ("patients", "conditions", "encounters")
 DEFAULT_DB = "medical"
@@ -21,12 +23,15 @@ def _ident(name: str) -> str:
 
 def register_clean(spark: SparkSession, root: str, db: str = DEFAULT_DB,
                    tables: tuple[str, ...] = CATALOG_TABLES, replace: bool = False,
-                   db_location: str | None = None) -> list[str]:
+                   db_location: str | None = None, clustered: bool = False) -> list[str]:
     """Create ``db`` and one external Parquet table per clean table at ``<root>/<name>``.
 
     Columns are declared (all string) and resolved by name. Like the source DDL, an
     existing table is kept (``IF NOT EXISTS``) unless ``replace`` is set; dropping an
-    external table removes only its catalog entry, never the files.
+    external table removes only its catalog entry, never the files. ``clustered``
+    registers tables written by ``sources.parquet.write_clustered``: the folder
+    column is the partition column, the folders are recovered from storage, and a
+    query that filters on it reads only the matching folders.
     """
     db = _ident(db)
     loc = f" LOCATION '{db_location}'" if db_location else ""
@@ -34,11 +39,19 @@ def register_clean(spark: SparkSession, root: str, db: str = DEFAULT_DB,
     names = []
     for t in tables:
         t = _ident(t)
-        cols = ", ".join(f"{f.name} STRING" for f in CLEAN[t].fields)
+        fields = [f.name for f in CLEAN[t].fields]
+        parted = clustered and t in CLUSTERED_TABLES
+        if parted:
+            fields.append(PATIENT_BUCKET)
+        cols = ", ".join(f"{name} STRING" for name in fields)
         path = f"{root.rstrip('/')}/{t}".replace("'", "\\'")
         if replace:
             spark.sql(f"DROP TABLE IF EXISTS {db}.{t}")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t} ({cols}) USING PARQUET LOCATION '{path}'")
+        part = f" PARTITIONED BY ({PATIENT_BUCKET})" if parted else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t} ({cols}) USING PARQUET{part} "
+                  f"LOCATION '{path}'")
+        if parted:
+            spark.sql(f"ALTER TABLE {db}.{t} RECOVER PARTITIONS")
         names.append(f"{db}.{t}")
     return names
 

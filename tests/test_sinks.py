@@ -89,3 +89,20 @@ def test_clustered_write_spreads_a_hot_patient_and_keeps_text_folders(spark, tmp
     assert {r[0] for r in hot.select("patient_bucket").distinct().collect()} == {"01"}
     got = serving.patient_conditions(cond, "01hot", limit=5000).count()
     assert got == 2000
+
+
+def test_catalog_over_clustered_tables_prunes_folders(spark, tmp_path):
+    d = Dataset(spark, SF_SMALL)
+    for name in ("patients", "conditions", "encounters"):
+        write_clustered(getattr(d, name), str(tmp_path / name), name)
+    register_clean(spark, str(tmp_path), "medical_c", replace=True, clustered=True,
+                   db_location=str(tmp_path / "medical_c.db"))
+    pid = d.conditions.where("patient_id IS NOT NULL").first()["patient_id"]
+    q = catalog_sql(spark, """
+        SELECT diagnosis_name, icd_code, clinical_status, onset_date FROM medical_c.conditions
+        WHERE patient_id = :p AND patient_bucket = substring(:p, 1, 2)""", {"p": pid})
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(patient_bucket" in plan
+    assert q.count() == d.conditions.where(F.col("patient_id") == pid).count() > 0
+    total = catalog_sql(spark, "SELECT count(*) AS n FROM medical_c.encounters").first()["n"]
+    assert total == d.encounters.count()
