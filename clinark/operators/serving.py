@@ -60,11 +60,12 @@ def kpi(patients: DataFrame, encounters: DataFrame, conditions: DataFrame,
 
 def timeline(encounters: DataFrame, since: str = TIMELINE_SINCE) -> DataFrame:
     """R2: encounters per month (``yyyy-MM``) with start_date >= since, compared as text;
-    rows whose date does not parse are dropped."""
+    rows whose date does not parse are dropped; ordered by month."""
     return (encounters.where(F.col("start_date") >= F.lit(since))
                       .select(X.month_of("start_date").alias("month"))
                       .where(F.col("month").isNotNull())
-                      .groupBy("month").agg(F.count(F.lit(1)).alias("count")))
+                      .groupBy("month").agg(F.count(F.lit(1)).alias("count"))
+                      .orderBy("month"))
 
 
 def _type_param(condition_type: str) -> str:
