@@ -41,8 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written tables and checkpoints.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set — a local test session — a fresh folder is made and registered
-    as the checkpoint dir, so later calls agree.
+    neither is set and the master is local (tests) a fresh folder is made and
+    registered as the checkpoint dir, so later calls agree; on a cluster an unset
+    folder is an error.
     """
     sc = spark.sparkContext
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
@@ -57,6 +58,9 @@ def shared_dir(spark: SparkSession) -> str:
     if current:
         # getCheckpointDir() returns <base>/<uuid>; keep our tables beside it.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not str(sc.master).startswith("local"):
+        # A folder on the driver's disk is not visible to executors; never guess one.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     base = tempfile.mkdtemp(prefix="clinark-")
     sc.setCheckpointDir(base)
     return base
