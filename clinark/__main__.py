@@ -1,7 +1,7 @@
 """Command line: ``spark-submit -m clinark <command> ...`` or ``python -m clinark ...``.
 
 Commands
-  ingest  --landing DIR --routed DIR --checkpoint DIR [--continuous SECONDS]
+  ingest  --landing DIR --routed DIR --checkpoint DIR [--continuous SECONDS] [--archive DIR]
           route landed NDJSON lines by resource type (exactly once per checkpoint)
   job     --raw DIR --out DIR [--layout routed|directory] [--patient-key plain|hashed]
           [--no-cluster] [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR]
@@ -30,6 +30,8 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--routed", required=True)
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--max-files-per-trigger", type=int, default=None)
+    i.add_argument("--archive", default=None,
+                   help="move picked-up files here once their batch is committed")
     i.add_argument("--continuous", type=int, default=None,
                    help="run every N seconds instead of once")
     j = sub.add_parser("job")
@@ -64,11 +66,13 @@ def main(argv: list[str] | None = None) -> int:
         if args.continuous:
             q = start_ingest(spark, args.landing, args.routed, args.checkpoint,
                              available_now=False, processing_time=f"{args.continuous} seconds",
-                             max_files_per_trigger=args.max_files_per_trigger)
+                             max_files_per_trigger=args.max_files_per_trigger,
+                             archive_dir=args.archive)
             q.awaitTermination()
         else:
             n = run_ingest(spark, args.landing, args.routed, args.checkpoint,
-                           max_files_per_trigger=args.max_files_per_trigger)
+                           max_files_per_trigger=args.max_files_per_trigger,
+                           archive_dir=args.archive)
             print(f"routed {n} lines")
     elif args.cmd == "job":
         from clinark.plans.jobs import JdbcTarget, run_pipeline

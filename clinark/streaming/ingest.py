@@ -28,12 +28,22 @@ def route(lines: DataFrame, types: tuple[str, ...] = RESOURCE_TYPES) -> DataFram
 
 def start_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint: str,
                  available_now: bool = True, processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None,
+                 archive_dir: str | None = None) -> StreamingQuery:
     """Start the routing stream. ``available_now`` processes what is there (in
-    bounded batches) and stops; otherwise it runs every ``processing_time``."""
+    bounded batches) and stops; otherwise it runs every ``processing_time``.
+
+    ``archive_dir`` makes the pick-up consume its input: files of committed batches
+    are moved there (keeping their relative path), so the landing folder holds only
+    work still to do. Moving is best effort and never fails the stream; the
+    checkpoint alone decides what has been routed.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = (reader.option("cleanSource", "archive")
+                        .option("sourceArchiveDir", archive_dir))
     lines = reader.load(landing)
     writer = (route(lines).writeStream.format("text")
                           .partitionBy(PARTITION_COLUMN)
