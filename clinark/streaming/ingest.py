@@ -33,10 +33,11 @@ def start_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint
     """Start the routing stream. ``available_now`` processes what is there (in
     bounded batches) and stops; otherwise it runs every ``processing_time``.
 
-    ``archive_dir`` makes the pick-up consume its input: files of committed batches
-    are moved there (keeping their relative path), so the landing folder holds only
-    work still to do. Moving is best effort and never fails the stream; the
-    checkpoint alone decides what has been routed.
+    ``archive_dir`` makes the pick-up consume its input: Spark moves the files of a
+    committed batch there (keeping their full path below it) when a later batch runs,
+    so the landing folder keeps only the last batch and work still to do. Moving is
+    best effort and never fails the stream; the checkpoint alone decides what has been
+    routed, so a file is never routed twice.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:

@@ -74,3 +74,19 @@ def test_corrupt_lines_counted_in_directory_layout(spark, tmp_path):
                                               layout="directory").collect()}
     assert audit["encounters"] == 1 and audit["corrupt:encounters"] == 1
     assert audit["corrupt:patients"] == 0
+
+
+def test_ingest_archives_picked_up_files(spark, tmp_path):
+    landing, archive = tmp_path / "landing", tmp_path / "archive"
+    landing.mkdir()
+    for i in range(3):
+        (landing / f"b{i}.ndjson").write_text(json.dumps({"resourceType": "Patient",
+                                                          "id": str(i)}) + "\n")
+    routed, ck = str(tmp_path / "routed"), str(tmp_path / "ck")
+    assert run_ingest(spark, str(landing), routed, ck, archive_dir=str(archive),
+                      max_files_per_trigger=1) == 3
+    moved = [p.name for p in archive.rglob("*.ndjson")]
+    left = [p.name for p in landing.rglob("*.ndjson")]
+    assert len(moved) >= 2 and len(moved) + len(left) == 3  # all but the last batch moved
+    assert run_ingest(spark, str(landing), routed, ck, archive_dir=str(archive)) == 0
+    assert routed_counts(spark, routed).first()["lines"] == 3
