@@ -21,8 +21,9 @@ AGE_GROUP_ELSE = "75+"
 AGE_RANK = (("0-18", 1), ("19-25", 2), ("26-50", 3), ("51-75", 4), ("75+", 5))
 AGE_RANK_ELSE = 6
 
-# Condition-type label from the trailing parenthesised word.
-CONDITION_TYPE_PATTERN = r"(?U)\(([^)]+)\)\s*$"
+# Condition-type label from the trailing parenthesised word. Trailing
+# blanks are those Python's str.strip() removes: Unicode white space and U+001C-U+001F.
+CONDITION_TYPE_PATTERN = r"(?U)\(([^)]+)\)[\s\x1c-\x1f]*$"
 CONDITION_TYPE_UNKNOWN = "unknown"
 CONDITION_TYPE_OTHER = "other"
 
@@ -104,7 +105,8 @@ def age_rank(label: Column | str) -> Column:
 def condition_type(name: Column | str) -> Column:
     """Type label of a diagnosis name: the text of the last ``(...)`` at the end,
     lower-cased; ``unknown`` for NULL or empty names; ``other`` when nothing matches.
-    ``(?U)`` makes ``\\s`` match Unicode blanks (e.g. NBSP) as well.
+    ``(?U)`` makes ``\\s`` match Unicode blanks (e.g. NBSP) as well; the four
+    information separators are added because Python counts them as white space.
     """
     c = col(name)
     label = F.lower(F.regexp_extract(c, CONDITION_TYPE_PATTERN, 1))

@@ -12,9 +12,11 @@ def labels(spark, names):
 
 def test_condition_type_cases(spark):
     names = ["Foo (Disorder) ", "A (a (b)", "Foo ()", "Foo", "   ", "", None,
-             "Foo (x) ", "Foo (situation)", "x (a) (b)"]
+             "Foo (x) ", "Foo (situation)", "x (a) (b)", "Foo (y)\x1c",
+             "Foo (z)\u3000\n", "Foo (v)\x1b"]
     assert labels(spark, names) == ["disorder", "a (b", "other", "other", "other", "unknown",
-                                    "unknown", "x", "situation", "b"]
+                                    "unknown", "x", "situation", "b", "y", "z",
+                                    "other"]
 
 
 def test_type_filter_differs_from_label(spark):
