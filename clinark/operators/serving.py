@@ -73,9 +73,10 @@ def _type_param(condition_type: str) -> str:
 
 
 def _check_limit(limit: int) -> int:
+    """A LIMIT as the store takes it: 0 gives no rows, a negative limit is an error."""
     limit = int(limit)
-    if limit < 1:
-        raise ValueError("limit must be >= 1")
+    if limit < 0:
+        raise ValueError("limit must be >= 0")
     return limit
 
 
@@ -153,11 +154,12 @@ def _patient_filter(patients: DataFrame, q: str = "", gender: str = "",
 
 
 def page_bounds(page: int = 1, limit: int = PAGE_LIMIT_DEFAULT) -> tuple[int, int]:
-    """(page, limit) as the route clamps them: page >= 1, 1 <= limit <= 100."""
+    """(page, limit) as the route clamps them: page >= 1, limit <= 100; a limit of 0
+    gives an empty page, a negative limit is an error (as the store rejects it)."""
     page = max(1, int(page))
     limit = min(PAGE_LIMIT_MAX, int(limit))
-    if limit < 1:
-        raise ValueError("limit must be >= 1")
+    if limit < 0:
+        raise ValueError("limit must be >= 0")
     return page, limit
 
 

@@ -69,8 +69,19 @@ def test_kpi_counts(spark):
 
 def test_page_bounds():
     assert serving.page_bounds(0, 500) == (1, 100)
+    assert serving.page_bounds(3, 0) == (3, 0)
     with pytest.raises(ValueError):
-        serving.page_bounds(1, 0)
+        serving.page_bounds(1, -1)
+
+
+def test_zero_limit_is_empty_not_an_error(spark):
+    pts = df(spark, "patients", [("a", "m", None, None, None, "75+")])
+    assert serving.patients_page(pts, limit=0).collect() == []
+    assert serving.patients_page(pts, limit=0, method="ranked").collect() == []
+    cond = df(spark, "conditions", [("c1", "a", "X", "x (disorder)", None, None)])
+    assert serving.top_conditions_clean(cond, limit=0).collect() == []
+    with pytest.raises(ValueError):
+        serving.top_conditions_gold(gold.diagnosis_statistics(cond), limit=-1)
 
 
 def test_patients_page_dedup_filters_and_wildcards(spark):
