@@ -66,6 +66,20 @@ def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*STAR_COLUMNS[name])
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` hash-partitioned on ``key`` over the cores, if its scan has fewer splits
+    than the cluster has cores; otherwise ``df`` unchanged.
+
+    A table stored as a single Parquet row group is read by one task, so everything
+    built from it would run on one core. Any large input is split finer than the
+    parallelism, so at scale this adds no shuffle.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key)
+
+
 def _text(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -136,7 +150,7 @@ def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encounter resources, one per order."""
-    o = star(spark, sf_dir, "orders")
+    o = spread(star(spark, sf_dir, "orders"), "o_orderkey")
     k = F.col("o_orderkey")
     type_arr = F.array(F.struct(F.array(F.struct(F.col("o_orderpriority").alias("display")))
                                 .alias("coding")))
@@ -153,7 +167,9 @@ def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _line_orders_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = star(spark, sf_dir, "lineitem")
+    # Line items are the probe side (spread if under-split); orders and parts are
+    # joined to them, broadcast when the planner's size estimate allows.
+    li = spread(star(spark, sf_dir, "lineitem"), "l_orderkey")
     o = star(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = star(spark, sf_dir, "part")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
