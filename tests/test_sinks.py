@@ -106,3 +106,9 @@ def test_catalog_over_clustered_tables_prunes_folders(spark, tmp_path):
     assert q.count() == d.conditions.where(F.col("patient_id") == pid).count() > 0
     total = catalog_sql(spark, "SELECT count(*) AS n FROM medical_c.encounters").first()["n"]
     assert total == d.encounters.count()
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    from clinark.sources.jdbc import read_jdbc
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://nowhere", "t", partition_column="id", lower_bound=0)
