@@ -324,6 +324,10 @@ UNION ALL SELECT 'demographics_geography', count(*) FROM geo_stats
 UNION ALL SELECT 'diagnosis_by_gender', count(*) FROM by_gender
 UNION ALL SELECT 'diagnosis_by_age_group', count(*) FROM by_age"""
     q["load_audit"] = audit
+    q["run_ledger"] = _with(cp, cc) + """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM clean_patients) AS patients_processed,
+       (SELECT CAST(count(*) AS BIGINT) FROM clean_conditions) AS conditions_processed,
+       'success' AS status, true AS stamped"""
     q["pipeline_tables"] = audit + """
 UNION ALL SELECT 'corrupt:patients', 0 UNION ALL SELECT 'corrupt:conditions', 0
 UNION ALL SELECT 'corrupt:encounters', 0 UNION ALL SELECT 'corrupt:medications', 0"""

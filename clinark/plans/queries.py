@@ -193,7 +193,11 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the clean patients and conditions, then append a run row with their
-    counts to a fresh ledger and read it back (run id and time vary: rows-only)."""
+    counts to a fresh ledger and read it back. The run id and time differ on every
+    run, so the result shows whether both are set (``stamped``) instead of their
+    values."""
+    from pyspark.sql import functions as F
+
     from clinark.plans.audit import append_run, load_tables, read_runs
     from clinark.session import run_dir
     d = Dataset(spark, sf_dir)
@@ -201,7 +205,10 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = dict(load_tables(spark, {"patients": d.patients, "conditions": d.conditions},
                              root=root).collect())
     append_run(spark, f"{root}/pipeline_runs", audit["patients"], audit["conditions"])
-    return read_runs(spark, f"{root}/pipeline_runs")
+    runs = read_runs(spark, f"{root}/pipeline_runs")
+    return runs.select("patients_processed", "conditions_processed", "status",
+                       (F.col("run_id").isNotNull() & F.col("run_time").isNotNull())
+                       .alias("stamped"))
 
 
 WRITE_QUERIES: dict[str, Query] = {

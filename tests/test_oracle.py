@@ -18,9 +18,8 @@ def test_query_matches_oracle(spark, con, key):
     assert ok, msg
 
 
-def test_every_query_has_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"run_ledger"}
+def test_every_query_has_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -33,4 +32,4 @@ def test_entry_smoke(spark):
 
 def test_run_ledger_rows(spark):
     rows = E.queries()["run_ledger"](spark, SF_SMALL).collect()
-    assert len(rows) == 1 and rows[0]["status"] == "success"
+    assert len(rows) == 1 and rows[0]["status"] == "success" and rows[0]["stamped"]
