@@ -49,3 +49,14 @@ def test_medication_dedup_is_partial_aggregate(spark):
 def test_topk_is_take_ordered(spark):
     p = plan(E.queries()["diagnosis_statistics"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+def test_spread_only_under_split_inputs(spark):
+    from clinark.sources.fixtures import spread
+    n = spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, 1, n * 2)
+    assert "Exchange" not in plan(spread(wide, "id"))
+    narrow = spark.range(0, 1000, 1, 1)
+    spread_out = spread(narrow, "id")
+    assert "Exchange hashpartitioning(id" in plan(spread_out)
+    assert spread_out.rdd.getNumPartitions() == n and spread_out.count() == 1000
