@@ -90,3 +90,25 @@ def test_ingest_archives_picked_up_files(spark, tmp_path):
     assert len(moved) >= 2 and len(moved) + len(left) == 3  # all but the last batch moved
     assert run_ingest(spark, str(landing), routed, ck, archive_dir=str(archive)) == 0
     assert routed_counts(spark, routed).first()["lines"] == 3
+
+
+def test_continuous_ingest_routes_new_files_as_they_land(spark, tmp_path):
+    from clinark.streaming.ingest import start_ingest
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    routed, ck = str(tmp_path / "routed"), str(tmp_path / "ck")
+    (landing / "a.ndjson").write_text(json.dumps({"resourceType": "Patient", "id": "1"}) + "\n")
+    q = start_ingest(spark, str(landing), routed, ck, available_now=False,
+                     processing_time="200 milliseconds")
+    try:
+        q.processAllAvailable()
+        assert {r[0]: r[1] for r in routed_counts(spark, routed).collect()} == {"Patient": 1}
+        (landing / "b.ndjson").write_text(
+            json.dumps({"resourceType": "Encounter", "id": "e"}) + "\n"
+            + json.dumps({"resourceType": "Patient", "id": "2"}) + "\n")
+        q.processAllAvailable()
+        assert {r[0]: r[1] for r in routed_counts(spark, routed).collect()} == {
+            "Patient": 2, "Encounter": 1}
+    finally:
+        q.stop()
+    assert q.exception() is None
