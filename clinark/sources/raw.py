@@ -34,6 +34,11 @@ def read_raw(spark: SparkSession, root: str, resource: str, layout: str = "route
     """Resources of one type as a nested DataFrame with the declared raw schema.
 
     ``corrupt``, if given, receives ``{"corrupt_lines": n}`` after the first action.
+    The count is observed at the scan: when a shuffle follows (a clustered write, the
+    medication de-duplication) the scan runs in a map stage, and Spark applies the
+    updates of a map stage again if that stage is re-run after an executor is lost,
+    so the figure can then exceed the true count. Written row counts are observed at
+    the top of each write (the result stage) and are exact.
     """
     if layout not in ("routed", "directory"):
         raise ValueError("layout must be 'routed' or 'directory'")
