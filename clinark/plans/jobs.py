@@ -17,7 +17,7 @@ from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables, run_concu
 from clinark.schemas import conform
 from clinark.sources.jdbc import write_jdbc
 from clinark.sources.parquet import CLUSTERED_TABLES, read_clean, write_clustered, write_parquet
-from clinark.sources.raw import read_raw
+from clinark.sources.raw import read_raw, unmatched_lines
 
 CLEAN_JOBS = (
     ("Patient", "patients", normalize.normalize_patients),
@@ -76,7 +76,8 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
     """Run the whole job; returns the load audit as (table, rows).
 
     Tables: the three clean tables and medications (Parquet), the six gold tables,
-    the number of corrupt raw lines dropped per resource (``corrupt:<table>``), and,
+    the number of corrupt raw lines dropped per resource (``corrupt:<table>``), the
+    lines the ingest left unrouted (``unmatched``, routed layout only), and,
     with ``jdbc``, the nine serving tables plus medications loaded over JDBC
     (``jdbc:<table>``), read from the written Parquet rather than recomputed.
     With ``cluster`` (the default) patients, conditions and encounters are written
@@ -109,6 +110,10 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
                             clustered=cluster).items())
     audit.append(("medications", clean_rows["medications"]))
     corrupt = [(f"corrupt:{n}", corrupt_lines[n]) for n in stages]
+    if layout == "routed":
+        # Lines the ingest could not route (no JSON, or an unknown type): its exactly-once
+        # dead-letter partition, counted through the sink log (one partition is read).
+        corrupt.append(("unmatched", unmatched_lines(spark, raw_root)))
 
     if jdbc is not None:
         def sink(df: DataFrame, name: str) -> int:

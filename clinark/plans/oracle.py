@@ -330,5 +330,6 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM clean_patients) AS patients_process
        'success' AS status, true AS stamped"""
     q["pipeline_tables"] = audit + """
 UNION ALL SELECT 'corrupt:patients', 0 UNION ALL SELECT 'corrupt:conditions', 0
-UNION ALL SELECT 'corrupt:encounters', 0 UNION ALL SELECT 'corrupt:medications', 0"""
+UNION ALL SELECT 'corrupt:encounters', 0 UNION ALL SELECT 'corrupt:medications', 0
+UNION ALL SELECT 'unmatched', 0"""
     return q

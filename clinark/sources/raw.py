@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from clinark.schemas import CORRUPT, RAW
+from clinark.schemas import CORRUPT, RAW, UNMATCHED
 
 PARTITION_COLUMN = "resource_type"
 
@@ -53,3 +53,12 @@ def read_raw(spark: SparkSession, root: str, resource: str, layout: str = "route
     if corrupt is not None:
         df = df.observe(corrupt, F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_lines"))
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def unmatched_lines(spark: SparkSession, root: str) -> int:
+    """Lines in the ingest's dead-letter partition of a routed root (read through the
+    sink log; the partition filter prunes the scan to that partition)."""
+    lines = (spark.read.schema(StructType([StructField("value", StringType()),
+                                           StructField(PARTITION_COLUMN, StringType())]))
+                  .format("text").load(root))
+    return lines.where(F.col(PARTITION_COLUMN) == F.lit(UNMATCHED)).count()

@@ -59,6 +59,7 @@ def test_pipeline_end_to_end_twice(spark, tmp_path):
                                           str(tmp_path / "out2")).collect()}
     assert a == b
     assert a["diagnosis_statistics"] == 50 and a["patients"] > 0
+    assert a["unmatched"] == 1  # the junk line, kept in the ingest's dead-letter partition
     runs = read_runs(spark, str(tmp_path / "out1" / "pipeline_runs")).collect()
     assert len(runs) == 1 and runs[0]["patients_processed"] == a["patients"]
     assert runs[0]["status"] == "success"
