@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clinark.operators.ranking import ordered_slice
+
 DEMOGRAPHIC_COLUMNS = ["patient_id", "gender", "age_group", "state"]
 
 
@@ -38,9 +40,9 @@ def diagnosis_statistics(conditions: DataFrame, n: int = 50) -> DataFrame:
         F.count_distinct("patient_id").alias("unique_patients"),
         F.count_if(F.col("clinical_status") == "active").alias("active_cases"),
     )
-    return (agg.orderBy(F.desc("total_cases"), F.asc_nulls_first("icd_code"),
-                        F.asc_nulls_first("diagnosis_name"))
-               .limit(n))
+    order = [F.desc("total_cases"), F.asc_nulls_first("icd_code"),
+             F.asc_nulls_first("diagnosis_name")]
+    return ordered_slice(agg, order, n)
 
 
 def demographics_gender(patients: DataFrame) -> DataFrame:

@@ -15,12 +15,10 @@ from pyspark.sql import functions as F
 
 from clinark.functions import exprs as X
 from clinark.operators.normalize import first_row_per_key
+from clinark.operators.ranking import ordered_slice
 
 PAGE_LIMIT_MAX = 100
 PAGE_LIMIT_DEFAULT = 25
-# Deepest page (offset + limit, in ids) found by a single top-k; deeper pages rank
-# the ids with a distributed sort instead of merging them in one task.
-PAGE_TOPK_MAX_ROWS = 100_000
 CONDITIONS_LIMIT_DEFAULT = 50
 ENCOUNTERS_PER_PATIENT = 20
 CONDITIONS_PER_PATIENT = 30
@@ -91,7 +89,8 @@ def top_conditions_clean(conditions: DataFrame, condition_type: str = "",
     g = df.groupBy("diagnosis_name", "icd_code").agg(
         F.count_distinct("patient_id").alias("patients"),
         F.count(F.lit(1)).alias("total"))
-    top = g.orderBy(F.desc("patients"), *_asc("diagnosis_name", "icd_code")).limit(_check_limit(limit))
+    top = ordered_slice(g, [F.desc("patients"), *_asc("diagnosis_name", "icd_code")],
+                        _check_limit(limit))
     return top.withColumn("condition_type", X.condition_type("diagnosis_name"))
 
 
@@ -106,7 +105,8 @@ def top_conditions_gold(diag_stats: DataFrame, condition_type: str = "",
     out = df.select("diagnosis_name", "icd_code",
                     F.col("unique_patients").alias("patients"),
                     F.col("total_cases").alias("total"), "active_cases")
-    top = out.orderBy(F.desc("patients"), *_asc("diagnosis_name", "icd_code")).limit(_check_limit(limit))
+    top = ordered_slice(out, [F.desc("patients"), *_asc("diagnosis_name", "icd_code")],
+                        _check_limit(limit))
     return top.withColumn("condition_type", X.condition_type("diagnosis_name"))
 
 
@@ -163,51 +163,6 @@ def page_bounds(page: int = 1, limit: int = PAGE_LIMIT_DEFAULT) -> tuple[int, in
     return page, limit
 
 
-def _page_ids_topk(ids: DataFrame, offset: int, limit: int) -> DataFrame:
-    """Ids ranked [offset, offset+limit) by a top-k: each task keeps its first
-    offset+limit ids and one task merges them, so only shallow pages take this path."""
-    top = ids.orderBy(F.asc_nulls_last("_pid"))
-    if offset:
-        top = top.offset(offset)
-    return top.limit(limit)
-
-
-def _page_ids_ranked(ids: DataFrame, offset: int, limit: int) -> DataFrame:
-    """Ids ranked [offset, offset+limit), exact, for pages of any depth.
-
-    A global row index in DataFrame form: the distinct ids are range-partitioned and
-    sorted within each partition, and ``monotonically_increasing_id`` tags each row
-    with its partition (upper bits) and its position there (lower 33 bits). The tagged
-    ids are written to the checkpoint folder, so the tags stay fixed if an executor is
-    lost. One row count per partition (a table of partition-count size) gives each
-    partition's first rank; the page is then a filter on the partitions it overlaps.
-    No task holds more than its own range.
-    """
-    from clinark.session import shared_dir
-    shared_dir(ids.sparkSession)  # a checkpoint folder: the cluster's, or a test's own
-    order = F.asc_nulls_last("_pid")
-    tagged = (ids.repartitionByRange(order).sortWithinPartitions(order)
-                 .select("_pid", F.monotonically_increasing_id().alias("_mid"))
-                 .withColumn("_part", F.shiftright("_mid", 33))
-                 .checkpoint())
-    counts = sorted((r["_part"], r["n"]) for r in
-                    tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
-    first_rank, start = {}, 0
-    for part, n in counts:
-        if start < offset + limit and start + n > offset:
-            first_rank[part] = start
-        start += n
-    if not first_rank:
-        return tagged.where(F.lit(False)).select("_pid")
-    starts = F.create_map(*[F.lit(x).cast("long")
-                             for p, s in first_rank.items() for x in (p, s)])
-    position = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    rank = starts[F.col("_part")] + position
-    return (tagged.where(F.col("_part").isin([F.lit(p).cast("long") for p in first_rank]))
-                  .where((rank >= offset) & (rank < offset + limit))
-                  .select("_pid"))
-
-
 def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DEFAULT,
                   q: str = "", gender: str = "", age_group: str = "",
                   after: str | None = None, method: str = "auto") -> DataFrame:
@@ -217,12 +172,9 @@ def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DE
     other columns. ``after`` (keyset paging) replaces the offset: the page starts
     after that patient_id, so deep pages cost the same as the first.
 
-    ``method`` picks how the page's ids are found: ``"topk"`` (one task merges
-    offset+limit ids), ``"ranked"`` (distributed ranks, any depth), or ``"auto"``
-    (top-k while offset+limit is at most ``PAGE_TOPK_MAX_ROWS``). Both are exact.
+    ``method`` picks how the page's ids are found (``ranking.ordered_slice``): a
+    top-k for shallow pages, distributed ranks for deep ones; both are exact.
     """
-    if method not in ("auto", "topk", "ranked"):
-        raise ValueError("method must be 'auto', 'topk' or 'ranked'")
     page, limit = page_bounds(page, limit)
     df = _patient_filter(patients, q, gender, age_group).select(*PATIENT_COLUMNS)
     if after is not None:
@@ -235,10 +187,7 @@ def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DE
     #    list is broadcast, its size bounded by the page limit. NULL ids sort last (the
     #    store's default) and match null-safely.
     ids = df.select(F.col("patient_id").alias("_pid")).distinct()
-    if method == "ranked" or (method == "auto" and offset + limit > PAGE_TOPK_MAX_ROWS):
-        ids = _page_ids_ranked(ids, offset, limit)
-    else:
-        ids = _page_ids_topk(ids, offset, limit)
+    ids = ordered_slice(ids, [F.asc_nulls_last("_pid")], limit, offset, method)
     rows = df.join(F.broadcast(ids), df["patient_id"].eqNullSafe(ids["_pid"]), "left_semi")
     return (first_row_per_key(rows, "patient_id")
             .orderBy(F.asc_nulls_last("patient_id")).select(*PATIENT_COLUMNS))
@@ -308,17 +257,17 @@ def geography_ranked(demographics_geography: DataFrame) -> DataFrame:
 
 def diagnoses_by_gender_top(diagnosis_by_gender: DataFrame, limit: int = TOP_DIAGNOSES) -> DataFrame:
     """The 20 largest (diagnosis, gender) cells."""
-    return (diagnosis_by_gender.select("gender", "diagnosis_name", "icd_code",
+    cells = diagnosis_by_gender.select("gender", "diagnosis_name", "icd_code",
                                        F.col("cases").alias("case_count"))
-                               .orderBy(F.desc("case_count"),
-                                        *_asc("icd_code", "diagnosis_name", "gender"))
-                               .limit(limit))
+    return ordered_slice(cells, [F.desc("case_count"),
+                                 *_asc("icd_code", "diagnosis_name", "gender")],
+                         _check_limit(limit))
 
 
 def diagnoses_by_age_top(diagnosis_by_age_group: DataFrame, limit: int = TOP_DIAGNOSES) -> DataFrame:
     """The 20 largest (diagnosis, age group) cells."""
-    return (diagnosis_by_age_group.select("age_group", "diagnosis_name", "icd_code",
+    cells = diagnosis_by_age_group.select("age_group", "diagnosis_name", "icd_code",
                                           F.col("cases").alias("case_count"))
-                                  .orderBy(F.desc("case_count"),
-                                           *_asc("icd_code", "diagnosis_name", "age_group"))
-                                  .limit(limit))
+    return ordered_slice(cells, [F.desc("case_count"),
+                                 *_asc("icd_code", "diagnosis_name", "age_group")],
+                         _check_limit(limit))

@@ -173,9 +173,37 @@ def test_ranked_pages_equal_topk_pages(spark):
 
 def test_deep_offset_takes_ranked_path(spark, monkeypatch):
     pts = df(spark, "patients", [(f"p{i}", None, None, None, None, "75+") for i in range(10)])
-    monkeypatch.setattr(serving, "PAGE_TOPK_MAX_ROWS", 4)
+    from clinark.operators import ranking
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(ranking, "TOPK_MERGE_ROWS", 5 * partitions)  # a top-k of 5 rows fits
     deep = serving.patients_page(pts, page=2, limit=3)
     assert "TakeOrderedAndProject" not in deep._jdf.queryExecution().executedPlan().toString()
     assert _ids(deep) == ["p3", "p4", "p5"]
     with pytest.raises(ValueError):
         serving.patients_page(pts, method="nope")
+
+
+
+def test_ranked_slices_equal_topk_for_every_report(spark, monkeypatch):
+    """Top conditions (both paths), top diagnoses and statistics give the same rows when
+    the slice is cut from distributed ranks instead of a top-k."""
+    from clinark.operators import ranking
+    rows = [(f"c{i}", f"p{i % 37}", f"X{i % 11}", f"name {i % 13} (disorder)",
+             "active" if i % 3 else None, None) for i in range(600)]
+    cond = df(spark, "conditions", rows).repartition(4)
+    pts = df(spark, "patients", [(f"p{i}", "m" if i % 2 else "f", None, None, None,
+                                  "75+" if i % 3 else "0-25") for i in range(37)])
+    reports = {
+        "clean": lambda: serving.top_conditions_clean(cond, limit=7),
+        "gold": lambda: serving.top_conditions_gold(gold.diagnosis_statistics(cond, 30), limit=9),
+        "stats": lambda: gold.diagnosis_statistics(cond, 12),
+        "by_gender": lambda: serving.diagnoses_by_gender_top(gold.diagnosis_by_gender(cond, pts)),
+        "by_age": lambda: serving.diagnoses_by_age_top(gold.diagnosis_by_age_group(cond, pts)),
+    }
+    topk = {k: [tuple(r) for r in f().collect()] for k, f in reports.items()}
+    monkeypatch.setattr(ranking, "TOPK_MERGE_ROWS", 0)  # every slice takes the ranked path
+    for k, f in reports.items():
+        q = f()
+        assert "TakeOrderedAndProject" not in q._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(r) for r in q.collect()] == topk[k], k
+        assert len(topk[k]) > 0
