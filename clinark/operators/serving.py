@@ -212,7 +212,10 @@ def _patient_rows(df: DataFrame, patient_id: str) -> DataFrame:
 
 def patient_encounters(encounters: DataFrame, patient_id: str,
                        limit: int = ENCOUNTERS_PER_PATIENT) -> DataFrame:
-    """A patient's latest encounters, start_date descending with NULLs first."""
+    """A patient's latest encounters, start_date descending with NULLs first.
+
+    A plain top-k: k is small and the input is one patient's rows; on the clustered
+    tier the scan is one folder, so its merge reads few partitions × k rows."""
     cols = ["encounter_id", "encounter_class", "encounter_type", "start_date", "end_date"]
     return (_patient_rows(encounters, patient_id).select(*cols)
                       .orderBy(F.desc_nulls_first("start_date"),
