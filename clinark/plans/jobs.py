@@ -82,7 +82,9 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
     (``jdbc:<table>``), read from the written Parquet rather than recomputed.
     With ``cluster`` (the default) patients, conditions and encounters are written
     clustered by patient, so the per-patient lookups prune to one folder and a few
-    row groups (``sources.parquet.write_clustered``).
+    row groups (``sources.parquet.write_clustered``). Every run appends a ledger row
+    (``pipeline_runs``): ``success`` at the end, or ``failed`` before the error is
+    raised again.
     """
     out_root = out_root.rstrip("/")
     clean_root, gold_root = f"{out_root}/clean", f"{out_root}/gold"
@@ -104,27 +106,35 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
     stages["medications"] = clean_stage(
         "MedicationRequest", "medications",
         lambda raw: normalize.normalize_medications(raw, patient_key))
-    clean_rows = run_concurrently(stages, max_workers)
-    audit.extend((name, clean_rows[name]) for _, name, _ in CLEAN_JOBS)
-    audit.extend(build_gold(spark, clean_root, gold_root, top_n, max_workers,
-                            clustered=cluster).items())
-    audit.append(("medications", clean_rows["medications"]))
-    corrupt = [(f"corrupt:{n}", corrupt_lines[n]) for n in stages]
-    if layout == "routed":
-        # Lines the ingest could not route (no JSON, or an unknown type): its exactly-once
-        # dead-letter partition, counted through the sink log (one partition is read).
-        corrupt.append(("unmatched", unmatched_lines(spark, raw_root)))
-
-    if jdbc is not None:
-        def sink(df: DataFrame, name: str) -> int:
-            return write_jdbc(df, jdbc.url, name, jdbc.properties, batchsize=jdbc.batchsize,
-                              num_partitions=jdbc.num_partitions)
-        tables = {n: conform(read_clean(spark, gold_root if n in GOLD_TABLES else clean_root, n,
-                                        clustered=cluster and n in CLUSTERED_TABLES), n)
-                  for n in SERVING_TABLES + ("medications",)}
-        loaded = load_tables(spark, tables, sink=sink).collect()
-        audit.extend((f"jdbc:{r['table']}", r["rows"]) for r in loaded)
+    ledger = f"{out_root}/pipeline_runs"
+    clean_rows: dict[str, int] = {}
+    try:
+        clean_rows = run_concurrently(stages, max_workers)
+        audit.extend((name, clean_rows[name]) for _, name, _ in CLEAN_JOBS)
+        audit.extend(build_gold(spark, clean_root, gold_root, top_n, max_workers,
+                                clustered=cluster).items())
+        audit.append(("medications", clean_rows["medications"]))
+        corrupt = [(f"corrupt:{n}", corrupt_lines[n]) for n in stages]
+        if layout == "routed":
+            # Lines the ingest could not route (no JSON, or an unknown type): its exactly-once
+            # dead-letter partition, counted through the sink log (one partition is read).
+            corrupt.append(("unmatched", unmatched_lines(spark, raw_root)))
+
+        if jdbc is not None:
+            def sink(df: DataFrame, name: str) -> int:
+                return write_jdbc(df, jdbc.url, name, jdbc.properties, batchsize=jdbc.batchsize,
+                                  num_partitions=jdbc.num_partitions)
+            tables = {n: conform(read_clean(spark, gold_root if n in GOLD_TABLES else clean_root,
+                                            n, clustered=cluster and n in CLUSTERED_TABLES), n)
+                      for n in SERVING_TABLES + ("medications",)}
+            loaded = load_tables(spark, tables, sink=sink).collect()
+            audit.extend((f"jdbc:{r['table']}", r["rows"]) for r in loaded)
+    except Exception:
+        # The ledger records the failed run too, with the counts reached (0 if none).
+        append_run(spark, ledger, clean_rows.get("patients", 0),
+                   clean_rows.get("conditions", 0), status="failed")
+        raise
 
     counts = dict(audit)
-    append_run(spark, f"{out_root}/pipeline_runs", counts["patients"], counts["conditions"])
+    append_run(spark, ledger, counts["patients"], counts["conditions"])
     return spark.createDataFrame(audit + corrupt, AUDIT_SCHEMA)

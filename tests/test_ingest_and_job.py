@@ -113,3 +113,15 @@ def test_continuous_ingest_routes_new_files_as_they_land(spark, tmp_path):
     finally:
         q.stop()
     assert q.exception() is None
+
+
+
+def test_failed_run_is_recorded_in_the_ledger(spark, tmp_path):
+    import pytest
+    for t in ("Patient", "Condition", "MedicationRequest"):  # no Encounter folder
+        _land(tmp_path / "raw" / t, [{"resourceType": t, "id": "x1",
+                                      "code": {"coding": [{"code": "A"}]}}])
+    with pytest.raises(Exception):
+        run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "out"), layout="directory")
+    runs = read_runs(spark, str(tmp_path / "out" / "pipeline_runs")).collect()
+    assert [r["status"] for r in runs] == ["failed"]
