@@ -8,6 +8,7 @@ from clinark.functions.exprs import (  # noqa: F401
     first,
     iso_date_text,
     month_of,
+    patient_bucket,
     patient_key,
     patient_key_from_ref,
     strip_prefix,

@@ -1 +1 @@
-"""Normalisers, gold aggregates and serving queries (DataFrame → DataFrame)."""
+"""Normalisers, gold aggregates, ordered slices and serving queries (DataFrame → DataFrame)."""
