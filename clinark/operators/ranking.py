@@ -36,6 +36,10 @@ def ordered_slice(df: DataFrame, order: list[Column], limit: int, offset: int =
     """Rows ranked [offset, offset+limit) by ``order``, which must be a total order
     (rows equal on it are identical), returned in that order.
 
+    Meant for inputs whose order keys are unique — aggregates and distinct ids, as in
+    every caller here: the ranked path keeps equal keys in one range partition, so a
+    heavily repeated row would be one task's work.
+
     ``method``: ``"topk"``, ``"ranked"`` (distributed ranks), or ``"auto"`` (top-k
     while partitions × (offset+limit) is at most TOPK_MERGE_ROWS). Both are exact.
     """
