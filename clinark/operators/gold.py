@@ -65,18 +65,40 @@ def demographics_geography(patients: DataFrame) -> DataFrame:
     return patients.groupBy("state").agg(F.count(F.lit(1)).alias("patient_count"))
 
 
+def patient_diagnoses(conditions: DataFrame) -> DataFrame:
+    """Conditions per (patient_id, icd_code, diagnosis_name): ``_n`` rows, ``_active``
+    of them active. The shared first step of the statistics and the demographic
+    splits; the batch job writes it once and derives both from it."""
+    return conditions.groupBy("patient_id", "icd_code", "diagnosis_name").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("clinical_status") == "active").alias("_active"))
+
+
+def diagnosis_statistics_from(pre: DataFrame, n: int = 50) -> DataFrame:
+    """A1 from ``patient_diagnoses``: each of its rows is one patient of a diagnosis, so
+    counting non-NULL patient ids is the exact distinct count."""
+    agg = pre.groupBy("icd_code", "diagnosis_name").agg(
+        F.sum("_n").cast("long").alias("total_cases"),
+        F.count("patient_id").alias("unique_patients"),
+        F.sum("_active").cast("long").alias("active_cases"),
+    )
+    order = [F.desc("total_cases"), F.asc_nulls_first("icd_code"),
+             F.asc_nulls_first("diagnosis_name")]
+    return ordered_slice(agg, order, n)
+
+
 def _cases_by(conditions: DataFrame, patients: DataFrame, demographics: list[str]) -> DataFrame:
     """Cases of J1 per (icd_code, diagnosis_name, *demographics), without materialising
     the fan-out.
 
     Both sides are pre-aggregated before the join — conditions per (patient, code,
     name), patients per (patient, *demographics) — and the join multiplies the counts.
+    ``conditions`` may already be that pre-aggregate (``patient_diagnoses``).
     A hot patient key (or the NULL key) thus reaches the join as a handful of rows,
     not a third of the table. Unmatched conditions count once with NULL demographics,
     as in the left join.
     """
-    c = conditions.groupBy("patient_id", "icd_code", "diagnosis_name") \
-                  .agg(F.count(F.lit(1)).alias("_n"))
+    c = patient_diagnoses(conditions) if "_n" not in conditions.columns else conditions
     p = patients.groupBy("patient_id", *demographics).agg(F.count(F.lit(1)).alias("_m"))
     j = c.join(p, "patient_id", "left")
     return j.groupBy("icd_code", "diagnosis_name", *demographics).agg(

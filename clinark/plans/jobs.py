@@ -28,6 +28,7 @@ GOLD_TABLES = ("diagnosis_statistics", "demographics_gender", "demographics_age_
                "demographics_geography", "diagnosis_by_gender", "diagnosis_by_age_group")
 SERVING_TABLES = GOLD_TABLES + ("conditions", "patients", "encounters")
 PRE_AGGREGATE = "_diagnosis_demographics"
+PATIENT_DIAGNOSES = "_patient_diagnoses"
 
 
 @dataclass
@@ -42,23 +43,30 @@ def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
                top_n: int = 50, max_workers: int = 4, clustered: bool = False) -> dict[str, int]:
     """Six gold tables from the written clean tier; returns rows written per table.
 
-    The J1 fan-out is aggregated once per (code, name, gender, age group), written,
-    and rolled up twice — the join runs once for both demographic splits. Independent
-    writes run concurrently.
+    Conditions are scanned and shuffled once: their aggregate per (patient, code, name)
+    is written, and both the statistics and the demographic splits are derived from
+    it. The J1 fan-out is aggregated once per (code, name, gender, age group), written,
+    and rolled up twice — the join runs once for both splits. Independent writes run
+    concurrently.
     """
     cond = read_clean(spark, clean_root, "conditions", clustered=clustered)
     pts = read_clean(spark, clean_root, "patients", clustered=clustered)
+    per_patient_path = f"{gold_root}/{PATIENT_DIAGNOSES}"
+    write_parquet(gold.patient_diagnoses(cond), per_patient_path)
+    per_patient = spark.read.parquet(per_patient_path)
     pre_path = f"{gold_root}/{PRE_AGGREGATE}"
 
     def out(name: str, df: DataFrame):
         return lambda: write_parquet(conform(df, name), f"{gold_root}/{name}")
 
     first = run_concurrently({
-        "diagnosis_statistics": out("diagnosis_statistics", gold.diagnosis_statistics(cond, top_n)),
+        "diagnosis_statistics": out("diagnosis_statistics",
+                                    gold.diagnosis_statistics_from(per_patient, top_n)),
         "demographics_gender": out("demographics_gender", gold.demographics_gender(pts)),
         "demographics_age_group": out("demographics_age_group", gold.demographics_age_group(pts)),
         "demographics_geography": out("demographics_geography", gold.demographics_geography(pts)),
-        PRE_AGGREGATE: lambda: write_parquet(gold.diagnosis_demographics(cond, pts), pre_path),
+        PRE_AGGREGATE: lambda: write_parquet(gold.diagnosis_demographics(per_patient, pts),
+                                             pre_path),
     }, max_workers)
     first.pop(PRE_AGGREGATE)
     pre = spark.read.parquet(pre_path)
