@@ -17,7 +17,7 @@ from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables, run_concu
 from clinark.schemas import conform
 from clinark.sources.jdbc import write_jdbc
 from clinark.sources.parquet import CLUSTERED_TABLES, read_clean, write_clustered, write_parquet
-from clinark.sources.raw import read_raw, unmatched_lines
+from clinark.sources.raw import corrupt_count, read_raw, unmatched_lines
 
 CLEAN_JOBS = (
     ("Patient", "patients", normalize.normalize_patients),
@@ -105,7 +105,12 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
             out, path = conform(fn(raw), name), f"{clean_root}/{name}"
             rows = (write_clustered(out, path, name) if cluster and name in CLUSTERED_TABLES
                     else write_parquet(out, path))
-            corrupt_lines[name] = int(obs.get.get("corrupt_lines", 0))
+            try:
+                corrupt_lines[name] = int(obs.get.get("corrupt_lines", 0))
+            except Exception:  # noqa: BLE001
+                # The adaptive planner drops the observing node when the data after it
+                # turns out empty, and its metrics with it: count once more instead.
+                corrupt_lines[name] = corrupt_count(spark, raw_root, resource, layout)
             return rows
         return run
 

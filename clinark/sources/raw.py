@@ -29,6 +29,29 @@ def raw_schema(resource: str, with_partition: bool = False) -> StructType:
     return StructType(fields)
 
 
+def _scan(spark: SparkSession, root: str, resource: str, layout: str) -> DataFrame:
+    """The raw scan with the corrupt-record column (malformed lines kept)."""
+    if layout not in ("routed", "directory"):
+        raise ValueError("layout must be 'routed' or 'directory'")
+    reader = (spark.read.option("mode", "PERMISSIVE")
+                        .option("columnNameOfCorruptRecord", CORRUPT))
+    if layout == "routed":
+        return (reader.schema(raw_schema(resource, with_partition=True)).json(root)
+                      .where(F.col(PARTITION_COLUMN) == F.lit(resource))
+                      .drop(PARTITION_COLUMN))
+    return reader.schema(raw_schema(resource)).json(f"{root.rstrip('/')}/{resource}")
+
+
+def corrupt_count(spark: SparkSession, root: str, resource: str, layout: str = "routed") -> int:
+    """Malformed lines of one resource type, counted by one aggregate over the scan (the
+    fallback when an observed count is unavailable). ``id`` is referenced as well:
+    Spark rejects a raw-file query that reads only the corrupt-record column."""
+    row = _scan(spark, root, resource, layout).agg(
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"),
+        F.count(F.col("id")).alias("ids")).first()
+    return int(row["corrupt"])
+
+
 def read_raw(spark: SparkSession, root: str, resource: str, layout: str = "routed",
              corrupt: Observation | None = None) -> DataFrame:
     """Resources of one type as a nested DataFrame with the declared raw schema.
@@ -40,16 +63,7 @@ def read_raw(spark: SparkSession, root: str, resource: str, layout: str = "route
     so the figure can then exceed the true count. Written row counts are observed at
     the top of each write (the result stage) and are exact.
     """
-    if layout not in ("routed", "directory"):
-        raise ValueError("layout must be 'routed' or 'directory'")
-    reader = (spark.read.option("mode", "PERMISSIVE")
-                        .option("columnNameOfCorruptRecord", CORRUPT))
-    if layout == "routed":
-        df = (reader.schema(raw_schema(resource, with_partition=True)).json(root)
-                    .where(F.col(PARTITION_COLUMN) == F.lit(resource))
-                    .drop(PARTITION_COLUMN))
-    else:
-        df = reader.schema(raw_schema(resource)).json(f"{root.rstrip('/')}/{resource}")
+    df = _scan(spark, root, resource, layout)
     if corrupt is not None:
         df = df.observe(corrupt, F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_lines"))
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

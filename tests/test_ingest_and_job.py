@@ -125,3 +125,17 @@ def test_failed_run_is_recorded_in_the_ledger(spark, tmp_path):
         run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "out"), layout="directory")
     runs = read_runs(spark, str(tmp_path / "out" / "pipeline_runs")).collect()
     assert [r["status"] for r in runs] == ["failed"]
+
+
+def test_job_on_inputs_without_valid_rows(spark, tmp_path):
+    """Every resource type present but nothing valid in it: the job writes empty clean
+    and gold tables, counts the corrupt lines, and records a successful run."""
+    for t in ("Patient", "Condition", "Encounter", "MedicationRequest"):
+        _land(tmp_path / "raw" / t, ["{broken", "also broken"])
+    audit = {r[0]: r[1] for r in run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "out"),
+                                              layout="directory").collect()}
+    assert audit["patients"] == audit["conditions"] == audit["diagnosis_statistics"] == 0
+    assert audit["encounters"] == 0 and audit["corrupt:encounters"] == 2
+    assert audit["demographics_gender"] == 0 and audit["diagnosis_by_gender"] == 0
+    runs = read_runs(spark, str(tmp_path / "out" / "pipeline_runs")).collect()
+    assert [r["status"] for r in runs] == ["success"]
