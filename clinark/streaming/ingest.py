@@ -26,6 +26,10 @@ def route(lines: DataFrame, types: tuple[str, ...] = RESOURCE_TYPES) -> DataFram
         F.when(t.isin(list(types)), t).otherwise(F.lit(UNMATCHED)).alias(PARTITION_COLUMN))
 
 
+# Progress reports a one-shot ingest keeps (one per micro-batch, a few KB each).
+PROGRESS_REPORTS = 10_000
+
+
 def start_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint: str,
                  available_now: bool = True, processing_time: str | None = None,
                  max_files_per_trigger: int | None = None,
@@ -59,12 +63,34 @@ def start_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint
 
 def run_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint: str,
                **kw) -> int:
-    """Run the stream until the landed files are processed; returns the lines routed."""
-    q = start_ingest(spark, landing, routed_root, checkpoint, available_now=True, **kw)
-    q.awaitTermination()
+    """Run the stream until the landed files are processed; returns the lines routed.
+
+    The count sums the input rows of every micro-batch, from the query's progress
+    reports. Spark keeps only the latest reports (100 by default), so while the query
+    runs the session keeps up to PROGRESS_REPORTS of them (the caller's setting is
+    restored afterwards), and the reports are collected by batch id while it runs and
+    once more at the end: a backlog drained in many batches is counted whole, each
+    batch once.
+    """
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), PROGRESS_REPORTS)))
+    rows_by_batch: dict[int, int] = {}
+    try:
+        q = start_ingest(spark, landing, routed_root, checkpoint, available_now=True, **kw)
+
+        def harvest() -> None:
+            for p in q.recentProgress:
+                rows_by_batch[int(p["batchId"])] = int(p["numInputRows"])
+
+        while not q.awaitTermination(0.5):
+            harvest()
+        harvest()
+    finally:
+        spark.conf.set(key, before)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return sum(rows_by_batch.values())
 
 
 def routed_counts(spark: SparkSession, routed_root: str) -> DataFrame:

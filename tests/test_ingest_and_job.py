@@ -139,3 +139,21 @@ def test_job_on_inputs_without_valid_rows(spark, tmp_path):
     assert audit["demographics_gender"] == 0 and audit["diagnosis_by_gender"] == 0
     runs = read_runs(spark, str(tmp_path / "out" / "pipeline_runs")).collect()
     assert [r["status"] for r in runs] == ["success"]
+
+
+def test_ingest_counts_every_batch_of_a_long_backlog(spark, tmp_path):
+    """More micro-batches than Spark keeps progress reports for: all lines counted."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for i in range(12):
+        (landing / f"b{i:02d}.ndjson").write_text(
+            json.dumps({"resourceType": "Patient", "id": str(i)}) + "\n")
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "3")  # keep 3 reports, drain in 12 batches
+        n = run_ingest(spark, str(landing), str(tmp_path / "routed"), str(tmp_path / "ck"),
+                       max_files_per_trigger=1)
+    finally:
+        spark.conf.set(key, old)
+    assert n == 12
