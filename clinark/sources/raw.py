@@ -61,7 +61,9 @@ def read_raw(spark: SparkSession, root: str, resource: str, layout: str = "route
     medication de-duplication) the scan runs in a map stage, and Spark applies the
     updates of a map stage again if that stage is re-run after an executor is lost,
     so the figure can then exceed the true count. Written row counts are observed at
-    the top of each write (the result stage) and are exact.
+    the top of each write (the result stage) and are exact. When everything after the
+    scan turns out empty, the adaptive planner may drop the observing node with its
+    metrics; ``corrupt_count`` then counts directly.
     """
     df = _scan(spark, root, resource, layout)
     if corrupt is not None:
