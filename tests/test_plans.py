@@ -60,3 +60,22 @@ def test_spread_only_under_split_inputs(spark):
     spread_out = spread(narrow, "id")
     assert "Exchange hashpartitioning(id" in plan(spread_out)
     assert spread_out.rdd.getNumPartitions() == n and spread_out.count() == 1000
+
+
+def test_statistics_two_shuffles_and_no_eager_job(spark, tmp_path):
+    """A1 over the clean tier: exactly two shuffles (exact distinct count, then the
+    groups) and a top-k; building A2 submits no job (no eager count)."""
+    import re
+    d = E.queries()["normalize_conditions"](spark, SF_SMALL)
+    write_parquet(d, str(tmp_path / "conditions"))
+    cond = read_clean(spark, str(tmp_path), "conditions")
+    p = plan(gold.diagnosis_statistics(cond))
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 2
+    assert "TakeOrderedAndProject" in p
+    pts = E.queries()["normalize_patients"](spark, SF_SMALL)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    shares = gold.demographics_gender(pts)
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    shares.collect()  # the tracker does see jobs: an action adds one
+    assert set(tracker.getJobIdsForGroup(None)) != before
