@@ -41,7 +41,10 @@ def ordered_slice(df: DataFrame, order: list[Column], limit: int, offset: int =
     heavily repeated row would be one task's work.
 
     ``method``: ``"topk"``, ``"ranked"`` (distributed ranks), or ``"auto"`` (top-k
-    while partitions × (offset+limit) is at most TOPK_MERGE_ROWS). Both are exact.
+    while partitions × (offset+limit) is at most TOPK_MERGE_ROWS). Both are exact. The
+    top-k is lazy; the ranked path runs two jobs when the slice is built (writing the
+    tagged rows to the checkpoint folder, one row count per partition) and returns a
+    lazy frame over the written tags.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
