@@ -1,4 +1,6 @@
-"""Command line: ``spark-submit -m clinark <command> ...`` or ``python -m clinark ...``.
+"""Command line: ``python -m clinark <command> ...``, or on a cluster
+``spark-submit --py-files clinark.zip clinark/__main__.py <command> ...`` (the package
+zipped, the module file as the application).
 
 Commands
   ingest  --landing DIR --routed DIR --checkpoint DIR [--continuous SECONDS] [--archive DIR]
