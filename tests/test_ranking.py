@@ -1,6 +1,8 @@
 """Ordered slices: the top-k and the distributed-rank paths agree on every edge."""
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clinark.operators.ranking import ordered_slice
@@ -45,3 +47,15 @@ def test_arguments_checked(table):
         ordered_slice(table, order(), 5, method="sideways")
     with pytest.raises(ValueError):
         ordered_slice(table, order(), -1)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 5)), max_size=80),
+       st.integers(0, 90), st.integers(0, 30), st.integers(1, 6))
+def test_slices_equal_python_sort(spark, scores, offset, limit, parts):
+    data = [(s, f"k{i:03d}") for i, s in enumerate(scores)]
+    df = spark.createDataFrame(data, "score int, key string").repartition(parts)
+    expected = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    expected = expected[offset:offset + limit]
+    for method in ("topk", "ranked"):
+        assert _rows(ordered_slice(df, order(), limit, offset, method=method)) == expected
