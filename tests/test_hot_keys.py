@@ -1,6 +1,8 @@
 """One key holding a third of the rows: first-row-per-key stays exact and combines per
 task before the shuffle (a partial aggregate), so the hot group never meets whole."""
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clinark.operators import serving
@@ -34,3 +36,20 @@ def test_hot_patient_on_a_page_is_one_row(spark):
     hot = page.where(F.col("patient_id") == "hot").first()
     assert (hot["gender"], hot["state"], hot["city"]) == ("female", "S0", "C0")
     assert serving.patients_total(pts).first()["total"] == 1 + 600
+
+_VALUES = st.one_of(st.none(), st.sampled_from(["", "a", "b", "B", "ab"]))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), _VALUES, _VALUES, _VALUES),
+                min_size=1, max_size=60))
+def test_first_row_per_key_is_the_smallest_with_nulls_first(spark, rows):
+    df = spark.createDataFrame(rows, "k string, a string, b string, c string").repartition(3)
+    got = {r["k"]: tuple(r) for r in first_row_per_key(df, "k").collect()}
+    def nulls_first(r):
+        return tuple((v is not None, v or "") for v in r[1:])
+    expected = {}
+    for r in rows:
+        if r[0] not in expected or nulls_first(r) < nulls_first(expected[r[0]]):
+            expected[r[0]] = r
+    assert got == expected
