@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clinark.llm.near_dup import op5_near_dup
 from clinark.llm.topk import op4_topk
 from clinark.llm.warc import op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op4_topk": op4_topk,
+    "op5_near_dup": op5_near_dup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -34,4 +36,23 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS
       FROM v q, v c WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op5_near_dup": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+             ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS g
+      FROM w WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS inter FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id
+          GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id
+          WHERE 100 * inter >= 85 * (p.n + q.n - inter)),
+e AS (SELECT a AS u, b AS v FROM links UNION SELECT b, a FROM links),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.v, reach.r FROM reach JOIN e ON e.u = reach.doc_id),
+c AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+       d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)""",
 }
