@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clinark.llm.contamination import op10_contamination
 from clinark.llm.near_dup import op5_near_dup
 from clinark.llm.topk import op4_topk
 from clinark.llm.warc import op1_warc
@@ -14,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op4_topk": op4_topk,
     "op5_near_dup": op5_near_dup,
+    "op10_contamination": op10_contamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -55,4 +57,23 @@ c AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
        d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)""",
+    "op10_contamination": """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS size,
+               array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS phrase
+        FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM win),
+grams AS (SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+          FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes)),
+hits AS (SELECT doc_id, i, g.size, item_id FROM grams g JOIN win USING (size, phrase)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
 }
