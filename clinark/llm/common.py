@@ -136,3 +136,13 @@ def row_words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     starts, ends = word_spans(data, offsets, is_word)
     hashes = span_hash(prefix_hash(data), starts, ends)
     return hashes, np.searchsorted(starts, offsets)
+
+
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "string": pa.string(),
+          "binary": pa.binary(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()),
+          "array<string>": pa.list_(pa.string())}
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of "name type, name type, ..." (usable in tasks, where no session exists)."""
+    return pa.schema([(name, _ARROW[kind]) for name, kind in (c.split() for c in ddl.split(", "))])

@@ -167,7 +167,8 @@ def _search(item_ids: np.ndarray, lengths: np.ndarray, windows: np.ndarray, slop
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(len(batch)):
+                row = {c: batch.column(c)[at].as_buffer() for c in batch.schema.names if c != "shard"}
                 ids, bounds = np.frombuffer(row["doc_ids"], np.int64), np.frombuffer(row["bounds"], np.int64)
                 starts = np.frombuffer(row["starts"], np.int32).astype(np.int64)
                 terms, positions = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["positions"], np.uint32)
@@ -188,7 +189,7 @@ def _search(item_ids: np.ndarray, lengths: np.ndarray, windows: np.ndarray, slop
                 for d, (x, y) in zip(np.searchsorted(doc_start, edge[:, 0], side="right") - 1, edge, strict=True):
                     spans[d].append({"s": int(x - doc_start[d]), "e": int(y - doc_start[d])})
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["shard"]] * docs), pa.array(np.arange(docs, dtype=np.int32)),
+                    [pa.array([batch.column("shard")[at].as_py()] * docs), pa.array(np.arange(docs, dtype=np.int32)),
                      pa.array(ids, mask=np.frombuffer(row["no_id"], bool)), pa.array(words),
                      pa.array(spans, schema.field("spans").type), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
                     schema=schema)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clinark.llm.contamination import op10_contamination
 from clinark.llm.mixing import op8_mixing
 from clinark.llm.near_dup import op5_near_dup
+from clinark.llm.suffix_dedup import op7_suffix_dedup
 from clinark.llm.topk import op4_topk
 from clinark.llm.warc import op1_warc
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op4_topk": op4_topk,
     "op5_near_dup": op5_near_dup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
     "op10_contamination": op10_contamination,
 }
