@@ -10,13 +10,13 @@ probability (1 - 0.85**5)**25 = 4e-7.
 
 Whole job without all pairs. (1) Documents with equal shingle sets (128-bit sum of the
 set) form one class; only its smallest id goes on. (2) Band buckets of two or more classes
-are kept. (3) In each round every bucket picks pivots (its smallest member, in later
-rounds the smallest of each of 16, 256, ... hash groups); members are paired with pivots,
-pairs already connected or of too different sizes are left out, and each new pair is
-checked on the full shingle sets of the two texts. A pivot that met its whole bucket is
-done; a bucket is done when the members left are connected. So a group of thousands of
-mutual copies costs one pair per member, and a bucket is only searched pair by pair where
-its members do not prove linked. No pair of a bucket is dropped.
+are kept. (3) Every member is checked against its bucket's smallest one, on the full
+shingle sets of the two texts; a group of thousands of mutual copies is connected by one
+pair per member. (4) Buckets whose other members are still not connected are searched
+whole: buckets that share members form a group, its members are dealt into blocks, and a
+task takes two blocks, accumulates all intersection sizes term by term from the one's
+postings and returns only links that connect something new. No pair of a bucket is
+dropped, and none is emitted without being a link. (5) Links give the components.
 
 Defined cases: a NULL or wordless text has an empty set, is linked with nothing and is its
 own component; fewer words than a shingle make one shingle of the whole text; a row with
@@ -41,7 +41,8 @@ PERCENT = 85
 ROWS = 5
 BANDS = 25
 COORDINATES = ROWS * BANDS
-PIVOT_GROWTH = 16
+BLOCK_MEMBERS = 512
+BLOCK_SHINGLES = 1 << 19
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _STEP = np.array([pow(0xBF58476D1CE4E5B9, j + 1, 1 << 64) for j in range(8)], np.uint64)
 
@@ -81,7 +82,7 @@ def sketch(hashes: np.ndarray, bounds: np.ndarray, coordinates: int = COORDINATE
         if not len(owner):
             break
         if turn < coordinates:
-            r = mix(hashes + np.uint64(turn + 1) * np.uint64(0xA0761D6478BD642F))
+            r = mix(hashes + np.uint64((turn + 1) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF))
             place = ((r & np.uint64(0xFFFFFFFF)) * np.uint64(coordinates) >> np.uint64(32)).astype(np.int64)
             value = (np.uint64(turn) << np.uint64(32)) | (r >> np.uint64(32))
         else:
@@ -138,13 +139,65 @@ def _check(percent: int):
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose texts reach the similarity on their full shingle sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(texts.join(ids, "doc_id").dropDuplicates(["doc_id"]), "candidate-texts")
     rows = (pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
             .join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b"))
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(_check(percent), "a long, b long")
 
 
+def _block_links(percent: int):
+    """Links of one pair of blocks that join members not yet connected: a spanning forest of them."""
+    def links(table: pa.Table) -> pa.Table:
+        ids, labels, block = (table.column(c).to_pylist() for c in ("rep", "label", "block"))
+        data, offsets = text_bytes(table.column("text").combine_chunks())
+        sets: list[np.ndarray] = []
+        for a, b in chunks(offsets):
+            hashes, bounds = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+            sets += [hashes[x:y] for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+        p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
+        left, right = ([i for i, x in enumerate(block) if x == side] for side in (p, q))
+        sizes = np.array([len(sets[i]) for i in right])
+        tokens, owner = np.concatenate([sets[i] for i in right] or [np.zeros(0, np.uint64)]), np.repeat(np.arange(len(right)), sizes)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        first: dict[int, int] = {}
+        parent = [first.setdefault(label, i) for i, label in enumerate(labels)]
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        out = []
+        for i in left:
+            lo, hi = (np.searchsorted(tokens, sets[i], side) for side in ("left", "right"))
+            n = hi - lo
+            at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(right))
+            for j in np.flatnonzero((both > 0) & (100 * both >= percent * (len(sets[i]) + sizes - both))):
+                x, y = root(i), root(right[j])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    out.append({"a": ids[i], "b": ids[right[j]]})
+        return pa.Table.from_pylist(out, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    return links
+
+
+def _blocked(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links inside the groups of buckets that hang together, block against block."""
+    nodes = stored(components(live.select(F.col("rep").alias("a"), F.col("key").alias("b"))), "bucket-groups")
+    members = (live.groupBy("rep").agg(F.first("n").alias("n"), F.first("label").alias("label"))
+               .join(nodes.select(F.col("node").alias("rep"), F.col("label").alias("group")), "rep"))
+    size = members.groupBy("group").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    rows = (members.join(size, "group").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+            .join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("group", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+                    "block", "rep", "label", "text"))
+    return rows.groupBy("group", "p", "q").applyInArrow(_block_links(percent), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_shingles, class_id, component_id, kept."""
     texts = docs.select("doc_id", "text")
@@ -155,38 +208,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                      .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
     band = classes.select(F.explode("bands").alias("key"), "rep", F.col("n_shingles").alias("n"))
     shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    left = stored(band.join(shared, "key").distinct(), "buckets")
-    labels = links = tested = None
-    groups = 1
-    while True:
-        live = (left.withColumn("label", F.col("rep")) if labels is None else
-                left.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-                .withColumn("label", F.coalesce("label", "rep")).select("key", "rep", "n", "label"))
-        split = live.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-        live = stored(live.join(split, "key"), "live")
-        if live.isEmpty():
-            break
-        pivots = (live.groupBy("key", F.pmod(F.xxhash64("rep"), F.lit(groups)).alias("g"))
-                  .agg(F.min(F.struct("rep", "n", "label")).alias("p")).select("key", "p"))
-        pairs = (live.join(pivots, "key")
-                 .where("rep <> p.rep and label <> p.label")
-                 .where(F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent)
-                 .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = stored(_verified(pairs, texts, percent), "linked")
-        links = found if links is None else links.unionByName(found)
-        labels = stored(components(links), "labels")
-        left = live.select("key", "rep", "n").join(
-            pivots.select("key", F.col("p.rep").alias("rep")), ["key", "rep"], "left_anti")
-        groups = min(groups * PIVOT_GROWTH, 1 << 30)
-    out = sketches.drop("bands").join(classes.drop("bands"), key, "left")
-    if labels is None:
-        out = out.withColumn("label", F.col("rep"))
-    else:
-        out = out.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    buckets = stored(band.join(shared.hint("merge"), "key").distinct(), "buckets")
+    members = buckets.select(F.col("rep").alias("doc_id")).distinct()
+    texts = stored(texts.join(members.hint("merge"), "doc_id").dropDuplicates(["doc_id"]), "candidate-texts")
+
+    # Every member against its bucket's smallest one.
+    pivots = buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("p"))
+    pairs = (buckets.join(pivots, "key").where("rep <> p.rep")
+             .where(F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent)
+             .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct())
+    links = stored(_verified(stored(pairs, "pairs"), texts, percent), "star-links")
+    labels = stored(components(links), "star-labels").withColumnRenamed("node", "rep")
+
+    # Buckets whose other members are not connected by that.
+    live = (buckets.join(pivots.select("key", F.col("p.rep").alias("rep")), ["key", "rep"], "left_anti")
+            .join(labels, "rep", "left").select("key", "rep", "n", F.coalesce("label", "rep").alias("label")))
+    split = live.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    live = stored(live.join(split, "key"), "live")
+    if not live.isEmpty():
+        links = links.unionByName(stored(_blocked(live, texts, percent), "block-links"))
+        labels = stored(components(links), "labels").withColumnRenamed("node", "rep")
+
+    out = sketches.drop("bands").join(classes.drop("bands"), key, "left").join(labels, "rep", "left")
     component = F.coalesce("label", "rep", "doc_id")
     return out.select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"),
