@@ -201,6 +201,20 @@ def predict(docs: DataFrame, model, switch: float = SWITCH) -> DataFrame:
         _label(*model, switch), "doc_id long, lang_pred string, score double, spans array<struct<start:long,end:long,lang:string>>")
 
 
+def keep_rows(docs: DataFrame, model, min_score: float, switch: float = SWITCH) -> DataFrame:
+    """The rows of ``docs``, columns as they are, whose main language labels ``min_score`` of the letters."""
+    label = _label(*model, switch)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair = pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), batch.column("text")], names=["doc_id", "text"])
+            ok = [(out.column("lang_pred").to_pylist(), out.column("score").to_numpy()) for out in label(iter([pair]))]
+            yield batch.filter(pa.array([x != "und" and y >= min_score for ls, ys in ok for x, y in zip(ls, ys, strict=True)],
+                                        pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out():
     return F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
 

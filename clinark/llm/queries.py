@@ -7,18 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clinark.llm.contamination import op10_contamination
+from clinark.llm.language import op2_language
+from clinark.llm.lm_score import op9_lm_score
 from clinark.llm.mixing import op8_mixing
 from clinark.llm.near_dup import op5_near_dup
+from clinark.llm.quality import op6_quality
 from clinark.llm.suffix_dedup import op7_suffix_dedup
 from clinark.llm.topk import op4_topk
+from clinark.llm.toxicity import op3_toxicity
 from clinark.llm.warc import op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_language": op2_language,
+    "op3_toxicity": op3_toxicity,
     "op4_topk": op4_topk,
     "op5_near_dup": op5_near_dup,
+    "op6_quality": op6_quality,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_mixing": op8_mixing,
+    "op9_lm_score": op9_lm_score,
     "op10_contamination": op10_contamination,
 }
 
