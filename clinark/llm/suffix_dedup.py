@@ -373,17 +373,18 @@ def dedup_text(docs: DataFrame) -> DataFrame:
 
 def cut_text(docs: DataFrame) -> DataFrame:
     """``docs`` with every repeated byte string taken out of ``text``; other columns stay as they are."""
-    place = docs.columns.index("text")
+    names = docs.columns
+    place = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(place))
-            spans, old = batch.column(len(docs.columns)), batch.column(place)
+            spans, old = batch.column(len(names)), batch.column(place)
             new = [_cut(data[offsets[i]:offsets[i + 1]], spans[i].as_py())[0].decode("utf-8", "ignore")
                    if spans[i].is_valid else old[i].as_py() for i in range(len(batch))]
-            columns = batch.columns[:len(docs.columns)]
+            columns = batch.columns[:len(names)]
             columns[place] = pa.array(new, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     spans = repeats(docs).select(F.col("doc_id").alias("_r_id"), F.col("key").alias("_r_key"), F.col("spans").alias("_spans"))
     same = F.col("doc_id").eqNullSafe(F.col("_r_id")) & (F.xxhash64("text") == F.col("_r_key"))
