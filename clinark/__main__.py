@@ -41,7 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--out", required=True)
     j.add_argument("--layout", choices=["routed", "directory"], default="routed")
     j.add_argument("--patient-key", choices=["plain", "hashed"], default="hashed")
-    j.add_argument("--top-n", type=int, default=50)
+    j.add_argument("--top-n", type=int, default=None)
     j.add_argument("--no-cluster", action="store_true",
                    help="write the clean tables unclustered (no range sort by patient)")
     j.add_argument("--jdbc-url", default=None)

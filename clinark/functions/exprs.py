@@ -125,6 +125,19 @@ def month_of(text: Column | str) -> Column:
     return F.date_format(F.try_to_date(col(text)), "yyyy-MM")
 
 
+def like_pattern(pattern: str) -> str:
+    """A LIKE pattern in the store's rule as Spark reads it: a backslash makes the next
+    character literal, whatever it is (Spark only allows one before ``%``, ``_``, ``\\``)."""
+    out, chars = [], iter(pattern)
+    for c in chars:
+        if c == "\\":
+            c = next(chars, "\\")
+            out.append("\\" + c if c in "%_\\" else c)
+        else:
+            out.append(c)
+    return "".join(out)
+
+
 def type_suffix_filter(name: Column | str, type_label: str) -> Column:
     """Case-insensitive suffix match ``%(<type>)``; ``%``/``_`` in the type are wildcards."""
-    return F.lower(col(name)).like(f"%({type_label.lower()})")
+    return F.lower(col(name)).like(like_pattern(f"%({type_label.lower()})"))

@@ -31,18 +31,22 @@ def conditions_with_demographics(conditions: DataFrame, patients: DataFrame) ->
     return left.join(right, "_join_key", "left").drop("_join_key")
 
 
-def diagnosis_statistics(conditions: DataFrame, n: int = 50) -> DataFrame:
+def diagnosis_statistics(conditions: DataFrame, n: int | None = None) -> DataFrame:
     """A1: per (icd_code, diagnosis_name): total_cases, unique_patients (exact distinct,
-    NULL not counted), active_cases; the top ``n`` by total_cases with the group keys as
-    tie-break (NULLs first)."""
+    NULL not counted), active_cases. Every diagnosis, or for a report the top ``n`` by
+    total_cases with the group keys as tie-break (NULLs first)."""
     agg = conditions.groupBy("icd_code", "diagnosis_name").agg(
         F.count(F.lit(1)).alias("total_cases"),
         F.count_distinct("patient_id").alias("unique_patients"),
         F.count_if(F.col("clinical_status") == "active").alias("active_cases"),
     )
+    return _top(agg, n)
+
+
+def _top(statistics: DataFrame, n: int | None) -> DataFrame:
     order = [F.desc("total_cases"), F.asc_nulls_first("icd_code"),
              F.asc_nulls_first("diagnosis_name")]
-    return ordered_slice(agg, order, n)
+    return statistics if n is None else ordered_slice(statistics, order, n)
 
 
 def demographics_gender(patients: DataFrame) -> DataFrame:
@@ -74,7 +78,7 @@ def patient_diagnoses(conditions: DataFrame) -> DataFrame:
         F.count_if(F.col("clinical_status") == "active").alias("_active"))
 
 
-def diagnosis_statistics_from(pre: DataFrame, n: int = 50) -> DataFrame:
+def diagnosis_statistics_from(pre: DataFrame, n: int | None = None) -> DataFrame:
     """A1 from ``patient_diagnoses``: each of its rows is one patient of a diagnosis, so
     counting non-NULL patient ids is the exact distinct count."""
     agg = pre.groupBy("icd_code", "diagnosis_name").agg(
@@ -82,9 +86,7 @@ def diagnosis_statistics_from(pre: DataFrame, n: int = 50) -> DataFrame:
         F.count("patient_id").alias("unique_patients"),
         F.sum("_active").cast("long").alias("active_cases"),
     )
-    order = [F.desc("total_cases"), F.asc_nulls_first("icd_code"),
-             F.asc_nulls_first("diagnosis_name")]
-    return ordered_slice(agg, order, n)
+    return _top(agg, n)
 
 
 def _cases_by(conditions: DataFrame, patients: DataFrame, demographics: list[str]) -> DataFrame:

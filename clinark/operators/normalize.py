@@ -89,8 +89,6 @@ def normalize_medications(raw: DataFrame, patient_key: str = "plain") -> DataFra
     if patient_key not in ("plain", "hashed"):
         raise ValueError("patient_key must be 'plain' or 'hashed'")
     pid = X.strip_prefix("subject.reference", X.PATIENT_PREFIX)
-    if patient_key == "hashed":
-        pid = X.patient_key(pid)
     coding = X.first(F.col("medicationCodeableConcept.coding"))
     flat = raw.where(F.col("id").isNotNull()).select(
         F.col("id").alias("med_id"),
@@ -103,4 +101,6 @@ def normalize_medications(raw: DataFrame, patient_key: str = "plain") -> DataFra
         F.lit("").alias("route"),
         F.col("status"),
     )
-    return first_row_per_key(flat, "med_id").select(*MED_COLUMNS)
+    out = first_row_per_key(flat, "med_id").select(*MED_COLUMNS)
+    # Hashed after the row is chosen: both forms keep the same row, and the shuffle carries plain ids.
+    return out.withColumn("patient_id", X.patient_key("patient_id")) if patient_key == "hashed" else out

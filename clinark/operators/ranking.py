@@ -1,85 +1,19 @@
-"""Ordered slices — top-k reports and offset pages — that stay distributed at any depth.
+"""Ordered slices: top-k reports and offset pages of reports, always lazy.
 
-A top-k in Spark (``orderBy(...).limit(k)``) keeps the first k rows of every partition
-and merges them in one task: that task reads partitions × k rows (its memory stays
-O(k)). That is the right plan while partitions × k is modest. Beyond that the slice is
-cut from global ranks instead: the rows are range-partitioned and sorted, tagged with
-``monotonically_increasing_id`` (partition in the upper bits, position in the lower
-33), the tags are written to the checkpoint folder so they stay fixed if an executor
-is lost, and one row count per partition gives each partition's first rank. No task
-then holds more than its own range.
+A top-k in Spark keeps the first rows of every partition and merges them in one task, so
+``limit`` and ``offset`` are meant for reports. Pages of a large table find the folder
+that holds the offset first (``serving.patients_page``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# Most rows the single merging task of a top-k may read (partitions × k).
-TOPK_MERGE_ROWS = 10_000_000
-METHODS = ("auto", "topk", "ranked")
 
-
-def _max_partitions(df: DataFrame) -> int:
-    """Upper bound on the partitions a top-k merges: the session's shuffle partitions
-    (the inputs here are aggregates or shuffled) — never an executed plan."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def topk_fits(df: DataFrame, rows: int) -> bool:
-    """Whether a top-k of ``rows`` rows over ``df`` stays within TOPK_MERGE_ROWS."""
-    return rows * _max_partitions(df) <= TOPK_MERGE_ROWS
-
-
-def ordered_slice(df: DataFrame, order: list[Column], limit: int, offset: int = 0,
-                  method: str = "auto") -> DataFrame:
+def ordered_slice(df: DataFrame, order: list[Column], limit: int, offset: int = 0) -> DataFrame:
     """Rows ranked [offset, offset+limit) by ``order``, which must be a total order
-    (rows equal on it are identical), returned in that order.
-
-    Meant for inputs whose order keys are unique — aggregates and distinct ids, as in
-    every caller here: the ranked path keeps equal keys in one range partition, so a
-    heavily repeated row would be one task's work.
-
-    ``method``: ``"topk"``, ``"ranked"`` (distributed ranks), or ``"auto"`` (top-k
-    while partitions × (offset+limit) is at most TOPK_MERGE_ROWS). Both are exact. The
-    top-k is lazy; the ranked path runs two jobs when the slice is built (writing the
-    tagged rows to the checkpoint folder, one row count per partition) and returns a
-    lazy frame over the written tags.
-    """
-    if method not in METHODS:
-        raise ValueError(f"method must be one of {METHODS}")
+    (rows equal on it are identical), returned in that order."""
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must be >= 0")
-    if method == "topk" or (method == "auto" and topk_fits(df, offset + limit)):
-        top = df.orderBy(*order)
-        if offset:
-            top = top.offset(offset)
-        return top.limit(limit)
-    return _ranked_slice(df, order, limit, offset)
-
-
-def _ranked_slice(df: DataFrame, order: list[Column], limit: int, offset: int) -> DataFrame:
-    from clinark.session import shared_dir
-    shared_dir(df.sparkSession)  # a checkpoint folder: the cluster's, or a test's own
-    cols = df.columns
-    tagged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_part", F.shiftright("_mid", 33))
-                .checkpoint())
-    counts = sorted((r["_part"], r["n"]) for r in
-                    tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
-    first_rank, start = {}, 0
-    for part, n in counts:  # one row per partition
-        if start < offset + limit and start + n > offset:
-            first_rank[part] = start
-        start += n
-    if not first_rank:
-        return tagged.where(F.lit(False)).select(*cols)
-    starts = F.create_map(*[F.lit(x).cast("long")
-                            for part, first in first_rank.items() for x in (part, first)])
-    rank = starts[F.col("_part")] + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return (tagged.where(F.col("_part").isin([F.lit(p).cast("long") for p in first_rank]))
-                  .withColumn("_rank", rank)
-                  .where((F.col("_rank") >= offset) & (F.col("_rank") < offset + limit))
-                  .orderBy("_rank")
-                  .select(*cols))
+    top = df.orderBy(*order)
+    return (top.offset(offset) if offset else top).limit(limit)

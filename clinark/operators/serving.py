@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinark.functions import exprs as X
@@ -35,7 +35,7 @@ def _asc(*cols: str):
 def kpi(patients: DataFrame, encounters: DataFrame, conditions: DataFrame,
         diag_stats: DataFrame, medications: DataFrame | None = None) -> DataFrame:
     """One row — distinct patients, encounters, conditions, medications,
-    active_cases (sum over the top-k statistics table); every value NULL→0.
+    active_cases (sum over the statistics table, every diagnosis); every value NULL→0.
 
     Five global aggregates are unioned as (metric, value) rows and folded by one
     more aggregate: each input is scanned once, with no join between them.
@@ -96,12 +96,12 @@ def top_conditions_clean(conditions: DataFrame, condition_type: str = "",
 
 def top_conditions_gold(diag_stats: DataFrame, condition_type: str = "",
                         limit: int = CONDITIONS_LIMIT_DEFAULT) -> DataFrame:
-    """R9 (statistics path): the top-k statistics table renamed, filtered by type,
+    """R9 (statistics path): the statistics table renamed, filtered by type,
     top ``limit`` by unique patients; plus the type label."""
     t = _type_param(condition_type)
     df = diag_stats
     if t and t != "all":
-        df = df.where(F.col("diagnosis_name").ilike(f"%({t})"))
+        df = df.where(F.col("diagnosis_name").ilike(X.like_pattern(f"%({t})")))
     out = df.select("diagnosis_name", "icd_code",
                     F.col("unique_patients").alias("patients"),
                     F.col("total_cases").alias("total"), "active_cases")
@@ -125,7 +125,7 @@ def condition_types_clean(conditions: DataFrame) -> DataFrame:
 
 
 def condition_types_gold(diag_stats: DataFrame) -> DataFrame:
-    """The same over the top-k statistics table."""
+    """The same over the statistics table."""
     return _condition_types(diag_stats).orderBy("condition_type")
 
 
@@ -143,7 +143,7 @@ def _patient_filter(patients: DataFrame, q: str = "", gender: str = "",
     age_group = (age_group or "").strip()
     preds = []
     if q:
-        pattern = f"%{q}%"
+        pattern = X.like_pattern(f"%{q}%")
         preds.append(F.col("patient_id").ilike(pattern) | F.col("city").ilike(pattern)
                      | F.col("state").ilike(pattern))
     if gender:
@@ -153,11 +153,12 @@ def _patient_filter(patients: DataFrame, q: str = "", gender: str = "",
     return patients.where(reduce(lambda a, b: a & b, preds)) if preds else patients
 
 
-def page_bounds(page: int = 1, limit: int = PAGE_LIMIT_DEFAULT) -> tuple[int, int]:
-    """(page, limit) as the route clamps them: page >= 1, limit <= 100; a limit of 0
-    gives an empty page, a negative limit is an error (as the store rejects it)."""
+def page_bounds(page: int = 1, limit: int = PAGE_LIMIT_DEFAULT,
+                max_limit: int = PAGE_LIMIT_MAX) -> tuple[int, int]:
+    """(page, limit) as the route clamps them: page >= 1, limit <= ``max_limit``; a limit
+    of 0 gives an empty page, a negative limit is an error (as the store rejects it)."""
     page = max(1, int(page))
-    limit = min(PAGE_LIMIT_MAX, int(limit))
+    limit = min(max_limit, int(limit))
     if limit < 0:
         raise ValueError("limit must be >= 0")
     return page, limit
@@ -165,30 +166,42 @@ def page_bounds(page: int = 1, limit: int = PAGE_LIMIT_DEFAULT) -> tuple[int, in
 
 def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DEFAULT,
                   q: str = "", gender: str = "", age_group: str = "",
-                  after: str | None = None, method: str = "auto") -> DataFrame:
+                  after: str | None = None, max_limit: int = PAGE_LIMIT_MAX) -> DataFrame:
     """One page of patients, one row per patient_id, ordered by patient_id.
 
     Filters run first, then DISTINCT ON patient_id keeps the smallest row by the
     other columns. ``after`` (keyset paging) replaces the offset: the page starts
-    after that patient_id, so deep pages cost the same as the first.
+    after that patient_id; on a patient-clustered table it also leaves out the folders
+    before it.
 
-    ``method`` picks how the page's ids are found (``ranking.ordered_slice``): a
-    top-k for shallow pages, distributed ranks for deep ones; both are exact.
+    A page at any depth is one lazy plan: the distinct ids are counted per folder (at
+    most 256 and NULL), a running sum of the counts finds the folders that hold the
+    page, and only their ids are ranked, folder by folder.
     """
-    page, limit = page_bounds(page, limit)
-    df = _patient_filter(patients, q, gender, age_group).select(*PATIENT_COLUMNS)
+    page, limit = page_bounds(page, limit, max_limit)
+    df = _patient_filter(patients, q, gender, age_group)
+    folder = (F.col(X.PATIENT_BUCKET) if X.PATIENT_BUCKET in df.columns
+              else X.patient_bucket("patient_id"))
+    df = df.select(*PATIENT_COLUMNS, folder.alias("_folder"))
     if after is not None:
-        df = df.where(F.col("patient_id") > F.lit(after))
+        df = df.where((F.col("patient_id") > F.lit(after))
+                      & (F.col("_folder") >= X.patient_bucket(F.lit(after))))
         offset = 0
     else:
         offset = (page - 1) * limit
-    # 1) The page's ids: distinct ids (a one-column hash aggregate, combined map-side),
-    #    then ranked. 2) Only the rows of those <= 100 ids are de-duplicated: the id
-    #    list is broadcast, its size bounded by the page limit. NULL ids sort last (the
-    #    store's default) and match null-safely.
-    ids = df.select(F.col("patient_id").alias("_pid")).distinct()
-    ids = ordered_slice(ids, [F.asc_nulls_last("_pid")], limit, offset, method)
-    rows = df.join(F.broadcast(ids), df["patient_id"].eqNullSafe(ids["_pid"]), "left_semi")
+    ids = df.select("_folder", F.col("patient_id").alias("_pid")).distinct()
+    end = F.sum("_n").over(Window.orderBy(F.asc_nulls_last("_folder")))
+    held = (ids.groupBy("_folder").agg(F.count(F.lit(1)).alias("_n"))
+            .select(F.col("_folder").alias("_f"), (end - F.col("_n")).alias("_start"), end.alias("_end"))
+            .where((F.col("_start") < offset + limit) & (F.col("_end") > offset)))
+    rank = F.col("_start") + F.row_number().over(
+        Window.partitionBy("_folder").orderBy(F.asc_nulls_last("_pid"))) - 1
+    # The folder list has at most 257 rows and the id list at most ``limit``: both are broadcast.
+    ids = (ids.join(F.broadcast(held), F.col("_folder").eqNullSafe(F.col("_f")))
+           .withColumn("_rank", rank).where((F.col("_rank") >= offset) & (F.col("_rank") < offset + limit))
+           .select(F.col("_f"), "_pid"))
+    rows = df.join(F.broadcast(ids), F.col("patient_id").eqNullSafe(F.col("_pid"))
+                   & F.col("_folder").eqNullSafe(F.col("_f")), "left_semi").select(*PATIENT_COLUMNS)
     return (first_row_per_key(rows, "patient_id")
             .orderBy(F.asc_nulls_last("patient_id")).select(*PATIENT_COLUMNS))
 

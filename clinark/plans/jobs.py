@@ -10,14 +10,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from clinark.operators import gold, normalize
 from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables, run_concurrently
 from clinark.schemas import conform
 from clinark.sources.jdbc import write_jdbc
 from clinark.sources.parquet import CLUSTERED_TABLES, read_clean, write_clustered, write_parquet
-from clinark.sources.raw import corrupt_count, read_raw, unmatched_lines
+from clinark.sources.raw import malformed_lines, read_raw, unmatched_lines
 
 CLEAN_JOBS = (
     ("Patient", "patients", normalize.normalize_patients),
@@ -40,7 +40,7 @@ class JdbcTarget:
 
 
 def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
-               top_n: int = 50, max_workers: int = 4, clustered: bool = False) -> dict[str, int]:
+               top_n: int | None = None, max_workers: int = 4, clustered: bool = False) -> dict[str, int]:
     """Six gold tables from the written clean tier; returns rows written per table.
 
     Conditions are scanned and shuffled once: their aggregate per (patient, code, name)
@@ -80,7 +80,7 @@ def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
 
 def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str = "routed",
                  patient_key: str = "hashed", jdbc: JdbcTarget | None = None,
-                 top_n: int = 50, max_workers: int = 4, cluster: bool = True) -> DataFrame:
+                 top_n: int | None = None, max_workers: int = 4, cluster: bool = True) -> DataFrame:
     """Run the whole job; returns the load audit as (table, rows).
 
     Tables: the three clean tables and medications (Parquet), the six gold tables,
@@ -100,17 +100,11 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
 
     def clean_stage(resource, name, fn):
         def run() -> int:
-            obs = Observation()
-            raw = read_raw(spark, raw_root, resource, layout, corrupt=obs)
-            out, path = conform(fn(raw), name), f"{clean_root}/{name}"
+            out, path = conform(fn(read_raw(spark, raw_root, resource, layout)), name), f"{clean_root}/{name}"
             rows = (write_clustered(out, path, name) if cluster and name in CLUSTERED_TABLES
                     else write_parquet(out, path))
-            try:
-                corrupt_lines[name] = int(obs.get.get("corrupt_lines", 0))
-            except Exception:  # noqa: BLE001
-                # The adaptive planner drops the observing node when the data after it
-                # turns out empty, and its metrics with it: count once more instead.
-                corrupt_lines[name] = corrupt_count(spark, raw_root, resource, layout)
+            corrupt_lines[name] = write_parquet(malformed_lines(spark, raw_root, resource, layout),
+                                                f"{out_root}/quarantine/{name}")
             return rows
         return run
 

@@ -83,11 +83,11 @@ clean_encounters AS (
 
 
 def _clean_medications(hashed: bool) -> str:
-    pid = "sha256('pat-' || o.o_custkey)" if hashed else "'pat-' || o.o_custkey"
+    kept = "sha256(patient_id) AS patient_id" if hashed else "patient_id"
     return f"""
 med_rows AS (
   SELECT 'med-' || l.l_orderkey || '-' || l.l_linenumber AS med_id,
-         {pid} AS patient_id,
+         'pat-' || o.o_custkey AS patient_id,
          'enc-' || l.l_orderkey AS encounter_id,
          CASE WHEN l.l_orderkey % 103 = 0 THEN NULL ELSE {_date('l.l_shipdate')} END AS start_date,
          'RX' || p.p_partkey AS drug_code,
@@ -102,7 +102,7 @@ med_rows AS (
   WHERE l.l_orderkey % 101 <> 0
 ),
 clean_medications AS (
-  SELECT med_id, patient_id, encounter_id, start_date, drug_code, drug_name, dose, route, status
+  SELECT med_id, {kept}, encounter_id, start_date, drug_code, drug_name, dose, route, status
   FROM (
     SELECT *, row_number() OVER (
       PARTITION BY med_id
@@ -123,8 +123,6 @@ diag_stats AS (
          CAST(sum(CASE WHEN clinical_status = 'active' THEN 1 ELSE 0 END) AS BIGINT) AS active_cases
   FROM clean_conditions
   GROUP BY icd_code, diagnosis_name
-  ORDER BY total_cases DESC, icd_code ASC NULLS FIRST, diagnosis_name ASC NULLS FIRST
-  LIMIT 50
 )"""
 
 JOINED = """
@@ -207,7 +205,8 @@ def oracle_sql() -> dict[str, str]:
     q["normalize_medications_hashed"] = (_with(_clean_medications(True))
                                          + "SELECT * FROM clean_medications")
     q["conditions_with_demographics"] = _with(cp, cc, JOINED) + "SELECT * FROM joined"
-    q["diagnosis_statistics"] = _with(cc, DIAG_STATS) + "SELECT * FROM diag_stats"
+    q["diagnosis_statistics"] = _with(cc, DIAG_STATS) + """SELECT * FROM diag_stats
+ORDER BY total_cases DESC, icd_code ASC NULLS FIRST, diagnosis_name ASC NULLS FIRST LIMIT 50"""
     q["demographics_gender"] = _with(cp, GENDER_STATS) + "SELECT * FROM gender_stats"
     q["demographics_age_group"] = _with(cp, AGE_STATS) + "SELECT * FROM age_stats"
     q["demographics_geography"] = _with(cp, GEO_STATS) + "SELECT * FROM geo_stats"
@@ -258,7 +257,10 @@ WHERE diagnosis_name IS NOT NULL AND diagnosis_name <> ''"""
 SELECT diagnosis_name, {_label('diagnosis_name')} AS condition_type
 FROM (SELECT DISTINCT diagnosis_name FROM clean_conditions) t"""
     q["patients_page"] = _page_sql("", offset=25, limit=25)
-    q["patients_page_ranked"] = _page_sql("", offset=100, limit=25)
+    q["patients_page_deep"] = _page_sql("", offset=975, limit=25)
+    q["patients_page_search_escape"] = _page_sql(
+        "WHERE (" + " OR ".join(f"{c} ILIKE '%n\\ation\\_1%' ESCAPE '\\'" for c in ("patient_id", "city", "state")) + ")",
+        offset=0, limit=25)
     q["patients_page_search"] = _page_sql(SEARCH_WHERE, offset=0, limit=25)
     q["patients_page_filtered"] = _page_sql(
         "WHERE lower(gender) = 'male' AND age_group = '26-50'", offset=0, limit=25)
@@ -302,7 +304,11 @@ LIMIT 20"""
     q["parquet_roundtrip"] = q["normalize_conditions"]
     q["patient_conditions_clustered"] = q["patient_conditions"]
     q["patient_encounters_clustered"] = q["patient_encounters"]
-    q["catalog_tables"] = q["top_conditions_clean_type"]
+    q["catalog_tables"] = _with(cp, cc, ce) + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, "
+        f"CAST(count(DISTINCT patient_id) AS BIGINT) AS n_patients, "
+        f"CAST(count(CASE WHEN patient_id = '{PATIENT_ONE}' THEN 1 END) AS BIGINT) AS n_of_patient FROM clean_{t}"
+        for t in ("patients", "conditions", "encounters"))
     q["ingest_routed"] = """
 SELECT resource_type, CAST(sum(n) AS BIGINT) AS lines FROM (
   SELECT 'Patient' AS resource_type, count(*) AS n FROM customer

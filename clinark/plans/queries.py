@@ -17,7 +17,10 @@ SEARCH_TEXT = "nation_1"
 GENDER = "male"
 AGE_GROUP = "26-50"
 PAGE, PAGE_LIMIT = 2, 25
-RANKED_PAGE = 5  # found by distributed ranks instead of a top-k
+CATALOG_DB = "medical_check"
+DEEP_PAGE = 40
+REPORT_ROWS = 50
+SEARCH_ESCAPED = "n\\ation\\_1"  # a backslash makes the next character literal
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,7 +42,7 @@ READ_QUERIES: dict[str, Query] = {
     # join and gold aggregates
     "conditions_with_demographics": _q(
         lambda d: gold.conditions_with_demographics(d.conditions, d.patients)),
-    "diagnosis_statistics": _q(lambda d: d.diagnosis_statistics),
+    "diagnosis_statistics": _q(lambda d: gold.diagnosis_statistics(d.conditions, REPORT_ROWS)),
     "demographics_gender": _q(lambda d: d.demographics_gender),
     "demographics_age_group": _q(lambda d: d.demographics_age_group),
     "demographics_geography": _q(lambda d: d.demographics_geography),
@@ -59,8 +62,9 @@ READ_QUERIES: dict[str, Query] = {
     "condition_types_gold": _q(lambda d: serving.condition_types_gold(d.diagnosis_statistics)),
     "condition_type": _q(lambda d: serving.condition_labels(d.conditions)),
     "patients_page": _q(lambda d: serving.patients_page(d.patients, page=PAGE, limit=PAGE_LIMIT)),
-    "patients_page_ranked": _q(lambda d: serving.patients_page(
-        d.patients, page=RANKED_PAGE, limit=PAGE_LIMIT, method="ranked")),
+    "patients_page_deep": _q(lambda d: serving.patients_page(
+        d.patients, page=DEEP_PAGE, limit=PAGE_LIMIT)),
+    "patients_page_search_escape": _q(lambda d: serving.patients_page(d.patients, q=SEARCH_ESCAPED)),
     "patients_page_search": _q(lambda d: serving.patients_page(d.patients, q=SEARCH_TEXT)),
     "patients_page_filtered": _q(
         lambda d: serving.patients_page(d.patients, gender=GENDER, age_group=AGE_GROUP)),
@@ -115,38 +119,22 @@ def patient_encounters_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clustered_lookup(spark, sf_dir, "encounters", serving.patient_encounters)
 
 
-CATALOG_CONDITIONS_SQL = """
-SELECT diagnosis_name, icd_code,
-       COUNT(DISTINCT patient_id) AS patients,
-       COUNT(*) AS total
-FROM {db}.conditions
-WHERE lower(diagnosis_name) LIKE :pattern
-GROUP BY diagnosis_name, icd_code
-ORDER BY patients DESC, diagnosis_name ASC NULLS FIRST, icd_code ASC NULLS FIRST
-LIMIT :n
-"""
-
-
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean tables registered as external Parquet tables in a catalog
-    database, then the catalog path of the conditions route as SQL with bound
-    parameters, plus the type label."""
-    import uuid
-
-    from pyspark.sql import functions as F
-
-    from clinark.functions.exprs import condition_type
+    """The three clean tables registered as external Parquet tables in a catalog
+    database, then one SQL text with a bound parameter over all of them."""
     from clinark.session import run_dir
-    from clinark.sources.catalog import catalog_sql, register_clean
+    from clinark.sources.catalog import CATALOG_TABLES, catalog_sql, register_clean
     from clinark.sources.parquet import write_parquet
     d = Dataset(spark, sf_dir)
     root = run_dir(spark, "catalog")
-    write_parquet(d.conditions, f"{root}/conditions")
-    db = f"medical_{uuid.uuid4().hex[:8]}"
-    register_clean(spark, root, db, tables=("conditions",), db_location=f"{root}/{db}.db")
-    top = catalog_sql(spark, CATALOG_CONDITIONS_SQL.format(db=db),
-                      {"pattern": f"%({TYPE_DISORDER})", "n": 50})
-    return top.withColumn("condition_type", condition_type(F.col("diagnosis_name")))
+    for name in CATALOG_TABLES:
+        write_parquet(getattr(d, name), f"{root}/{name}")
+    tables = register_clean(spark, root, CATALOG_DB, replace=True, db_location=f"{root}/{CATALOG_DB}.db")
+    counts = " UNION ALL ".join(
+        f"SELECT '{t.split('.')[1]}' AS table_name, count(*) AS n_rows, "
+        f"count(DISTINCT patient_id) AS n_patients, "
+        f"count(CASE WHEN patient_id = :patient THEN 1 END) AS n_of_patient FROM {t}" for t in tables)
+    return catalog_sql(spark, counts, {"patient": PATIENT_ONE})
 
 
 def ingest_routed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ def register_clean(spark: SparkSession, root: str, db: str = DEFAULT_DB,
     query that filters on it reads only the matching folders.
     """
     db = _ident(db)
-    loc = f" LOCATION '{db_location}'" if db_location else ""
+    loc = " LOCATION '{}'".format(db_location.replace("'", "\\'")) if db_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
     names = []
     for t in tables:

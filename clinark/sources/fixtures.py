@@ -67,17 +67,9 @@ def star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df`` hash-partitioned on ``key`` over the cores, if its scan has fewer splits
-    than the cluster has cores; otherwise ``df`` unchanged.
-
-    A table stored as a single Parquet row group is read by one task, so everything
-    built from it would run on one core. Any large input is split finer than the
-    parallelism, so at scale this adds no shuffle.
-    """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n, key)
+    """``df`` hash-partitioned on ``key`` over the cores: a test table stored as a single
+    Parquet row group is read by one task, so everything built from it would run on one core."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def _text(c: Column | str) -> Column:

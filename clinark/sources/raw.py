@@ -7,68 +7,59 @@ Two layouts are accepted:
   the sink's metadata log (only committed files) and prunes to one partition.
 * ``directory`` — one plain directory per resource type, ``<root>/<Type>/``.
 
-Malformed lines become a NULL row with the text in ``_corrupt_record``; they are
-dropped at the scan and can be counted with an ``Observation`` (no extra job).
+Lines that are no JSON object are left out of the scan; ``malformed_lines`` gives them
+for a quarantine table, whose write counts them exactly.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from clinark.schemas import CORRUPT, RAW, UNMATCHED
+from clinark.schemas import RAW, UNMATCHED
 
 PARTITION_COLUMN = "resource_type"
 
 
-def raw_schema(resource: str, with_partition: bool = False) -> StructType:
-    fields = list(RAW[resource].fields) + [StructField(CORRUPT, StringType())]
-    if with_partition:
-        fields.append(StructField(PARTITION_COLUMN, StringType()))
-    return StructType(fields)
-
-
-def _scan(spark: SparkSession, root: str, resource: str, layout: str) -> DataFrame:
-    """The raw scan with the corrupt-record column (malformed lines kept)."""
+def _lines(spark: SparkSession, root: str, resource: str, layout: str) -> DataFrame:
+    """(value): the non-blank text lines of one resource type."""
     if layout not in ("routed", "directory"):
         raise ValueError("layout must be 'routed' or 'directory'")
-    reader = (spark.read.option("mode", "PERMISSIVE")
-                        .option("columnNameOfCorruptRecord", CORRUPT))
+    reader = spark.read.format("text")
     if layout == "routed":
-        return (reader.schema(raw_schema(resource, with_partition=True)).json(root)
-                      .where(F.col(PARTITION_COLUMN) == F.lit(resource))
-                      .drop(PARTITION_COLUMN))
-    return reader.schema(raw_schema(resource)).json(f"{root.rstrip('/')}/{resource}")
+        lines = (reader.schema(StructType([StructField("value", StringType()),
+                                           StructField(PARTITION_COLUMN, StringType())])).load(root)
+                       .where(F.col(PARTITION_COLUMN) == F.lit(resource)))
+    else:
+        lines = reader.load(f"{root.rstrip('/')}/{resource}")
+    return lines.select("value").where(F.trim("value") != "")
+
+
+def _is_object() -> Column:
+    return F.json_object_keys("value").isNotNull()
 
 
-def corrupt_count(spark: SparkSession, root: str, resource: str, layout: str = "routed") -> int:
-    """Malformed lines of one resource type, counted by one aggregate over the scan (the
-    fallback when an observed count is unavailable). ``id`` is referenced as well:
-    Spark rejects a raw-file query that reads only the corrupt-record column."""
-    row = _scan(spark, root, resource, layout).agg(
-        F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"),
-        F.count(F.col("id")).alias("ids")).first()
-    return int(row["corrupt"])
+def malformed_lines(spark: SparkSession, root: str, resource: str, layout: str = "routed") -> DataFrame:
+    """(line): the lines that are no JSON object, for a quarantine table."""
+    return _lines(spark, root, resource, layout).where(~_is_object()).select(F.col("value").alias("line"))
 
 
 def read_raw(spark: SparkSession, root: str, resource: str, layout: str = "routed",
              corrupt: Observation | None = None) -> DataFrame:
     """Resources of one type as a nested DataFrame with the declared raw schema.
 
-    ``corrupt``, if given, receives ``{"corrupt_lines": n}`` after the first action.
-    The count is observed at the scan: when a shuffle follows (a clustered write, the
-    medication de-duplication) the scan runs in a map stage, and Spark applies the
-    updates of a map stage again if that stage is re-run after an executor is lost,
-    so the figure can then exceed the true count. Written row counts are observed at
-    the top of each write (the result stage) and are exact. When everything after the
-    scan turns out empty, the adaptive planner may drop the observing node with its
-    metrics; ``corrupt_count`` then counts directly.
+    A row per JSON object, whichever columns are read: a field of another type than
+    declared is NULL and the row stays; only lines that are no JSON object are left out
+    (``malformed_lines`` gives them). ``corrupt``, if given, receives
+    ``{"corrupt_lines": n}`` after the first action; it is observed at the scan, so a
+    re-run map stage can count twice. The job counts its quarantine write instead.
     """
-    df = _scan(spark, root, resource, layout)
+    lines = _lines(spark, root, resource, layout)
     if corrupt is not None:
-        df = df.observe(corrupt, F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_lines"))
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        lines = lines.observe(corrupt, F.count_if(~_is_object()).alias("corrupt_lines"))
+    return lines.where(_is_object()).select(
+        F.from_json("value", RAW[resource], {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
 
 
 def unmatched_lines(spark: SparkSession, root: str) -> int:

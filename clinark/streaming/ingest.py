@@ -26,16 +26,18 @@ def route(lines: DataFrame, types: tuple[str, ...] = RESOURCE_TYPES) -> DataFram
         F.when(t.isin(list(types)), t).otherwise(F.lit(UNMATCHED)).alias(PARTITION_COLUMN))
 
 
-# Progress reports a one-shot ingest keeps (one per micro-batch, a few KB each).
-PROGRESS_REPORTS = 10_000
+# Bytes a micro-batch takes at most, so that a large landing is many batches.
+MAX_BYTES_PER_TRIGGER = 256 << 30
 
 
 def start_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint: str,
                  available_now: bool = True, processing_time: str | None = None,
                  max_files_per_trigger: int | None = None,
+                 max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER,
                  archive_dir: str | None = None) -> StreamingQuery:
     """Start the routing stream. ``available_now`` processes what is there (in
-    bounded batches) and stops; otherwise it runs every ``processing_time``.
+    batches of at most ``max_files_per_trigger`` files, or if that is unset
+    ``max_bytes_per_trigger``) and stops; otherwise it runs every ``processing_time``.
 
     ``archive_dir`` makes the pick-up consume its input: Spark moves the files of a
     committed batch there (keeping their full path below it) when a later batch runs,
@@ -46,6 +48,8 @@ def start_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     if archive_dir:
         reader = (reader.option("cleanSource", "archive")
                         .option("sourceArchiveDir", archive_dir))
@@ -65,32 +69,23 @@ def run_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint:
                **kw) -> int:
     """Run the stream until the landed files are processed; returns the lines routed.
 
-    The count sums the input rows of every micro-batch, from the query's progress
-    reports. Spark keeps only the latest reports (100 by default), so while the query
-    runs the session keeps up to PROGRESS_REPORTS of them (the caller's setting is
-    restored afterwards), and the reports are collected by batch id while it runs and
-    once more at the end: a backlog drained in many batches is counted whole, each
-    batch once.
+    The count is the growth of the routed root, read through the sink log (which lists
+    committed files only), so it holds for any number of micro-batches.
     """
-    key = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(max(int(before), PROGRESS_REPORTS)))
-    rows_by_batch: dict[int, int] = {}
-    try:
-        q = start_ingest(spark, landing, routed_root, checkpoint, available_now=True, **kw)
-
-        def harvest() -> None:
-            for p in q.recentProgress:
-                rows_by_batch[int(p["batchId"])] = int(p["numInputRows"])
-
-        while not q.awaitTermination(0.5):
-            harvest()
-        harvest()
-    finally:
-        spark.conf.set(key, before)
+    before = _routed_lines(spark, routed_root)
+    q = start_ingest(spark, landing, routed_root, checkpoint, available_now=True, **kw)
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return sum(rows_by_batch.values())
+    return _routed_lines(spark, routed_root) - before
+
+
+def _routed_lines(spark: SparkSession, routed_root: str) -> int:
+    """Lines in the routed root, 0 if no batch has been committed yet."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{routed_root}/_spark_metadata")
+    if not log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        return 0
+    return spark.read.format("text").load(routed_root).count()
 
 
 def routed_counts(spark: SparkSession, routed_root: str) -> DataFrame:

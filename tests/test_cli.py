@@ -12,7 +12,7 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     assert main(["job", "--raw", str(d / "raw"), "--out", str(d / "out")]) == 0
     assert main(["register", "--clean", str(d / "out" / "clean"), "--db", "medical_cli_t"]) == 0
     out = capsys.readouterr().out
-    assert "routed " in out and "'diagnosis_statistics': 50 rows" in out
+    assert "routed " in out and "'diagnosis_statistics': " in out
     assert "registered medical_cli_t.conditions" in out
     n = spark.sql("SELECT count(*) AS n FROM medical_cli_t.conditions").first()["n"]
     audit = {line.split("'")[1]: int(line.split(": ")[1].split()[0])

@@ -51,11 +51,11 @@ def test_topk_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in p
 
 
-def test_spread_only_under_split_inputs(spark):
+def test_spread_deals_by_key(spark):
     from clinark.sources.fixtures import spread
     n = spark.sparkContext.defaultParallelism
     wide = spark.range(0, 1000, 1, n * 2)
-    assert "Exchange" not in plan(spread(wide, "id"))
+    assert "Exchange hashpartitioning(id" in plan(spread(wide, "id"))
     narrow = spark.range(0, 1000, 1, 1)
     spread_out = spread(narrow, "id")
     assert "Exchange hashpartitioning(id" in plan(spread_out)
@@ -69,7 +69,7 @@ def test_statistics_two_shuffles_and_no_eager_job(spark, tmp_path):
     d = E.queries()["normalize_conditions"](spark, SF_SMALL)
     write_parquet(d, str(tmp_path / "conditions"))
     cond = read_clean(spark, str(tmp_path), "conditions")
-    p = plan(gold.diagnosis_statistics(cond))
+    p = plan(gold.diagnosis_statistics(cond, 50))
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 2
     assert "TakeOrderedAndProject" in p
     pts = E.queries()["normalize_patients"](spark, SF_SMALL)

@@ -1,4 +1,4 @@
-"""Ordered slices: the top-k and the distributed-rank paths agree on every edge."""
+"""Ordered slices equal a sort on every edge."""
 
 import pytest
 from hypothesis import given, settings
@@ -24,27 +24,24 @@ def order():
 
 @pytest.mark.parametrize("limit,offset", [(10, 0), (7, 13), (5, 55), (10, 60), (3, 200), (0, 4),
                                           (60, 0)])
-def test_both_paths_agree(table, limit, offset):
-    topk = _rows(ordered_slice(table, order(), limit, offset, method="topk"))
-    ranked = _rows(ordered_slice(table, order(), limit, offset, method="ranked"))
-    assert ranked == topk
+def test_slice_of_the_sorted_rows(table, limit, offset):
+    topk = _rows(ordered_slice(table, order(), limit, offset))
+    assert topk == _rows(table.orderBy(*order()))[offset:offset + limit]
     assert len(topk) == max(0, min(limit, 60 - offset))
 
 
 def test_nulls_last_and_total_order(table):
-    everything = _rows(ordered_slice(table, order(), 60, method="ranked"))
+    everything = _rows(ordered_slice(table, order(), 60))
     scores = [s for s, _ in everything]
     assert scores[-6:] == [None] * 6 and scores[:-6] == sorted(scores[:-6], reverse=True)
 
 
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "score int, key string")
-    assert _rows(ordered_slice(empty, order(), 5, 2, method="ranked")) == []
+    assert _rows(ordered_slice(empty, order(), 5, 2)) == []
 
 
 def test_arguments_checked(table):
-    with pytest.raises(ValueError):
-        ordered_slice(table, order(), 5, method="sideways")
     with pytest.raises(ValueError):
         ordered_slice(table, order(), -1)
 
@@ -57,5 +54,4 @@ def test_slices_equal_python_sort(spark, scores, offset, limit, parts):
     df = spark.createDataFrame(data, "score int, key string").repartition(parts)
     expected = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
     expected = expected[offset:offset + limit]
-    for method in ("topk", "ranked"):
-        assert _rows(ordered_slice(df, order(), limit, offset, method=method)) == expected
+    assert _rows(ordered_slice(df, order(), limit, offset)) == expected

@@ -77,7 +77,6 @@ def test_page_bounds():
 def test_zero_limit_is_empty_not_an_error(spark):
     pts = df(spark, "patients", [("a", "m", None, None, None, "75+")])
     assert serving.patients_page(pts, limit=0).collect() == []
-    assert serving.patients_page(pts, limit=0, method="ranked").collect() == []
     cond = df(spark, "conditions", [("c1", "a", "X", "x (disorder)", None, None)])
     assert serving.top_conditions_clean(cond, limit=0).collect() == []
     with pytest.raises(ValueError):
@@ -154,56 +153,39 @@ def _ids(page_df):
     return [r["patient_id"] for r in page_df.collect()]
 
 
-def test_ranked_pages_equal_topk_pages(spark):
-    """The distributed-rank page equals the top-k page at every depth: duplicates kept
-    once, the NULL id last, pages past the end empty."""
-    rows = [(f"p{i:03d}", "male" if i % 2 else "female", None, None, None, "75+")
+def test_pages_cover_all_ids_once(spark):
+    """Every page in turn: duplicates kept once, the NULL id last, pages past the end empty,
+    and no job runs while a page is built."""
+    rows = [(f"{i % 5}p{i:03d}", "male" if i % 2 else "female", None, None, None, "75+")
             for i in range(57)]
-    rows += [("p010", "other", None, None, None, "75+"), (None, "x", None, None, None, "75+")]
+    rows += [("0p010", "other", None, None, None, "75+"), (None, "x", None, None, None, "75+")]
     pts = df(spark, "patients", rows).repartition(5)
-    seen = []
-    for page in range(1, 9):
-        ranked = _ids(serving.patients_page(pts, page, 8, method="ranked"))
-        assert ranked == _ids(serving.patients_page(pts, page, 8, method="topk"))
-        seen += ranked
-    assert seen == [f"p{i:03d}" for i in range(57)] + [None]
-    dup = serving.patients_page(pts, 2, 8, method="ranked").where("patient_id = 'p010'")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    pages = [serving.patients_page(pts, page, 8) for page in range(1, 10)]
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    seen = [i for page in pages for i in _ids(page)]
+    assert seen == sorted(r[0] for r in rows[:57]) + [None]
+    dup = pages[0].where("patient_id = '0p010'")
     assert [r["gender"] for r in dup.collect()] == ["female"]
+    assert _ids(serving.patients_page(pts, limit=3, after="1p001")) == ["1p006", "1p011", "1p016"]
 
 
-def test_deep_offset_takes_ranked_path(spark, monkeypatch):
-    pts = df(spark, "patients", [(f"p{i}", None, None, None, None, "75+") for i in range(10)])
-    from clinark.operators import ranking
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    monkeypatch.setattr(ranking, "TOPK_MERGE_ROWS", 5 * partitions)  # a top-k of 5 rows fits
-    deep = serving.patients_page(pts, page=2, limit=3)
-    assert "TakeOrderedAndProject" not in deep._jdf.queryExecution().executedPlan().toString()
-    assert _ids(deep) == ["p3", "p4", "p5"]
-    with pytest.raises(ValueError):
-        serving.patients_page(pts, method="nope")
-
-
-
-def test_ranked_slices_equal_topk_for_every_report(spark, monkeypatch):
-    """Top conditions (both paths), top diagnoses and statistics give the same rows when
-    the slice is cut from distributed ranks instead of a top-k."""
-    from clinark.operators import ranking
-    rows = [(f"c{i}", f"p{i % 37}", f"X{i % 11}", f"name {i % 13} (disorder)",
-             "active" if i % 3 else None, None) for i in range(600)]
-    cond = df(spark, "conditions", rows).repartition(4)
-    pts = df(spark, "patients", [(f"p{i}", "m" if i % 2 else "f", None, None, None,
-                                  "75+" if i % 3 else "0-25") for i in range(37)])
-    reports = {
-        "clean": lambda: serving.top_conditions_clean(cond, limit=7),
-        "gold": lambda: serving.top_conditions_gold(gold.diagnosis_statistics(cond, 30), limit=9),
-        "stats": lambda: gold.diagnosis_statistics(cond, 12),
-        "by_gender": lambda: serving.diagnoses_by_gender_top(gold.diagnosis_by_gender(cond, pts)),
-        "by_age": lambda: serving.diagnoses_by_age_top(gold.diagnosis_by_age_group(cond, pts)),
-    }
-    topk = {k: [tuple(r) for r in f().collect()] for k, f in reports.items()}
-    monkeypatch.setattr(ranking, "TOPK_MERGE_ROWS", 0)  # every slice takes the ranked path
-    for k, f in reports.items():
-        q = f()
-        assert "TakeOrderedAndProject" not in q._jdf.queryExecution().executedPlan().toString()
-        assert [tuple(r) for r in q.collect()] == topk[k], k
-        assert len(topk[k]) > 0
+@pytest.mark.parametrize("q,hits", [("x\\y", ["a"]), ("\\%", ["b"]), ("\\_", ["c"]), ("y\\", []),
+                                    ("\\\\", ["d"])])
+def test_backslash_makes_the_next_character_literal(spark, q, hits):
+    pts = df(spark, "patients", [(i, None, None, None, city, "75+") for i, city in
+                                 (("a", "xy"), ("b", "1%"), ("c", "_"), ("d", "\\"))])
+    assert _ids(serving.patients_page(pts, q=q)) == hits
+    cond = df(spark, "conditions", [("c1", "a", "X", "x (ab)", None, None)])
+    assert serving.top_conditions_clean(cond, "a\\b").count() == 1
+    assert serving.top_conditions_gold(gold.diagnosis_statistics(cond), "a\\b").count() == 1
+
+
+def test_statistics_are_not_cut(spark):
+    cond = df(spark, "conditions", [(f"c{i}", f"p{i}", f"X{i}", f"n {i} (t{i})", "active", None)
+                                    for i in range(70)])
+    stats = gold.diagnosis_statistics(cond)
+    assert stats.count() == gold.diagnosis_statistics_from(gold.patient_diagnoses(cond)).count() == 70
+    assert serving.condition_types_gold(stats).count() == 70
+    assert gold.diagnosis_statistics(cond, 50).count() == 50
