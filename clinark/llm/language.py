@@ -181,9 +181,11 @@ def _label(names: list[str], log_p: np.ndarray, allowed: np.ndarray, switch: flo
                 total = mass.sum(axis=1)
                 best = mass.argmax(axis=1)
                 known = (total > 0) & bool(names)
-                change = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (path[1:] != path[:-1])])) if len(path) else []
+                edge = np.ones(len(path) + 1, bool)
+                edge[1:-1] = (owner[1:] != owner[:-1]) | (path[1:] != path[:-1])
+                change = np.flatnonzero(edge) if len(path) else np.zeros(0, np.int64)
                 spans: list[list] = [[] for _ in range(b - a)]
-                for x, y in zip(change, [*change[1:], len(path)], strict=True):
+                for x, y in zip(change[:-1], change[1:], strict=True):
                     if names:
                         row = owner[x]
                         spans[row].append({"start": int(x - bounds[row]), "end": int(y - bounds[row]), "lang": names[path[x]]})

@@ -6,14 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows kept of a stratum: Spark pushes a rank limit below the shuffle up to 1,000.
+STRATUM = 500
+
+
 def stratified(rows: DataFrame, by: str, id_col: str, per_class: int) -> DataFrame:
-    """The ``per_class`` rows of each class that come first in hashed id order.
+    """At most ``per_class`` rows of each class: those first in hashed id order in each of
+    the class's hashed strata.
 
-    The bound is pushed below the shuffle (a task sends on at most ``per_class`` rows of a
-    class), so a class with most of the rows costs no more than another.
+    The limit of a stratum is pushed below the shuffle (a task sends on that many of its
+    rows), so a class with most of the rows costs no more than another.
     """
-    order = Window.partitionBy(by).orderBy(F.xxhash64(id_col), id_col)
-    return rows.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_class).drop("_place")
+    strata = -(-per_class // STRATUM)
+    order = Window.partitionBy(by, "_stratum").orderBy(F.xxhash64(id_col), id_col)
+    return (rows.withColumn("_stratum", F.pmod(F.xxhash64(F.lit(1), id_col), F.lit(strata)))
+            .withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_class // strata)
+            .drop("_place", "_stratum"))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str, learn, per_class: int) -> tuple[DataFrame, list[float]]:
