@@ -112,7 +112,8 @@ def learn(docs: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str], np.ndar
     """(languages, log-probability by bucket and language, script by language allowed)."""
     rows = docs.where("lang is not null and text is not null")
     drawn = stratified(rows.select("doc_id", "lang"), "lang", "doc_id", per_lang).select("doc_id").distinct()
-    got = (rows.join(drawn, "doc_id").select("text", "lang").mapInArrow(_counts, "lang string, slot long, n long")
+    got = (rows.join(F.broadcast(drawn), "doc_id").select("text", "lang")   # per_lang ids a language at most
+           .mapInArrow(_counts, "lang string, slot long, n long")
            .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow())
     names = sorted(set(got.column("lang").to_pylist()))
     count = np.zeros((BUCKETS + N_SCRIPTS, max(len(names), 1)))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinark.llm.common import arrow_schema, fold, read_table
+from clinark.llm.common import arrow_schema, fold, read_table, stored
 from clinark.llm.samples import labelled
 
 #: The seed lexicon.
@@ -141,7 +141,7 @@ def fit_linear(features: np.ndarray, target: np.ndarray, ridge: float = 0.0003,
 
 def learn(docs: DataFrame, labels: DataFrame, learn_rows, per_class: int = PER_CLASS) -> dict:
     drawn, share = labelled(docs, labels, "toxic", learn_rows, per_class)
-    rows = drawn.select("doc_id", F.col("y").cast("long").alias("y"), "text")
+    rows = stored(drawn.select("doc_id", F.col("y").cast("long").alias("y"), "text"), "toxicity-sample")
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = float(np.log(share[1] / share[0]))
     if len(sizes) < 2:
