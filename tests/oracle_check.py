@@ -17,7 +17,8 @@ import duckdb  # noqa: E402
 
 import __spark_entry__ as E  # noqa: E402
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+          "documents", "embeddings", "pages", "benchmark", "labels"]
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
