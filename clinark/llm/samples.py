@@ -26,9 +26,10 @@ def stratified(rows: DataFrame, by: str, id_col: str, per_class: int) -> DataFra
 
 def labelled(docs: DataFrame, labels: DataFrame, column: str, learn, per_class: int) -> tuple[DataFrame, list[float]]:
     """(doc_id, text, y) of a stratified sample of the learning rows, and the classes' true shares.
+    A document with several labels has the largest.
     The drawn ids are broadcast: 2 * ``per_class`` rows at most, so no text is shuffled."""
     one = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y"))
-           .where("y in (0, 1) and doc_id is not null").where(learn).dropDuplicates(["doc_id"]))
+           .where("y in (0, 1) and doc_id is not null").where(learn).groupBy("doc_id").agg(F.max("y").alias("y")))
     count = {r["y"]: r["n"] for r in one.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(count.values())
     drawn = stratified(one, "y", "doc_id", per_class)

@@ -58,10 +58,10 @@ def tokens(text: str | None) -> set[str]:
 def patterns(text: str | None, found: set[str]) -> list[int]:
     """Votes of the seed lexicon and of the pattern voters."""
     text = text or ""
-    upper = sum(map(str.isupper, text[::7]))           # every seventh character of the whole text
+    upper = sum(map(str.isupper, text))
     low = text.lower()
     return [1 if not found.isdisjoint(INSULTS) else 0,
-            1 if upper * 7 > 0.5 * max(len(text), 1) else 0,
+            1 if upper * 2 > len(text) else 0,
             1 if _ADDRESS.search(low) else 0,
             1 if "!!!" in text or "???" in text else 0,
             -1 if 0 < len(found) * 20 < len(text.split()) else 0]
