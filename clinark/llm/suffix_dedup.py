@@ -17,7 +17,8 @@ suffixes of the array; a window is the pair (l bytes to the left, LENGTH - l to
    orders at common-prefix lengths LENGTH - l and l gives classes, and two segments share
    the window at l if they agree in both classes. Cores with more than ``GROUP`` segments
    are first cut into narrower bands of l with a longer core, so that only segments that
-   also agree there meet.
+   also agree there meet; a band that is still that large is cut into single windows, which
+   are equal or not, so that they are counted (combined per task) and never meet.
 4. The spans found go back to all anchors of the segment and are merged per document.
 
 Defined cases: a NULL text has 0 bytes; texts shorter than ``LENGTH`` lose nothing; rows
@@ -48,6 +49,7 @@ _POSITION = np.uint64((1 << 24) - 1)
 
 _ANCHOR = "core long, seg long, doc_id long, key long, start long, hi int, size int"
 _SEGMENT = "core long, seg long, n long, hi int, content binary"
+_WINDOW = "core long, seg long, at int, digest long"
 
 
 def _digest(content: bytes, salt: int = 0) -> int:
@@ -302,17 +304,32 @@ def repeats(docs: DataFrame) -> DataFrame:
     same = keyed["doc_id"].eqNullSafe(wanted["doc_id"]) & (keyed["key"] == wanted["key"])
     content = stored(keyed.join(wanted, same).select("text", "wanted").mapInArrow(_slices, _SEGMENT)
                      .dropDuplicates(["core", "seg"]), "segments")
-    width = content.groupBy("core").agg(F.count(F.lit(1)).alias("c"))
-    large = width.where(F.col("c") > GROUP).select("core")
-    outcome = _sorted_match(content.join(large, "core", "left_anti"))
-    if not large.isEmpty():
-        outcome = outcome.unionByName(_split_match(content.join(large, "core")))
-    outcome = stored(outcome, "repeated-segments")
+    outcome = stored(_by_size(content, _split_match), "repeated-segments")
     whole = shared.where(~F.col("mixed")).select("doc_id", "key", "start", (F.col("start") + F.col("size")).alias("end"))
     part = shared.where("mixed").join(outcome, ["core", "seg"]).select(
         "doc_id", "key", (F.col("start") + F.col("s")).alias("start"), (F.col("start") + F.col("e")).alias("end"))
     return whole.unionByName(part).groupBy("doc_id", "key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of every window of the segments."""
+    for batch in batches:
+        for core, seg, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own = [_digest(content[i:i + LENGTH]) for i in range(len(content) - LENGTH + 1)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([core] * len(own)), pa.array([seg] * len(own)), pa.array(range(len(own)), pa.int32()),
+                 pa.array(own, pa.int64())], schema=arrow_schema(_WINDOW))
+
+
+def _window_match(content: DataFrame) -> DataFrame:
+    """The same for cores of any number of segments: their windows are counted."""
+    rows = stored(content.select("core", "seg", "content").mapInArrow(_windows, _WINDOW), "windows")
+    again = rows.groupBy("core", "digest").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    found = (rows.join(again, ["core", "digest"]).groupBy("core", "seg")
+             .agg(F.min("at").alias("s"), (F.max("at") + LENGTH).cast("int").alias("e")))
+    copies = content.where("n > 1").select("core", "seg", F.lit(0).alias("s"), F.octet_length("content").alias("e"))
+    return found.join(copies.select("core", "seg"), ["core", "seg"], "left_anti").unionByName(copies)
 
 
 def _sorted_match(content: DataFrame) -> DataFrame:
@@ -320,13 +337,21 @@ def _sorted_match(content: DataFrame) -> DataFrame:
             .mapInArrow(_match, "core long, seg long, s int, e int"))
 
 
+def _by_size(content: DataFrame, larger) -> DataFrame:
+    """Cores of up to ``GROUP`` segments sorted, those of more given to ``larger``."""
+    count = content.groupBy("core").agg(F.count(F.lit(1)).alias("c"))
+    large = count.where(F.col("c") > GROUP).select("core")
+    outcome = _sorted_match(content.join(large, "core", "left_anti"))
+    return outcome if large.isEmpty() else outcome.unionByName(larger(content.join(large, "core")))
+
+
 def _split_match(content: DataFrame) -> DataFrame:
     """The same for cores with many segments: bands with longer cores, equal bands counted first."""
     bands = stored(content.select("core", "seg", "hi", "content", "n").mapInArrow(
         _bands, "core0 long, seg0 long, at int, core long, seg long, hi int, content binary"), "bands")
-    one = bands.groupBy("core", "seg").agg(F.count(F.lit(1)).alias("n"), F.first("hi").alias("hi"),
-                                           F.first("content").alias("content"))
-    found = bands.drop("hi", "content").join(_sorted_match(one), ["core", "seg"])
+    one = stored(bands.groupBy("core", "seg").agg(F.count(F.lit(1)).alias("n"), F.first("hi").alias("hi"),
+                                                  F.first("content").alias("content")), "band-segments")
+    found = bands.drop("hi", "content").join(_by_size(one, _window_match), ["core", "seg"])
     spans = found.groupBy("core0", "seg0").agg(
         F.min(F.col("at") + F.col("s")).cast("int").alias("s"), F.max(F.col("at") + F.col("e")).cast("int").alias("e"))
     whole = content.where("n > 1").select("core", "seg", F.lit(0).alias("s"), F.octet_length("content").alias("e"))

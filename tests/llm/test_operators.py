@@ -163,7 +163,7 @@ def brute_repeats(rows, length=400):
     return sorted(out)
 
 
-@pytest.mark.parametrize("group", [suffix_dedup.GROUP, 2])
+@pytest.mark.parametrize("group", [suffix_dedup.GROUP, 2, 0])
 def test_suffix_dedup_equals_brute_force(spark, monkeypatch, group):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
     monkeypatch.setattr(suffix_dedup, "BLOCK", 3000)
@@ -175,6 +175,7 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, group):
             part[at] = "é"
         rows.append((20 + i, prose(30, i) + "".join(part) + prose(20, 50 + i)))
     rows += [(50, "ab" * 700), (51, None), (52, ""), (53, "x" * 400), (53, "x" * 400), (None, prose(90, 0))]
+    rows += [(None, prose(90, 1))] * 3       # equal rows without an id: their spans are gathered once
     got = suffix_dedup.dedup_text(frame(spark, rows)).collect()
     assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == brute_repeats(rows)
     cut = suffix_dedup.cut_text(frame(spark, rows))
