@@ -296,7 +296,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     found = stored(keyed.mapInArrow(_anchor_rows, _ANCHOR), "anchors")
     cores = (found.groupBy("core").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("x"), F.max("seg").alias("y"))
              .where("c > 1").select("core", (F.col("x") != F.col("y")).alias("mixed")))
-    shared = stored(found.join(cores, "core"), "shared-anchors")
+    # Written first: the adaptive planner splits a hot key only where both sides of a join are plain shuffles.
+    shared = stored(found.join(stored(cores, "cores"), "core"), "shared-anchors")
     segments = shared.where("mixed").groupBy("core", "seg").agg(
         F.count(F.lit(1)).alias("n"), *(F.first(c).alias(c) for c in ("doc_id", "key", "start", "hi", "size")))
     wanted = segments.groupBy("doc_id", "key").agg(
@@ -326,7 +327,7 @@ def _window_match(content: DataFrame) -> DataFrame:
     """The same for cores of any number of segments: their windows are counted."""
     rows = stored(content.select("core", "seg", "content").mapInArrow(_windows, _WINDOW), "windows")
     again = rows.groupBy("core", "digest").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    found = (rows.join(again, ["core", "digest"]).groupBy("core", "seg")
+    found = (rows.join(stored(again, "repeated-windows"), ["core", "digest"]).groupBy("core", "seg")
              .agg(F.min("at").alias("s"), (F.max("at") + LENGTH).cast("int").alias("e")))
     copies = content.where("n > 1").select("core", "seg", F.lit(0).alias("s"), F.octet_length("content").alias("e"))
     return found.join(copies.select("core", "seg"), ["core", "seg"], "left_anti").unionByName(copies)
