@@ -6,7 +6,7 @@ Commands
   ingest  --landing DIR --routed DIR --checkpoint DIR [--continuous SECONDS] [--archive DIR]
           route landed NDJSON lines by resource type (exactly once per checkpoint)
   job     --raw DIR --out DIR [--layout routed|directory] [--patient-key plain|hashed]
-          [--no-cluster] [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR]
+          [--no-cluster] [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR --jdbc-connections N]
           raw → clean → gold (+ optional JDBC loads); prints the load audit
   register --clean DIR [--db NAME] [--no-cluster]
           clean tables as external Parquet tables of a catalog database
@@ -23,6 +23,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from clinark.sources.jdbc import CONNECTIONS
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="clinark")
@@ -49,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--jdbc-password-env", default=None,
                    help="name of the environment variable holding the password")
     j.add_argument("--jdbc-driver", default=None)
+    j.add_argument("--jdbc-connections", type=int, default=CONNECTIONS,
+                   help="connections a table load opens at most")
     r = sub.add_parser("register")
     r.add_argument("--clean", required=True, help="the job's clean folder (<out>/clean)")
     r.add_argument("--db", default="medical")
@@ -87,7 +91,7 @@ def main(argv: list[str] | None = None) -> int:
                 props["password"] = os.environ[args.jdbc_password_env]
             if args.jdbc_driver:
                 props["driver"] = args.jdbc_driver
-            jdbc = JdbcTarget(args.jdbc_url, props)
+            jdbc = JdbcTarget(args.jdbc_url, props, num_partitions=args.jdbc_connections)
         audit = run_pipeline(spark, args.raw, args.out, layout=args.layout,
                              patient_key=args.patient_key, jdbc=jdbc, top_n=args.top_n,
                              cluster=not args.no_cluster)

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from clinark.operators import gold, normalize
 from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables, run_concurrently
 from clinark.schemas import conform
-from clinark.sources.jdbc import write_jdbc
-from clinark.sources.parquet import CLUSTERED_TABLES, read_clean, write_clustered, write_parquet
+from clinark.sources.jdbc import CONNECTIONS, write_jdbc
+from clinark.sources.parquet import CLUSTERED_TABLES, read_clean, remove, write_clustered, write_parquet
 from clinark.sources.raw import malformed_lines, read_raw, unmatched_lines
 
 CLEAN_JOBS = (
@@ -36,7 +36,7 @@ class JdbcTarget:
     url: str
     properties: dict[str, str] = field(default_factory=dict)
     batchsize: int = 10000
-    num_partitions: int | None = None
+    num_partitions: int = CONNECTIONS
 
 
 def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
@@ -47,14 +47,16 @@ def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
     is written, and both the statistics and the demographic splits are derived from
     it. The J1 fan-out is aggregated once per (code, name, gender, age group), written,
     and rolled up twice — the join runs once for both splits. Independent writes run
-    concurrently.
+    concurrently; the two intermediate tables are removed at the end.
     """
     cond = read_clean(spark, clean_root, "conditions", clustered=clustered)
     pts = read_clean(spark, clean_root, "patients", clustered=clustered)
     per_patient_path = f"{gold_root}/{PATIENT_DIAGNOSES}"
-    write_parquet(gold.patient_diagnoses(cond), per_patient_path)
-    per_patient = spark.read.parquet(per_patient_path)
+    per_patient = gold.patient_diagnoses(cond)
+    write_parquet(per_patient, per_patient_path)
+    per_patient = spark.read.schema(per_patient.schema).parquet(per_patient_path)
     pre_path = f"{gold_root}/{PRE_AGGREGATE}"
+    pre = gold.diagnosis_demographics(per_patient, pts)
 
     def out(name: str, df: DataFrame):
         return lambda: write_parquet(conform(df, name), f"{gold_root}/{name}")
@@ -65,16 +67,17 @@ def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
         "demographics_gender": out("demographics_gender", gold.demographics_gender(pts)),
         "demographics_age_group": out("demographics_age_group", gold.demographics_age_group(pts)),
         "demographics_geography": out("demographics_geography", gold.demographics_geography(pts)),
-        PRE_AGGREGATE: lambda: write_parquet(gold.diagnosis_demographics(per_patient, pts),
-                                             pre_path),
+        PRE_AGGREGATE: lambda: write_parquet(pre, pre_path),
     }, max_workers)
     first.pop(PRE_AGGREGATE)
-    pre = spark.read.parquet(pre_path)
+    pre = spark.read.schema(pre.schema).parquet(pre_path)
     second = run_concurrently({
         "diagnosis_by_gender": out("diagnosis_by_gender", gold.diagnosis_by_gender(None, None, pre)),
         "diagnosis_by_age_group": out("diagnosis_by_age_group",
                                       gold.diagnosis_by_age_group(None, None, pre)),
     }, max_workers)
+    for path in (per_patient_path, pre_path):
+        remove(spark, path)
     return {**first, **second}
 
 
@@ -134,8 +137,7 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
             tables = {n: conform(read_clean(spark, gold_root if n in GOLD_TABLES else clean_root,
                                             n, clustered=cluster and n in CLUSTERED_TABLES), n)
                       for n in SERVING_TABLES + ("medications",)}
-            loaded = load_tables(spark, tables, sink=sink).collect()
-            audit.extend((f"jdbc:{r['table']}", r["rows"]) for r in loaded)
+            audit.extend((f"jdbc:{n}", rows) for n, rows in load_tables(spark, tables, sink=sink).items())
     except Exception:
         # The ledger records the failed run too, with the counts reached (0 if none).
         append_run(spark, ledger, clean_rows.get("patients", 0),

@@ -315,7 +315,11 @@ SELECT resource_type, CAST(sum(n) AS BIGINT) AS lines FROM (
   UNION ALL SELECT 'Patient', count(*) FROM customer WHERE c_custkey % 53 = 0
   UNION ALL SELECT 'Encounter', count(*) FROM orders
   UNION ALL SELECT 'Condition', count(*) FROM lineitem
-  UNION ALL SELECT 'MedicationRequest', count(*) FROM lineitem) t
+  UNION ALL SELECT 'MedicationRequest', count(*) FROM lineitem
+  UNION ALL SELECT 'Observation', count(*) FROM orders WHERE o_orderkey % 61 = 0
+  UNION ALL SELECT '_unmatched', count(*) FROM orders WHERE o_orderkey % 67 = 0
+  UNION ALL SELECT '_unmatched', count(*) FROM orders WHERE o_orderkey % 71 = 0) t
+WHERE n > 0
 GROUP BY resource_type"""
     audit = _with(cp, cc, ce, _clean_medications(False).strip(), DIAG_STATS, GENDER_STATS,
                   AGE_STATS, GEO_STATS, JOINED, BY_GENDER, BY_AGE) + """
@@ -337,5 +341,12 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM clean_patients) AS patients_process
     q["pipeline_tables"] = audit + """
 UNION ALL SELECT 'corrupt:patients', 0 UNION ALL SELECT 'corrupt:conditions', 0
 UNION ALL SELECT 'corrupt:encounters', 0 UNION ALL SELECT 'corrupt:medications', 0
-UNION ALL SELECT 'unmatched', 0"""
+UNION ALL SELECT 'unmatched', (SELECT count(*) FROM orders WHERE o_orderkey % 67 = 0)
+                          + (SELECT count(*) FROM orders WHERE o_orderkey % 71 = 0)"""
+    q["raw_quarantine"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS resource, '{{\"resourceType\": \"{t}\", \"id\": ' || CAST(o_orderkey AS VARCHAR) AS line "
+        f"FROM orders WHERE o_orderkey % 71 = 0" for t in ("Patient", "Condition", "Encounter", "MedicationRequest"))
+    q["pipeline_diagnosis_statistics"] = _with(cc, DIAG_STATS) + "SELECT * FROM diag_stats"
+    q["pipeline_diagnosis_by_gender"] = q["diagnosis_by_gender"]
+    q["pipeline_diagnosis_by_age_group"] = q["diagnosis_by_age_group"]
     return q

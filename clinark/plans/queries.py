@@ -162,6 +162,55 @@ def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, f"{root}/raw", f"{root}/out", layout="routed")
 
 
+def _pipeline_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from clinark.plans.jobs import run_pipeline
+    from clinark.session import run_dir
+    from clinark.sources.landing import land_mixed
+    from clinark.sources.parquet import read_clean
+    from clinark.streaming.ingest import run_ingest
+    root = run_dir(spark, "pipeline")
+    land_mixed(spark, sf_dir, f"{root}/landing")
+    run_ingest(spark, f"{root}/landing", f"{root}/raw", f"{root}/_checkpoint")
+    run_pipeline(spark, f"{root}/raw", f"{root}/out", layout="routed")
+    return read_clean(spark, f"{root}/out/gold", name)
+
+
+def pipeline_diagnosis_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The diagnosis statistics that the batch job wrote."""
+    return _pipeline_gold(spark, sf_dir, "diagnosis_statistics")
+
+
+def pipeline_diagnosis_by_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The diagnoses by gender that the batch job wrote."""
+    return _pipeline_gold(spark, sf_dir, "diagnosis_by_gender")
+
+
+def pipeline_diagnosis_by_age_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The diagnoses by age group that the batch job wrote."""
+    return _pipeline_gold(spark, sf_dir, "diagnosis_by_age_group")
+
+
+def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of each resource's raw directory that are no JSON object, as the
+    quarantine tables hold them."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from clinark.session import run_dir
+    from clinark.sources.landing import land_by_type
+    from clinark.sources.parquet import write_parquet
+    from clinark.sources.raw import malformed_lines
+    root = run_dir(spark, "quarantine")
+    land_by_type(spark, sf_dir, f"{root}/raw")
+    tables = []
+    for resource in ("Patient", "Condition", "Encounter", "MedicationRequest"):
+        path = f"{root}/quarantine/{resource}"
+        write_parquet(malformed_lines(spark, f"{root}/raw", resource, layout="directory"), path)
+        tables.append(spark.read.schema("line string").parquet(path).select(F.lit(resource).alias("resource"), "line"))
+    return reduce(DataFrame.unionByName, tables)
+
+
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the clean tables, then the six gold tables built from the loaded clean
     tier; rows per load, observed during each write (every plan runs once)."""
@@ -173,10 +222,9 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = load_tables(spark, {"patients": d.patients, "conditions": d.conditions,
                                 "encounters": d.encounters,
                                 "medications": d.medications("plain")},
-                        root=f"{root}/clean").collect()
+                        root=f"{root}/clean")
     gold_rows = build_gold(spark, f"{root}/clean", f"{root}/gold")
-    return spark.createDataFrame([tuple(r) for r in clean] + list(gold_rows.items()),
-                                 AUDIT_SCHEMA)
+    return spark.createDataFrame(list((clean | gold_rows).items()), AUDIT_SCHEMA)
 
 
 def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,8 +238,7 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clinark.session import run_dir
     d = Dataset(spark, sf_dir)
     root = run_dir(spark, "ledger")
-    audit = dict(load_tables(spark, {"patients": d.patients, "conditions": d.conditions},
-                             root=root).collect())
+    audit = load_tables(spark, {"patients": d.patients, "conditions": d.conditions}, root=root)
     append_run(spark, f"{root}/pipeline_runs", audit["patients"], audit["conditions"])
     runs = read_runs(spark, f"{root}/pipeline_runs")
     return runs.select("patients_processed", "conditions_processed", "status",
@@ -206,6 +253,10 @@ WRITE_QUERIES: dict[str, Query] = {
     "catalog_tables": catalog_tables,
     "ingest_routed": ingest_routed,
     "pipeline_tables": pipeline_tables,
+    "pipeline_diagnosis_statistics": pipeline_diagnosis_statistics,
+    "pipeline_diagnosis_by_gender": pipeline_diagnosis_by_gender,
+    "pipeline_diagnosis_by_age_group": pipeline_diagnosis_by_age_group,
+    "raw_quarantine": raw_quarantine,
     "load_audit": load_audit,
     "run_ledger": run_ledger,
 }

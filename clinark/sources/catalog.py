@@ -21,6 +21,11 @@ def _ident(name: str) -> str:
     return name
 
 
+def _literal(text: str) -> str:
+    """A SQL text literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_clean(spark: SparkSession, root: str, db: str = DEFAULT_DB,
                    tables: tuple[str, ...] = CATALOG_TABLES, replace: bool = False,
                    db_location: str | None = None, clustered: bool = False) -> list[str]:
@@ -34,7 +39,7 @@ def register_clean(spark: SparkSession, root: str, db: str = DEFAULT_DB,
     query that filters on it reads only the matching folders.
     """
     db = _ident(db)
-    loc = " LOCATION '{}'".format(db_location.replace("'", "\\'")) if db_location else ""
+    loc = f" LOCATION {_literal(db_location)}" if db_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{loc}")
     names = []
     for t in tables:
@@ -44,12 +49,12 @@ def register_clean(spark: SparkSession, root: str, db: str = DEFAULT_DB,
         if parted:
             fields.append(PATIENT_BUCKET)
         cols = ", ".join(f"{name} STRING" for name in fields)
-        path = f"{root.rstrip('/')}/{t}".replace("'", "\\'")
+        path = _literal(f"{root.rstrip('/')}/{t}")
         if replace:
             spark.sql(f"DROP TABLE IF EXISTS {db}.{t}")
         part = f" PARTITIONED BY ({PATIENT_BUCKET})" if parted else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {db}.{t} ({cols}) USING PARQUET{part} "
-                  f"LOCATION '{path}'")
+                  f"LOCATION {path}")
         if parted:
             spark.sql(f"ALTER TABLE {db}.{t} RECOVER PARTITIONS")
         names.append(f"{db}.{t}")

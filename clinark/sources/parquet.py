@@ -42,6 +42,12 @@ def read_clean(spark: SparkSession, root: str, name: str, clustered: bool = Fals
     return spark.read.schema(clean_schema(name, clustered)).parquet(f"{root.rstrip('/')}/{name}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that this library wrote, on whichever file system holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_observed(df: DataFrame, write) -> int:
     """Run ``write(observed_df)`` and return the number of rows it wrote.
 

@@ -47,6 +47,15 @@ def test_jdbc_options():
     o = jdbc_writer_options("t", {"user": "u"}, batchsize=500, num_partitions=4)
     assert o == {"user": "u", "dbtable": "t", "batchsize": "500", "truncate": "false",
                  "numPartitions": "4"}
+    assert jdbc_writer_options("t")["numPartitions"] == "16"
+
+
+def test_jdbc_key_ranges_hold_every_row_once(spark):
+    from clinark.sources.jdbc import key_predicates
+    keys = spark.createDataFrame([(k,) for k in ("", "0a", "1", "9z", "a", "f00", "zz", "d'e", None)], "k string")
+    for bounds in ((), ("5",), tuple("123456789abcdef"), ("d'e", "e")):
+        held = [r["k"] for p in key_predicates("k", bounds) for r in keys.where(p).collect()]
+        assert sorted(held, key=str) == sorted((r["k"] for r in keys.collect()), key=str)
 
 
 def test_clustered_lookup_prunes_folder_and_row_groups(spark, tmp_path):
@@ -112,3 +121,5 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
     from clinark.sources.jdbc import read_jdbc
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:none://nowhere", "t", partition_column="id", lower_bound=0)
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://nowhere", "t", partition_column="id", predicates=["1 = 1"])
