@@ -7,8 +7,6 @@ conversion a ``try_`` variant, which give NULL as the raw data requires.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,11 +62,6 @@ def strip_prefix(c: Column | str, prefix: str) -> Column:
     return F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 2**31 - 1)).otherwise(c)
 
 
-def strip_prefix_regex(c: Column | str, prefix: str) -> Column:
-    """Reference form of ``strip_prefix`` (used by tests to check equivalence)."""
-    return F.regexp_replace(col(c), "^" + re.escape(prefix), "")
-
-
 # Folder column of patient-clustered clean tables; its value is the first characters
 # of the patient key (256 folders for SHA-256 hex keys).
 PATIENT_BUCKET = "patient_bucket"

@@ -60,6 +60,7 @@ def normalize_encounters(raw: DataFrame) -> DataFrame:
     )
 
 
+# Output columns of the medication table, in order.
 MED_COLUMNS = ["med_id", "patient_id", "encounter_id", "start_date", "drug_code", "drug_name",
                "dose", "route", "status"]
 

@@ -285,6 +285,7 @@ LIMIT 30"""
 SELECT gender, count, percentage FROM gender_stats ORDER BY count DESC, gender ASC NULLS FIRST"""
     q["patient_genders"] = _with(cp) + """
 SELECT DISTINCT lower(gender) AS gender FROM clean_patients WHERE gender IS NOT NULL ORDER BY 1"""
+    # Display rank of the age-group labels.
     q["age_ranked"] = _with(cp, AGE_STATS) + """
 SELECT age_group, count FROM age_stats
 ORDER BY CASE age_group WHEN '0-18' THEN 1 WHEN '19-25' THEN 2 WHEN '26-50' THEN 3

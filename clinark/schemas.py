@@ -89,7 +89,7 @@ RAW = {
     "MedicationRequest": MEDICATION_REQUEST,
 }
 
-# Clean tier: every column is a string.
+# Clean tier contracts; every column is a string.
 CLEAN = {
     "patients": StructType(_s("patient_id", "gender", "birth_year", "state", "city", "age_group")),
     "conditions": StructType(
@@ -106,7 +106,7 @@ CLEAN = {
 
 L = LongType()
 
-# Gold tier contracts (counts are bigint, the percentage a double).
+# Gold tier contracts (counts are bigint, the percentage a double).
 GOLD = {
     "diagnosis_statistics": StructType(
         _s("icd_code", "diagnosis_name")

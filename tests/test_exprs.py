@@ -55,5 +55,5 @@ def test_strip_prefix_matches_regex_form(spark):
             "patient/x", "Patient/ü"]
     df = spark.createDataFrame([(v,) for v in vals], "r string")
     a = [r[0] for r in df.select(X.strip_prefix("r", "Patient/")).collect()]
-    b = [r[0] for r in df.select(X.strip_prefix_regex("r", "Patient/")).collect()]
+    b = [r[0] for r in df.select(F.regexp_replace("r", "^Patient/", "")).collect()]
     assert a == b
