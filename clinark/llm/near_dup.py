@@ -5,8 +5,8 @@ one bin with the value i + r; a later round only fills bins that are still empty
 last ``COORDINATES`` rounds place every shingle in one given bin, so each coordinate is
 filled whatever the set's size. One pass over a large set is enough (the sketch costs
 n + t log t, not n * t), and coordinate agreement concentrates around the similarity as
-for independent minima. ``BANDS`` x ``ROWS``: a pair at 0.85 shares a band except with
-probability (1 - 0.85**5)**25 = 4e-7.
+for independent minima. ``bands_for`` gives the number of bands of ``ROWS`` at which a pair at
+the wanted similarity shares none with probability ``MISS`` at most (25 at 0.85, 37 at 0.8).
 
 Whole job without all pairs. (1) Documents with equal shingle sets (128-bit sum of the
 set) form one class; only its smallest id goes on. (2) Band buckets of two or more classes
@@ -26,6 +26,7 @@ an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,14 @@ from clinark.llm.components import components
 SHINGLE = 5
 PERCENT = 85
 ROWS = 5
-BANDS = 25
+MISS = 5e-7
+
+
+def bands_for(percent: int) -> int:
+    return 1 if percent >= 100 else math.ceil(math.log(MISS) / math.log1p(-(percent / 100) ** ROWS))
+
+
+BANDS = bands_for(PERCENT)
 COORDINATES = ROWS * BANDS
 BLOCK_MEMBERS = 512
 BLOCK_SHINGLES = 1 << 19
@@ -97,27 +105,30 @@ def sketch(hashes: np.ndarray, bounds: np.ndarray, coordinates: int = COORDINATE
 
 
 def band_keys(sketches: np.ndarray) -> np.ndarray:
-    parts = sketches.reshape(len(sketches), BANDS, ROWS)
+    bands = sketches.shape[1] // ROWS
+    parts = sketches.reshape(len(sketches), bands, ROWS)
     key = (parts * _STEP[:ROWS]).sum(axis=2, dtype=np.uint64)
-    return mix(key + np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP[6]).view(np.int64)
+    return mix(key + np.arange(1, bands + 1, dtype=np.uint64) * _STEP[6]).view(np.int64)
 
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()),
                      ("bands", pa.list_(pa.int64()))])
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = text_bytes(batch.column(1))
-        for a, b in chunks(offsets):
-            hashes, bounds = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-            sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ _STEP[j]), dtype=np.uint64)])
-                    for j in (4, 5)]
-            prints = [pa.array((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64)) for s in sums]
-            keys = band_keys(sketch(hashes, bounds))
-            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), keys.reshape(-1))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(np.diff(bounds)), *prints, lists], schema=_SKETCH)
+def _sketches(bands: int):
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(1))
+            for a, b in chunks(offsets):
+                hashes, bounds = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ _STEP[j]), dtype=np.uint64)])
+                        for j in (4, 5)]
+                prints = [pa.array((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64)) for s in sums]
+                keys = band_keys(sketch(hashes, bounds, bands * ROWS))
+                lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), keys.reshape(-1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(np.diff(bounds)), *prints, lists], schema=_SKETCH)
+    return sketches
 
 
 def _check(percent: int):
@@ -201,8 +212,8 @@ def _blocked(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_shingles, class_id, component_id, kept."""
     texts = docs.select("doc_id", "text")
-    sketches = stored(texts.mapInArrow(_sketches, "doc_id long, n_shingles long, fp1 long, fp2 long, bands array<long>"),
-                      "sketches")
+    sketches = stored(texts.mapInArrow(_sketches(bands_for(percent)), "doc_id long, n_shingles long, fp1 long, fp2 long, "
+                                       "bands array<long>"), "sketches")
     key = ["n_shingles", "fp1", "fp2"]
     classes = stored(sketches.where("n_shingles > 0 and doc_id is not null").groupBy(*key)
                      .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")

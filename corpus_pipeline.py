@@ -6,7 +6,7 @@ extra columns keep them. Stage by stage:
 
 - language_id drops documents without letters, or whose main language labels under half of
   the letters;
-- near_dedup keeps the smallest doc_id of each group of near copies;
+- near_dedup keeps the smallest doc_id of each group of near copies (similarity 0.8 or more);
 - suffix_dedup takes out byte strings of 400 and more that repeat, and sets n_chars anew;
 - decontaminate drops documents that hold a benchmark window;
 - mix gives each document its source's target and the words the mix takes of it.
@@ -21,6 +21,7 @@ from clinark.llm import contamination, language, mixing, near_dup, suffix_dedup
 from clinark.llm.common import read_table, stored
 
 MIN_LANGUAGE_SHARE = 0.5
+NEAR_PERCENT = 80
 ORACLE_SQL = None
 
 
@@ -30,7 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that repeat a doc_id count as copies; rows without one are kept."""
-    dropped = near_dup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_id")).distinct()
+    dropped = near_dup.near_duplicates(docs, NEAR_PERCENT).where("not kept").select(F.col("doc_id").alias("_id")).distinct()
     once = docs.withColumn("_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
     once = once.dropDuplicates(["doc_id", "_row"]).drop("_row")
     return once.join(dropped, F.col("doc_id") == F.col("_id"), "left_anti")

@@ -126,6 +126,28 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(rows)
 
 
+def test_bands_follow_the_wanted_similarity():
+    assert near_dup.bands_for(85) == near_dup.BANDS == 25
+    for percent in (50, 70, 80, 85, 95, 100):
+        assert (1 - (percent / 100) ** near_dup.ROWS) ** near_dup.bands_for(percent) <= near_dup.MISS
+
+
+def test_pipeline_drops_near_copies_from_080(spark, tmp_path):
+    import corpus_pipeline
+    rows = [(i, prose(200, i)) for i in range(12)]
+    for at in (3, 4, 8):                     # one, two and four words changed: 191/201, 186/206 and 176/216 = 0.81
+        words = rows[at][1].split()
+        for place in range(20, 20 + 40 * min(at // 2, 4), 40):
+            words[place] = "qqqq"
+        rows.append((100 + at, " ".join(words)))
+    words = rows[5][1].split()
+    for place in range(10, 190, 36):         # five words: 171/221 = 0.77 stays
+        words[place] = "qqqq"
+    rows.append((105, " ".join(words)))
+    kept = corpus_pipeline.near_dedup(spark, frame(spark, rows), str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == set(range(12)) | {105}
+
+
 def test_near_duplicate_edges(edge, none):
     rows = near_dup.near_duplicates(edge).collect()
     assert len(rows) == len(EDGE)
