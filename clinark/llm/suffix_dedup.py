@@ -21,6 +21,13 @@ suffixes of the array; a window is the pair (l bytes to the left, LENGTH - l to
    are equal or not, so that they are counted (combined per task) and never meet.
 4. The spans found go back to all anchors of the segment and are merged per document.
 
+Passages. ``cut_text`` takes out, besides these strings, every passage of ``words`` words
+(runs of bytes other than blank and \\x09-\\x0D, compared byte for byte with what is between
+them) that occurs again, however few bytes it has. The steps are the same over words: a window
+is ``words`` words, its anchor the word where its smallest hash of ``CORE_WORDS`` words starts,
+and the arrays sort 64-bit digests of words and of what is between them. Cores with more than
+``GROUP`` segments go to single windows at once.
+
 Defined cases: a NULL text has 0 bytes; texts shorter than ``LENGTH`` lose nothing; rows
 that repeat a doc_id are documents of their own (a NULL doc_id too); an empty table gives
 no rows; extra columns are ignored.
@@ -36,20 +43,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinark.llm.common import arrow_schema, chunks, prefix_hash, read_table, span_hash, stored, text_bytes
+from clinark.llm.common import (NOT_BLANK, arrow_schema, chunks, prefix_hash, read_table, span_hash, stored, text_bytes,
+                                word_spans)
 
 LENGTH = 400
 CORE = 100
+CORE_WORDS = 13
 SHALLOW = 48
 GROUP = 4096
 BAND = 50
 BATCH = 8192
 BLOCK = 1 << 20
 _POSITION = np.uint64((1 << 24) - 1)
+_WORD_POSITION = np.uint64((1 << 32) - 1)
 
 _ANCHOR = "core long, seg long, doc_id long, key long, start long, hi int, size int"
 _SEGMENT = "core long, seg long, n long, hi int, content binary"
-_WINDOW = "core long, seg long, at int, digest long"
+_WINDOW = "core long, seg long, at int, until int, digest long"
 
 
 def _digest(content: bytes, salt: int = 0) -> int:
@@ -109,6 +119,44 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     schema=arrow_schema(_ANCHOR))
 
 
+def word_anchors(data: np.ndarray, offsets: np.ndarray, words: int):
+    """(core hash, first byte, end byte, words left of the anchor, windows) of every run of windows with one anchor."""
+    starts, ends = word_spans(data, offsets, NOT_BLANK)
+    none = np.zeros(0, np.int64)
+    if len(starts) < words:
+        return none.astype(np.uint64), none, none, none, none
+    at = np.arange(len(starts) - CORE_WORDS + 1)
+    grams = span_hash(prefix_hash(data), starts[at], ends[at + CORE_WORDS - 1])
+    low = window_minimum((grams & ~_WORD_POSITION) | at.astype(np.uint64), words - CORE_WORDS + 1)
+    row = np.searchsorted(offsets, starts, side="right")
+    window = np.flatnonzero(row[:len(low)] == row[words - 1:])
+    anchor = (low[window] & _WORD_POSITION).astype(np.int64)
+    new = np.ones(len(window), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(window)) - 1
+    anchor, first, last = anchor[first], window[first], window[last]
+    return grams[anchor], starts[first], ends[last + words - 1], anchor - first, last - first + 1
+
+
+def _word_anchor_rows(words: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(2))
+            for a, b in chunks(offsets, BLOCK):
+                piece, bounds = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+                core, first, end, hi, _ = word_anchors(piece, bounds, words)
+                owner = np.searchsorted(bounds, first, side="right") - 1
+                raw = piece.tobytes()
+                seg = [_digest(raw[x:y]) for x, y in zip(first.tolist(), end.tolist(), strict=True)]
+                take = pa.array(owner + a)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(core.view(np.int64)), pa.array(seg, pa.int64()), batch.column(0).take(take),
+                     batch.column(1).take(take), pa.array(first - bounds[owner]), pa.array(hi.astype(np.int32)),
+                     pa.array((end - first).astype(np.int32))], schema=arrow_schema(_ANCHOR))
+    return rows
+
+
 # -- local sorting --------------------------------------------------------------------------
 
 def _common(x: bytes, y: bytes) -> int:
@@ -215,18 +263,31 @@ def _class_source(strings: list[bytes], groups: np.ndarray) -> tuple[np.ndarray,
 
 def repeated_spans(contents: list[bytes], hi: np.ndarray, groups: np.ndarray, length: int = LENGTH):
     """First and last repeated window start in each segment (-1 where none), given different segments."""
-    n = len(contents)
-    size = np.array([len(c) for c in contents])
-    lo = hi - (size - length)
-    right = _class_source([c[h:] for c, h in zip(contents, hi.tolist(), strict=True)], groups)
-    left = _class_source([c[:h][::-1] for c, h in zip(contents, hi.tolist(), strict=True)], groups)
+    lo = hi - (np.array([len(c) for c in contents]) - length)
+    right = [c[h:] for c, h in zip(contents, hi.tolist(), strict=True)]
+    left = [c[:h][::-1] for c, h in zip(contents, hi.tolist(), strict=True)]
+    return _shared_windows(right, left, lo, hi, groups, lambda cut: (length - cut, cut))
+
+
+def repeated_passages(tokens: list[np.ndarray], hi: np.ndarray, groups: np.ndarray, words: int):
+    """The same in words: a segment's tokens are its words and, between them, what separates them."""
+    lo = hi - (np.array([len(t) // 2 + 1 for t in tokens]) - words)
+    right = [t[2 * h:].tobytes() for t, h in zip(tokens, hi.tolist(), strict=True)]
+    left = [t[:2 * h][::-1].tobytes() for t, h in zip(tokens, hi.tolist(), strict=True)]
+    return _shared_windows(right, left, lo, hi, groups, lambda cut: (8 * (2 * (words - cut) - 1), 16 * cut))
+
+
+def _shared_windows(right: list[bytes], left: list[bytes], lo: np.ndarray, hi: np.ndarray, groups: np.ndarray, least_of):
+    """``least_of`` gives the bytes right and left of the anchor that a window at ``cut`` has."""
+    n = len(right)
+    right, left = _class_source(right, groups), _class_source(left, groups)
     top, bottom = np.full(n, -1), np.full(n, -1)
     for cut in range(int(lo.min()), int(hi.max()) + 1):
         rows = np.flatnonzero((lo <= cut) & (cut <= hi))
         if len(rows) < 2:
             continue
         key = np.zeros(n, np.int64)
-        for (order, shared), least in ((right, length - cut), (left, cut)):
+        for (order, shared), least in zip((right, left), least_of(cut), strict=True):
             cls = np.empty(n, np.int64)
             cls[order] = np.cumsum(shared < least)
             key = key * (n + 1) + cls
@@ -237,7 +298,33 @@ def repeated_spans(contents: list[bytes], hi: np.ndarray, groups: np.ndarray, le
     return np.where(top < 0, -1, hi - top), np.where(bottom < 0, -1, hi - bottom)
 
 
-def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _byte_spans(contents: list[bytes], hi: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first, last = repeated_spans(contents, hi, groups)
+    return first, last + LENGTH
+
+
+def _content_words(content: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return word_spans(np.frombuffer(content, np.uint8), np.array([0, len(content)]), NOT_BLANK)
+
+
+def _passage_spans(words: int):
+    def spans(contents: list[bytes], hi: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        places, tokens = [_content_words(c) for c in contents], []
+        for content, (starts, ends) in zip(contents, places, strict=True):
+            edges = np.empty(2 * len(starts), np.int64)
+            edges[::2], edges[1::2] = starts, ends
+            tokens.append(span_hash(prefix_hash(np.frombuffer(content, np.uint8)), edges[:-1], edges[1:]))
+        first, last = repeated_passages(tokens, hi, groups, words)
+        end = [p[1][w + words - 1] if w >= 0 else -1 for p, w in zip(places, last.tolist(), strict=True)]
+        return np.array([p[0][w] if w >= 0 else -1 for p, w in zip(places, first.tolist(), strict=True)]), np.array(end)
+    return spans
+
+
+def _match(spans_of):
+    return lambda batches: _matched(batches, spans_of)
+
+
+def _matched(batches: Iterator[pa.RecordBatch], spans_of) -> Iterator[pa.RecordBatch]:
     """Segments sorted by core in; (core, seg, first, end) of what repeats out."""
     schema = arrow_schema("core long, seg long, s int, e int")
     held: list[tuple] = []
@@ -245,8 +332,8 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def done(rows):
         core, seg, n, hi, content = zip(*rows, strict=True)
         hi, copies, size = np.array(hi, np.int64), np.array(n), np.array([len(c) for c in content])
-        first, last = repeated_spans(list(content), hi, np.unique(np.array(core), return_inverse=True)[1])
-        first, end = np.where(copies > 1, 0, first), np.where(copies > 1, size, last + LENGTH)
+        first, end = spans_of(list(content), hi, np.unique(np.array(core), return_inverse=True)[1])
+        first, end = np.where(copies > 1, 0, first), np.where(copies > 1, size, end)
         keep = np.flatnonzero(first >= 0)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.array(core)[keep]), pa.array(np.array(seg)[keep]), pa.array(first[keep].astype(np.int32)),
@@ -290,10 +377,17 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, spans): the byte spans of each document that repeat; key is the text's hash."""
+def repeats(docs: DataFrame, words: int | None = None) -> DataFrame:
+    """(doc_id, key, spans): the byte spans of each document that repeat; key is the text's hash.
+    Strings of ``LENGTH`` bytes, or passages of ``words`` words."""
+    anchor_rows, spans_of, windows, larger = _anchor_rows, _byte_spans, _windows, _split_match
+    if words is not None:
+        if words <= CORE_WORDS:
+            raise ValueError(f"passages need more than {CORE_WORDS} words")
+        anchor_rows, spans_of, windows = _word_anchor_rows(words), _passage_spans(words), _word_windows(words)
+        larger = lambda content: _window_match(content, windows)
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    found = stored(keyed.mapInArrow(_anchor_rows, _ANCHOR), "anchors")
+    found = stored(keyed.mapInArrow(anchor_rows, _ANCHOR), "anchors")
     cores = (found.groupBy("core").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("x"), F.max("seg").alias("y"))
              .where("c > 1").select("core", (F.col("x") != F.col("y")).alias("mixed")))
     # Written first: the adaptive planner splits a hot key only where both sides of a join are plain shuffles.
@@ -305,7 +399,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     same = keyed["doc_id"].eqNullSafe(wanted["doc_id"]) & (keyed["key"] == wanted["key"])
     content = stored(keyed.join(wanted, same).select("text", "wanted").mapInArrow(_slices, _SEGMENT)
                      .dropDuplicates(["core", "seg"]), "segments")
-    outcome = stored(_by_size(content, _split_match), "repeated-segments")
+    outcome = stored(_by_size(content, larger, spans_of), "repeated-segments")
     whole = shared.where(~F.col("mixed")).select("doc_id", "key", "start", (F.col("start") + F.col("size")).alias("end"))
     part = shared.where("mixed").join(outcome, ["core", "seg"]).select(
         "doc_id", "key", (F.col("start") + F.col("s")).alias("start"), (F.col("start") + F.col("e")).alias("end"))
@@ -313,36 +407,49 @@ def repeats(docs: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
 
 
+def _window_rows(core: int, seg: int, content: bytes, at: list[int], until: list[int]) -> pa.RecordBatch:
+    own = [_digest(content[i:j]) for i, j in zip(at, until, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([core] * len(own), pa.int64()), pa.array([seg] * len(own), pa.int64()), pa.array(at, pa.int32()),
+         pa.array(until, pa.int32()), pa.array(own, pa.int64())], schema=arrow_schema(_WINDOW))
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digests of every window of the segments."""
     for batch in batches:
         for core, seg, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            own = [_digest(content[i:i + LENGTH]) for i in range(len(content) - LENGTH + 1)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([core] * len(own)), pa.array([seg] * len(own)), pa.array(range(len(own)), pa.int32()),
-                 pa.array(own, pa.int64())], schema=arrow_schema(_WINDOW))
+            yield _window_rows(core, seg, content, list(range(len(content) - LENGTH + 1)), list(range(LENGTH, len(content) + 1)))
+
+
+def _word_windows(words: int):
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for core, seg, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                starts, ends = _content_words(content)
+                yield _window_rows(core, seg, content, starts[:len(starts) - words + 1].tolist(), ends[words - 1:].tolist())
+    return windows
 
 
-def _window_match(content: DataFrame) -> DataFrame:
+def _window_match(content: DataFrame, windows=_windows) -> DataFrame:
     """The same for cores of any number of segments: their windows are counted."""
-    rows = stored(content.select("core", "seg", "content").mapInArrow(_windows, _WINDOW), "windows")
+    rows = stored(content.select("core", "seg", "content").mapInArrow(windows, _WINDOW), "windows")
     again = rows.groupBy("core", "digest").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     found = (rows.join(stored(again, "repeated-windows"), ["core", "digest"]).groupBy("core", "seg")
-             .agg(F.min("at").alias("s"), (F.max("at") + LENGTH).cast("int").alias("e")))
+             .agg(F.min("at").alias("s"), F.max("until").alias("e")))
     copies = content.where("n > 1").select("core", "seg", F.lit(0).alias("s"), F.octet_length("content").alias("e"))
     return found.join(copies.select("core", "seg"), ["core", "seg"], "left_anti").unionByName(copies)
 
 
-def _sorted_match(content: DataFrame) -> DataFrame:
+def _sorted_match(content: DataFrame, spans_of) -> DataFrame:
     return (content.repartition("core").sortWithinPartitions("core").select("core", "seg", "n", "hi", "content")
-            .mapInArrow(_match, "core long, seg long, s int, e int"))
+            .mapInArrow(_match(spans_of), "core long, seg long, s int, e int"))
 
 
-def _by_size(content: DataFrame, larger) -> DataFrame:
+def _by_size(content: DataFrame, larger, spans_of=_byte_spans) -> DataFrame:
     """Cores of up to ``GROUP`` segments sorted, those of more given to ``larger``."""
     count = content.groupBy("core").agg(F.count(F.lit(1)).alias("c"))
     large = count.where(F.col("c") > GROUP).select("core")
-    outcome = _sorted_match(content.join(large, "core", "left_anti"))
+    outcome = _sorted_match(content.join(large, "core", "left_anti"), spans_of)
     return outcome if large.isEmpty() else outcome.unionByName(larger(content.join(large, "core")))
 
 
@@ -397,8 +504,9 @@ def dedup_text(docs: DataFrame) -> DataFrame:
         _result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
 
 
-def cut_text(docs: DataFrame) -> DataFrame:
-    """``docs`` with every repeated byte string taken out of ``text``; other columns stay as they are."""
+def cut_text(docs: DataFrame, words: int | None = None) -> DataFrame:
+    """``docs`` with every repeated byte string (and passage of ``words`` words) taken out of ``text``; other
+    columns stay as they are."""
     names = docs.columns
     place = names.index("text")
 
@@ -412,7 +520,11 @@ def cut_text(docs: DataFrame) -> DataFrame:
             columns[place] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    spans = repeats(docs).select(F.col("doc_id").alias("_r_id"), F.col("key").alias("_r_key"), F.col("spans").alias("_spans"))
+    found = repeats(docs)
+    if words is not None:
+        found = found.unionByName(repeats(docs, words)).groupBy("doc_id", "key").agg(
+            F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    spans = found.select(F.col("doc_id").alias("_r_id"), F.col("key").alias("_r_key"), F.col("spans").alias("_spans"))
     same = F.col("doc_id").eqNullSafe(F.col("_r_id")) & (F.xxhash64("text") == F.col("_r_key"))
     return docs.join(spans, same, "left").drop("_r_id", "_r_key").mapInArrow(cut, docs.schema)
 

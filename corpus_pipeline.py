@@ -7,7 +7,8 @@ extra columns keep them. Stage by stage:
 - language_id drops documents without letters, or whose main language labels under half of
   the letters;
 - near_dedup keeps the smallest doc_id of each group of near copies (similarity 0.8 or more);
-- suffix_dedup takes out byte strings of 400 and more that repeat, and sets n_chars anew;
+- suffix_dedup takes out byte strings of 400 and more, and passages of over 50 words, that
+  repeat, and sets n_chars anew;
 - decontaminate drops documents that hold a benchmark window;
 - mix gives each document its source's target and the words the mix takes of it.
 """
@@ -22,6 +23,7 @@ from clinark.llm.common import read_table, stored
 
 MIN_LANGUAGE_SHARE = 0.5
 NEAR_PERCENT = 80
+PASSAGE_WORDS = 51
 ORACLE_SQL = None
 
 
@@ -38,7 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = suffix_dedup.cut_text(docs)
+    cut = suffix_dedup.cut_text(docs, PASSAGE_WORDS)
     if "n_chars" not in docs.columns:
         return cut
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and their defined edge cases."""
 
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -204,6 +205,54 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, group):
     assert cut.columns == frame(spark, rows).columns and cut.count() == len(rows)
 
 
+def brute_passages(texts, words):
+    """Texts without what repeats as ``words`` words or as 400 bytes."""
+    def windows(t):
+        at = [m.span() for m in re.finditer(rb"[^ \t-\r]+", t)]
+        yield from ((a, b) for (a, _), (_, b) in zip(at, at[words - 1:], strict=False))
+        yield from ((s, s + 400) for s in range(len(t) - 399))
+    texts = [(t or "").encode() for t in texts]
+    seen = Counter(t[a:b] for t in texts for a, b in set(windows(t)))
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t), bool)
+        for a, b in windows(t):
+            if seen[t[a:b]] > 1:
+                gone[a:b] = True
+        out.append(bytes(np.frombuffer(t, np.uint8)[~gone]).decode("utf-8", "ignore"))
+    return out
+
+
+@pytest.mark.parametrize("group", [suffix_dedup.GROUP, 2, 0])
+def test_passages_equal_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    rng = np.random.default_rng(13)
+    short = " ".join(rng.choice(["a", "bc", "de", "fgh", "ij"], 53))
+    rows = [(i, prose(120, 700 + i)) for i in range(6)]
+    for i in range(14):                      # passages of 45 to 70 words in different surroundings
+        a = int(rng.integers(0, 60))
+        words = BASE.split()[a:a + int(rng.integers(45, 70))]
+        if i % 4 == 0:
+            words[int(rng.integers(len(words)))] += "\n"
+        rows.append((20 + i, f"{prose(30, i)}  {' '.join(words)}\t{prose(20, 50 + i)}"))
+    rows += [(60 + i, f"{prose(40, 300 + i)} {short} {prose(40, 400 + i)}") for i in range(3)]
+    rows += [(70, "é" + short[1:]), (71, None), (72, ""), (73, "x" * 900), (None, prose(70, 0)), (None, prose(70, 0))]
+    cut = suffix_dedup.cut_text(frame(spark, rows), 51).collect()
+    want = brute_passages([t for _, t in rows], 51)
+    assert sorted(r["text"] or "" for r in cut) == sorted(want)
+
+
+def test_pipeline_cuts_passages_of_51_words(spark, tmp_path):
+    import corpus_pipeline
+    passage = " ".join(np.random.default_rng(5).choice([w for w in VOCAB if len(w) < 5], 51))
+    assert len(passage) < 300
+    rows = [(i, f"{prose(60, i)} {passage} {prose(60, 90 + i)}") for i in (1, 2)]
+    rows += [(i, f"{prose(60, i)} {passage.rsplit(' ', 1)[0]} {prose(60, 90 + i)}") for i in (3,)]
+    got = by_id(corpus_pipeline.suffix_array_dedup(spark, frame(spark, rows), str(tmp_path)))
+    assert got[1]["text"] == f"{prose(60, 1)}  {prose(60, 91)}" and got[2]["text"] == f"{prose(60, 2)}  {prose(60, 92)}"
+    assert got[3]["text"] == rows[2][1]
+
+
 def test_deep_shallow_sorts_like_python():
     rng = np.random.default_rng(2)
     strings = [bytes(rng.integers(97, 99, rng.integers(0, 12)).astype(np.uint8)) for _ in range(300)]
