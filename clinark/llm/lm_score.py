@@ -8,7 +8,7 @@ counts over all documents. The most frequent tokens are classes of their own, th
 share the rest by hash; tokens are words by a 16-bit hash, so the tables have a fixed size.
 
 Corpus statistics: token counts of every document, summed in Spark. Training: every task
-runs minibatch descent over its share of a hashed ``FRACTION`` of the documents, from the
+runs minibatch descent over its share of the documents, all of them, from the
 same weights; the weights are averaged by token counts in Spark (local descent with model
 averaging, ``ROUNDS`` times), so what is gathered grows with the input and what reaches
 the driver is one set of weights.
@@ -32,7 +32,6 @@ from clinark.llm.common import NOT_BLANK, arrow_schema, chunks, read_table, row_
 BUCKETS = 1 << 16
 CLASSES, OWN = 128, 96
 SIDE, WIDTH, HIDDEN = 2, 12, 32
-FRACTION = 8
 ROUNDS, MINIBATCH, RATE = 2, 256, 0.2
 BLOCK = 8192
 SEED = 9
@@ -123,7 +122,8 @@ def descend(weights: dict, around: np.ndarray, target: np.ndarray, rate: float)
     weights["out_bias"] -= p.sum(axis=0)
     weights["hidden"] -= x.T @ back
     weights["hidden_bias"] -= back.sum(axis=0)
-    np.subtract.at(weights["embed"], around.ravel(), into.reshape(-1, WIDTH))
+    slot = around.ravel()[:, None] * WIDTH + np.arange(WIDTH)
+    weights["embed"] -= np.bincount(slot.ravel(), into.ravel(), weights["embed"].size).reshape(-1, WIDTH)
 
 
 def class_log_probs(weights: dict, around: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -156,7 +156,7 @@ def _train(weights: dict, cls: np.ndarray, turn: int):
     return train
 
 
-def learn(docs: DataFrame, rounds: int = ROUNDS, fraction: int = FRACTION) -> tuple[dict, np.ndarray, np.ndarray]:
+def learn(docs: DataFrame, rounds: int = ROUNDS) -> tuple[dict, np.ndarray, np.ndarray]:
     """(weights, class of each bucket, log-probability of the bucket given its class)."""
     texts = docs.select("text")
     got = texts.mapInArrow(_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
@@ -164,9 +164,8 @@ def learn(docs: DataFrame, rounds: int = ROUNDS, fraction: int = FRACTION) -> tu
     count[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
     cls, log_p = class_tables(count)
     weights = new_weights()
-    drawn = docs.where(F.pmod(F.xxhash64(F.lit(SEED), "text"), F.lit(fraction)) == 0).select("text")
     for turn in range(rounds):
-        mean = (drawn.mapInArrow(_train(weights, cls, turn), "slot long, w double, n long")
+        mean = (texts.mapInArrow(_train(weights, cls, turn), "slot long, w double, n long")
                 .groupBy("slot").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow())
         if len(mean):
             values = np.zeros(flat(weights).size)

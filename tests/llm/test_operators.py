@@ -377,6 +377,12 @@ def test_lm_scores_and_gradient(spark, edge, none):
     assert got[4]["log_likelihood"] == pytest.approx(each.sum())
 
 
+def test_lm_trains_on_every_document(spark):
+    for text in ("aa bb cc dd " * 50, "ee ff gg hh " * 50, "ii jj kk ll " * 50, "mm nn oo pp " * 50):
+        weights = lm_score.learn(spark.createDataFrame([(1, text)], "doc_id long, text string"))[0]
+        assert not np.allclose(lm_score.flat(weights), lm_score.flat(lm_score.new_weights()))
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
     rows = [(i, prose(200, i)) for i in range(30)] + [(100, prose(200, 3)), (101, "12 34"), (102, None)]
