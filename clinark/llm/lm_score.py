@@ -5,13 +5,18 @@ score is the sum of the conditional log-probabilities. A token's probability has
 factors: its class given the window, from the network (embeddings of ``SIDE`` tokens on
 each side, a tanh layer, a softmax over ``CLASSES``), and the token given its class, from
 counts over all documents. The most frequent tokens are classes of their own, the others
-share the rest by hash; tokens are words by a 16-bit hash, so the tables have a fixed size.
+share the rest by hash; tokens are words by a 64-bit hash, and only the classes are fixed.
 
-Corpus statistics: token counts of every document, summed in Spark. Training: every task
-runs minibatch descent over its share of the documents, all of them, from the
-same weights; the weights are averaged by token counts in Spark (local descent with model
-averaging, ``ROUNDS`` times), so what is gathered grows with the input and what reaches
-the driver is one set of weights.
+Corpus statistics: token counts of every document, summed in Spark to a table with a row
+for each token, however many there are. A class without a token of its own keeps a mass of
+``SMOOTH`` for a token never counted. The driver holds the ``OWN`` tokens and the classes'
+masses. Training: every task runs minibatch descent over its share of the documents, all of
+them, from the same weights; the weights are averaged by token counts in Spark (local
+descent with model averaging, ``ROUNDS`` times), so what is gathered grows with the input
+and what reaches the driver is one set of weights.
+
+Scoring: one pass gives each row's class log-probabilities and its distinct tokens with
+their counts; the tokens are joined to the table and summed per row.
 
 Defined cases: NULL or wordless texts have no tokens, likelihood 0 and a NULL mean; a
 one-token text is predicted from padding; NULL or repeated ids are scored like any row; an
@@ -27,21 +32,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinark.llm.common import NOT_BLANK, arrow_schema, chunks, read_table, row_words, text_bytes
+from clinark.llm.common import NOT_BLANK, arrow_schema, chunks, read_table, row_words, stored, text_bytes
 
-BUCKETS = 1 << 16
 CLASSES, OWN = 128, 96
 SIDE, WIDTH, HIDDEN = 2, 12, 32
 ROUNDS, MINIBATCH, RATE = 2, 256, 0.2
 BLOCK = 8192
 SEED = 9
 SMOOTH = 0.5
+COUNTED = 1 << 20
 
 
 def buckets_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Token buckets of a chunk of texts and the rows' bounds in them."""
+    """Tokens (64-bit word hashes) of a chunk of texts and the rows' bounds in them."""
     hashes, bounds = row_words(data, offsets, NOT_BLANK)
-    return (hashes & np.uint64(BUCKETS - 1)).astype(np.int64), bounds
+    return hashes.view(np.int64), bounds
 
 
 def _rows(batch: pa.RecordBatch, column: int):
@@ -51,21 +56,70 @@ def _rows(batch: pa.RecordBatch, column: int):
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(BUCKETS, np.int64)
+    """Token counts, added up while they are at most ``COUNTED`` tokens."""
+    held, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
         for _, _, tokens, _ in _rows(batch, 0):
-            total += np.bincount(tokens, minlength=BUCKETS)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], schema=arrow_schema("bucket long, n long"))
+            own, count = np.unique(tokens, return_counts=True)
+            held, which = np.unique(np.concatenate([held, own]), return_inverse=True)
+            n = np.bincount(which, weights=np.concatenate([n, count]), minlength=len(held)).astype(np.int64)
+            if len(held) > COUNTED:
+                yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], schema=arrow_schema("token long, n long"))
+                held, n = held[:0], n[:0]
+    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], schema=arrow_schema("token long, n long"))
+
+
+class Classes:
+    """Classes by token: the most frequent tokens have one each, the others share the rest by hash."""
+
+    def __init__(self, own: np.ndarray):
+        self.rank = np.argsort(own)
+        self.own = own[self.rank]
+
+    def __getitem__(self, tokens: np.ndarray) -> np.ndarray:
+        out = OWN + (tokens.view(np.uint64) >> np.uint64(40)).astype(np.int64) % (CLASSES - OWN)
+        if len(self.own):
+            at = np.minimum(np.searchsorted(self.own, tokens), len(self.own) - 1)
+            known = self.own[at] == tokens
+            out[known] = self.rank[at[known]]
+        return out
+
+
+def shared_class(token: str):
+    """The class of a token that has none of its own, as ``Classes`` gives it."""
+    return F.lit(OWN) + (F.shiftrightunsigned(token, 40) % (CLASSES - OWN)).cast("int")
+
+
+class InClass:
+    """Log-probability of tokens given their class: a table (token, n) in Spark, and each class's mass."""
+
+    def __init__(self, table: DataFrame, cls: Classes, mass: np.ndarray):
+        self.table, self.cls, self.mass = table, cls, mass
+
+    def joined(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (token, ...) of tokens without a class of their own, with log_p."""
+        mass = F.get(F.array(*(F.lit(float(x)) for x in self.mass[OWN:])), shared_class("token") - OWN)
+        return rows.join(self.table, "token", "left").withColumn(
+            "log_p", F.log((F.coalesce("n", F.lit(0)) + F.lit(SMOOTH)) / mass)).drop("n")
+
+    def __getitem__(self, tokens: np.ndarray) -> np.ndarray:
+        """The log-probabilities of a few tokens, on the driver."""
+        own = np.unique(tokens[self.cls[tokens] >= OWN])
+        rows = self.table.sparkSession.createDataFrame([(int(t),) for t in own], "token long")
+        found = {r["token"]: r["log_p"] for r in self.joined(rows).collect()}
+        return np.array([found.get(t, 0.0) for t in tokens.tolist()])
 
 
-def class_tables(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each bucket, log-probability of the bucket given its class)."""
-    cls = OWN + (np.arange(BUCKETS) * 40503 >> 4) % (CLASSES - OWN)
-    top = np.lexsort((np.arange(BUCKETS), -count))[:OWN]
-    cls[top] = np.arange(OWN)
-    mass = np.bincount(cls, weights=count + SMOOTH, minlength=CLASSES)
-    return cls.astype(np.int64), np.log((count + SMOOTH) / mass[cls])
+def class_tables(counts: DataFrame) -> tuple[Classes, InClass]:
+    """(classes, log-probability given the class) from the counts (token, n) of all tokens."""
+    top = counts.orderBy(F.desc("n"), "token").limit(OWN).toArrow().column("token").to_numpy()
+    others = counts.where(~F.col("token").isin(top.tolist())) if len(top) else counts
+    got = others.groupBy(shared_class("token").alias("c")).agg(
+        F.sum(F.col("n") + F.lit(SMOOTH)).alias("mass")).toArrow()
+    mass = np.full(CLASSES, SMOOTH)
+    mass[got.column("c").to_numpy()] += got.column("mass").to_numpy()
+    cls = Classes(top)
+    return cls, InClass(others, cls, mass)
 
 
 def new_weights(seed: int = SEED) -> dict[str, np.ndarray]:
@@ -135,7 +189,7 @@ def class_log_probs(weights: dict, around: np.ndarray, target: np.ndarray) -> np
     return out
 
 
-def _train(weights: dict, cls: np.ndarray, turn: int):
+def _train(weights: dict, cls: Classes, turn: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = {k: w.copy() for k, w in weights.items()}, 0
         rng = np.random.default_rng(SEED + turn)
@@ -156,13 +210,11 @@ def _train(weights: dict, cls: np.ndarray, turn: int):
     return train
 
 
-def learn(docs: DataFrame, rounds: int = ROUNDS) -> tuple[dict, np.ndarray, np.ndarray]:
-    """(weights, class of each bucket, log-probability of the bucket given its class)."""
+def learn(docs: DataFrame, rounds: int = ROUNDS) -> tuple[dict, Classes, InClass]:
+    """(weights, class of each token, log-probability of the token given its class)."""
     texts = docs.select("text")
-    got = texts.mapInArrow(_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    count = np.zeros(BUCKETS)
-    count[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
-    cls, log_p = class_tables(count)
+    cls, log_p = class_tables(stored(
+        texts.mapInArrow(_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "token-counts"))
     weights = new_weights()
     for turn in range(rounds):
         mean = (texts.mapInArrow(_train(weights, cls, turn), "slot long, w double, n long")
@@ -174,26 +226,45 @@ def learn(docs: DataFrame, rounds: int = ROUNDS) -> tuple[dict, np.ndarray, np.n
     return weights, cls, log_p
 
 
-_RESULT = "doc_id long, n_tokens long, log_likelihood double, mean_log_prob double"
+_PARTS = "row long, doc_id long, n_tokens long, class_log_p double, tokens array<long>, counts array<long>"
 
 
-def _score(weights: dict, cls: np.ndarray, log_p: np.ndarray):
+def _score(weights: dict, cls: Classes):
+    """Each row's class log-probabilities, and its distinct tokens in the classes that are shared."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, tokens, bounds in _rows(batch, 1):
+            for a, b, tokens, bounds in _rows(batch, 2):
                 target = cls[tokens]
-                each = class_log_probs(weights, windows(target, bounds), target) + log_p[tokens]
+                each = class_log_probs(weights, windows(target, bounds), target)
                 total = np.diff(np.concatenate([[0.0], np.cumsum(each)])[bounds])
-                n = np.diff(bounds)
+                shared = np.flatnonzero(target >= OWN)
+                row = np.searchsorted(bounds, shared, side="right") - 1
+                token = tokens[shared]
+                order = np.lexsort((token, row))
+                row, token = row[order], token[order]
+                new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(token, prepend=0) != 0))
+                lists = np.searchsorted(row[new], np.arange(b - a + 1)).astype(np.int32)
+                count = np.diff(np.append(new, len(row)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n), pa.array(np.where(n > 0, total, 0.0)),
-                     pa.array(total / np.maximum(n, 1), mask=n == 0)], schema=arrow_schema(_RESULT))
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(bounds)),
+                     pa.array(total), pa.ListArray.from_arrays(lists, pa.array(token[new])),
+                     pa.ListArray.from_arrays(lists, pa.array(count))], schema=arrow_schema(_PARTS))
     return score
 
 
 def pseudo_likelihood(docs: DataFrame, model) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_prob) of every row of ``docs`` (doc_id, text)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_score(*model), _RESULT)
+    weights, cls, log_p = model
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    parts = stored(rows.mapInArrow(_score(weights, cls), _PARTS), "token-rows")   # written: the rows' numbers stay
+    tokens = parts.select("row", F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
+    sums = (log_p.joined(tokens.select("row", F.col("t.tokens").alias("token"), F.col("t.counts").alias("c")))
+            .select("row", (F.col("c") * F.col("log_p")).alias("x")))
+    whole = parts.select("row", "doc_id", "n_tokens", F.col("class_log_p").alias("x"))
+    every = whole.unionByName(sums, allowMissingColumns=True).groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("x").alias("log_likelihood"))
+    return every.select("doc_id", "n_tokens", "log_likelihood", F.when(
+        F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_prob"))
 
 
 def op9_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -383,6 +383,22 @@ def test_lm_trains_on_every_document(spark):
         assert not np.allclose(lm_score.flat(weights), lm_score.flat(lm_score.new_weights()))
 
 
+def test_lm_counts_every_token(spark):
+    words = [f"w{i}" for i in range(70_000)]
+    docs = spark.createDataFrame([(i, " ".join(words[i * 700:(i + 1) * 700] * (2 if i < 50 else 1))) for i in range(100)],
+                                 "doc_id long, text string")
+    cls, log_p = lm_score.learn(docs, rounds=0)[1:]
+    assert log_p.table.count() == 70_000 - lm_score.OWN
+    data = " ".join(["w7", "w69999", "neverseen"]).encode()
+    tokens, _ = lm_score.buckets_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    want = [n + lm_score.SMOOTH for n in (2, 1, 0)] / log_p.mass[cls[tokens]]
+    shared = cls[tokens] >= lm_score.OWN
+    assert shared[1:].all() and np.allclose(log_p[tokens], np.where(shared, np.log(want), 0))
+    # In every shared class the counted tokens and the unknown one make 1.
+    rows = log_p.joined(log_p.table.select("token")).groupBy(lm_score.shared_class("token").alias("c")).agg(F.sum(F.exp("log_p")).alias("p"))
+    assert all(r["p"] + lm_score.SMOOTH / log_p.mass[r["c"]] == pytest.approx(1) for r in rows.collect())
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
     rows = [(i, prose(200, i)) for i in range(30)] + [(100, prose(200, 3)), (101, "12 34"), (102, None)]
