@@ -11,6 +11,7 @@ from clinark.llm.language import op2_language
 from clinark.llm.lm_score import op9_lm_score
 from clinark.llm.mixing import op8_mixing
 from clinark.llm.near_dup import op5_near_dup
+from clinark.llm.packing import op12_packing
 from clinark.llm.quality import op6_quality
 from clinark.llm.suffix_dedup import op7_suffix_dedup
 from clinark.llm.topk import op4_topk
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_lm_score": op9_lm_score,
     "op10_contamination": op10_contamination,
+    "op12_packing": op12_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
