@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clinark.llm.contamination import op10_contamination
+from clinark.llm.conversations import op11_conversation_repair
 from clinark.llm.language import op2_language
 from clinark.llm.lm_score import op9_lm_score
 from clinark.llm.mixing import op8_mixing
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_lm_score": op9_lm_score,
     "op10_contamination": op10_contamination,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_packing": op12_packing,
 }
 
@@ -90,4 +92,69 @@ found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op11_conversation_repair": """
+WITH RECURSIVE bits AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name,
+         coalesce(role, ' ') AS r0, coalesce(text, ' ') AS t0 FROM conversations),
+named AS (
+  SELECT *, xor(list_reduce(list_transform(range(1, CAST(length(name) + 1 AS BIGINT)), lambda i: CAST(ascii(name[i]) AS BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda j: CAST(0 AS BIGINT))),
+      lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END), CAST(4294967295 AS BIGINT)),
+    4294967295) % 20 AS fault FROM bits),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE r0 END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(t0, '[.!?]', '', 'g') ELSE t0 END AS text,
+         unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy FROM named WHERE fault <> 0),
+placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS ini,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+    regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS last_char FROM damaged),
+again AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM placed),
+faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                 WHEN last_char NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM again),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, sum(CAST(fault = 'blank' AS INT)) AS blank,
+    sum(CAST(fault = 'duplicate' AS INT)) AS duplicate, sum(CAST(fault = 'truncated' AS INT)) AS truncated,
+    sum(CAST(before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au') AS INT)) AS illegal, count(*) AS rows
+  FROM faulty GROUP BY conv_id),
+-- states: 0 nothing yet, 1 after s, 2 after u, 3 after a; n rows are done
+steps AS (
+  SELECT * FROM (VALUES (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS v(f, ini, t)),
+inserts AS (
+  SELECT f, 0 AS k, f AS t, '' AS audit, '' AS script FROM steps UNION ALL
+  SELECT f, 2, t, 'I', chr(10) || CASE ini WHEN 'u' THEN 'user:' ELSE 'assistant:' END FROM steps UNION ALL
+  SELECT a.f, 4, b.t, 'II', chr(10) || CASE a.ini WHEN 'u' THEN 'user:' ELSE 'assistant:' END
+         || chr(10) || CASE b.ini WHEN 'u' THEN 'user:' ELSE 'assistant:' END FROM steps a JOIN steps b ON a.t = b.f),
+walk(conv_id, n, state, cost, audit, script) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 0, CAST(0 AS BIGINT), '', '' FROM counted
+  UNION ALL
+  SELECT conv_id, n, state, arg_min(cost, o), arg_min(audit, o), arg_min(script, o) FROM (
+    SELECT w.conv_id, w.n + 1 AS n, e.state, w.cost + x.k + e.k AS cost, w.audit || x.audit || e.letter AS audit,
+           w.script || x.script || e.script AS script,
+           lpad(CAST(w.cost + x.k + e.k AS VARCHAR), 12, '0') || w.audit || x.audit || e.letter AS o
+    FROM walk w JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.n + 1
+    JOIN inserts x ON x.f = w.state
+    JOIN LATERAL (
+      SELECT x.t AS state, 3 AS k, 'D' AS letter, '' AS script
+      UNION ALL SELECT s.t, CAST(r.fault = 'truncated' AS INT) + CASE WHEN s.ini = r.ini THEN 0 ELSE 2 END,
+        CASE WHEN s.ini = r.ini THEN 'K' ELSE 'R' END,
+        chr(10) || CASE WHEN s.ini = r.ini THEN r.role WHEN s.ini = 'u' THEN 'user' ELSE 'assistant' END || ':' || r.text
+        FROM steps s WHERE s.f = x.t AND r.fault NOT IN ('blank', 'duplicate')
+      UNION ALL SELECT 1, CAST(r.fault = 'truncated' AS INT), 'K', chr(10) || r.role || ':' || r.text
+        WHERE x.t = 0 AND r.ini = 's' AND r.fault NOT IN ('blank', 'duplicate')) e ON true) c
+  GROUP BY conv_id, n, state),
+finished AS (
+  SELECT w.conv_id, w.cost + x.k AS cost, w.audit || x.audit AS audit, w.script || x.script AS script,
+    row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + x.k, w.audit || x.audit) AS place
+  FROM walk w JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.rows = w.n
+  JOIN inserts x ON x.f = w.state WHERE x.t IN (0, 3))
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(f.cost, 0) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(script[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN (SELECT * FROM finished WHERE place = 1) f ON f.conv_id IS NOT DISTINCT FROM o.conv_id""",
 }
