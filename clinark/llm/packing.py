@@ -31,7 +31,9 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,25 +46,36 @@ from clinark.llm.common import arrow_schema, read_table, stored
 WINDOW = 2048
 END = 1
 ROUNDS = 120
-#: Segments a worker remembers the ids of; a full memory is emptied.
-REMEMBERED = 200_000
+#: Segments a worker remembers the ids of, besides as many from before.
+REMEMBERED = 400_000
+_MARKS = frozenset(".,;:!?")
 SLICE = 1 << 20
-_EMPTY = np.zeros(0, np.int64)
+
+#: The characters that byte-level BPE vocabularies write bytes as. Bytes that print stand for
+#: themselves, the others, in order, for the characters from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: b if b in _PRINTED else 256 + sum(x not in _PRINTED for x in range(b)) for b in range(256)}
 
 _COUNTED = ("doc_id long, text_key long, part int, n long, tail int, nth long, window_nth long, crcs binary")
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "text_key long")
 
 
+def _latin(s: str) -> bool:
+    return s.isalpha() and (s.isascii() or max(s) < "\u0250")
+
+
 class Tokens:
     """Texts to ids as little-endian unsigned 32-bit bytes.
 
     A byte-level BPE tokenizer never joins what is before a lone blank (one between two
     characters that are not white space) with the blank, so a text is cut there and each
-    different segment is encoded once. Other tokenizers get whole texts.
+    different segment is encoded once. A segment of a Latin word and a mark is cut further, into
+    what the pre-tokenizer would cut it into. Other tokenizers get whole texts.
     """
 
     _CUT = re.compile(r"(?<=\S) (?=\S)")
+    _LINES = re.compile(r"([^\W\d_]+)([.,;:!?])\n([^\W\d_]+)")
     _made: dict[str, Tokens] = {}
 
     def __init__(self, path: str) -> None:
@@ -72,7 +85,9 @@ class Tokens:
         pre = spec.get("pre_tokenizer") or {}
         self.cuttable = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes | None] = {}        # segments, and those known before the last turnover
+        self.older: dict[str, bytes | None] = {}
+        self.marks: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Tokens:
@@ -81,22 +96,55 @@ class Tokens:
         return cls._made[path]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _run(self, run: str) -> bytes:
+        """Ids of a run of characters that the pre-tokenizer keeps together."""
+        text = "\u0120" + run[1:] if run.isascii() and run[0] == " " else run.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a blank and a word of Latin letters."""
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self.known[word] = self.older.get(word) or self._run(" " + word)
+        return ids
+
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self.marks:
+            self.marks[mark] = self._run(mark)
+        return self.marks[mark]
 
     def _learn(self, segments: set[str]) -> None:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [s for s in segments if s not in self.known]
-        for s, ids in zip(new, self._encode([" " + s for s in new]), strict=True):
+            self.known, self.older = {}, self.known
+        known, older, other = self.known, self.older, []
+        for s in segments.difference(known):
+            if s in older:
+                known[s] = older[s]
+            elif _latin(s):
+                known[s] = self._run(" " + s)
+            elif s and s[-1] in _MARKS and _latin(s[:-1]):
+                known[s] = self._word(s[:-1]) + self._mark(s[-1])
             # An empty segment, or one with white space at an end, means that a blank beside it is not lone.
-            self.known[s] = ids if s and not s[0].isspace() and not s[-1].isspace() else None
+            elif not s or s[0].isspace() or s[-1].isspace():
+                known[s] = None
+            elif match := self._LINES.fullmatch(s):
+                word, mark, rest = match.groups()
+                if _latin(word) and _latin(rest):
+                    known[s] = self._word(word) + self._mark(mark) + self._mark("\n") + self._run(rest)
+                else:
+                    other.append(s)
+            else:
+                other.append(s)
+        if other:
+            known.update(zip(other, self._encode([" " + s for s in other]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.cuttable:
             return self._encode(texts)
         cut = [t.split(" ") for t in texts]
-        self._learn({s for c in cut for s in c[1:]})
+        self._learn(set(chain.from_iterable(islice(c, 1, None) for c in cut)))
         first = self._encode([c[0] for c in cut])
         out = []
         for text, c, head in zip(texts, cut, first, strict=True):
