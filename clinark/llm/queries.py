@@ -13,6 +13,7 @@ from clinark.llm.lm_score import op9_lm_score
 from clinark.llm.mixing import op8_mixing
 from clinark.llm.near_dup import op5_near_dup
 from clinark.llm.packing import op12_packing
+from clinark.llm.phrases import op13_phrases
 from clinark.llm.quality import op6_quality
 from clinark.llm.suffix_dedup import op7_suffix_dedup
 from clinark.llm.topk import op4_topk
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_contamination": op10_contamination,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_packing": op12_packing,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -157,4 +159,31 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, CAST(coalesce(blank, 0) AS BIGINT)
 FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN (SELECT * FROM finished WHERE place = 1) f ON f.conv_id IS NOT DISTINCT FROM o.conv_id""",
+    "op13_phrases": """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+c AS (SELECT lang, size, p, count(*) AS f FROM (
+        SELECT lang, size, w[i:i + size - 1] AS p FROM (
+          SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS s(size)))
+      GROUP BY ALL),
+total AS (SELECT lang, sum(f) AS n FROM c WHERE size = 1 GROUP BY lang),
+big AS (SELECT * FROM c WHERE f >= 30),
+cuts AS (SELECT *, p[1:k] AS head, p[k + 1:] AS tail FROM (SELECT *, unnest(range(1, size)) AS k FROM big WHERE size > 1)),
+scored AS (
+  SELECT lang, p, a, l, r, score FROM (
+    SELECT u.lang, u.p, u.f AS a, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * u.f // (x.f + y.f) AS score,
+           row_number() OVER (PARTITION BY u.lang, u.p ORDER BY CAST(2000000 AS HUGEINT) * u.f // (x.f + y.f), u.k) AS place
+    FROM cuts u JOIN big x ON x.lang = u.lang AND x.p = u.head JOIN big y ON y.lang = u.lang AND y.p = u.tail)
+  WHERE place = 1),
+inside AS (
+  SELECT lang, q, max(f) AS longer FROM (
+    SELECT lang, f, unnest(list_transform(range(1, size - k + 2), lambda i: p[i:i + k - 1])) AS q
+    FROM (SELECT *, unnest(range(2, size)) AS k FROM big WHERE size > 2)) GROUP BY ALL),
+kept AS (SELECT s.*, array_to_string(s.p, ' ') AS phrase FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.q = s.p
+         WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
 }
