@@ -8,10 +8,11 @@ Phrases are 2 to ``LONGEST`` words within a piece of text, per language; frequen
 2. Full pass. Every word, every proposed phrase and every phrase of the negative border (not
    proposed, but both its parts, without the last word and without the first, are) is counted over
    all documents. As 64-bit keys, first combined per task.
-3. Naming and expansion. A further pass names the frequent keys: tasks pass their counts on as texts. Where the border failed (a phrase is frequent
-   that was not proposed), the same pass counts the phrases that only now have both parts; it is
-   repeated until no such phrase is frequent, and then the result is closed. (Within a task phrases
-   are told apart by 64-bit keys; two different ones there would have to agree in all 64 bits.)
+3. Naming and expansion. A further pass names the frequent keys: tasks pass their counts on as
+   texts. Where the border failed (a phrase is frequent that was not proposed), the same pass
+   counts the phrases that only now have both parts; it is repeated until no such phrase is
+   frequent, and then the result is closed. (Within a task phrases are told apart by 64-bit
+   keys; two different ones there would have to agree in all 64 bits.)
 4. Scores. Every cut of a phrase joins the counts of its two parts; phrases inside a longer one
    with ``SHARE`` percent of their count are dropped; the best of each language are ranked, first
    within hashed parts of it, so that no task gets all phrases of a language.
@@ -42,8 +43,9 @@ SHARE = 80
 TOP = 2000
 SAMPLE = 8                    # one in SAMPLE documents, by hash, is in the sample
 BITS = 1 << 26
-#: Keys (and names) a task holds before it passes them on.
-HELD = 1 << 20
+#: Keys of a size, and names, that a task holds before it passes them on.
+HELD = 1 << 21
+NAMED = 1 << 17
 PARTS = 64
 SCORE = 2_000_000
 _SHIFTS = (0, 19, 38)
@@ -55,40 +57,62 @@ _STOP[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _WORD = ~_STOP
 _WORD[[0x20, 0x09]] = False
 
-_KEYS = "key long, size int, n long, proposed boolean"
+_KEYS = "key long, size int, n long"
 _NAMES = "lang string, phrase string, size int, n long, proposed boolean"
 
 
 # --- phrases of a chunk -----------------------------------------------------------
 
 class Chunk:
-    """Words of some rows: ``keys[k][i]`` is the key of the k + 1 words from word i, if ``last[i]``,
-    the number of words of its piece from i on, is over k."""
+    """Words of some rows: ``words`` are their keys, ``left`` the number of words of the piece from each on."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, longest: int) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: np.ndarray) -> None:
         self.data = lower_ascii(data)
         self.starts, self.ends = word_spans(self.data, offsets, _WORD)
         n = len(self.starts)
         self.row = np.searchsorted(offsets, self.starts, side="right") - 1
-        words = mix(span_hash(prefix_hash(self.data), self.starts, self.ends) * _NEXT + langs[self.row])
+        self.words = mix(span_hash(prefix_hash(self.data), self.starts, self.ends) * _NEXT + langs[self.row])
         stops = np.cumsum(_STOP[self.data], dtype=np.int32)
         broken = np.ones(n, bool)                      # no phrase goes from word i to word i + 1
         if n > 1:
             broken[:-1] = (stops[self.starts[1:]] != stops[self.ends[:-1] - 1]) | (self.row[1:] != self.row[:-1])
-        self.keys, self.at = [words], [np.arange(n)]
-        open_ = ~broken
-        whole = np.ones(n, bool)
-        for k in range(1, longest):
-            whole = whole[:-1] & open_[k - 1:n - 1] if n > k else np.zeros(0, bool)
-            key = mix(self.keys[-1][:max(n - k, 0)] * _NEXT + words[k:])
-            self.keys.append(key)
-            self.at.append(np.flatnonzero(whole))
+        last = np.flatnonzero(broken)
+        self.left = last[np.searchsorted(last, np.arange(n))] - np.arange(n) + 1
+
+    def longer(self, keys: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+        """Keys of the phrases of ``size`` words at ``at`` from those of one word less."""
+        return mix(keys * _NEXT + self.words[at + size - 1])
 
     def phrase(self, i: int, size: int) -> bytes:
         return b" ".join(self.data[a:b].tobytes() for a, b in zip(self.starts[i:i + size].tolist(),
                                                                   self.ends[i:i + size].tolist(), strict=True))
 
 
+def levels(chunk: Chunk, longest: int, *filters: Filter):
+    """(size, places, keys, marks) of the phrases whose two parts the last filter holds, and of all words. Marks
+    are, for each filter, (both parts held, held itself): a phrase is held only if its parts are."""
+    n = len(chunk.words)
+    at, keys = np.arange(n), chunk.words
+    marks = [(np.ones(n, bool), f.has(keys)) for f in filters]
+    yield 1, at, keys, marks
+    for size in range(2, longest + 1):
+        held = []
+        for _, own in marks:
+            full = np.zeros(n + 1, bool)
+            full[at] = own
+            held.append(full)
+        go = held[-1][at] & held[-1][at + 1] & (chunk.left[at] >= size)
+        at, keys = at[go], keys[go]
+        keys = chunk.longer(keys, at, size)
+        marks = []
+        for f, full in zip(filters, held, strict=True):
+            both = full[at] & full[at + 1]
+            own = both.copy()
+            own[both] = f.has(keys[both])
+            marks.append((both, own))
+        yield size, at, keys, marks
+
+
 class Filter:
     """A Bloom filter over keys: a bit array that Spark gathered, and its test."""
 
@@ -118,7 +142,7 @@ def _filter_words(keys: DataFrame, bits: int) -> np.ndarray:
     return words
 
 
-def _batches(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[Chunk, list[str]]]:
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Chunk, list[str]]]:
     """(chunk, language of each of its rows) of Arrow batches of (lang, text)."""
     for batch in batches:
         langs = batch.column(0).to_pylist()
@@ -127,139 +151,128 @@ def _batches(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[
         lang_keys = span_hash(prefix_hash(raw), places[:-1], places[1:])
         for a, b in chunks(offsets):
             lo = offsets[a]
-            yield (Chunk(data[lo:offsets[b]], offsets[a:b + 1] - lo, lang_keys[a:b], longest), langs[a:b])
+            yield Chunk(data[lo:offsets[b]], offsets[a:b + 1] - lo, lang_keys[a:b]), langs[a:b]
+
+
+def _counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, in order, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
 
 
 class _Counter:
-    """Counts of 64-bit keys, merged as they come and passed on when too many are held."""
+    """Keys as they come; counted and passed on when ``HELD`` of a size are held."""
 
     def __init__(self) -> None:
-        self.held, self.size = [], 0
-
-    def add(self, keys: np.ndarray, proposed: np.ndarray, size: int) -> None:
-        if not len(keys):
-            return
-        keys, first, n = np.unique(keys, return_index=True, return_counts=True)
-        self.held.append((keys, n, proposed[first], np.full(len(keys), size, np.int8)))
-        self.size += len(keys)
-
-    def merge(self) -> None:
-        keys, n, proposed, size = (np.concatenate(c) for c in zip(*self.held, strict=True))
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        self.held = [(keys[first], np.add.reduceat(n[order], first), proposed[order][first], size[order][first])]
-        self.size = len(first)
-
-    def full(self) -> bool:
-        if self.size > 2 * HELD:
-            self.merge()
-        return self.size > HELD
-
-    def take(self) -> Iterator[pa.RecordBatch]:
-        if self.held:
-            self.merge()
-            keys, n, proposed, size = self.held[0]
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(n),
-                                              pa.array(proposed)], schema=arrow_schema(_KEYS))
-        self.held, self.size = [], 0
+        self.held: dict[int, list[np.ndarray]] = {}
+
+    def add(self, keys: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+        held = self.held.setdefault(size, [])
+        held.append(keys)
+        if sum(map(len, held)) > HELD:
+            yield self._take(size)
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        for size in list(self.held):
+            yield self._take(size)
+
+    def _take(self, size: int) -> pa.RecordBatch:
+        keys, n = _counts(np.concatenate(self.held.pop(size)))
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), size, np.int32)),
+                                           pa.array(n)], schema=arrow_schema(_KEYS))
 
 
 def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = _Counter()
-    for chunk, _ in _batches(batches, 1):
-        counter.add(chunk.keys[0], np.ones(len(chunk.keys[0]), bool), 1)
-        if counter.full():
-            yield from counter.take()
-    yield from counter.take()
+    for chunk, _ in _batches(batches):
+        yield from counter.add(chunk.words, 1)
+    yield from counter.rest()
 
 
 def _sample_phrases(words, longest: int):
     """Phrases of proposed words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counter = Filter(words.value), _Counter()
-        for chunk, _ in _batches(batches, longest):
-            good = np.append(0, np.cumsum(known.has(chunk.keys[0])))
-            for k in range(1, longest):
-                at = chunk.at[k]
-                at = at[good[at + k + 1] - good[at] == k + 1]
-                counter.add(chunk.keys[k][at], np.ones(len(at), bool), k + 1)
-            if counter.full():
-                yield from counter.take()
-        yield from counter.take()
+        for chunk, _ in _batches(batches):
+            good = np.append(0, np.cumsum(known.has(chunk.words)))
+            at, keys = np.arange(len(chunk.words)), chunk.words
+            for size in range(2, longest + 1):
+                go = chunk.left[at] >= size
+                at, keys = at[go], keys[go]
+                go = good[at + size] - good[at] == size
+                at = at[go]
+                keys = chunk.longer(keys[go], at, size)
+                yield from counter.add(keys, size)
+        yield from counter.rest()
     return run
 
 
-def _with_parts(chunk: Chunk, k: int, parts: Filter) -> np.ndarray:
-    """Of the places of phrases of k + 1 words, those whose two parts of k words are in ``parts``."""
-    at = chunk.at[k]
-    at = at[parts.has(chunk.keys[k - 1][at])]
-    return at[parts.has(chunk.keys[k - 1][at + 1])]
-
-
 def _full_pass(proposed, longest: int):
     """Every word, and every phrase whose parts are proposed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, counter = Filter(proposed.value), _Counter()
-        for chunk, _ in _batches(batches, longest):
-            for k in range(longest):
-                at = _with_parts(chunk, k, parts) if k else chunk.at[0]
-                keys = chunk.keys[k][at]
-                counter.add(keys, parts.has(keys), k + 1)
-            if counter.full():
-                yield from counter.take()
-        yield from counter.take()
+        known, counter = Filter(proposed.value), _Counter()
+        for chunk, _ in _batches(batches):
+            for size, _, keys, _ in levels(chunk, longest, known):
+                yield from counter.add(keys, size)
+        yield from counter.rest()
     return run
 
 
+class _Names:
+    """Texts and counts of keys, passed on when ``NAMED`` are held."""
+
+    def __init__(self) -> None:
+        self.place: dict[int, int] = {}
+        self.lang, self.phrase, self.size, self.held = [], [], bytearray(), bytearray()
+        self.count = np.zeros(0, np.int64)
+
+    def add(self, chunk: Chunk, langs: list[str], size: int, at: np.ndarray, keys: np.ndarray, held: Filter):
+        different, n = _counts(keys)
+        place = list(map(self.place.get, different.tolist()))
+        new = [i for i, p in enumerate(place) if p is None]
+        if new:
+            wanted = different[new]
+            inside = np.flatnonzero(np.isin(keys, wanted))
+            _, first = np.unique(keys[inside], return_index=True)
+            for i, key, j, known in zip(new, wanted.tolist(), at[inside[first]].tolist(), held.has(wanted).tolist(), strict=True):
+                place[i] = self.place[key] = len(self.phrase)
+                self.lang.append(langs[chunk.row[j]])
+                self.phrase.append(chunk.phrase(j, size))
+                self.size.append(size)
+                self.held.append(known)
+            self.count = np.append(self.count, np.zeros(len(new), np.int64))
+        self.count[place] += n
+
+    def take(self) -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(self.lang, pa.string()), pa.array(self.phrase, pa.binary()).cast(pa.string()),
+             pa.array(np.frombuffer(self.size, np.uint8).astype(np.int32)), pa.array(self.count),
+             pa.array(np.frombuffer(self.held, np.uint8).astype(bool))], schema=arrow_schema(_NAMES))
+        self.__init__()
+        return out
+
+
 def _naming_pass(frequent, before, now, longest: int):
     """Texts and counts of the keys in ``frequent`` (None: of none), and of phrases whose parts are in ``now``
     and were not both in ``before``; with ``frequent`` also the number of words of each language (size 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = Filter(frequent.value) if frequent is not None else None
         old, new = Filter(before.value), Filter(now.value)
-        names, rows, counts, words = {}, [], np.zeros(1 << 12, np.int64), {}
-
-        def take():
-            nonlocal names, rows
-            if rows:
-                lang, phrase, size, proposed = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(size, pa.int32()),
-                     pa.array(counts[:len(rows)]), pa.array(proposed, pa.bool_())], schema=arrow_schema(_NAMES))
-            names, rows = {}, []
-            counts[:] = 0
-
-        for chunk, langs in _batches(batches, longest):
+        names, words = _Names(), {}
+        for chunk, langs in _batches(batches):
             if wanted is not None:
                 for row, n in zip(*np.unique(chunk.row, return_counts=True), strict=True):
                     words[langs[row]] = words.get(langs[row], 0) + int(n)
-            for k in range(longest):
-                at = chunk.at[k]
-                if k:
-                    fresh = _with_parts(chunk, k, new)
-                    fresh = fresh[~(old.has(chunk.keys[k - 1][fresh]) & old.has(chunk.keys[k - 1][fresh + 1]))]
-                else:
-                    fresh = at[:0]
+            for size, at, keys, ((counted, _), _) in levels(chunk, longest, old, new):
+                go = ~counted
                 if wanted is not None:
-                    fresh = np.union1d(fresh, at[wanted.has(chunk.keys[k][at])])
-                if not len(fresh):
-                    continue
-                keys, first, n = np.unique(chunk.keys[k][fresh], return_index=True, return_counts=True)
-                inside = new.has(keys)
-                places = []
-                for key, i, known in zip(keys.tolist(), fresh[first].tolist(), inside.tolist(), strict=True):
-                    place = names.get(key)
-                    if place is None:
-                        place = names[key] = len(rows)
-                        rows.append((langs[chunk.row[i]], chunk.phrase(i, k + 1), k + 1, known))
-                    places.append(place)
-                if len(rows) > len(counts):
-                    counts = np.append(counts, np.zeros(len(rows), np.int64))
-                counts[places] += n
-            if len(rows) > HELD // 4:
-                yield from take()
-        yield from take()
+                    go |= wanted.has(keys)
+                if go.any():
+                    names.add(chunk, langs, size, at[go], keys[go], new)
+            if len(names.phrase) > NAMED:
+                yield names.take()
+        yield names.take()
         if words:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(words), pa.string()), pa.array([None] * len(words), pa.string()),
@@ -271,8 +284,7 @@ def _naming_pass(frequent, before, now, longest: int):
 # --- mining ------------------------------------------------------------------------
 
 def _summed(rows: DataFrame, at_least: int) -> DataFrame:
-    return (rows.groupBy("key", "size").agg(F.sum("n").alias("n"), F.bool_or("proposed").alias("proposed"))
-            .where(F.col("n") >= at_least))
+    return rows.groupBy("key").agg(F.max("size").alias("size"), F.sum("n").alias("n")).where(F.col("n") >= at_least)
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, sample: int = SAMPLE,
@@ -315,11 +327,16 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
 
 def _phrase_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, phrase) to the phrase's key."""
-    for chunk, langs in _batches(batches, LONGEST):
-        size = np.bincount(chunk.row, minlength=len(langs))
-        first = np.append(0, np.cumsum(size))[:-1]
-        keys = [int(chunk.keys[k - 1][i].view(np.int64)) for i, k in zip(first.tolist(), size.tolist(), strict=True) if k]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64())], schema=arrow_schema("key long"))
+    for chunk, langs in _batches(batches):
+        first = np.flatnonzero(np.append(True, chunk.row[1:] != chunk.row[:-1])) if len(chunk.row) else np.zeros(0, np.int64)
+        keys, size, out = chunk.words[first], 1, []
+        while len(first):
+            out.append(keys[chunk.left[first] == size])
+            go = chunk.left[first] > size
+            first, size = first[go], size + 1
+            keys = chunk.longer(keys[go], first, size)
+        out = np.concatenate(out) if out else np.zeros(0, np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], schema=arrow_schema("key long"))
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, share: int = SHARE,

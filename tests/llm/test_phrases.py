@@ -88,20 +88,32 @@ def test_ranked_collocations(spark, top):
     assert got == plain(docs, 10, top=top)
 
 
-def test_tasks_that_pass_on_what_they_hold(spark, monkeypatch):
-    counter = P._Counter()
-    monkeypatch.setattr(P, "HELD", 8)
-    rng, want, got = np.random.default_rng(0), Counter(), Counter()
-    for _ in range(50):
+def test_tasks_that_pass_on_what_they_hold(monkeypatch):
+    monkeypatch.setattr(P, "HELD", 64)
+    counter, rng, want, got, sent = P._Counter(), np.random.default_rng(0), Counter(), Counter(), 0
+    for i in range(60):
         keys = rng.integers(0, 40, 30).astype(np.uint64)
-        want.update(keys.tolist())
-        counter.add(keys, np.ones(30, bool), 1)
-        if counter.full():
-            for b in counter.take():
-                got.update(dict(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)))
-    for b in counter.take():
-        got.update(dict(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)))
-    assert got == want
+        want.update((i % 2 + 1, k) for k in keys.tolist())
+        for b in [*counter.add(keys, i % 2 + 1), *(counter.rest() if i == 59 else ())]:
+            sent += 1
+            for key, size, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                got[size, key] += n
+    assert got == want and sent > 10
+
+
+def test_names_that_pass_on_what_they_hold(monkeypatch, spark):
+    monkeypatch.setattr(P, "NAMED", 3)
+    held = P.Filter(np.full(16, -1, np.int64))
+    box = type("Box", (), {"value": held.bytes.view(np.int64)})
+    import pyarrow as pa
+    docs = texts(40, 6)
+    batch = pa.RecordBatch.from_arrays([pa.array([d[2] or "und" for d in docs]), pa.array([d[1] for d in docs])], ["lang", "text"])
+    got = Counter()
+    for b in P._naming_pass(box, box, box, 4)(iter([batch] * 3)):
+        for lang, phrase, size, n, _ in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if size:
+                got[(lang, *phrase.split(" "))] += n
+    assert got == Counter({p: 3 * n for p, n in counted(docs, 4)[0].items()})
 
 
 def test_products_beyond_64_bits(spark):
