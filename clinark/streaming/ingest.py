@@ -6,10 +6,15 @@ go to ``_unmatched``), and the file sink lands the lines as text partitioned by
 ``resource_type``. The checkpoint makes it exactly-once: a replay on the same
 checkpoint adds nothing, and readers that go through the sink's metadata log see
 only committed files.
+
+Every micro-batch observes how many lines it routes to each type, so a run's counts come from
+the reports of its own batches: the routed root is not read for them.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +33,10 @@ def route(lines: DataFrame, types: tuple[str, ...] = RESOURCE_TYPES) -> DataFram
 
 # Bytes a micro-batch takes at most, so that a large landing is many batches.
 MAX_BYTES_PER_TRIGGER = 256 << 30
+# Name of the observed counts, their columns, and how often a run looks at its reports.
+OBSERVED = "routed"
+ROUTES = (*RESOURCE_TYPES, UNMATCHED)
+POLL_SECONDS = 0.2
 
 
 def start_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint: str,
@@ -53,11 +62,12 @@ def start_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint
     if archive_dir:
         reader = (reader.option("cleanSource", "archive")
                         .option("sourceArchiveDir", archive_dir))
-    lines = reader.load(landing)
-    writer = (route(lines).writeStream.format("text")
-                          .partitionBy(PARTITION_COLUMN)
-                          .option("checkpointLocation", checkpoint)
-                          .outputMode("append"))
+    routed = route(reader.load(landing))
+    routed = routed.observe(OBSERVED, *(F.count_if(F.col(PARTITION_COLUMN) == t).alias(t) for t in ROUTES))
+    writer = (routed.writeStream.format("text")
+                    .partitionBy(PARTITION_COLUMN)
+                    .option("checkpointLocation", checkpoint)
+                    .outputMode("append"))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -65,27 +75,79 @@ def start_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint
     return writer.start(routed_root)
 
 
-def run_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint: str,
-               **kw) -> int:
-    """Run the stream until the landed files are processed; returns the lines routed.
+def ingest_counts(spark: SparkSession, landing: str, routed_root: str, checkpoint: str,
+                  poll_seconds: float = POLL_SECONDS, **kw) -> dict[str, int]:
+    """Run the stream until the landed files are processed; returns the lines it routed, per type.
 
-    The count is the growth of the routed root, read through the sink log (which lists
-    committed files only), so it holds for any number of micro-batches.
+    The reports of the run's batches are gathered while it runs (Spark keeps the latest 100). Should
+    a batch commit without its report being seen, the files that the sink log lists for that
+    batch, and no others, are counted.
     """
-    before = _routed_lines(spark, routed_root)
+    first = _next_batch(spark, checkpoint)
     q = start_ingest(spark, landing, routed_root, checkpoint, available_now=True, **kw)
-    q.awaitTermination()
+    seen: dict[int, dict[str, int]] = {}
+    stopped = False
+    while not stopped:
+        stopped = q.awaitTermination(poll_seconds)
+        for p in q.recentProgress:
+            if OBSERVED in p.observedMetrics:
+                seen[p.batchId] = p.observedMetrics[OBSERVED].asDict()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return _routed_lines(spark, routed_root) - before
-
-
-def _routed_lines(spark: SparkSession, routed_root: str) -> int:
-    """Lines in the routed root, 0 if no batch has been committed yet."""
-    log = spark._jvm.org.apache.hadoop.fs.Path(f"{routed_root}/_spark_metadata")
-    if not log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
-        return 0
-    return spark.read.format("text").load(routed_root).count()
+    for batch in range(first, _next_batch(spark, checkpoint)):
+        if batch not in seen:
+            seen[batch] = _batch_counts(spark, routed_root, batch)
+    return {t: sum(counts.get(t) or 0 for counts in seen.values()) for t in ROUTES}
+
+
+def run_ingest(spark: SparkSession, landing: str, routed_root: str, checkpoint: str, **kw) -> int:
+    """Run the stream until the landed files are processed; returns the lines routed."""
+    return sum(ingest_counts(spark, landing, routed_root, checkpoint, **kw).values())
+
+
+def _listing(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files in a folder (none if it does not exist)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(path)} if fs.exists(path) else set()
+
+
+def _next_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The number after the last committed micro-batch of a checkpoint."""
+    return 1 + max((int(n) for n in _listing(spark, f"{checkpoint}/commits") if n.isdigit()), default=-1)
+
+
+def _batch_counts(spark: SparkSession, routed_root: str, batch: int) -> dict[str, int]:
+    """Lines per type in the files that the sink log lists for one batch."""
+    log = f"{routed_root}/_spark_metadata"
+    names = _listing(spark, log)
+
+    def listed(name: str) -> set[str]:
+        # Spark reads nothing below a sink log, and reads the lists themselves in the driver, as here.
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{log}/{name}")
+        file = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+        try:
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+        finally:
+            file.close()
+        return {json.loads(line)["path"] for line in text.split("\n")[1:] if line}     # the first line is the version
+
+    if str(batch) in names:
+        paths = listed(str(batch))
+    elif f"{batch}.compact" in names:
+        # A compacted list holds all earlier files as well: those of the lists since the one before go.
+        paths, earlier = listed(f"{batch}.compact"), batch - 1
+        while earlier >= 0 and f"{earlier}.compact" not in names:
+            paths -= listed(str(earlier))
+            earlier -= 1
+        if earlier >= 0:
+            paths -= listed(f"{earlier}.compact")
+    else:
+        return {}                                         # the batch routed nothing
+    if not paths:
+        return {}
+    lines = spark.read.option("basePath", routed_root).schema(f"value string, {PARTITION_COLUMN} string").text(sorted(paths))
+    return {r[0]: r[1] for r in lines.groupBy(PARTITION_COLUMN).count().collect()}
 
 
 def routed_counts(spark: SparkSession, routed_root: str) -> DataFrame:

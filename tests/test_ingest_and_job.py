@@ -188,3 +188,80 @@ def test_ingest_in_several_batches_counts_every_line(spark, tmp_path):
                    max_bytes_per_trigger=40)
     batches = len(list((tmp_path / "ck" / "commits").glob("[0-9]*")))
     assert n == 5 and batches > 1
+
+
+def _batches(landing, n, start=0):
+    """n landed files; returns the lines per route."""
+    landing.mkdir(exist_ok=True)
+    for i in range(start, start + n):
+        lines = [{"resourceType": t, "id": str(i)} for t in ("Patient", "Condition", "Observation")] * (i + 1)
+        with open(landing / f"f{i:03d}.json", "w") as f:
+            f.writelines(json.dumps(line) + "\n" for line in lines)
+            f.write("{broken\n")
+    return sum(i + 1 for i in range(start, start + n))
+
+
+def test_ingest_counts_per_type_over_batches_and_a_replay(spark, tmp_path):
+    from clinark.streaming.ingest import ingest_counts
+    landing, routed, ck = tmp_path / "landing", str(tmp_path / "routed"), str(tmp_path / "ck")
+    each = _batches(landing, 3)
+    want = {"Patient": each, "Condition": each, "Encounter": 0, "MedicationRequest": 0, "Observation": each, "_unmatched": 3}
+    assert ingest_counts(spark, str(landing), routed, ck, max_files_per_trigger=1) == want
+    assert len(list((tmp_path / "ck" / "commits").glob("[0-9]*"))) == 3
+    assert ingest_counts(spark, str(landing), routed, ck) == dict.fromkeys(want, 0)      # a replay
+    assert {r[0]: r[1] for r in routed_counts(spark, routed).collect()} == {k: v for k, v in want.items() if v}
+
+
+def test_ingest_does_not_read_the_routed_root(spark, tmp_path, monkeypatch):
+    """Neither before nor after the run: every read of the session is watched."""
+    from pyspark.sql import DataFrameReader
+
+    from clinark.streaming.ingest import ingest_counts
+    each = _batches(tmp_path / "landing", 2)
+
+    def refuse(*args, **kw):
+        raise AssertionError("the routed root was read")
+    for name in ("load", "text", "json"):
+        monkeypatch.setattr(DataFrameReader, name, refuse)
+    got = ingest_counts(spark, str(tmp_path / "landing"), str(tmp_path / "routed"), str(tmp_path / "ck"))
+    assert got["Patient"] == each
+
+
+def test_batches_whose_reports_were_missed_are_counted_from_their_files(spark, tmp_path):
+    """12 batches with 2 reports kept and a poll only at the end: the others come from the sink log, which
+    compacts its list after the 10th."""
+    from clinark.streaming.ingest import ingest_counts
+    landing, routed, ck = tmp_path / "landing", str(tmp_path / "routed"), str(tmp_path / "ck")
+    each = _batches(landing, 12)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "2")
+        got = ingest_counts(spark, str(landing), routed, ck, poll_seconds=300, max_files_per_trigger=1)
+    finally:
+        spark.conf.set(key, old)
+    assert got["Patient"] == got["Condition"] == got["Observation"] == each and got["_unmatched"] == 12
+
+
+def test_rows_and_lines_are_split_by_one_scan_and_one_parse(spark, tmp_path):
+    from clinark.operators import normalize
+    from clinark.plans.jobs import CLEAN_JOBS
+    from clinark.sources.parquet import read_clean, write_split
+    from clinark.sources.raw import read_lines
+    bad = ["{broken", "{broken", "[1, 2]", '[{"id": "x"}]', '"text"', "nonsense"]
+    for resource, name, fn in (*CLEAN_JOBS, ("MedicationRequest", "medications", normalize.normalize_medications)):
+        _land(tmp_path / "raw" / resource, [
+            {"resourceType": resource, "id": "a1", "code": {"coding": [{"code": "A"}]}}, *bad, "", "  ",
+            {"resourceType": resource, "id": "a2", "address": {"odd": 1}, "code": {"coding": [{"code": "B"}]}, "period": 7}])
+        rows = fn(read_lines(spark, str(tmp_path / "raw"), resource, "directory"))
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1 and plan.count("Relation") == 1
+        for clustered in ([False, True] if name != "medications" else [False]):
+            root = tmp_path / f"out-{clustered}"
+            got = write_split(rows, str(root / name), str(root / "bad" / name), name, clustered)
+            assert got == (2, len(bad))
+            assert sorted(p.name for p in root.iterdir()).count(name) == 1     # no staging folder is left
+            clean = read_clean(spark, str(root), name, clustered=clustered)
+            assert clean.count() == 2
+            assert sorted(r[0] for r in spark.read.parquet(str(root / "bad" / name)).collect()) == sorted(bad)
+            assert set(spark.read.parquet(str(root / name)).columns) == set(clean.columns)
