@@ -3,14 +3,26 @@
 Each is one projection (plus a NOT NULL filter) over the raw frame, so Catalyst
 prunes the raw scan to the referenced paths and pushes the filter into it.
 Medications are also de-duplicated by ``med_id``.
+
+A raw frame with a ``_line`` column (``sources.raw.read_lines``) keeps it, and its malformed
+lines pass every filter, so that one write can split rows from lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinark.functions import exprs as X
+from clinark.schemas import LINE
+
+
+def _line(raw: DataFrame) -> list[str]:
+    return [LINE] if LINE in raw.columns else []
+
+
+def _rows(raw: DataFrame, keep: Column) -> Column:
+    return keep | F.col(LINE).isNotNull() if LINE in raw.columns else keep
 
 
 def normalize_patients(raw: DataFrame) -> DataFrame:
@@ -22,13 +34,14 @@ def normalize_patients(raw: DataFrame) -> DataFrame:
     """
     addr = X.first("address")
     year = X.birth_year("birthDate")
-    return raw.where(F.col("id").isNotNull()).select(
+    return raw.where(_rows(raw, F.col("id").isNotNull())).select(
         X.patient_key("id").alias("patient_id"),
         F.col("gender"),
         year.alias("birth_year"),
         addr["state"].alias("state"),
         addr["city"].alias("city"),
         X.age_group(year).alias("age_group"),
+        *_line(raw),
     )
 
 
@@ -44,7 +57,8 @@ def normalize_conditions(raw: DataFrame) -> DataFrame:
         coding["display"].alias("diagnosis_name"),
         X.first(F.col("clinicalStatus.coding"))["code"].alias("clinical_status"),
         F.col("onsetDateTime").alias("onset_date"),
-    ).where(F.col("icd_code").isNotNull())
+        *_line(raw),
+    ).where(_rows(raw, F.col("icd_code").isNotNull()))
 
 
 def normalize_encounters(raw: DataFrame) -> DataFrame:
@@ -57,6 +71,7 @@ def normalize_encounters(raw: DataFrame) -> DataFrame:
         X.first(X.first("type")["coding"])["display"].alias("encounter_type"),
         F.col("period.start").alias("start_date"),
         F.col("period.end").alias("end_date"),
+        *_line(raw),
     )
 
 
@@ -91,7 +106,7 @@ def normalize_medications(raw: DataFrame, patient_key: str = "plain") -> DataFra
         raise ValueError("patient_key must be 'plain' or 'hashed'")
     pid = X.strip_prefix("subject.reference", X.PATIENT_PREFIX)
     coding = X.first(F.col("medicationCodeableConcept.coding"))
-    flat = raw.where(F.col("id").isNotNull()).select(
+    flat = raw.where(_rows(raw, F.col("id").isNotNull())).select(
         F.col("id").alias("med_id"),
         pid.alias("patient_id"),
         X.strip_prefix("encounter.reference", X.ENCOUNTER_PREFIX).alias("encounter_id"),
@@ -101,7 +116,16 @@ def normalize_medications(raw: DataFrame, patient_key: str = "plain") -> DataFra
         X.first("dosageInstruction")["text"].cast("string").alias("dose"),
         F.lit("").alias("route"),
         F.col("status"),
+        *_line(raw),
     )
-    out = first_row_per_key(flat, "med_id").select(*MED_COLUMNS)
+    if LINE in raw.columns:
+        # Equal malformed lines meet as one group and its count, and are dealt out again.
+        rest = MED_COLUMNS[1:]
+        out = flat.groupBy("med_id", LINE).agg(F.min(F.struct(*rest)).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        copies = F.explode(F.sequence(F.lit(1), F.when(F.col(LINE).isNull(), 1).otherwise(F.col("_n")).cast("int")))
+        out = out.select("med_id", "_first", LINE, copies.alias("_copy"))
+        out = out.select("med_id", *[F.col("_first")[c].alias(c) for c in rest], LINE)
+    else:
+        out = first_row_per_key(flat, "med_id").select(*MED_COLUMNS)
     # Hashed after the row is chosen: both forms keep the same row, and the shuffle carries plain ids.
     return out.withColumn("patient_id", X.patient_key("patient_id")) if patient_key == "hashed" else out

@@ -16,8 +16,8 @@ from clinark.operators import gold, normalize
 from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables, run_concurrently
 from clinark.schemas import conform
 from clinark.sources.jdbc import CONNECTIONS, write_jdbc
-from clinark.sources.parquet import CLUSTERED_TABLES, read_clean, remove, write_clustered, write_parquet
-from clinark.sources.raw import malformed_lines, read_raw, unmatched_lines
+from clinark.sources.parquet import CLUSTERED_TABLES, read_clean, remove, write_parquet, write_split
+from clinark.sources.raw import read_lines, unmatched_lines
 
 CLEAN_JOBS = (
     ("Patient", "patients", normalize.normalize_patients),
@@ -103,11 +103,9 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
 
     def clean_stage(resource, name, fn):
         def run() -> int:
-            out, path = conform(fn(read_raw(spark, raw_root, resource, layout)), name), f"{clean_root}/{name}"
-            rows = (write_clustered(out, path, name) if cluster and name in CLUSTERED_TABLES
-                    else write_parquet(out, path))
-            corrupt_lines[name] = write_parquet(malformed_lines(spark, raw_root, resource, layout),
-                                                f"{out_root}/quarantine/{name}")
+            rows, corrupt_lines[name] = write_split(
+                fn(read_lines(spark, raw_root, resource, layout)), f"{clean_root}/{name}",
+                f"{out_root}/quarantine/{name}", name, clustered=cluster and name in CLUSTERED_TABLES)
             return rows
         return run
 

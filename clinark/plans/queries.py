@@ -191,22 +191,24 @@ def pipeline_diagnosis_by_age_group(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines of each resource's raw directory that are no JSON object, as the
-    quarantine tables hold them."""
+    """Each resource's raw directory parsed once and split in one write; the lines that
+    are no JSON object, as the quarantine tables hold them."""
     from functools import reduce
 
     from pyspark.sql import functions as F
 
+    from clinark.operators import normalize
+    from clinark.plans.jobs import CLEAN_JOBS
     from clinark.session import run_dir
     from clinark.sources.landing import land_by_type
-    from clinark.sources.parquet import write_parquet
-    from clinark.sources.raw import malformed_lines
+    from clinark.sources.parquet import write_split
+    from clinark.sources.raw import read_lines
     root = run_dir(spark, "quarantine")
     land_by_type(spark, sf_dir, f"{root}/raw")
     tables = []
-    for resource in ("Patient", "Condition", "Encounter", "MedicationRequest"):
-        path = f"{root}/quarantine/{resource}"
-        write_parquet(malformed_lines(spark, f"{root}/raw", resource, layout="directory"), path)
+    for resource, name, fn in (*CLEAN_JOBS, ("MedicationRequest", "medications", normalize.normalize_medications)):
+        path = f"{root}/quarantine/{name}"
+        write_split(fn(read_lines(spark, f"{root}/raw", resource, layout="directory")), f"{root}/clean/{name}", path, name)
         tables.append(spark.read.schema("line string").parquet(path).select(F.lit(resource).alias("resource"), "line"))
     return reduce(DataFrame.unionByName, tables)
 

@@ -21,6 +21,8 @@ from pyspark.sql.types import (
 
 S = StringType()
 CORRUPT = "_corrupt_record"
+# Column of a raw scan with the text of a line that is no JSON object (NULL for a row).
+LINE = "_line"
 
 
 def _s(*names: str) -> list[StructField]:

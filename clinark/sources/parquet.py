@@ -9,13 +9,15 @@ statistics contain the key — the Parquet counterpart of the row store's index.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from clinark.functions.exprs import PATIENT_BUCKET as CLUSTER_COLUMN
 from clinark.functions.exprs import patient_bucket
-from clinark.schemas import ALL_TABLES
+from clinark.schemas import ALL_TABLES, LINE
 
 CLUSTER_KEY = "patient_id"
 # Sort columns after the key, per clustered table (a total order inside each file).
@@ -88,3 +90,54 @@ def write_clustered(df: DataFrame, path: str, name: str, mode: str = "overwrite"
                   .hint("rebalance", CLUSTER_COLUMN)
                   .sortWithinPartitions(*order))
     return write_parquet(laid_out, path, mode, partition_by=[CLUSTER_COLUMN])
+
+
+def _move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename folder ``source`` to ``target``, replacing it; False if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path(source)):
+        return False
+    fs.delete(path(target), True)
+    fs.mkdirs(path(target).getParent())
+    if not fs.rename(path(source), path(target)):
+        raise OSError(f"could not move {source} to {target}")
+    return True
+
+
+def write_split(df: DataFrame, path: str, lines_path: str, name: str, clustered: bool = False) -> tuple[int, int]:
+    """Write clean table ``name`` and its quarantine in one pass over ``df``, which has the table's columns and
+    ``_line`` (NULL for a row, else a malformed line); returns (rows, lines), counted by the write.
+
+    One job writes both kinds to folders of their own beside ``path``; the rows' folder then becomes ``path`` by a
+    rename, and the (few) lines are written to ``lines_path`` as (line). With ``clustered`` the rows are laid out
+    as by ``write_clustered``."""
+    spark = df.sparkSession
+    schema = ALL_TABLES[name]
+    carrier = schema[0].name                 # in the folder of lines this column holds the line
+    is_row = F.col(LINE).isNull()
+    out = df.select("*", F.when(is_row, "rows").otherwise("lines").alias("_kind"))
+    folders = ["_kind"]
+    if clustered:
+        out = out.withColumn(CLUSTER_COLUMN, patient_bucket(CLUSTER_KEY)).hint("rebalance", CLUSTER_COLUMN)
+        out = out.sortWithinPartitions(*[F.asc_nulls_first(c) for c in ("_kind", CLUSTER_COLUMN, CLUSTER_KEY,
+                                                                        *CLUSTERED_TABLES[name])])
+        folders.append(CLUSTER_COLUMN)
+    counts = Observation()
+    out = out.observe(counts, F.count_if(is_row).alias("rows"), F.count(LINE).alias("lines"))
+    out = out.select(F.when(is_row, F.col(carrier)).otherwise(F.col(LINE)).alias(carrier),
+                     *(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields[1:]), *folders)
+    staging = f"{path.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+    out.write.partitionBy(*folders).parquet(staging)
+    found = counts.get
+    if found["lines"]:
+        lines = spark.read.schema(schema).parquet(f"{staging}/_kind=lines").select(F.col(carrier).alias("line"))
+    else:
+        lines = spark.createDataFrame([], "line string")
+    lines.write.mode("overwrite").parquet(lines_path)
+    if not found["rows"]:
+        spark.createDataFrame([], clean_schema(name, clustered)).write.mode("overwrite").parquet(path)
+    else:
+        _move(spark, f"{staging}/_kind=rows", path)
+    remove(spark, staging)
+    return int(found["rows"]), int(found["lines"])

@@ -7,8 +7,9 @@ Two layouts are accepted:
   the sink's metadata log (only committed files) and prunes to one partition.
 * ``directory`` — one plain directory per resource type, ``<root>/<Type>/``.
 
-Lines that are no JSON object are left out of the scan; ``malformed_lines`` gives them
-for a quarantine table, whose write counts them exactly.
+A line is parsed once, to its row and its verdict: ``read_lines`` gives both, so that one
+write can send rows to a table and lines that are no JSON object to its quarantine
+(``sources.parquet.write_split``). ``read_raw`` gives the rows, ``malformed_lines`` the lines.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from clinark.schemas import RAW, UNMATCHED
+from clinark.schemas import CORRUPT, LINE, RAW, UNMATCHED
 
 PARTITION_COLUMN = "resource_type"
 
@@ -36,13 +37,31 @@ def _lines(spark: SparkSession, root: str, resource: str, layout: str) -> DataFr
     return lines.select("value").where(F.trim("value") != "")
 
 
-def _is_object() -> Column:
-    return F.json_object_keys("value").isNotNull()
+#: Fixed value: the white space of JSON.
+_JSON_BLANKS = " \t\r\n"
+
+
+def _is_object(parsed: Column) -> Column:
+    """Whether the line is a JSON object. The parser marks every line with something it could not take; only
+    for those the line is looked at again, as an object with a mistyped field is still a row."""
+    begins = F.ltrim("value", F.lit(_JSON_BLANKS)).startswith("{")
+    return begins & (parsed[CORRUPT].isNull() | F.json_object_keys("value").isNotNull())
+
+
+def read_lines(spark: SparkSession, root: str, resource: str, layout: str = "routed") -> DataFrame:
+    """Every non-blank line of one type, parsed once: the declared raw columns, and in ``_line`` the text of a
+    line that is no JSON object (NULL for a row; the other columns are then NULL)."""
+    schema = StructType([*RAW[resource].fields, StructField(CORRUPT, StringType())])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # A generator, as the optimizer would otherwise copy the parse into every filter pushed below it.
+    lines = _lines(spark, root, resource, layout).select("value", F.explode(F.array(parsed)).alias("r"))
+    lines = lines.select("r", F.when(~_is_object(F.col("r")), F.col("value")).alias(LINE))
+    return lines.select(*(F.when(F.col(LINE).isNull(), F.col("r")[f.name]).alias(f.name) for f in RAW[resource]), LINE)
 
 
 def malformed_lines(spark: SparkSession, root: str, resource: str, layout: str = "routed") -> DataFrame:
     """(line): the lines that are no JSON object, for a quarantine table."""
-    return _lines(spark, root, resource, layout).where(~_is_object()).select(F.col("value").alias("line"))
+    return read_lines(spark, root, resource, layout).where(F.col(LINE).isNotNull()).select(F.col(LINE).alias("line"))
 
 
 def read_raw(spark: SparkSession, root: str, resource: str, layout: str = "routed",
@@ -53,13 +72,12 @@ def read_raw(spark: SparkSession, root: str, resource: str, layout: str = "route
     declared is NULL and the row stays; only lines that are no JSON object are left out
     (``malformed_lines`` gives them). ``corrupt``, if given, receives
     ``{"corrupt_lines": n}`` after the first action; it is observed at the scan, so a
-    re-run map stage can count twice. The job counts its quarantine write instead.
+    re-run map stage can count twice. The job counts in its write instead.
     """
-    lines = _lines(spark, root, resource, layout)
+    lines = read_lines(spark, root, resource, layout)
     if corrupt is not None:
-        lines = lines.observe(corrupt, F.count_if(~_is_object()).alias("corrupt_lines"))
-    return lines.where(_is_object()).select(
-        F.from_json("value", RAW[resource], {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+        lines = lines.observe(corrupt, F.count(LINE).alias("corrupt_lines"))
+    return lines.where(F.col(LINE).isNull()).drop(LINE)
 
 
 def unmatched_lines(spark: SparkSession, root: str) -> int:
