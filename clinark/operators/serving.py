@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinark.functions import exprs as X
+from clinark.operators.directory import page_slice
 from clinark.operators.normalize import first_row_per_key
 from clinark.operators.ranking import ordered_slice
 
 PAGE_LIMIT_MAX = 100
 PAGE_LIMIT_DEFAULT = 25
+SHALLOW_ROWS = 10_000
 CONDITIONS_LIMIT_DEFAULT = 50
 ENCOUNTERS_PER_PATIENT = 20
 CONDITIONS_PER_PATIENT = 30
@@ -166,7 +168,8 @@ def page_bounds(page: int = 1, limit: int = PAGE_LIMIT_DEFAULT,
 
 def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DEFAULT,
                   q: str = "", gender: str = "", age_group: str = "",
-                  after: str | None = None, max_limit: int = PAGE_LIMIT_MAX) -> DataFrame:
+                  after: str | None = None, max_limit: int = PAGE_LIMIT_MAX,
+                  directory: DataFrame | None = None) -> DataFrame:
     """One page of patients, one row per patient_id, ordered by patient_id.
 
     Filters run first, then DISTINCT ON patient_id keeps the smallest row by the
@@ -174,11 +177,19 @@ def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DE
     after that patient_id; on a patient-clustered table it also leaves out the folders
     before it.
 
-    A page at any depth is one lazy plan: the distinct ids are counted per folder (at
-    most 256 and NULL), a running sum of the counts finds the folders that hold the
-    page, and only their ids are ranked, folder by folder.
+    With the tier's ``directory`` (``operators.directory``) an unfiltered page looks up the few
+    slices of ids that hold it and reads only their folders and row groups. Otherwise a page
+    is one lazy plan: a page within the first ``SHALLOW_ROWS`` rows is a top-k, which keeps that many
+    rows a task at most; for one beyond, the distinct ids are counted per folder (at most 256
+    and NULL), a running sum of the counts finds the folders that hold the page, and only their
+    ids are ranked, folder by folder.
     """
     page, limit = page_bounds(page, limit, max_limit)
+    offset = 0 if after is not None else (page - 1) * limit
+    filtered = any((x or "").strip() for x in (q, gender, age_group))
+    if directory is not None and not filtered and after is None:
+        rows, skip = page_slice(patients, directory, offset, limit)
+        return _ordered_rows(rows.select(*PATIENT_COLUMNS), skip, limit)
     df = _patient_filter(patients, q, gender, age_group)
     folder = (F.col(X.PATIENT_BUCKET) if X.PATIENT_BUCKET in df.columns
               else X.patient_bucket("patient_id"))
@@ -186,9 +197,8 @@ def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DE
     if after is not None:
         df = df.where((F.col("patient_id") > F.lit(after))
                       & (F.col("_folder") >= X.patient_bucket(F.lit(after))))
-        offset = 0
-    else:
-        offset = (page - 1) * limit
+    if offset + limit <= SHALLOW_ROWS:
+        return _ordered_rows(df.select(*PATIENT_COLUMNS), offset, limit)
     ids = df.select("_folder", F.col("patient_id").alias("_pid")).distinct()
     end = F.sum("_n").over(Window.orderBy(F.asc_nulls_last("_folder")))
     held = (ids.groupBy("_folder").agg(F.count(F.lit(1)).alias("_n"))
@@ -202,13 +212,20 @@ def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DE
            .select(F.col("_f"), "_pid"))
     rows = df.join(F.broadcast(ids), F.col("patient_id").eqNullSafe(F.col("_pid"))
                    & F.col("_folder").eqNullSafe(F.col("_f")), "left_semi").select(*PATIENT_COLUMNS)
-    return (first_row_per_key(rows, "patient_id")
-            .orderBy(F.asc_nulls_last("patient_id")).select(*PATIENT_COLUMNS))
+    return _ordered_rows(rows, 0, limit)
+
+
+def _ordered_rows(rows: DataFrame, skip: int, limit: int) -> DataFrame:
+    out = first_row_per_key(rows, "patient_id").select(*PATIENT_COLUMNS).orderBy(F.asc_nulls_last("patient_id"))
+    return out.offset(skip).limit(limit) if skip else out.limit(limit)
 
 
 def patients_total(patients: DataFrame, q: str = "", gender: str = "",
-                   age_group: str = "") -> DataFrame:
-    """Number of distinct patient_id under the same filters (one row, ``total``)."""
+                   age_group: str = "", directory: DataFrame | None = None) -> DataFrame:
+    """Number of distinct patient_id under the same filters (one row, ``total``); without filters the
+    sum of the tier's ``directory``, if given."""
+    if directory is not None and not any((x or "").strip() for x in (q, gender, age_group)):
+        return directory.agg(F.coalesce(F.sum("ids"), F.lit(0)).alias("total"))
     df = _patient_filter(patients, q, gender, age_group)
     return df.select("patient_id").distinct().agg(F.count(F.lit(1)).alias("total"))
 

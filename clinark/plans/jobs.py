@@ -13,8 +13,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from clinark.operators import gold, normalize
+from clinark.operators.directory import write_directory
 from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables, run_concurrently
 from clinark.schemas import conform
+from clinark.sources import tiers
 from clinark.sources.jdbc import CONNECTIONS, write_jdbc
 from clinark.sources.parquet import CLUSTERED_TABLES, read_clean, remove, write_parquet, write_split
 from clinark.sources.raw import read_lines, unmatched_lines
@@ -83,8 +85,10 @@ def build_gold(spark: SparkSession, clean_root: str, gold_root: str,
 
 def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str = "routed",
                  patient_key: str = "hashed", jdbc: JdbcTarget | None = None,
-                 top_n: int | None = None, max_workers: int = 4, cluster: bool = True) -> DataFrame:
-    """Run the whole job; returns the load audit as (table, rows).
+                 top_n: int | None = None, max_workers: int = 4, cluster: bool = True,
+                 ledger: str | None = None, run_id: str | None = None) -> DataFrame:
+    """Run the whole job; returns the load audit as (table, rows). The tiers under ``out_root`` are
+    overwritten table by table; ``publish_pipeline`` replaces them all at once.
 
     Tables: the three clean tables and medications (Parquet), the six gold tables,
     the number of corrupt raw lines dropped per resource (``corrupt:<table>``), the
@@ -94,8 +98,8 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
     With ``cluster`` (the default) patients, conditions and encounters are written
     clustered by patient, so the per-patient lookups prune to one folder and a few
     row groups (``sources.parquet.write_clustered``). Every run appends a ledger row
-    (``pipeline_runs``): ``success`` at the end, or ``failed`` before the error is
-    raised again.
+    (``pipeline_runs``, or ``ledger``): ``success`` at the end, or ``failed`` before the error is
+    raised again. Clustered patients get their page directory (``operators.directory``).
     """
     out_root = out_root.rstrip("/")
     clean_root, gold_root = f"{out_root}/clean", f"{out_root}/gold"
@@ -114,10 +118,12 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
     stages["medications"] = clean_stage(
         "MedicationRequest", "medications",
         lambda raw: normalize.normalize_medications(raw, patient_key))
-    ledger = f"{out_root}/pipeline_runs"
+    ledger = ledger or f"{out_root}/pipeline_runs"
     clean_rows: dict[str, int] = {}
     try:
         clean_rows = run_concurrently(stages, max_workers)
+        if cluster:
+            write_directory(read_clean(spark, clean_root, "patients", clustered=True), clean_root)
         audit.extend((name, clean_rows[name]) for _, name, _ in CLEAN_JOBS)
         audit.extend(build_gold(spark, clean_root, gold_root, top_n, max_workers,
                                 clustered=cluster).items())
@@ -139,9 +145,32 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
     except Exception:
         # The ledger records the failed run too, with the counts reached (0 if none).
         append_run(spark, ledger, clean_rows.get("patients", 0),
-                   clean_rows.get("conditions", 0), status="failed")
+                   clean_rows.get("conditions", 0), status="failed", run_id=run_id)
         raise
 
     counts = dict(audit)
-    append_run(spark, ledger, counts["patients"], counts["conditions"])
+    append_run(spark, ledger, counts["patients"], counts["conditions"], run_id=run_id)
     return spark.createDataFrame(audit + corrupt, AUDIT_SCHEMA)
+
+
+def publish_pipeline(spark: SparkSession, raw_root: str, out_root: str, keep: int = tiers.KEEP, **kw) -> DataFrame:
+    """``run_pipeline`` into a version of its own under ``out_root``, published when all of it is written.
+
+    Readers of ``tiers.current`` see the version before until then, whole. A run that raises, or one that was
+    killed (noticed by the next run), is ``failed`` in the ledger ``<out_root>/pipeline_runs`` under its
+    version's name, and what it wrote is removed. The latest ``keep`` versions stay.
+    """
+    out_root = out_root.rstrip("/")
+    ledger = f"{out_root}/pipeline_runs"
+    for killed in tiers.unfinished(spark, out_root):
+        append_run(spark, ledger, 0, 0, status="failed", run_id=killed)
+        tiers.fail(spark, out_root, killed)
+    version = tiers.begin(spark, out_root)
+    try:
+        audit = run_pipeline(spark, raw_root, tiers.version_root(out_root, version), ledger=ledger, run_id=version, **kw)
+    except Exception:
+        tiers.fail(spark, out_root, version)
+        raise
+    tiers.publish(spark, out_root, version)
+    tiers.prune(spark, out_root, keep)
+    return audit

@@ -304,6 +304,8 @@ ORDER BY cases DESC, icd_code ASC NULLS FIRST, diagnosis_name ASC NULLS FIRST,
 LIMIT 20"""
     q["parquet_roundtrip"] = q["normalize_conditions"]
     q["patient_conditions_clustered"] = q["patient_conditions"]
+    q["patients_page_directory"] = q["patients_page_deep"]
+    q["patients_total_directory"] = q["patients_total"]
     q["patient_encounters_clustered"] = q["patient_encounters"]
     q["catalog_tables"] = _with(cp, cc, ce) + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, "
@@ -334,7 +336,7 @@ UNION ALL SELECT 'demographics_age_group', count(*) FROM age_stats
 UNION ALL SELECT 'demographics_geography', count(*) FROM geo_stats
 UNION ALL SELECT 'diagnosis_by_gender', count(*) FROM by_gender
 UNION ALL SELECT 'diagnosis_by_age_group', count(*) FROM by_age"""
-    q["load_audit"] = audit
+    q["load_audit"] = q["pipeline_published"] = audit
     q["run_ledger"] = _with(cp, cc) + """
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM clean_patients) AS patients_processed,
        (SELECT CAST(count(*) AS BIGINT) FROM clean_conditions) AS conditions_processed,

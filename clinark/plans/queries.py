@@ -119,6 +119,55 @@ def patient_encounters_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clustered_lookup(spark, sf_dir, "encounters", serving.patient_encounters)
 
 
+def _paged_tier(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    from clinark.operators.directory import read_directory, write_directory
+    from clinark.session import run_dir
+    from clinark.sources.parquet import read_clean, write_clustered
+    root = run_dir(spark, "paged")
+    write_clustered(Dataset(spark, sf_dir).patients, f"{root}/patients", "patients")
+    patients = read_clean(spark, root, "patients", clustered=True)
+    write_directory(patients, root)
+    return patients, read_directory(spark, root)
+
+
+def patients_page_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean patients written clustered with their page directory, then a deep page that reads
+    the directory and the folders that hold the page."""
+    patients, directory = _paged_tier(spark, sf_dir)
+    return serving.patients_page(patients, page=DEEP_PAGE, limit=PAGE_LIMIT, directory=directory)
+
+
+def patients_total_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 from the page directory of the clustered tier."""
+    patients, directory = _paged_tier(spark, sf_dir)
+    return serving.patients_total(patients, directory=directory)
+
+
+def pipeline_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixed NDJSON → ingest → the batch job, published as a version; every gold and clean table's
+    rows as a reader of the current version sees them."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from clinark.plans.jobs import GOLD_TABLES, publish_pipeline
+    from clinark.session import run_dir
+    from clinark.sources import tiers
+    from clinark.sources.landing import land_mixed
+    from clinark.sources.parquet import CLUSTERED_TABLES, read_clean
+    from clinark.streaming.ingest import run_ingest
+    root = run_dir(spark, "published")
+    land_mixed(spark, sf_dir, f"{root}/landing")
+    run_ingest(spark, f"{root}/landing", f"{root}/raw", f"{root}/_checkpoint")
+    publish_pipeline(spark, f"{root}/raw", f"{root}/out")
+    now = tiers.current(spark, f"{root}/out")
+    tables = {n: read_clean(spark, f"{now}/gold", n) for n in GOLD_TABLES}
+    tables |= {n: read_clean(spark, f"{now}/clean", n, clustered=n in CLUSTERED_TABLES)
+               for n in ("patients", "conditions", "encounters", "medications")}
+    return reduce(DataFrame.unionByName, [t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows")
+                                          for n, t in tables.items()])
+
+
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three clean tables registered as external Parquet tables in a catalog
     database, then one SQL text with a bound parameter over all of them."""
@@ -252,9 +301,12 @@ WRITE_QUERIES: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "patient_conditions_clustered": patient_conditions_clustered,
     "patient_encounters_clustered": patient_encounters_clustered,
+    "patients_page_directory": patients_page_directory,
+    "patients_total_directory": patients_total_directory,
     "catalog_tables": catalog_tables,
     "ingest_routed": ingest_routed,
     "pipeline_tables": pipeline_tables,
+    "pipeline_published": pipeline_published,
     "pipeline_diagnosis_statistics": pipeline_diagnosis_statistics,
     "pipeline_diagnosis_by_gender": pipeline_diagnosis_by_gender,
     "pipeline_diagnosis_by_age_group": pipeline_diagnosis_by_age_group,
