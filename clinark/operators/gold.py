@@ -31,6 +31,19 @@ def conditions_with_demographics(conditions: DataFrame, patients: DataFrame) ->
     return left.join(right, "_join_key", "left").drop("_join_key")
 
 
+def conditions_with_demographics_bucketed(conditions: DataFrame, patients: DataFrame) -> DataFrame:
+    """J1 on tables bucketed by patient (``sources.catalog.write_bucketed``): the join meets bucket by bucket,
+    without a shuffle. Conditions without a patient find no partner, so they stay out of the join and its
+    buckets; nothing splits the bucket of a hot patient here, for which J1 over shuffled rows is the better plan."""
+    key = F.col("patient_id")
+    demographics = patients.select(*DEMOGRAPHIC_COLUMNS)
+    known = conditions.where(key.isNotNull()).join(demographics, "patient_id", "left").select(
+        *conditions.columns, *DEMOGRAPHIC_COLUMNS[1:])
+    unknown = conditions.where(key.isNull()).select(
+        "*", *(F.lit(None).cast("string").alias(c) for c in DEMOGRAPHIC_COLUMNS[1:]))
+    return known.unionByName(unknown)
+
+
 def diagnosis_statistics(conditions: DataFrame, n: int | None = None) -> DataFrame:
     """A1: per (icd_code, diagnosis_name): total_cases, unique_patients (exact distinct,
     NULL not counted), active_cases. Every diagnosis, or for a report the top ``n`` by
@@ -53,9 +66,13 @@ def demographics_gender(patients: DataFrame) -> DataFrame:
     """A2: patients per gender (NULL is a group) and the share in percent, rounded
     half-up to 2 places. The total is a window sum over the few grouped rows, so the
     patients table is scanned once and no separate count job runs."""
-    g = patients.groupBy("gender").agg(F.count(F.lit(1)).alias("count"))
+    return gender_shares(patients.groupBy("gender").agg(F.count(F.lit(1)).alias("count")))
+
+
+def gender_shares(counts: DataFrame) -> DataFrame:
+    """A2's shares from patients per gender."""
     total = F.sum("count").over(Window.partitionBy())
-    return g.select("gender", "count",
+    return counts.select("gender", "count",
                     F.round(F.try_divide(F.col("count"), total) * 100, 2).alias("percentage"))
 
 

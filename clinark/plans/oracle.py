@@ -304,6 +304,8 @@ ORDER BY cases DESC, icd_code ASC NULLS FIRST, diagnosis_name ASC NULLS FIRST,
 LIMIT 20"""
     q["parquet_roundtrip"] = q["normalize_conditions"]
     q["patient_conditions_clustered"] = q["patient_conditions"]
+    for name in ("conditions_with_demographics", "diagnosis_by_gender"):
+        q[f"{name}_bucketed"] = q[name]
     q["patients_page_directory"] = q["patients_page_deep"]
     q["patients_total_directory"] = q["patients_total"]
     q["patient_encounters_clustered"] = q["patient_encounters"]
@@ -349,6 +351,9 @@ UNION ALL SELECT 'unmatched', (SELECT count(*) FROM orders WHERE o_orderkey % 67
     q["raw_quarantine"] = " UNION ALL ".join(
         f"SELECT '{t}' AS resource, '{{\"resourceType\": \"{t}\", \"id\": ' || CAST(o_orderkey AS VARCHAR) AS line "
         f"FROM orders WHERE o_orderkey % 71 = 0" for t in ("Patient", "Condition", "Encounter", "MedicationRequest"))
+    for name in ("diagnosis_by_gender", "diagnosis_by_age_group", "demographics_gender"):
+        q[f"incremental_{name}"] = q[name]
+    q["incremental_diagnosis_statistics"] = _with(cc, DIAG_STATS) + "SELECT * FROM diag_stats"
     q["pipeline_diagnosis_statistics"] = _with(cc, DIAG_STATS) + "SELECT * FROM diag_stats"
     q["pipeline_diagnosis_by_gender"] = q["diagnosis_by_gender"]
     q["pipeline_diagnosis_by_age_group"] = q["diagnosis_by_age_group"]

@@ -18,6 +18,8 @@ GENDER = "male"
 AGE_GROUP = "26-50"
 PAGE, PAGE_LIMIT = 2, 25
 CATALOG_DB = "medical_check"
+BUCKETED_DB = "medical_bucketed_check"
+CHECK_BUCKETS = 16
 DEEP_PAGE = 40
 REPORT_ROWS = 50
 SEARCH_ESCAPED = "n\\ation\\_1"  # a backslash makes the next character literal
@@ -168,6 +170,45 @@ def pipeline_published(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           for n, t in tables.items()])
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    from clinark.session import run_dir
+    from clinark.sources.catalog import analyze, write_bucketed
+    d, root = Dataset(spark, sf_dir), run_dir(spark, "bucketed")
+    names = write_bucketed(spark, {"conditions": d.conditions, "patients": d.patients}, root, BUCKETED_DB,
+                           buckets=CHECK_BUCKETS, db_location=f"{root}/{BUCKETED_DB}.db")
+    analyze(spark, names)
+    return tuple(spark.table(n) for n in names)
+
+
+def conditions_with_demographics_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + J1: the clean tables bucketed by patient in the catalog, analysed, and joined without a shuffle."""
+    return gold.conditions_with_demographics_bucketed(*_bucketed(spark, sf_dir))
+
+
+def diagnosis_by_gender_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + A5 on the bucketed tables: both pre-aggregates and their join need no shuffle."""
+    return gold.diagnosis_by_gender(*_bucketed(spark, sf_dir))
+
+
+BATCHES = 3
+
+
+def _incremental(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from pyspark.sql import functions as F
+
+        from clinark.plans.incremental import apply_batch, read_gold
+        from clinark.session import run_dir
+        d, root = Dataset(spark, sf_dir), run_dir(spark, "incremental")
+        for i in range(BATCHES):                      # every row is in one batch, often not its patient's
+            apply_batch(spark, root, f"batch{i}",
+                        d.conditions.where(F.pmod(F.xxhash64("condition_id"), F.lit(BATCHES)) == i),
+                        d.patients.where(F.pmod(F.xxhash64("patient_id", "city"), F.lit(BATCHES)) == i))
+        return read_gold(spark, root, name)
+    run.__doc__ = f"""A1-A6 by batch: the whole tables applied in {BATCHES} batches, then the {name} table."""
+    return run
+
+
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three clean tables registered as external Parquet tables in a catalog
     database, then one SQL text with a bound parameter over all of them."""
@@ -304,12 +345,18 @@ WRITE_QUERIES: dict[str, Query] = {
     "patients_page_directory": patients_page_directory,
     "patients_total_directory": patients_total_directory,
     "catalog_tables": catalog_tables,
+    "conditions_with_demographics_bucketed": conditions_with_demographics_bucketed,
+    "diagnosis_by_gender_bucketed": diagnosis_by_gender_bucketed,
     "ingest_routed": ingest_routed,
     "pipeline_tables": pipeline_tables,
     "pipeline_published": pipeline_published,
     "pipeline_diagnosis_statistics": pipeline_diagnosis_statistics,
     "pipeline_diagnosis_by_gender": pipeline_diagnosis_by_gender,
     "pipeline_diagnosis_by_age_group": pipeline_diagnosis_by_age_group,
+    "incremental_diagnosis_statistics": _incremental("diagnosis_statistics"),
+    "incremental_diagnosis_by_gender": _incremental("diagnosis_by_gender"),
+    "incremental_diagnosis_by_age_group": _incremental("diagnosis_by_age_group"),
+    "incremental_demographics_gender": _incremental("demographics_gender"),
     "raw_quarantine": raw_quarantine,
     "load_audit": load_audit,
     "run_ledger": run_ledger,

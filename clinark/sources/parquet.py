@@ -28,6 +28,23 @@ CLUSTERED_TABLES = {
 }
 
 
+# Columns that rows are looked up by, per clean table: their row groups get Bloom filters, so that a look-up of
+# an id reads only row groups that hold it, wherever it lies between their smallest and largest id.
+LOOKUP_COLUMNS = {
+    "patients": ("patient_id",),
+    "conditions": ("patient_id", "condition_id"),
+    "encounters": ("patient_id", "encounter_id"),
+    "medications": ("patient_id", "med_id"),
+}
+
+
+def lookup_options(name: str) -> dict[str, str]:
+    """Parquet write options of a table: a Bloom filter a row group for every look-up column, of the size that
+    its distinct values need."""
+    out = {f"parquet.bloom.filter.enabled#{c}": "true" for c in LOOKUP_COLUMNS.get(name, ())}
+    return out | {"parquet.bloom.filter.adaptive.enabled": "true"} if out else out
+
+
 def clean_schema(name: str, clustered: bool = False) -> StructType:
     """Declared schema of a table; clustered tables carry the folder column as a
     string, so folder values such as ``01`` are not read as numbers."""
@@ -62,11 +79,11 @@ def write_observed(df: DataFrame, write) -> int:
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> int:
+                  partition_by: list[str] | None = None, options: dict[str, str] | None = None) -> int:
     """Write ``df`` as Parquet at ``path``; returns the rows written. Never point
     ``path`` at a directory the same plan reads."""
     def _w(d: DataFrame) -> None:
-        w = d.write.mode(mode)
+        w = d.write.mode(mode).options(**(options or {}))
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
@@ -89,7 +106,7 @@ def write_clustered(df: DataFrame, path: str, name: str, mode: str = "overwrite"
     laid_out = (df.withColumn(CLUSTER_COLUMN, patient_bucket(CLUSTER_KEY))
                   .hint("rebalance", CLUSTER_COLUMN)
                   .sortWithinPartitions(*order))
-    return write_parquet(laid_out, path, mode, partition_by=[CLUSTER_COLUMN])
+    return write_parquet(laid_out, path, mode, partition_by=[CLUSTER_COLUMN], options=lookup_options(name))
 
 
 def _move(spark: SparkSession, source: str, target: str) -> bool:
@@ -128,7 +145,7 @@ def write_split(df: DataFrame, path: str, lines_path: str, name: str, clustered:
     out = out.select(F.when(is_row, F.col(carrier)).otherwise(F.col(LINE)).alias(carrier),
                      *(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields[1:]), *folders)
     staging = f"{path.rstrip('/')}-{uuid.uuid4().hex[:12]}"
-    out.write.partitionBy(*folders).parquet(staging)
+    out.write.partitionBy(*folders).options(**lookup_options(name)).parquet(staging)
     found = counts.get
     if found["lines"]:
         lines = spark.read.schema(schema).parquet(f"{staging}/_kind=lines").select(F.col(carrier).alias("line"))
