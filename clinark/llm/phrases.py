@@ -8,14 +8,16 @@ Phrases are 2 to ``LONGEST`` words within a piece of text, per language; frequen
 2. Full pass. Every word, every proposed phrase and every phrase of the negative border (not
    proposed, but both its parts, without the last word and without the first, are) is counted over
    all documents. As 64-bit keys, first combined per task.
-3. Naming and expansion. A further pass names the frequent keys: tasks pass their counts on as
-   texts. Where the border failed (a phrase is frequent that was not proposed), the same pass
-   counts the phrases that only now have both parts; it is repeated until no such phrase is
-   frequent, and then the result is closed. (Within a task phrases are told apart by 64-bit
-   keys; two different ones there would have to agree in all 64 bits.)
+3. Expansion. A further pass gives each frequent phrase's two parts. Where the border failed (a
+   phrase is frequent that was not proposed), the same pass counts the phrases that only now have
+   both parts; it is repeated until no such phrase is frequent, and then the result is closed.
 4. Scores. Every cut of a phrase joins the counts of its two parts; phrases inside a longer one
-   with ``SHARE`` percent of their count are dropped; the best of each language are ranked, first
-   within hashed parts of it, so that no task gets all phrases of a language.
+   with ``SHARE`` percent of their count are dropped (a longer one that holds more words occurs no
+   more often than one with one word more); the best of each language are ranked, first within
+   hashed parts of it, so that no task gets all phrases of a language.
+5. Naming. Up to here phrases are 64-bit keys of language and words. A last pass finds the texts of
+   the best ones, ties included, and ranks those by text. Two different phrases would have to
+   agree in all 64 bits to be taken for one; a key that turns out to have two texts is an error.
 
 Tasks know the proposed phrases by a Bloom filter of ``BITS`` bits, whatever the corpus. What it lets
 through by mistake is counted as well and falls under the threshold, so it costs shuffled rows, never
@@ -43,9 +45,8 @@ SHARE = 80
 TOP = 2000
 SAMPLE = 8                    # one in SAMPLE documents, by hash, is in the sample
 BITS = 1 << 26
-#: Keys of a size, and names, that a task holds before it passes them on.
+#: Keys of a size that a task holds before it passes them on.
 HELD = 1 << 21
-NAMED = 1 << 17
 PARTS = 64
 SCORE = 2_000_000
 _SHIFTS = (0, 19, 38)
@@ -58,7 +59,8 @@ _WORD = ~_STOP
 _WORD[[0x20, 0x09]] = False
 
 _KEYS = "key long, size int, n long"
-_NAMES = "lang string, phrase string, size int, n long, proposed boolean"
+_PHRASES = "key long, size int, n long, prefix long, suffix long, lang_key long, held boolean"
+_NAMES = "key long, lang string, phrase string"
 
 
 # --- phrases of a chunk -----------------------------------------------------------
@@ -71,6 +73,7 @@ class Chunk:
         self.starts, self.ends = word_spans(self.data, offsets, _WORD)
         n = len(self.starts)
         self.row = np.searchsorted(offsets, self.starts, side="right") - 1
+        self.langs = langs
         self.words = mix(span_hash(prefix_hash(self.data), self.starts, self.ends) * _NEXT + langs[self.row])
         stops = np.cumsum(_STOP[self.data], dtype=np.int32)
         broken = np.ones(n, bool)                      # no phrase goes from word i to word i + 1
@@ -219,65 +222,72 @@ def _full_pass(proposed, longest: int):
     return run
 
 
-class _Names:
-    """Texts and counts of keys, passed on when ``NAMED`` are held."""
-
-    def __init__(self) -> None:
-        self.place: dict[int, int] = {}
-        self.lang, self.phrase, self.size, self.held = [], [], bytearray(), bytearray()
-        self.count = np.zeros(0, np.int64)
-
-    def add(self, chunk: Chunk, langs: list[str], size: int, at: np.ndarray, keys: np.ndarray, held: Filter):
-        different, n = _counts(keys)
-        place = list(map(self.place.get, different.tolist()))
-        new = [i for i, p in enumerate(place) if p is None]
-        if new:
-            wanted = different[new]
-            inside = np.flatnonzero(np.isin(keys, wanted))
-            _, first = np.unique(keys[inside], return_index=True)
-            for i, key, j, known in zip(new, wanted.tolist(), at[inside[first]].tolist(), held.has(wanted).tolist(), strict=True):
-                place[i] = self.place[key] = len(self.phrase)
-                self.lang.append(langs[chunk.row[j]])
-                self.phrase.append(chunk.phrase(j, size))
-                self.size.append(size)
-                self.held.append(known)
-            self.count = np.append(self.count, np.zeros(len(new), np.int64))
-        self.count[place] += n
-
-    def take(self) -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(self.lang, pa.string()), pa.array(self.phrase, pa.binary()).cast(pa.string()),
-             pa.array(np.frombuffer(self.size, np.uint8).astype(np.int32)), pa.array(self.count),
-             pa.array(np.frombuffer(self.held, np.uint8).astype(bool))], schema=arrow_schema(_NAMES))
-        self.__init__()
-        return out
-
-
-def _naming_pass(frequent, before, now, longest: int):
-    """Texts and counts of the keys in ``frequent`` (None: of none), and of phrases whose parts are in ``now``
-    and were not both in ``before``; with ``frequent`` also the number of words of each language (size 0)."""
+def _expansion_pass(frequent, before, now, longest: int):
+    """Counts and parts of the phrases whose keys are in ``frequent`` (None: of none), and of those whose parts
+    are in ``now`` and were not both in ``before``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = Filter(frequent.value) if frequent is not None else None
         old, new = Filter(before.value), Filter(now.value)
-        names, words = _Names(), {}
-        for chunk, langs in _batches(batches):
+        held: dict[int, list[tuple]] = {}
+        words: dict[int, int] = {}
+
+        def take(size: int) -> pa.RecordBatch:
+            keys, *rest = (np.concatenate(c) for c in zip(*held.pop(size), strict=True))
+            keys, first, n = np.unique(keys, return_index=True, return_counts=True)
+            prefix, suffix, lang = (c[first].view(np.int64) for c in rest)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), size, np.int32)), pa.array(n), pa.array(prefix),
+                 pa.array(suffix), pa.array(lang), pa.array(new.has(keys))], schema=arrow_schema(_PHRASES))
+
+        for chunk, _ in _batches(batches):
+            known = np.zeros(len(chunk.words) + 1, np.uint64)
             if wanted is not None:
-                for row, n in zip(*np.unique(chunk.row, return_counts=True), strict=True):
-                    words[langs[row]] = words.get(langs[row], 0) + int(n)
+                for lang, n in zip(*map(np.ndarray.tolist, _counts(chunk.langs[chunk.row].view(np.int64))), strict=True):
+                    words[lang] = words.get(lang, 0) + n
             for size, at, keys, ((counted, _), _) in levels(chunk, longest, old, new):
-                go = ~counted
-                if wanted is not None:
-                    go |= wanted.has(keys)
-                if go.any():
-                    names.add(chunk, langs, size, at[go], keys[go], new)
-            if len(names.phrase) > NAMED:
-                yield names.take()
-        yield names.take()
-        if words:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(words), pa.string()), pa.array([None] * len(words), pa.string()),
-                 pa.array([0] * len(words), pa.int32()), pa.array(list(words.values()), pa.int64()),
-                 pa.array([True] * len(words))], schema=arrow_schema(_NAMES))
+                if size > 1:
+                    go = ~counted
+                    if wanted is not None:
+                        go |= wanted.has(keys)
+                    here = at[go]
+                    held.setdefault(size, []).append((keys[go], known[here], known[here + 1], chunk.langs[chunk.row[here]]))
+                    if sum(len(h[0]) for h in held[size]) > HELD // 2:
+                        yield take(size)
+                known[at] = keys
+        for size in list(held):
+            yield take(size)
+        keys = pa.array(list(words), pa.int64())
+        nothing = pa.array([0] * len(words), pa.int64())
+        yield pa.RecordBatch.from_arrays([keys, nothing.cast(pa.int32()), pa.array(list(words.values()), pa.int64()), nothing,
+                                          nothing, keys, pa.array([True] * len(words))], schema=arrow_schema(_PHRASES))
+    return run
+
+
+def _naming_pass(wanted, least: int, longest: int):
+    """(key, lang, phrase) of the keys in ``wanted``, once a task (and some that the filter lets through)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = Filter(wanted.value), set()
+        for chunk, langs in _batches(batches):
+            at, keys, rows = np.arange(len(chunk.words)), chunk.words, []
+            for size in range(1, longest + 1):
+                if size > 1:
+                    go = chunk.left[at] >= size
+                    at = at[go]
+                    keys = chunk.longer(keys[go], at, size)
+                if size < least:
+                    continue
+                hit = np.flatnonzero(known.has(keys))
+                for key, i in zip(keys[hit].view(np.int64).tolist(), at[hit].tolist(), strict=True):
+                    if key not in seen:
+                        seen.add(key)
+                        rows.append((key, langs[chunk.row[i]], chunk.phrase(i, size)))
+            if len(seen) > HELD:
+                seen.clear()
+            if rows:
+                key, lang, phrase = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key, pa.int64()), pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string())],
+                    schema=arrow_schema(_NAMES))
     return run
 
 
@@ -287,14 +297,19 @@ def _summed(rows: DataFrame, at_least: int) -> DataFrame:
     return rows.groupBy("key").agg(F.max("size").alias("size"), F.sum("n").alias("n")).where(F.col("n") >= at_least)
 
 
-def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, sample: int = SAMPLE,
-                     bits: int = BITS) -> DataFrame:
-    """(lang, phrase, size, n): every phrase of 1 to ``longest`` words with its exact count, from ``min_count``
-    occurrences on, and the number of words of each language (phrase NULL, size 0)."""
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text",
+                       F.xxhash64("doc_id").alias("draw")).where("text is not null")
+
+
+def mine(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, sample: int = SAMPLE,
+         bits: int = BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What occurs ``min_count`` times, with exact counts: words (key, n), and phrases of 2 to ``longest`` words
+    (key, size, n, prefix, suffix, lang_key), where prefix and suffix are the keys of their two parts; and
+    (lang_key, n), the words of each language."""
     sc = docs.sparkSession.sparkContext
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text",
-                        F.pmod(F.xxhash64("doc_id"), F.lit(sample)).alias("draw")).where("text is not null")
-    drawn, texts = texts.where("draw = 0").drop("draw"), texts.drop("draw")
+    texts = _texts(docs)
+    drawn, texts = texts.where(F.pmod("draw", F.lit(sample)) == 0).drop("draw"), texts.drop("draw")
     lowered = max(1, int(0.6 * min_count / sample))
 
     words = stored(_summed(drawn.mapInArrow(_sample_words, _KEYS), lowered), "sample-words")
@@ -302,89 +317,98 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     phrases = stored(_summed(drawn.mapInArrow(_sample_phrases(known, longest), _KEYS), lowered), "sample-phrases")
     before = _filter_words(words.unionByName(phrases), bits)
 
-    spread = sc.broadcast(before)
-    found = stored(_summed(texts.mapInArrow(_full_pass(spread, longest), _KEYS), min_count), "frequent-keys")
-    named = _filter_words(found, bits)
-    frequent, now = sc.broadcast(named), before | named
+    proposed = sc.broadcast(before)
+    found = stored(_summed(texts.mapInArrow(_full_pass(proposed, longest), _KEYS), min_count), "frequent-keys")
+    named = _filter_words(found.where("size > 1"), bits)
+    frequent, now = sc.broadcast(named), before | _filter_words(found, bits)
     tables = []
     while True:
         old, new = sc.broadcast(before), sc.broadcast(now)
-        rows = (texts.mapInArrow(_naming_pass(frequent, old, new, longest), _NAMES)
-                .groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"), F.bool_or("proposed").alias("proposed"))
+        rows = (texts.mapInArrow(_expansion_pass(frequent, old, new, longest), _PHRASES).groupBy("key")
+                .agg(F.sum("n").alias("n"), *(F.max(c).alias(c) for c in ("size", "prefix", "suffix", "lang_key", "held")))
                 .where((F.col("n") >= min_count) | (F.col("size") == 0)))
         tables.append(stored(rows, "phrases"))
         # The border failed at these: frequent phrases that can grow, and that no filter held yet.
-        failed = tables[-1].where((F.col("size") > 0) & (F.col("size") < longest) & ~F.col("proposed"))
+        failed = tables[-1].where((F.col("size") < longest) & ~F.col("held"))
         if failed.isEmpty():
             break
-        keys = failed.select("lang", "phrase").mapInArrow(_phrase_keys, "key long")
-        before, now, frequent = now, now | _filter_words(keys, bits), None
-    out = tables[0]
+        before, now, frequent = now, now | _filter_words(failed, bits), None
+    out = tables[0].where("size > 0")
     for t in tables[1:]:
         out = out.unionByName(t)
-    return out.groupBy("lang", "phrase", "size").agg(F.max("n").alias("n"))
+    return (found.where("size = 1").select("key", "n"),
+            out.select("key", "size", "n", "prefix", "suffix", "lang_key").dropDuplicates(["key"]),
+            tables[0].where("size = 0").select("lang_key", "n"))
 
 
-def _phrase_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase) to the phrase's key."""
-    for chunk, langs in _batches(batches):
-        first = np.flatnonzero(np.append(True, chunk.row[1:] != chunk.row[:-1])) if len(chunk.row) else np.zeros(0, np.int64)
-        keys, size, out = chunk.words[first], 1, []
-        while len(first):
-            out.append(keys[chunk.left[first] == size])
-            go = chunk.left[first] > size
-            first, size = first[go], size + 1
-            keys = chunk.longer(keys[go], first, size)
-        out = np.concatenate(out) if out else np.zeros(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], schema=arrow_schema("key long"))
+def names(docs: DataFrame, keys: DataFrame, least: int = 1, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
+    """(key, lang, phrase) of ``keys`` (key), of phrases of ``least`` to ``longest`` words."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_filter_words(keys, bits))
+    found = _texts(docs).drop("draw").mapInArrow(_naming_pass(wanted, least, longest), _NAMES).groupBy("key").agg(
+        F.min(F.struct("lang", "phrase")).alias("name"), F.max(F.struct("lang", "phrase")).alias("last"))
+    found = found.join(keys.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi")
+    one = F.when(F.col("name") == F.col("last"), F.col("name")).otherwise(F.raise_error(F.lit("two phrases share a key")))
+    return found.select("key", one.alias("name")).select("key", "name.lang", "name.phrase")
 
 
-def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, share: int = SHARE,
-                 top: int | None = TOP, sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
-    """Each language's best phrases: lang, rank, phrase, a (its count), l and r (its parts' counts at the cut
-    with the lowest score), n (words of the language) and score. ``top`` None ranks nothing and gives all."""
-    return ranked(stored(frequent_phrases(docs, min_count, longest, sample, bits), "phrase-counts"), longest, share, top)
-
-
-def ranked(counts: DataFrame, longest: int = LONGEST, share: int = SHARE, top: int | None = TOP) -> DataFrame:
-    """Scores, drops and ranks the phrases of ``counts`` (see ``frequent_phrases``)."""
-    total = counts.where("size = 0").select(F.col("lang").alias("t_lang"), F.col("n"))
-    words = F.split("phrase", " ")
-    phrases = counts.where("size > 1").select("lang", "phrase", "size", F.col("n").alias("a"), words.alias("w"))
-
-    part = counts.where(F.col("size").between(1, longest - 1)).select(
-        F.col("lang").alias("p_lang"), F.col("phrase").alias("part"), F.col("n").alias("p_n"))
-    cut = phrases.select("lang", "phrase", "a", "w", "size", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
-    cut = cut.select("lang", "phrase", "a", "k", F.array_join(F.slice("w", F.lit(1), F.col("k")), " ").alias("head"),
-                     F.array_join(F.slice("w", F.col("k") + 1, F.col("size") - F.col("k")), " ").alias("tail"))
-    cut = (cut.join(part, (F.col("lang") == F.col("p_lang")) & (F.col("head") == F.col("part")))
-           .withColumn("l", F.col("p_n")).drop("p_lang", "part", "p_n"))
-    cut = (cut.join(part, (F.col("lang") == F.col("p_lang")) & (F.col("tail") == F.col("part")))
-           .withColumn("r", F.col("p_n")).drop("p_lang", "part", "p_n"))
+def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, sample: int = SAMPLE,
+                     bits: int = BITS) -> DataFrame:
+    """(lang, phrase, size, n): every phrase of 1 to ``longest`` words with ``min_count`` occurrences or more."""
+    words, phrases, _ = mine(docs, min_count, longest, sample, bits)
+    every = words.select("key", F.lit(1).alias("size"), "n").unionByName(phrases.select("key", "size", "n"))
+    return every.join(names(docs, every, 1, longest, bits), "key").select("lang", "phrase", "size", "n")
+
+
+def scored(words: DataFrame, phrases: DataFrame, longest: int = LONGEST, share: int = SHARE) -> DataFrame:
+    """(key, lang_key, a, l, r, score) of the phrases of ``mine`` that no longer one holds."""
+    # A phrase's heads are its prefix and that one's heads; its tails its suffix and that one's tails.
+    level = phrases.where("size = 2").withColumns({"heads": F.array("prefix"), "tails": F.array("suffix")})
+    levels_ = [level]
+    for size in range(3, longest + 1):
+        head = level.select(F.col("key").alias("h_key"), F.col("heads").alias("h"))
+        tail = level.select(F.col("key").alias("t_key"), F.col("tails").alias("t"))
+        level = (phrases.where(F.col("size") == size).join(head, F.col("prefix") == F.col("h_key"))
+                 .join(tail, F.col("suffix") == F.col("t_key"))
+                 .select(*phrases.columns, F.concat("h", F.array("prefix")).alias("heads"),
+                         F.concat(F.array("suffix"), "t").alias("tails")))
+        levels_.append(level)
+    every = levels_[0]
+    for t in levels_[1:]:
+        every = every.unionByName(t)
+    counts = words.select("key", "n").unionByName(phrases.select("key", "n"))
+
+    def part(column: str, name: str) -> DataFrame:
+        return counts.select(F.col("key").alias(column), F.col("n").alias(name))
+    cut = every.select("key", "lang_key", F.col("n").alias("a"), F.posexplode(F.arrays_zip("heads", "tails")).alias("k", "parts"))
+    cut = cut.select("key", "lang_key", "a", "k", F.col("parts.heads").alias("head"), F.col("parts.tails").alias("tail"))
+    cut = cut.join(part("head", "l"), "head").join(part("tail", "r"), "tail")
     # Decimals: the product of a long and 2,000,000 may pass 64 bits.
     score = F.expr(f"cast(cast(a as decimal(20, 0)) * {SCORE} div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0))) as long)")
-    scored = (cut.groupBy("lang", "phrase").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("best"),
-                                                F.first("a").alias("a"))
-              .select("lang", "phrase", "a", "best.l", "best.r", "best.score"))
-
-    # The largest count of a longer phrase around each phrase.
-    inside = phrases.where("size > 2").select("lang", "w", "size", F.col("a").alias("longer"),
-                                              F.explode(F.sequence(F.lit(2), F.col("size") - 1)).alias("k"))
-    inside = inside.select("lang", "longer", "w", "k", F.explode(F.sequence(F.lit(1), F.col("size") - F.col("k") + 1)).alias("i"))
-    inside = (inside.select(F.col("lang").alias("i_lang"), F.array_join(F.slice("w", F.col("i"), F.col("k")), " ").alias("i_phrase"),
-                            "longer").groupBy("i_lang", "i_phrase").agg(F.max("longer").alias("longer")))
-    kept = (scored.join(inside, (F.col("lang") == F.col("i_lang")) & (F.col("phrase") == F.col("i_phrase")), "left")
-            .where(F.expr(f"longer is null or cast(longer as decimal(20, 0)) * 100 < cast(a as decimal(20, 0)) * {share}")))
-    kept = kept.join(total, F.col("lang") == F.col("t_lang")).select("lang", "phrase", "a", "l", "r", "n", "score")
-    if top is None:
-        return kept
-    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    kept = kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
-    kept = kept.withColumn("place", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best)))
-    kept = kept.where(F.col("place") <= top)
-    return (kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)))
-            .where(F.col("rank") <= top)
-            .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
+    best = (cut.groupBy("key").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("best"),
+                                   F.max("a").alias("a"), F.max("lang_key").alias("lang_key"))
+            .select("key", "lang_key", "a", "best.l", "best.r", "best.score"))
+    around = phrases.where("size > 2").select(F.explode(F.array("prefix", "suffix")).alias("inner"), F.col("n").alias("longer"))
+    around = around.groupBy("inner").agg(F.max("longer").alias("longer"))
+    return (best.join(around, F.col("key") == F.col("inner"), "left")
+            .where(F.expr(f"longer is null or cast(longer as decimal(20, 0)) * 100 < cast(a as decimal(20, 0)) * {share}"))
+            .drop("inner", "longer"))
+
+
+def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, share: int = SHARE,
+                 top: int = TOP, sample: int = SAMPLE, bits: int = BITS) -> DataFrame:
+    """Each language's best phrases: lang, rank, phrase, a (its count), l and r (its parts' counts at the cut
+    with the lowest score), n (words of the language) and score."""
+    words, phrases, total = mine(docs, min_count, longest, sample, bits)
+    found = scored(words, phrases, longest, share)
+    best = [F.desc("score"), F.desc("a")]
+    found = found.withColumn("part", F.pmod("key", F.lit(PARTS)))
+    for within in (["lang_key", "part"], ["lang_key"]):                 # ranks with ties: texts decide later
+        found = found.withColumn("place", F.rank().over(Window.partitionBy(*within).orderBy(*best))).where(F.col("place") <= top)
+    found = stored(found.select("key", "lang_key", "a", "l", "r", "score"), "collocations")
+    rows = found.join(names(docs, found, 2, longest, bits), "key").join(total, "lang_key")
+    order = Window.partitionBy("lang").orderBy(*best, F.asc("phrase"))
+    return (rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+            .select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
 
 
 def op13_phrases(spark, sf_dir: str) -> DataFrame:

@@ -68,7 +68,7 @@ EDGE = [(None, None, None), (1, "", "aa"), (2, " ...\n\t", "aa"), (3, "en " * 40
 def test_counts_are_exact_however_the_sample_falls(spark, sample):
     docs = texts(200, 1) + EDGE
     got = {(r["lang"], *r["phrase"].split(" ")): r["n"] for r in P.frequent_phrases(
-        frame(spark, docs), 10, sample=sample, bits=1 << 16).where("size > 0").collect()}
+        frame(spark, docs), 10, sample=sample, bits=1 << 16).collect()}
     counts, total = counted(docs, 4)
     assert got == {p: n for p, n in counts.items() if n >= 10}
 
@@ -76,7 +76,7 @@ def test_counts_are_exact_however_the_sample_falls(spark, sample):
 def test_a_full_filter_costs_rows_not_results(spark):
     docs = texts(120, 2)
     got = {(r["lang"], *r["phrase"].split(" ")): r["n"] for r in P.frequent_phrases(
-        frame(spark, docs), 12, bits=64).where("size > 0").collect()}
+        frame(spark, docs), 12, bits=64).collect()}
     assert got == {p: n for p, n in counted(docs, 4)[0].items() if n >= 12}
 
 
@@ -101,28 +101,30 @@ def test_tasks_that_pass_on_what_they_hold(monkeypatch):
     assert got == want and sent > 10
 
 
-def test_names_that_pass_on_what_they_hold(monkeypatch, spark):
-    monkeypatch.setattr(P, "NAMED", 3)
+def test_parts_that_pass_on_what_they_hold(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(P, "HELD", 8)
     held = P.Filter(np.full(16, -1, np.int64))
     box = type("Box", (), {"value": held.bytes.view(np.int64)})
-    import pyarrow as pa
     docs = texts(40, 6)
     batch = pa.RecordBatch.from_arrays([pa.array([d[2] or "und" for d in docs]), pa.array([d[1] for d in docs])], ["lang", "text"])
     got = Counter()
-    for b in P._naming_pass(box, box, box, 4)(iter([batch] * 3)):
-        for lang, phrase, size, n, _ in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if size:
-                got[(lang, *phrase.split(" "))] += n
-    assert got == Counter({p: 3 * n for p, n in counted(docs, 4)[0].items()})
+    for b in P._expansion_pass(box, box, box, 4)(iter([batch] * 3)):
+        got.update({k: n for k, size, n in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True) if size})
+    want = [3 * n for p, n in counted(docs, 4)[0].items() if len(p) > 2]
+    assert sorted(got.values()) == sorted(want)
 
 
 def test_products_beyond_64_bits(spark):
     """Counts whose products pass 64 bits, through the same scoring."""
     big = 9 * 10**18 // 2
-    counts = spark.createDataFrame([("x", "a", 1, big), ("x", "b", 1, big), ("x", "a b", 2, big - 1), ("x", None, 0, big)],
-                                   "lang string, phrase string, size int, n long")
-    got = P.ranked(counts).collect()
-    assert [(r["phrase"], r["score"]) for r in got] == [("a b", 2_000_000 * (big - 1) // (2 * big))]
+    words = spark.createDataFrame([(1, big), (2, big)], "key long, n long")
+    phrases = spark.createDataFrame([(3, 2, big - 1, 1, 2, 0), (4, 2, big - 2, 2, 2, 0), (5, 3, (big - 1) // 5 * 4, 3, 4, 0)],
+                                    "key long, size int, n long, prefix long, suffix long, lang_key long")
+    got = {r["key"]: r["score"] for r in P.scored(words, phrases).collect()}
+    three = (big - 1) // 5 * 4
+    assert got == {3: 2_000_000 * (big - 1) // (2 * big), 4: 2_000_000 * (big - 2) // (2 * big),
+                   5: min(2_000_000 * three // (big + big - 2), 2_000_000 * three // (big - 1 + big))}
 
 
 def test_empty_table(spark):
