@@ -33,7 +33,7 @@ BUCKETS = 1 << 16
 SWITCH = 12.0
 SMOOTH = 0.2
 SCRIPT_SHARE = 0.005
-CHUNK = 3 << 20
+CHUNK = 1 << 20
 OTHER = 11
 
 #: Scripts by UTF-8 lead byte (Latin, Greek, Cyrillic, Armenian, Hebrew, Arabic, Devanagari,

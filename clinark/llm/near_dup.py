@@ -9,7 +9,7 @@ for independent minima. ``bands_for`` gives the number of bands of ``ROWS`` at w
 the wanted similarity shares none with probability ``MISS`` at most (25 at 0.85, 37 at 0.8).
 
 Whole job without all pairs. (1) Documents with equal shingle sets (128-bit sum of the
-set) form one class; only its smallest id goes on. (2) Band buckets of two or more classes
+set) form one class; only its smallest row goes on. (2) Band buckets of two or more classes
 are kept. (3) Every member is checked against its bucket's smallest one, on the full
 shingle sets of the two texts; a group of thousands of mutual copies is connected by one
 pair per member. (4) Buckets whose other members are still not connected are searched
@@ -20,7 +20,8 @@ dropped, and none is emitted without being a link. (5) Links give the components
 
 Defined cases: a NULL or wordless text has an empty set, is linked with nothing and is its
 own component; fewer words than a shingle make one shingle of the whole text; a row with
-NULL doc_id has a NULL component and is kept; rows that repeat a doc_id count as one node;
+NULL doc_id has a NULL component and is kept; rows that repeat a doc_id are texts of their own, and
+their components are one, as the id is reachable from all of them (``by_id`` False keeps them apart);
 an empty table gives no rows; extra columns are ignored.
 """
 
@@ -111,7 +112,7 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
     return mix(key + np.arange(1, bands + 1, dtype=np.uint64) * _STEP[6]).view(np.int64)
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()),
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("fp1", pa.int64()), ("fp2", pa.int64()),
                      ("bands", pa.list_(pa.int64()))])
 
 
@@ -127,7 +128,8 @@ def _sketches(bands: int):
                 keys = band_keys(sketch(hashes, bounds, bands * ROWS))
                 lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), keys.reshape(-1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(np.diff(bounds)), *prints, lists], schema=_SKETCH)
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(np.diff(bounds)), *prints,
+                     lists], schema=_SKETCH)
     return sketches
 
 
@@ -209,19 +211,28 @@ def _blocked(live: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("group", "p", "q").applyInArrow(_block_links(percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): n_shingles, class_id, component_id, kept."""
-    texts = docs.select("doc_id", "text")
-    sketches = stored(texts.mapInArrow(_sketches(bands_for(percent)), "doc_id long, n_shingles long, fp1 long, fp2 long, "
-                                       "bands array<long>"), "sketches")
+def text_key():
+    """Tells rows with one doc_id and different texts apart."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, by_id: bool = True) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): n_shingles, class_id, component_id, kept, text_key, and kept_row: whether
+    the row is its component's smallest (doc_id, text_key), or has no component."""
+    texts = docs.select("doc_id", "text", text_key().alias("text_key"))
+    sketches = stored(texts.mapInArrow(_sketches(bands_for(percent)), "doc_id long, text_key long, n_shingles long, fp1 long, "
+                                       "fp2 long, bands array<long>"), "sketches")
     key = ["n_shingles", "fp1", "fp2"]
-    classes = stored(sketches.where("n_shingles > 0 and doc_id is not null").groupBy(*key)
-                     .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
+    known = sketches.where("n_shingles > 0 and doc_id is not null")
+    # A class is named by its set, not by an id, as ids may repeat.
+    classes = stored(known.groupBy(*key).agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("bands").alias("bands"))
+                     .withColumn("rep", F.xxhash64(*key)), "classes")
     band = classes.select(F.explode("bands").alias("key"), "rep", F.col("n_shingles").alias("n"))
     shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     buckets = stored(band.join(shared.hint("merge"), "key").distinct(), "buckets")
-    members = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    texts = stored(texts.join(members.hint("merge"), "doc_id").dropDuplicates(["doc_id"]), "candidate-texts")
+    members = buckets.select("rep").distinct().join(classes.select("rep", "one.doc_id", "one.text_key"), "rep")
+    texts = texts.join(members.hint("merge"), ["doc_id", "text_key"]).select(F.col("rep").alias("doc_id"), "text")
+    texts = stored(texts.dropDuplicates(["doc_id"]), "candidate-texts")
 
     # Every member against its bucket's smallest one.
     pivots = buckets.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("p"))
@@ -236,18 +247,33 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             .join(labels, "rep", "left").select("key", "rep", "n", F.coalesce("label", "rep").alias("label")))
     split = live.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
     live = stored(live.join(split, "key"), "live")
+    more = []
     if not live.isEmpty():
-        links = links.unionByName(stored(_blocked(live, texts, percent), "block-links"))
+        more.append(stored(_blocked(live, texts, percent), "block-links"))
+    if by_id:
+        nodes = known.select(F.col("doc_id").alias("id"), F.xxhash64(*key).alias("b"))
+        several = nodes.groupBy("id").agg(F.min("b").alias("a"), F.max("b").alias("last")).where("a <> last").drop("last")
+        same_id = stored(nodes.join(several, "id").where("a <> b").select("a", "b").distinct(), "repeated-ids")
+        if not same_id.isEmpty():
+            more.append(same_id)
+    if more:
+        for m in more:
+            links = links.unionByName(m)
         labels = stored(components(links), "labels").withColumnRenamed("node", "rep")
 
-    out = sketches.drop("bands").join(classes.drop("bands"), key, "left").join(labels, "rep", "left")
-    component = F.coalesce("label", "rep", "doc_id")
+    named = classes.drop("bands").join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    first = named.groupBy("label").agg(F.min("one").alias("first"))
+    named = named.join(first, "label").select(*key, "one", "first")
+    out = sketches.drop("bands").join(named, key, "left")
+    has_id, alone = F.col("doc_id").isNotNull(), F.col("first").isNull()
+    component = F.when(has_id, F.coalesce("first.doc_id", "doc_id"))
     return out.select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("class_id"),
-        F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+        "doc_id", "n_shingles", F.when(has_id, F.coalesce("one.doc_id", "doc_id")).alias("class_id"),
+        component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_key",
+        (~has_id | alone | (F.struct("doc_id", "text_key") == F.col("first"))).alias("kept_row"))
 
 
 def op5_near_dup(spark, sf_dir: str) -> DataFrame:
     """Shingle-set size, component and keep decision of every document."""
-    return near_duplicates(read_table(spark, sf_dir, "documents")).drop("class_id")
+    found = near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

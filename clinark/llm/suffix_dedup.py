@@ -49,11 +49,12 @@ from clinark.llm.common import (NOT_BLANK, arrow_schema, chunks, prefix_hash, re
 LENGTH = 400
 CORE = 100
 CORE_WORDS = 13
+PASSAGE_WORDS = 51
 SHALLOW = 48
 GROUP = 4096
 BAND = 50
 BATCH = 8192
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 _POSITION = np.uint64((1 << 24) - 1)
 _WORD_POSITION = np.uint64((1 << 32) - 1)
 
@@ -494,14 +495,43 @@ def _result(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
 
-def dedup_text(docs: DataFrame) -> DataFrame:
+def _result_with_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same, and the text without the strings and the passages (both kinds of spans together)."""
+    for batch in batches:
+        data, offsets = text_bytes(batch.column(1))
+        for out in _result(iter([batch])):
+            texts = []
+            for i, (strings, every) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                texts.append(_cut(data[offsets[i]:offsets[i + 1]], every.as_py())[0].decode("utf-8", "ignore")
+                             if every.is_valid else batch.column(1)[i].as_py())
+            yield pa.RecordBatch.from_arrays([*out.columns[:5], pa.array(texts, pa.string())],
+                                             names=[*out.schema.names[:5], "text"])
+
+
+def _merged(found: DataFrame) -> DataFrame:
+    """All spans of a text as one sorted list."""
+    return found.groupBy("doc_id", "key").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+
+
+def dedup_text(docs: DataFrame, words: int | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_bytes, n_removed, n_spans, kept_sha256 and kept_text (the
-    remaining bytes as text; a character cut in two is left out of it, not of the digest)."""
+    remaining bytes as text; a character cut in two is left out of it, not of the digest). With ``words``,
+    instead of kept_text, ``text``: the text without the strings and without passages of that many words."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    spans = repeats(docs).withColumnsRenamed({"doc_id": "r_id", "key": "r_key"})
+    strings = repeats(docs)
+    if words is not None:
+        strings = stored(strings, "string-spans")
+        every = _merged(strings.unionByName(repeats(docs, words))).withColumnRenamed("spans", "every")
+        strings = every.join(
+            strings.select(F.col("doc_id").alias("s_id"), F.col("key").alias("s_key"), "spans"),
+            F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("key") == F.col("s_key")), "left").drop("s_id", "s_key")
+    spans = strings.withColumnsRenamed({"doc_id": "r_id", "key": "r_key"})
     same = F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key"))
-    return keyed.join(spans, same, "left").select("doc_id", "text", "spans").mapInArrow(
-        _result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    rows = keyed.join(spans, same, "left")
+    contract = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    if words is not None:
+        return rows.select("doc_id", "text", "spans", "every").mapInArrow(_result_with_passages, f"{contract}, text string")
+    return rows.select("doc_id", "text", "spans").mapInArrow(_result, f"{contract}, kept_text string")
 
 
 def cut_text(docs: DataFrame, words: int | None = None) -> DataFrame:
@@ -522,13 +552,14 @@ def cut_text(docs: DataFrame, words: int | None = None) -> DataFrame:
 
     found = repeats(docs)
     if words is not None:
-        found = found.unionByName(repeats(docs, words)).groupBy("doc_id", "key").agg(
-            F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    spans = found.select(F.col("doc_id").alias("_r_id"), F.col("key").alias("_r_key"), F.col("spans").alias("_spans"))
-    same = F.col("doc_id").eqNullSafe(F.col("_r_id")) & (F.xxhash64("text") == F.col("_r_key"))
-    return docs.join(spans, same, "left").drop("_r_id", "_r_key").mapInArrow(cut, docs.schema)
+        found = _merged(found.unionByName(repeats(docs, words)))
+    mark = max(map(len, names)) * "_"                      # own columns are longer than any of the user's
+    spans = found.toDF(f"{mark}id", f"{mark}key", f"{mark}spans")
+    same = F.col("doc_id").eqNullSafe(F.col(f"{mark}id")) & (F.xxhash64("text") == F.col(f"{mark}key"))
+    return docs.join(spans, same, "left").drop(f"{mark}id", f"{mark}key").mapInArrow(cut, docs.schema)
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    """Bytes and runs removed from every document, and the digest of what is left."""
-    return dedup_text(read_table(spark, sf_dir, "documents")).drop("kept_text")
+    """Bytes and runs removed from every document, and the digest of what is left, by its strings of ``LENGTH``
+    bytes; ``text`` is without these and without passages of over 50 words that repeat."""
+    return dedup_text(read_table(spark, sf_dir, "documents"), PASSAGE_WORDS)

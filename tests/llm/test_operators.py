@@ -409,3 +409,37 @@ def test_pipeline_stages(spark, tmp_path):
     got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert set(got) == set(range(30)) - {5} and all(r["size"] == 200 for r in got.values())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "suffix_array_dedup", "decontaminate", "mix"]
+
+
+def test_near_dup_rows_that_repeat_an_id_lose_no_link(spark):
+    """Two rows of one id link to different documents: all are one component."""
+    a, b = prose(300, 31), prose(300, 32)
+    rows = [(1, a), (2, b), (2, a + " z"), (3, b + " z"), (4, prose(300, 33)), (4, prose(300, 34)), (4, "")]
+    got = [(r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(frame(spark, rows)).collect()]
+    assert sorted(got) == [(1, 1, True), (2, 1, False), (2, 1, False), (3, 1, False), *[(4, 4, True)] * 3]
+    apart = near_dup.near_duplicates(frame(spark, rows), by_id=False).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept_row"]) for r in apart if r["doc_id"] < 4) == [
+        (1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False)]
+    assert all(r["kept_row"] for r in apart if r["doc_id"] == 4)
+
+
+def test_suffix_text_without_strings_and_passages(spark):
+    passage, long = prose(60, 41), prose(200, 42)
+    short = " ".join(w[:2] for w in passage.split())                  # 60 words under 400 bytes
+    rows = [(1, prose(30, 43) + " " + short + " " + prose(30, 44)), (2, prose(30, 45) + " " + short + " " + prose(30, 46)),
+            (3, prose(20, 47) + " " + long), (4, prose(20, 48) + " " + long), (5, prose(80, 49)), (6, None), (None, "x")]
+    plain = {r["doc_id"]: r for r in suffix_dedup.dedup_text(frame(spark, rows)).collect()}
+    got = {r["doc_id"]: r for r in suffix_dedup.dedup_text(frame(spark, rows), 51).collect()}
+    assert len(short) < 400 and set(got) == set(plain)
+    for k, r in got.items():
+        assert all(r[c] == plain[k][c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+    assert plain[1]["n_removed"] == 0 and short not in got[1]["text"] and short not in got[2]["text"]
+    assert prose(30, 43) in got[1]["text"] and got[5]["text"] == prose(80, 49)
+    assert long not in got[3]["text"] and got[6]["text"] is None and got[None]["text"] == "x"
+
+
+def test_suffix_cut_keeps_columns_of_any_name(spark):
+    rows = [(1, prose(20, 51) + prose(120, 52)), (2, prose(20, 53) + prose(120, 52))]
+    odd = {c: F.lit(c) for c in ("_r_id", "_r_key", "_spans", "spans", "_", "__id")}
+    got = suffix_dedup.cut_text(frame(spark, rows).withColumns(odd), 51).collect()
+    assert len(got) == 2 and all(r[c] == c for r in got for c in odd) and all(len(r["text"]) < 300 for r in got)
