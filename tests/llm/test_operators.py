@@ -443,3 +443,24 @@ def test_suffix_cut_keeps_columns_of_any_name(spark):
     odd = {c: F.lit(c) for c in ("_r_id", "_r_key", "_spans", "spans", "_", "__id")}
     got = suffix_dedup.cut_text(frame(spark, rows).withColumns(odd), 51).collect()
     assert len(got) == 2 and all(r[c] == c for r in got for c in odd) and all(len(r["text"]) < 300 for r in got)
+
+
+def test_pipeline_stages_on_odd_tables(spark, tmp_path):
+    """Columns of every own name, repeated ids, an empty table: each stage but the last keeps the columns."""
+    import corpus_pipeline
+    spark.createDataFrame([(1, "no document holds these ten words of an item here")], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    names = ("row", "doc", "key", "place", "nth", "d", "k", "hit", "_id", "_row", "_r_id", "_spans", "text_key", "one", "first")
+    rows = [(1, BASE), (2, BASE), (2, LONG), (3, LONG), (3, LONG), (4, prose(200, 61)), (4, prose(200, 62)), (None, BASE), (5, None)]
+    for table in (rows, []):
+        docs = frame(spark, table, extra=False).withColumns({c: F.lit(c) for c in names})
+        kept = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns
+        got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+        want = [(1, BASE), (2, LONG), (4, prose(200, 61)), (4, prose(200, 62)), (None, BASE), (5, None)] if table else []
+        assert got == sorted(want, key=str)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns, name
+            assert all(r[c] == c for r in out.collect() for c in names), name
+        assert corpus_pipeline.mix(spark, docs, str(tmp_path)).count() == len(table)
