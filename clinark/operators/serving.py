@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from clinark.functions import exprs as X
 from clinark.operators.directory import page_slice
 from clinark.operators.normalize import first_row_per_key
+from clinark.operators.places import search_rows
 from clinark.operators.ranking import ordered_slice
 
 PAGE_LIMIT_MAX = 100
@@ -169,7 +170,8 @@ def page_bounds(page: int = 1, limit: int = PAGE_LIMIT_DEFAULT,
 def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DEFAULT,
                   q: str = "", gender: str = "", age_group: str = "",
                   after: str | None = None, max_limit: int = PAGE_LIMIT_MAX,
-                  directory: DataFrame | None = None) -> DataFrame:
+                  directory: DataFrame | None = None,
+                  places: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """One page of patients, one row per patient_id, ordered by patient_id.
 
     Filters run first, then DISTINCT ON patient_id keeps the smallest row by the
@@ -178,7 +180,8 @@ def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DE
     before it.
 
     With the tier's ``directory`` (``operators.directory``) an unfiltered page looks up the few
-    slices of ids that hold it and reads only their folders and row groups. Otherwise a page
+    slices of ids that hold it and reads only their folders and row groups; with its ``places``
+    (``operators.places``) a search reads only the places it matches. Otherwise a page
     is one lazy plan: a page within the first ``SHALLOW_ROWS`` rows is a top-k, which keeps that many
     rows a task at most; for one beyond, the distinct ids are counted per folder (at most 256
     and NULL), a running sum of the counts finds the folders that hold the page, and only their
@@ -190,7 +193,8 @@ def patients_page(patients: DataFrame, page: int = 1, limit: int = PAGE_LIMIT_DE
     if directory is not None and not filtered and after is None:
         rows, skip = page_slice(patients, directory, offset, limit)
         return _ordered_rows(rows.select(*PATIENT_COLUMNS), skip, limit)
-    df = _patient_filter(patients, q, gender, age_group)
+    found = search_rows(places, q or "") if places is not None else None
+    df = _patient_filter(patients, q, gender, age_group) if found is None else _patient_filter(found, "", gender, age_group)
     folder = (F.col(X.PATIENT_BUCKET) if X.PATIENT_BUCKET in df.columns
               else X.patient_bucket("patient_id"))
     df = df.select(*PATIENT_COLUMNS, folder.alias("_folder"))
@@ -221,12 +225,14 @@ def _ordered_rows(rows: DataFrame, skip: int, limit: int) -> DataFrame:
 
 
 def patients_total(patients: DataFrame, q: str = "", gender: str = "",
-                   age_group: str = "", directory: DataFrame | None = None) -> DataFrame:
+                   age_group: str = "", directory: DataFrame | None = None,
+                   places: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Number of distinct patient_id under the same filters (one row, ``total``); without filters the
-    sum of the tier's ``directory``, if given."""
+    sum of the tier's ``directory``, if given. A search goes through its ``places``, if given."""
     if directory is not None and not any((x or "").strip() for x in (q, gender, age_group)):
         return directory.agg(F.coalesce(F.sum("ids"), F.lit(0)).alias("total"))
-    df = _patient_filter(patients, q, gender, age_group)
+    found = search_rows(places, q or "") if places is not None else None
+    df = _patient_filter(patients, q, gender, age_group) if found is None else _patient_filter(found, "", gender, age_group)
     return df.select("patient_id").distinct().agg(F.count(F.lit(1)).alias("total"))
 
 

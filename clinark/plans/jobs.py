@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clinark.operators import gold, normalize
 from clinark.operators.directory import write_directory
+from clinark.operators.places import write_places
 from clinark.plans.audit import AUDIT_SCHEMA, append_run, load_tables, run_concurrently
 from clinark.schemas import conform
 from clinark.sources import tiers
@@ -99,7 +100,8 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
     clustered by patient, so the per-patient lookups prune to one folder and a few
     row groups (``sources.parquet.write_clustered``). Every run appends a ledger row
     (``pipeline_runs``, or ``ledger``): ``success`` at the end, or ``failed`` before the error is
-    raised again. Clustered patients get their page directory (``operators.directory``).
+    raised again. Clustered patients get their page directory
+    and their places (``operators.directory``, ``operators.places``).
     """
     out_root = out_root.rstrip("/")
     clean_root, gold_root = f"{out_root}/clean", f"{out_root}/gold"
@@ -123,7 +125,9 @@ def run_pipeline(spark: SparkSession, raw_root: str, out_root: str, layout: str
     try:
         clean_rows = run_concurrently(stages, max_workers)
         if cluster:
-            write_directory(read_clean(spark, clean_root, "patients", clustered=True), clean_root)
+            patients = read_clean(spark, clean_root, "patients", clustered=True)
+            run_concurrently({"directory": lambda: write_directory(patients, clean_root),
+                              "places": lambda: write_places(patients, clean_root)}, max_workers)
         audit.extend((name, clean_rows[name]) for _, name, _ in CLEAN_JOBS)
         audit.extend(build_gold(spark, clean_root, gold_root, top_n, max_workers,
                                 clustered=cluster).items())

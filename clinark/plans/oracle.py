@@ -306,6 +306,7 @@ LIMIT 20"""
     q["patient_conditions_clustered"] = q["patient_conditions"]
     for name in ("conditions_with_demographics", "diagnosis_by_gender"):
         q[f"{name}_bucketed"] = q[name]
+    q["patients_page_places"] = q["patients_page_search"]
     q["patients_page_directory"] = q["patients_page_deep"]
     q["patients_total_directory"] = q["patients_total"]
     q["patient_encounters_clustered"] = q["patient_encounters"]

@@ -145,6 +145,17 @@ def patients_total_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.patients_total(patients, directory=directory)
 
 
+def patients_page_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean patients written by place with their dictionary, then a search that tries its text
+    on the dictionary and reads the places it matches."""
+    from clinark.operators.places import read_places, write_places
+    from clinark.session import run_dir
+    root = run_dir(spark, "places")
+    write_places(Dataset(spark, sf_dir).patients, root)
+    places = read_places(spark, root)
+    return serving.patients_page(places[1], q=SEARCH_TEXT, places=places)
+
+
 def pipeline_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed NDJSON → ingest → the batch job, published as a version; every gold and clean table's
     rows as a reader of the current version sees them."""
@@ -344,6 +355,7 @@ WRITE_QUERIES: dict[str, Query] = {
     "patient_encounters_clustered": patient_encounters_clustered,
     "patients_page_directory": patients_page_directory,
     "patients_total_directory": patients_total_directory,
+    "patients_page_places": patients_page_places,
     "catalog_tables": catalog_tables,
     "conditions_with_demographics_bucketed": conditions_with_demographics_bucketed,
     "diagnosis_by_gender_bucketed": diagnosis_by_gender_bucketed,

@@ -1,0 +1,70 @@
+"""Search through the places equals the plain search, and reads less."""
+
+import hashlib
+import random
+
+import pytest
+
+from clinark.operators import places as P
+from clinark.operators import serving
+from clinark.schemas import CLEAN
+
+CITIES = ["New York", "new_port", "Yorktown", "100%ville", "a\\b", "Östersund", "cafe", "beef", "x", "", None]
+STATES = ["NY", "new", "Ohio_1", "De", "york", None]
+
+
+@pytest.fixture(scope="module")
+def tier(spark, tmp_path_factory):
+    rng = random.Random(3)
+    root = str(tmp_path_factory.mktemp("places"))
+    rows = [(hashlib.sha256(str(rng.randrange(900)).encode()).hexdigest(), rng.choice(["male", "female"]), "1990",
+             rng.choice(STATES), rng.choice(CITIES), "26-50") for _ in range(1500)]
+    rows += [(None, "male", None, "NY", "x", None)] * 2
+    patients = spark.createDataFrame(rows, CLEAN["patients"])
+    P.write_places(patients, root)
+    return patients, P.read_places(spark, root)
+
+
+def test_dictionary_and_copy_hold_every_row(tier):
+    patients, (dictionary, copy) = tier
+    assert copy.count() == patients.count() == dictionary.agg({"patients": "sum"}).first()[0]
+
+
+def test_random_patterns_give_the_same_pages(tier):
+    patients, places = tier
+    rng = random.Random(8)
+    through = 0
+    alphabet = ["y", "o", "r", "k", "N", "e", "w", "%", "_", "\\", "\\%", "\\_", "\\\\", "1", "0", "a", "b", "ö", "x", "z", " "]
+    texts = ["york", "n_w", "100\\%", "a\\\\b", "%", "beef", "ÖSTER", "zzz", "", "new\\_", "\\", "cafe"]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 4))) for _ in range(25)]
+    for q in texts:
+        try:
+            want = serving.patients_page(patients, 1, 50, q=q).collect()
+        except Exception as error:  # a pattern that ILIKE refuses is refused on both ways
+            with pytest.raises(type(error)):
+                serving.patients_page(patients, 1, 50, q=q, places=places).collect()
+            continue
+        through += P.search_rows(places, q) is not None
+        assert serving.patients_page(patients, 1, 50, q=q, places=places).collect() == want, q
+    assert through > 10
+
+
+def test_filters_totals_and_too_many_places(tier):
+    patients, places = tier
+    assert (serving.patients_total(patients, q="york", gender="male", places=places).first()
+            == serving.patients_total(patients, q="york", gender="male").first())
+    assert P.search_rows(places, "york", max_places=1) is None
+    assert (serving.patients_page(patients, 2, 10, q="york", gender="female", places=places).collect()
+            == serving.patients_page(patients, 2, 10, q="york", gender="female").collect())
+
+
+def test_a_search_reads_by_equality(tier):
+    _, places = tier
+    plan = P.search_rows(places, "yorktown")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "EqualTo(city,Yorktown)" in plan.replace("In(city, [Yorktown])", "EqualTo(city,Yorktown)")
+    assert "like" not in plan.lower().split("pushedfilters")[0].replace("likely", "")
+
+
+def test_which_patterns_can_match_an_id():
+    assert all(map(P.may_match_id, ["", "a", "BEEF", "%", "_", "a%b", "\\a", "12_"]))
+    assert not any(map(P.may_match_id, ["x", "a b", "\\%", "\\_", "nation", "a\\", "é"]))
