@@ -7,10 +7,10 @@ Phrases are 2 to ``LONGEST`` words within a piece of text, per language; frequen
    such words, with a lowered threshold.
 2. Full pass. Every word, every proposed phrase and every phrase of the negative border (not
    proposed, but both its parts, without the last word and without the first, are) is counted over
-   all documents. As 64-bit keys, first combined per task.
-3. Expansion. A further pass gives each frequent phrase's two parts. Where the border failed (a
-   phrase is frequent that was not proposed), the same pass counts the phrases that only now have
-   both parts; it is repeated until no such phrase is frequent, and then the result is closed.
+   all documents. As 64-bit keys, with those of the two parts, first combined per task.
+3. Expansion. Where the border failed (something is frequent that was not proposed), a further pass
+   counts the phrases that only now have both parts; it is repeated until none of them is
+   frequent that was not proposed, and then the result is closed.
 4. Scores. Every cut of a phrase joins the counts of its two parts; phrases inside a longer one
    with ``SHARE`` percent of their count are dropped (a longer one that holds more words occurs no
    more often than one with one word more); the best of each language are ranked, first within
@@ -46,7 +46,8 @@ TOP = 2000
 SAMPLE = 8                    # one in SAMPLE documents, by hash, is in the sample
 BITS = 1 << 26
 #: Keys of a size that a task holds before it passes them on.
-HELD = 1 << 21
+HELD = 1 << 20
+CHUNK = 1 << 19
 PARTS = 64
 SCORE = 2_000_000
 _SHIFTS = (0, 19, 38)
@@ -59,7 +60,7 @@ _WORD = ~_STOP
 _WORD[[0x20, 0x09]] = False
 
 _KEYS = "key long, size int, n long"
-_PHRASES = "key long, size int, n long, prefix long, suffix long, lang_key long, held boolean"
+_PHRASES = "key long, size int, n long, prefix long, suffix long"
 _NAMES = "key long, lang string, phrase string"
 
 
@@ -152,7 +153,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Chunk, list[st
         data, offsets = text_bytes(batch.column(1))
         raw, places = text_bytes(batch.column(0))
         lang_keys = span_hash(prefix_hash(raw), places[:-1], places[1:])
-        for a, b in chunks(offsets):
+        for a, b in chunks(offsets, CHUNK):
             lo = offsets[a]
             yield Chunk(data[lo:offsets[b]], offsets[a:b + 1] - lo, lang_keys[a:b]), langs[a:b]
 
@@ -211,55 +212,52 @@ def _sample_phrases(words, longest: int):
     return run
 
 
-def _full_pass(proposed, longest: int):
-    """Every word, and every phrase whose parts are proposed."""
+def _counting_pass(before, now, longest: int):
+    """Counts and parts of all phrases whose parts are in ``now`` and, with ``before``, were not both in that one.
+    Without it also of every word (its first part is the key of its language), and the number of words of each
+    language (size 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counter = Filter(proposed.value), _Counter()
-        for chunk, _ in _batches(batches):
-            for size, _, keys, _ in levels(chunk, longest, known):
-                yield from counter.add(keys, size)
-        yield from counter.rest()
-    return run
-
-
-def _expansion_pass(frequent, before, now, longest: int):
-    """Counts and parts of the phrases whose keys are in ``frequent`` (None: of none), and of those whose parts
-    are in ``now`` and were not both in ``before``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = Filter(frequent.value) if frequent is not None else None
-        old, new = Filter(before.value), Filter(now.value)
+        filters = [Filter(f.value) for f in (before, now) if f is not None]
         held: dict[int, list[tuple]] = {}
         words: dict[int, int] = {}
 
         def take(size: int) -> pa.RecordBatch:
-            keys, *rest = (np.concatenate(c) for c in zip(*held.pop(size), strict=True))
+            keys, prefix, suffix = (np.concatenate(c) for c in zip(*held.pop(size), strict=True))
             keys, first, n = np.unique(keys, return_index=True, return_counts=True)
-            prefix, suffix, lang = (c[first].view(np.int64) for c in rest)
             return pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), size, np.int32)), pa.array(n), pa.array(prefix),
-                 pa.array(suffix), pa.array(lang), pa.array(new.has(keys))], schema=arrow_schema(_PHRASES))
+                [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), size, np.int32)), pa.array(n),
+                 pa.array(prefix[first].view(np.int64)), pa.array(suffix[first].view(np.int64))], schema=arrow_schema(_PHRASES))
 
         for chunk, _ in _batches(batches):
-            known = np.zeros(len(chunk.words) + 1, np.uint64)
-            if wanted is not None:
-                for lang, n in zip(*map(np.ndarray.tolist, _counts(chunk.langs[chunk.row].view(np.int64))), strict=True):
+            langs = chunk.langs[chunk.row]
+            if before is None:
+                for lang, n in zip(*map(np.ndarray.tolist, _counts(langs.view(np.int64))), strict=True):
                     words[lang] = words.get(lang, 0) + n
-            for size, at, keys, ((counted, _), _) in levels(chunk, longest, old, new):
-                if size > 1:
-                    go = ~counted
-                    if wanted is not None:
-                        go |= wanted.has(keys)
-                    here = at[go]
-                    held.setdefault(size, []).append((keys[go], known[here], known[here + 1], chunk.langs[chunk.row[here]]))
-                    if sum(len(h[0]) for h in held[size]) > HELD // 2:
-                        yield take(size)
-                known[at] = keys
+            part = np.zeros(len(chunk.words) + 1, np.uint64)      # keys of one word less, by place
+            for size, at, keys, marks in levels(chunk, longest, *filters):
+                if before is None:
+                    parts = (part[at], part[at + 1]) if size > 1 else (langs, np.zeros(len(at), np.uint64))
+                    held.setdefault(size, []).append((keys, *parts))
+                elif size > 1:
+                    fresh = ~marks[0][0]
+                    held.setdefault(size, []).append((keys[fresh], part[at[fresh]], part[at[fresh] + 1]))
+                part[at] = keys
+                if size in held and sum(len(h[0]) for h in held[size]) > HELD:
+                    yield take(size)
         for size in list(held):
             yield take(size)
-        keys = pa.array(list(words), pa.int64())
-        nothing = pa.array([0] * len(words), pa.int64())
+        keys, nothing = pa.array(list(words), pa.int64()), pa.array([0] * len(words), pa.int64())
         yield pa.RecordBatch.from_arrays([keys, nothing.cast(pa.int32()), pa.array(list(words.values()), pa.int64()), nothing,
-                                          nothing, keys, pa.array([True] * len(words))], schema=arrow_schema(_PHRASES))
+                                          nothing], schema=arrow_schema(_PHRASES))
+    return run
+
+
+def _not_in(held):
+    """The rows (key, ...) whose keys the filter does not hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Filter(held.value)
+        for batch in batches:
+            yield batch.filter(pa.array(~known.has(batch.column(0).to_numpy().view(np.uint64))))
     return run
 
 
@@ -304,8 +302,8 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, sample: int = SAMPLE,
          bits: int = BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What occurs ``min_count`` times, with exact counts: words (key, n), and phrases of 2 to ``longest`` words
-    (key, size, n, prefix, suffix, lang_key), where prefix and suffix are the keys of their two parts; and
+    """What occurs ``min_count`` times, with exact counts: words (key, n, lang_key), and phrases of 2 to ``longest``
+    words (key, size, n, prefix, suffix), where prefix and suffix are the keys of their two parts; and
     (lang_key, n), the words of each language."""
     sc = docs.sparkSession.sparkContext
     texts = _texts(docs)
@@ -317,28 +315,25 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, sa
     phrases = stored(_summed(drawn.mapInArrow(_sample_phrases(known, longest), _KEYS), lowered), "sample-phrases")
     before = _filter_words(words.unionByName(phrases), bits)
 
-    proposed = sc.broadcast(before)
-    found = stored(_summed(texts.mapInArrow(_full_pass(proposed, longest), _KEYS), min_count), "frequent-keys")
-    named = _filter_words(found.where("size > 1"), bits)
-    frequent, now = sc.broadcast(named), before | _filter_words(found, bits)
-    tables = []
+    tables, now = [], sc.broadcast(before)
+    old = None
     while True:
-        old, new = sc.broadcast(before), sc.broadcast(now)
-        rows = (texts.mapInArrow(_expansion_pass(frequent, old, new, longest), _PHRASES).groupBy("key")
-                .agg(F.sum("n").alias("n"), *(F.max(c).alias(c) for c in ("size", "prefix", "suffix", "lang_key", "held")))
-                .where((F.col("n") >= min_count) | (F.col("size") == 0)))
-        tables.append(stored(rows, "phrases"))
-        # The border failed at these: frequent phrases that can grow, and that no filter held yet.
-        failed = tables[-1].where((F.col("size") < longest) & ~F.col("held"))
-        if failed.isEmpty():
+        rows = texts.mapInArrow(_counting_pass(old, now, longest), _PHRASES).groupBy("key").agg(
+            F.sum("n").alias("n"), *(F.first(c).alias(c) for c in ("size", "prefix", "suffix")))
+        tables.append(stored(rows.where((F.col("n") >= min_count) | (F.col("size") == 0)), "frequent"))
+        # The border failed at these: frequent, able to grow, and in no filter yet.
+        grow = tables[-1].where(F.col("size").between(1, longest - 1)).select("key").mapInArrow(_not_in(now), "key long")
+        grow = stored(grow, "border-failures")
+        if grow.isEmpty():
             break
-        before, now, frequent = now, now | _filter_words(failed, bits), None
-    out = tables[0].where("size > 0")
+        old, before = now, before | _filter_words(grow, bits)
+        now = sc.broadcast(before)
+    out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)
-    return (found.where("size = 1").select("key", "n"),
-            out.select("key", "size", "n", "prefix", "suffix", "lang_key").dropDuplicates(["key"]),
-            tables[0].where("size = 0").select("lang_key", "n"))
+    phrases = out.where("size > 1").select("key", "size", "n", "prefix", "suffix").dropDuplicates(["key"])
+    return (tables[0].where("size = 1").select("key", "n", F.col("prefix").alias("lang_key")), phrases,
+            tables[0].where("size = 0").select(F.col("key").alias("lang_key"), "n"))
 
 
 def names(docs: DataFrame, keys: DataFrame, least: int = 1, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
@@ -360,7 +355,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
 
 
 def scored(words: DataFrame, phrases: DataFrame, longest: int = LONGEST, share: int = SHARE) -> DataFrame:
-    """(key, lang_key, a, l, r, score) of the phrases of ``mine`` that no longer one holds."""
+    """(key, lang_key, a, l, r, score) of the phrases of ``mine`` that no longer one holds with ``share`` percent."""
     # A phrase's heads are its prefix and that one's heads; its tails its suffix and that one's tails.
     level = phrases.where("size = 2").withColumns({"heads": F.array("prefix"), "tails": F.array("suffix")})
     levels_ = [level]
@@ -375,13 +370,12 @@ def scored(words: DataFrame, phrases: DataFrame, longest: int = LONGEST, share:
     every = levels_[0]
     for t in levels_[1:]:
         every = every.unionByName(t)
-    counts = words.select("key", "n").unionByName(phrases.select("key", "n"))
-
-    def part(column: str, name: str) -> DataFrame:
-        return counts.select(F.col("key").alias(column), F.col("n").alias(name))
-    cut = every.select("key", "lang_key", F.col("n").alias("a"), F.posexplode(F.arrays_zip("heads", "tails")).alias("k", "parts"))
-    cut = cut.select("key", "lang_key", "a", "k", F.col("parts.heads").alias("head"), F.col("parts.tails").alias("tail"))
-    cut = cut.join(part("head", "l"), "head").join(part("tail", "r"), "tail")
+    counts = words.select("key", "n", "lang_key").unionByName(phrases.select("key", "n", F.lit(None).cast("long").alias("lang_key")))
+    cut = every.select("key", F.col("n").alias("a"), F.posexplode(F.arrays_zip("heads", "tails")).alias("k", "parts"))
+    cut = cut.select("key", "a", "k", F.col("parts.heads").alias("head"), F.col("parts.tails").alias("tail"))
+    # A first head is a word, and tells the language.
+    cut = cut.join(counts.select(F.col("key").alias("head"), F.col("n").alias("l"), "lang_key"), "head")
+    cut = cut.join(counts.select(F.col("key").alias("tail"), F.col("n").alias("r")), "tail")
     # Decimals: the product of a long and 2,000,000 may pass 64 bits.
     score = F.expr(f"cast(cast(a as decimal(20, 0)) * {SCORE} div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0))) as long)")
     best = (cut.groupBy("key").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("best"),
