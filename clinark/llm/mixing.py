@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinark.llm.common import read_table, stored
+from clinark.session import run_dir
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -147,16 +148,37 @@ def mixture(docs: DataFrame, shards: int = SHARDS, weights: tuple[int, ...] = WE
              F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"]).alias("taken"), "draws")
 
 
-def write_shards(docs: DataFrame, mixed: DataFrame, path: str) -> None:
-    """Write the mix: one folder per shard, its files in the order of the shuffled keys (a large
-    shard is several ranges of them, so several tasks)."""
-    rows = (mixed.select("doc_id", F.explode("draws").alias("d")).join(docs.select("doc_id", "text"), "doc_id")
-            .select(F.col("d.shard").alias("shard"), F.col("d.order_key").alias("order_key"), "doc_id", "text",
-                    F.col("d.words").alias("words")))
+def write_shards(mixed: DataFrame, path: str, *columns: str) -> None:
+    """Write the draws of ``mixture`` rows: one folder per shard, its files in the order of the shuffled keys (a
+    large shard is several ranges of them, so several tasks). Each draw has order_key, words and ``columns``."""
+    rows = mixed.select(F.explode("draws").alias("draw"), *columns).select(
+        F.col("draw.shard").alias("shard"), F.col("draw.order_key").alias("order_key"), F.col("draw.words").alias("words"),
+        F.col("draw.epoch").alias("epoch"), *columns)
     rows = rows.repartitionByRange("shard", "order_key").sortWithinPartitions("shard", "order_key")
     rows.write.partitionBy("shard").parquet(path)
 
 
+def shard_texts(docs: DataFrame, mixed: DataFrame, path: str) -> None:
+    """Write the mix itself: the shards' draws with the texts."""
+    one = docs.select("doc_id", "text").dropDuplicates(["doc_id"])
+    write_shards(mixed.join(one, "doc_id"), path, "doc_id", "text")
+
+
+def taken_from_shards(mixed: DataFrame) -> DataFrame:
+    """Writes the shards' draws, reads them back, and gives every row of ``mixed`` the words that they take of it
+    and the shards that hold it."""
+    spark = mixed.sparkSession
+    rows = stored(mixed.withColumn("row", F.monotonically_increasing_id()), "mixture")
+    path = f"{run_dir(spark, 'shards')}/shards"
+    write_shards(rows, path, "row")
+    schema = "order_key long, words long, epoch long, row long, shard int"
+    drawn = spark.read.schema(schema).parquet(path).groupBy(F.col("row").alias("drawn")).agg(
+        F.sum("words").alias("taken"), F.sort_array(F.collect_list("shard")).alias("shards"))
+    rows = rows.drop("taken", "draws").join(drawn, F.col("row") == F.col("drawn"), "left")
+    return rows.withColumns({"taken": F.coalesce("taken", F.lit(0).cast("long")), "shards": F.coalesce(
+        "shards", F.array().cast("array<int>"))}).drop("row", "drawn")
+
+
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
-    """Size, source size, target and taken words of every document."""
-    return mixture(read_table(spark, sf_dir, "documents")).drop("draws", "source")
+    """Size, source size and target of every document, and the words that the written shards take of it."""
+    return taken_from_shards(mixture(read_table(spark, sf_dir, "documents"))).drop("source")

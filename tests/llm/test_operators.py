@@ -464,3 +464,65 @@ def test_pipeline_stages_on_odd_tables(spark, tmp_path):
             assert out.columns == docs.columns, name
             assert all(r[c] == c for r in out.collect() for c in names), name
         assert corpus_pipeline.mix(spark, docs, str(tmp_path)).count() == len(table)
+
+
+def test_mixing_shards_are_disjoint_draws_by_exact_quotas(spark, tmp_path):
+    """The written shards: the tree's quotas, every draw once, each shard in shuffled order, their sums what the
+    mix takes."""
+    rows = [(i, prose(3 + i % 40, i)) for i in range(600)] + [(7, "repeated id"), (None, "no id"), (601, None)]
+    docs = frame(spark, rows, extra=False).withColumn("source", F.when(F.col("doc_id") % 3 == 0, "a").when(
+        F.col("doc_id") % 3 == 1, "b"))
+    mixed = mixing.mixture(docs, shards=8, blocks=32).persist()
+    path = str(tmp_path / "shards")
+    mixing.write_shards(mixed, path, "doc_id", "source")
+    draws = spark.read.parquet(path).collect()
+    every = [(d["shard"], d["order_key"], d["words"], d["epoch"]) for r in mixed.collect() for d in r["draws"]]
+    assert sorted((d["shard"], d["order_key"], d["words"], d["epoch"]) for d in draws) == sorted(every)
+    # A block's draw of an epoch lies in one shard, and each shard holds its quota of the sources' block draws.
+    blocks = spark.createDataFrame([(d["shard"], d["source"], d["epoch"], d["doc_id"]) for d in draws],
+                                   "shard int, source string, epoch long, doc_id long")
+    key = F.pmod(F.xxhash64(F.lit(mixing.SEED + 1), "doc_id"), F.lit(32))
+    placed = blocks.withColumn("block", key).select("shard", "source", "epoch", "block").distinct()
+    assert placed.groupBy("source", "epoch", "block").count().where("count > 1").isEmpty()
+    counts = Counter((r["source"], r["shard"]) for r in placed.collect())
+    names = sorted({s for s, _ in counts}, key=lambda s: (s is None, s or ""))
+    total = np.array([sum(n for (s, _), n in counts.items() if s == name) for name in names])
+    assert total.sum() > 32
+    sums = np.array([sum(counts[s, shard] for s in names) for shard in range(8)])
+    assert sums.max() - sums.min() <= 3                      # even shards: block draws of wordless parts are not written
+    # Files of a shard are in the order of their keys, which is not that of the documents.
+    for file in (tmp_path / "shards").rglob("*.parquet"):
+        got = spark.read.parquet(str(file)).select("order_key", "doc_id").collect()
+        assert [r["order_key"] for r in got] == sorted(r["order_key"] for r in got)
+        if len(got) > 20:
+            assert [r["doc_id"] for r in got] != sorted((r["doc_id"] for r in got), key=lambda x: (x is None, x))
+    # What the shards hold is what the mix takes.
+    want = sorted((r["doc_id"], r["source"], r["size"], r["taken"]) for r in mixed.where("doc_id is not null").collect())
+    got = mixing.taken_from_shards(mixed).where("doc_id is not null").collect()
+    assert sorted((r["doc_id"], r["source"], r["size"], r["taken"]) for r in got) == want
+    assert all(len(r["shards"]) == (r["taken"] > 0) + 0 or r["taken"] > r["size"] or r["shards"] for r in got)
+    mixing.shard_texts(docs.where("doc_id < 600 and doc_id <> 7"), mixed.where("doc_id <> 7"), str(tmp_path / "texts"))
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(str(tmp_path / "texts")).collect()}
+    assert texts and all(texts[i] == dict(rows)[i] for i in texts)
+
+
+def test_mixing_targets_against_plain_resharing():
+    """Targets by a plain loop over shares, on random sizes."""
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        names = [*(f"s{i}" for i in range(int(rng.integers(1, 9)))), None]
+        sizes = [(n, int(rng.integers(0, 10 ** int(rng.integers(1, 6))))) for n in names]
+        order = sorted(names, key=lambda x: (x is None, x or ""))
+        weight = {n: (5, 2, 1)[i % 3] for i, n in enumerate(order)}
+        size, left, fixed = dict(sizes), float(sum(n for _, n in sizes)), {}
+        while True:
+            free = [n for n in order if n not in fixed]
+            share = {n: left * weight[n] / sum(weight[m] for m in free) for n in free}
+            over = [n for n in free if share[n] > 3 * size[n]]
+            if not over:
+                break
+            fixed.update({n: 3.0 * size[n] for n in over})
+            left = sum(size.values()) - sum(fixed.values())
+        want = fixed | share
+        got = mixing.targets(sizes)
+        assert all(abs(got[n] - want[n]) < 1e-6 * max(1, want[n]) for n in names)
