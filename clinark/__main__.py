@@ -6,8 +6,9 @@ Commands
   ingest  --landing DIR --routed DIR --checkpoint DIR [--continuous SECONDS] [--archive DIR]
           route landed NDJSON lines by resource type (exactly once per checkpoint)
   job     --raw DIR --out DIR [--layout routed|directory] [--patient-key plain|hashed]
-          [--no-cluster] [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR --jdbc-connections N]
-          raw → clean → gold (+ optional JDBC loads); prints the load audit
+          [--publish] [--no-cluster] [--jdbc-url URL --jdbc-user U --jdbc-password-env VAR --jdbc-connections N]
+          raw → clean → gold (+ optional JDBC loads); prints the load audit. --publish writes
+          a version below --out and makes it current when it is whole
   register --clean DIR [--db NAME] [--no-cluster]
           clean tables as external Parquet tables of a catalog database
   land    --sf-dir DIR --landing DIR
@@ -44,6 +45,8 @@ def _parser() -> argparse.ArgumentParser:
     j.add_argument("--layout", choices=["routed", "directory"], default="routed")
     j.add_argument("--patient-key", choices=["plain", "hashed"], default="hashed")
     j.add_argument("--top-n", type=int, default=None)
+    j.add_argument("--publish", action="store_true",
+                   help="write a new version of the tiers and publish it at the end")
     j.add_argument("--no-cluster", action="store_true",
                    help="write the clean tables unclustered (no range sort by patient)")
     j.add_argument("--jdbc-url", default=None)
@@ -81,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
                            archive_dir=args.archive)
             print(f"routed {n} lines")
     elif args.cmd == "job":
-        from clinark.plans.jobs import JdbcTarget, run_pipeline
+        from clinark.plans.jobs import JdbcTarget, publish_pipeline, run_pipeline
         jdbc = None
         if args.jdbc_url:
             props = {}
@@ -92,9 +95,9 @@ def main(argv: list[str] | None = None) -> int:
             if args.jdbc_driver:
                 props["driver"] = args.jdbc_driver
             jdbc = JdbcTarget(args.jdbc_url, props, num_partitions=args.jdbc_connections)
-        audit = run_pipeline(spark, args.raw, args.out, layout=args.layout,
-                             patient_key=args.patient_key, jdbc=jdbc, top_n=args.top_n,
-                             cluster=not args.no_cluster)
+        job = publish_pipeline if args.publish else run_pipeline
+        audit = job(spark, args.raw, args.out, layout=args.layout, patient_key=args.patient_key,
+                    jdbc=jdbc, top_n=args.top_n, cluster=not args.no_cluster)
         for row in audit.collect():  # the audit is one row per table
             print(f"'{row['table']}': {row['rows']} rows")
     elif args.cmd == "register":
