@@ -6,9 +6,11 @@ bytes of the whole text. Overlapping chunks of ``CHUNK`` bytes, one each ``CHUNK
 max-pooled per filter; the chunks' mean and maximum enter a logistic output, so every
 byte of a document of any length takes part.
 
-Learning: Adam on a bounded, hash-drawn sample (``PER_CLASS`` documents a class, up to
-``TRAIN_CHUNKS`` hash-drawn chunks of each), gradients by hand: max-pooling sends them to
-one place per filter and chunk. The classes' true shares correct the balanced sample.
+Learning: Adam on a bounded, hash-drawn sample (``PER_CLASS`` documents a class), on their whole
+texts by the same forward pass as scoring, gradients by hand: max-pooling sends them to one
+place per filter and chunk. The sample is written to the shared folder; an epoch is one task
+that streams it in a hashed order, minibatch by minibatch, so neither it nor the driver holds more
+texts than that. The classes' true shares correct the balanced sample.
 
 Defined cases: NULL and empty texts are one chunk of zero bytes; without labels of both
 classes every score is the learned class share; NULL or repeated ids are scored like any
@@ -17,6 +19,7 @@ row; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinark.llm.common import arrow_schema, chunks, fold, read_table, text_bytes
+from clinark.llm.common import arrow_schema, chunks, fold, read_table, stored, text_bytes
 from clinark.llm.samples import labelled
 
 WIDTH, STRIDE, FILTERS = 8, 4, 16
 CHUNK, CHUNK_STEP = 512, 384
 PER_CLASS = 2500
-TRAIN_CHUNKS = 12
 EPOCHS, MINIBATCH, RATE = 10, 32, 0.01
 THRESHOLD = 0.7
 SEED = 6
@@ -66,11 +68,15 @@ def chunk_ranges(first: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.
     return start, np.minimum(start + width, (first + places)[row]), bounds
 
 
+def convolved(data: np.ndarray, offsets: np.ndarray, tables: np.ndarray):
+    """Padded bytes, filter sums at every place, and the chunks' start, end and row bounds."""
+    raw, (first, places) = padded(data, offsets)
+    return raw, responses(raw, tables), *chunk_ranges(first, places)
+
+
 def pooled(data: np.ndarray, offsets: np.ndarray, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Max-pooled chunk vectors of a batch of rows, and the rows' bounds in them."""
-    raw, (first, places) = padded(data, offsets)
-    start, end, bounds = chunk_ranges(first, places)
-    found = responses(raw, tables)
+    _, found, start, end, bounds = convolved(data, offsets, tables)
     found = np.concatenate([found, np.zeros((1, found.shape[1]), np.float32)])
     return np.maximum.reduceat(found, np.stack([start, end], axis=1).ravel(), axis=0)[::2], bounds
 
@@ -81,78 +87,83 @@ def document_vectors(pools: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.concatenate([mean, np.maximum.reduceat(active, bounds[:-1], axis=0)], axis=1)
 
 
-def _training_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, y, chunks): at most ``TRAIN_CHUNKS`` chunks of each sampled text, drawn by its id."""
-    for batch in batches:
-        ids, ys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for i, y, text in zip(ids, ys, texts, strict=True):
-            raw = (text or "").encode()
-            starts = np.arange(0, max(len(raw) - CHUNK + CHUNK_STEP, 1), CHUNK_STEP)
-            if len(starts) > TRAIN_CHUNKS:
-                starts = np.sort(np.random.default_rng([SEED, abs(i)]).choice(starts, TRAIN_CHUNKS, replace=False))
-            cut = b"".join(raw[s:s + CHUNK].ljust(CHUNK, b"\0") for s in starts)
-            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([y], pa.int64()), pa.array([cut], pa.binary())],
-                                             schema=arrow_schema("doc_id long, y long, chunks binary"))
+def gradients(model: dict, data: np.ndarray, offsets: np.ndarray, y: np.ndarray) -> tuple[dict, float]:
+    """The gradient of the mean log loss of some rows, and that loss."""
+    raw, found, start, end, bounds = convolved(data, offsets, model["tables"])
+    top = np.stack([found[a:b].argmax(axis=0) + a for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+    filters = np.arange(found.shape[1])
+    pools = found[top, filters]
+    n = np.diff(bounds)
+    vector, active = document_vectors(pools, bounds), np.tanh(pools)
+    z = vector @ model["out"] + model["bias"]
+    error = ((1 / (1 + np.exp(-z)) - y) / len(y)).astype(found.dtype)
+    row = np.repeat(np.arange(len(y)), n)
+    mean, peak = model["out"][:len(filters)], model["out"][len(filters):]
+    back = error[row, None] * mean / n[row, None]
+    # The maximum's gradient goes to the first chunk that reaches it.
+    first = np.full((len(y), len(filters)), len(row))
+    np.minimum.at(first, row, np.where(active == vector[row, len(filters):], np.arange(len(row))[:, None], len(row)))
+    back[first, filters] += error[:, None] * peak
+    back *= 1 - active ** 2
+    table = np.zeros_like(model["tables"])
+    for j in range(WIDTH):
+        np.add.at(table[j], (raw[top * STRIDE + j], filters[None, :]), back)
+    loss = float(np.mean(np.logaddexp(0, z) - y * z))
+    return {"tables": table, "out": vector.T @ error, "bias": error.sum(keepdims=True)}, loss
 
 
-def train(samples: list[tuple[int, bytes]], seed: int = SEED, epochs: int = EPOCHS) -> dict:
-    """Tables, output weights and bias from (label, chunks) pairs."""
+def fresh_model(seed: int = SEED) -> dict:
     rng = np.random.default_rng(seed)
-    model = {"tables": rng.normal(0, 0.15, (WIDTH, 256, FILTERS)).astype(np.float32),
-             "out": rng.normal(0, 0.3, 2 * FILTERS).astype(np.float32), "bias": np.zeros(1, np.float32)}
-    first = {k: np.zeros_like(v) for k, v in model.items()}
-    second = {k: np.zeros_like(v) for k, v in model.items()}
-    width, turn = CHUNK // STRIDE, 0
-    for _ in range(epochs):
-        order = rng.permutation(len(samples))
-        for lo in range(0, len(order), MINIBATCH):
-            rows = [samples[i] for i in order[lo:lo + MINIBATCH]]
-            n = np.array([len(c) // CHUNK for _, c in rows])
-            bounds = np.concatenate([[0], np.cumsum(n)])
-            raw = np.zeros((bounds[-1], CHUNK + WIDTH), np.uint8)
-            raw[:, :CHUNK] = np.frombuffer(b"".join(c for _, c in rows), np.uint8).reshape(-1, CHUNK)
-            sums = np.zeros((len(raw), width, FILTERS), np.float32)
-            for j in range(WIDTH):
-                sums += model["tables"][j][raw[:, j:j + width * STRIDE:STRIDE]]
-            top = sums.argmax(axis=1)
-            active = np.tanh(np.take_along_axis(sums, top[:, None], axis=1)[:, 0])
-            vector = np.concatenate([np.add.reduceat(active, bounds[:-1], axis=0) / n[:, None],
-                                     np.maximum.reduceat(active, bounds[:-1], axis=0)], axis=1)
-            p = 1 / (1 + np.exp(-(vector @ model["out"] + model["bias"])))
-            error = ((p - np.array([y for y, _ in rows])) / len(rows)).astype(np.float32)
-            grad = {"out": vector.T @ error + 1e-4 * model["out"], "bias": error.sum(keepdims=True)}
-            row = np.repeat(np.arange(len(rows)), n)
-            back = error[row, None] * model["out"][:FILTERS] / n[row, None]
-            peak = active == vector[row, FILTERS:]
-            back = (back + peak * error[row, None] * model["out"][FILTERS:]) * (1 - active ** 2)
-            table = np.zeros_like(model["tables"])
-            chunk, which = np.indices(top.shape)
-            for j in range(WIDTH):
-                np.add.at(table[j], (raw[chunk, top * STRIDE + j], which), back)
-            grad["tables"] = table + 1e-5 * model["tables"]
-            turn += 1
-            for k in model:
-                first[k] = 0.9 * first[k] + 0.1 * grad[k]
-                second[k] = 0.99 * second[k] + 0.01 * grad[k] ** 2
-                step = first[k] / (1 - 0.9 ** turn) / (np.sqrt(second[k] / (1 - 0.99 ** turn)) + 1e-6)
-                model[k] -= (RATE * step).astype(np.float32)
-    return model
-
-
-def learn(docs: DataFrame, labels: DataFrame, learn_rows, per_class: int = PER_CLASS) -> dict:
+    return {"tables": rng.normal(0, 0.15, (WIDTH, 256, FILTERS)).astype(np.float32),
+            "out": rng.normal(0, 0.3, 2 * FILTERS).astype(np.float32), "bias": np.zeros(1, np.float32)}
+
+
+class Adam:
+    """A model and its moments, moved by gradients."""
+
+    def __init__(self, model: dict) -> None:
+        self.model, self.turn = model, 0
+        self.first = {k: np.zeros_like(v) for k, v in model.items()}
+        self.second = {k: np.zeros_like(v) for k, v in model.items()}
+
+    def step(self, grad: dict) -> None:
+        self.turn += 1
+        for k, decay in (("tables", 1e-5), ("out", 1e-4), ("bias", 0.0)):
+            g = grad[k] + np.float32(decay) * self.model[k]
+            self.first[k] = 0.9 * self.first[k] + 0.1 * g
+            self.second[k] = 0.99 * self.second[k] + 0.01 * g ** 2
+            step = self.first[k] / (1 - 0.9 ** self.turn) / (np.sqrt(self.second[k] / (1 - 0.99 ** self.turn)) + 1e-6)
+            self.model[k] = self.model[k] - (RATE * step).astype(np.float32)
+
+
+def _epoch(state: Adam):
+    """(state): the state after one pass over the rows (y, text) in their order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = batch.column(0).to_numpy().astype(np.float32)
+            data, offsets = text_bytes(batch.column(1))
+            for a in range(0, len(batch), MINIBATCH):
+                b = min(a + MINIBATCH, len(batch))
+                grad, _ = gradients(state.model, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], y[a:b])
+                state.step(grad)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(state)], pa.binary())], schema=arrow_schema("state binary"))
+    return run
+
+
+def learn(docs: DataFrame, labels: DataFrame, learn_rows, per_class: int = PER_CLASS, epochs: int = EPOCHS) -> dict:
     """A model from the learning rows; ``shift`` moves the balanced sample's log-odds to the true shares."""
     drawn, share = labelled(docs, labels, "quality", learn_rows, per_class)
-    rows = sorted((r["doc_id"], r["y"], bytes(r["chunks"])) for r in
-                  drawn.select("doc_id", F.col("y").cast("long"), "text")
-                  .mapInArrow(_training_chunks, "doc_id long, y long, chunks binary").collect())
-    ones = sum(y for _, y, _ in rows)
+    rows = stored(drawn.select(F.col("y").cast("long").alias("y"), "text", "doc_id"), "quality-sample")
+    count = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = float(np.log(share[1] / share[0]))
-    if not 0 < ones < len(rows):
+    if not (count.get(0) and count.get(1)):
         return {"tables": np.zeros((WIDTH, 256, FILTERS), np.float32), "out": np.zeros(2 * FILTERS, np.float32),
                 "bias": np.zeros(1, np.float32), "shift": prior}
-    model = train([(y, c) for _, y, c in rows])
-    model["shift"] = prior - float(np.log(ones / (len(rows) - ones)))
-    return model
+    state = Adam(fresh_model())
+    for turn in range(epochs):
+        order = rows.coalesce(1).sortWithinPartitions(F.xxhash64(F.lit(SEED + turn), "doc_id", "text"), "doc_id")
+        state = pickle.loads(bytes(order.select("y", "text").mapInArrow(_epoch(state), "state binary").first()["state"]))
+    return state.model | {"shift": prior - float(np.log(count[1] / count[0]))}
 
 
 def _score(model: dict):

@@ -526,3 +526,74 @@ def test_mixing_targets_against_plain_resharing():
         want = fixed | share
         got = mixing.targets(sizes)
         assert all(abs(got[n] - want[n]) < 1e-6 * max(1, want[n]) for n in names)
+
+
+def _plain_log_odds(model, text):
+    """The network by loops over places, chunks and filters."""
+    raw = text.encode()
+    places = max(-(-len(raw) // quality.STRIDE), 1)
+    raw = raw + b"\0" * (places * quality.STRIDE + quality.WIDTH - len(raw))
+    sums = [[sum(model["tables"][j][raw[p * quality.STRIDE + j]][f] for j in range(quality.WIDTH))
+             for f in range(model["tables"].shape[2])] for p in range(places)]
+    step, width = quality.CHUNK_STEP // quality.STRIDE, quality.CHUNK // quality.STRIDE
+    starts = [0]
+    while starts[-1] + width < places:
+        starts.append(starts[-1] + step)
+    pools = np.tanh([[max(s[f] for s in sums[a:a + width]) for f in range(len(sums[0]))] for a in starts])
+    return np.concatenate([pools.mean(axis=0), pools.max(axis=0)]) @ model["out"] + model["bias"][0]
+
+
+def _small_network(filters=3):
+    rng = np.random.default_rng(9)
+    return {"tables": rng.normal(0, 0.3, (quality.WIDTH, 256, filters)), "out": rng.normal(0, 1, 2 * filters),
+            "bias": rng.normal(0, 1, 1)}
+
+
+QUALITY_TEXTS = ["", "a", "four", "éé", prose(50, 71), prose(200, 72), "x" * 513, "y" * 896, "z" * 897]
+
+
+def test_quality_forward_is_one_for_training_and_scoring():
+    """Scores and training losses equal plain loops, on texts shorter and longer than a chunk."""
+    model = _small_network()
+    data = np.frombuffer("".join(QUALITY_TEXTS).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in QUALITY_TEXTS])])
+    want = np.array([_plain_log_odds(model, t) for t in QUALITY_TEXTS])
+    pools, bounds = quality.pooled(data, offsets, model["tables"])
+    assert np.allclose(quality.document_vectors(pools, bounds) @ model["out"] + model["bias"], want, atol=1e-5)
+    y = np.arange(len(QUALITY_TEXTS)) % 2
+    _, loss = quality.gradients(model, data, offsets, y)
+    assert abs(loss - np.mean(np.logaddexp(0, want) - y * want)) < 1e-5
+
+
+def test_quality_gradient_is_the_numeric_one(monkeypatch):
+    monkeypatch.setattr(quality, "responses", lambda raw, tables: sum(
+        tables[j][raw[j:j + (len(raw) - quality.WIDTH) // quality.STRIDE * quality.STRIDE:quality.STRIDE]]
+        for j in range(quality.WIDTH)))                    # in double precision
+    model = _small_network()
+    data = np.frombuffer("".join(QUALITY_TEXTS).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in QUALITY_TEXTS])])
+    y = np.arange(len(QUALITY_TEXTS)) % 2
+    grad, _ = quality.gradients(model, data, offsets, y)
+    rng, seen = np.random.default_rng(2), 0
+    for name, value in model.items():
+        flat, g = value.reshape(-1), grad[name].reshape(-1)
+        places = np.flatnonzero(g) if name == "tables" else np.arange(len(flat))
+        for i in rng.choice(places, min(40, len(places)), replace=False):
+            old, losses = flat[i], []
+            for h in (1e-6, -1e-6):
+                flat[i] = old + h
+                losses.append(quality.gradients(model, data, offsets, y)[1])
+            flat[i] = old
+            assert abs((losses[0] - losses[1]) / 2e-6 - g[i]) < 1e-5
+            seen += 1
+    assert seen > 40
+
+
+def test_quality_learns_from_whole_texts(spark):
+    """What tells the classes apart stands only at the ends of long texts."""
+    rows = [(i, prose(900, 500 + i) + (" GOOD" if i % 2 else " bad!") * 8) for i in range(40)]
+    docs = frame(spark, rows, extra=False)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    model = quality.learn(docs, labels, F.lit(True), epochs=30)
+    got = by_id(quality.score(docs, model))
+    assert all((got[i]["score"] > 0.5) == bool(i % 2) for i in range(40))
