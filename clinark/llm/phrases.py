@@ -4,13 +4,13 @@ Phrases are 2 to ``LONGEST`` words within a piece of text, per language; frequen
 ``MIN_COUNT`` occurrences, and so are then all their parts.
 
 1. Sample. A hashed share of the documents, ``SAMPLE``, proposes phrases: words, then phrases of
-   such words, with a lowered threshold.
+   such words with the keys of their two parts, with a lowered threshold.
 2. Full pass. Every word, every proposed phrase and every phrase of the negative border (not
    proposed, but both its parts, without the last word and without the first, are) is counted over
-   all documents. As 64-bit keys, with those of the two parts, first combined per task.
-3. Expansion. Where the border failed (something is frequent that was not proposed), a further pass
-   counts the phrases that only now have both parts; it is repeated until none of them is
-   frequent that was not proposed, and then the result is closed.
+   all documents. As 64-bit keys, first combined per task.
+3. Expansion. Where the border failed (a phrase is frequent that was not proposed), a further pass
+   gives its parts and counts the phrases that only now have both; it is repeated until no such
+   phrase is frequent, and then the result is closed.
 4. Scores. Every cut of a phrase joins the counts of its two parts; phrases inside a longer one
    with ``SHARE`` percent of their count are dropped (a longer one that holds more words occurs no
    more often than one with one word more); the best of each language are ranked, first within
@@ -60,7 +60,7 @@ _WORD = ~_STOP
 _WORD[[0x20, 0x09]] = False
 
 _KEYS = "key long, size int, n long"
-_PHRASES = "key long, size int, n long, prefix long, suffix long"
+_PHRASES = "key long, size int, n long, prefix long, suffix long, lang_key long"
 _NAMES = "key long, lang string, phrase string"
 
 
@@ -194,61 +194,86 @@ def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from counter.rest()
 
 
+class _Parts:
+    """Phrases as they come, with the keys of their parts; counted and passed on when ``HELD`` / 2 of a size are held."""
+
+    def __init__(self) -> None:
+        self.held: dict[int, list[tuple]] = {}
+
+    def add(self, size: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        held = self.held.setdefault(size, [])
+        held.append(columns)
+        if sum(len(h[0]) for h in held) > HELD // 2:
+            yield self._take(size)
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        for size in list(self.held):
+            yield self._take(size)
+
+    def _take(self, size: int) -> pa.RecordBatch:
+        keys, *rest = (np.concatenate(c) for c in zip(*self.held.pop(size), strict=True))
+        keys, first, n = np.unique(keys, return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), size, np.int32)), pa.array(n),
+             *(pa.array(c[first].view(np.int64)) for c in rest)], schema=arrow_schema(_PHRASES))
+
+
 def _sample_phrases(words, longest: int):
-    """Phrases of proposed words."""
+    """Phrases of proposed words, with their parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counter = Filter(words.value), _Counter()
+        known, parts = Filter(words.value), _Parts()
         for chunk, _ in _batches(batches):
             good = np.append(0, np.cumsum(known.has(chunk.words)))
             at, keys = np.arange(len(chunk.words)), chunk.words
             for size in range(2, longest + 1):
+                part = np.zeros(len(chunk.words) + 1, np.uint64)
+                part[at] = keys
                 go = chunk.left[at] >= size
                 at, keys = at[go], keys[go]
                 go = good[at + size] - good[at] == size
                 at = at[go]
                 keys = chunk.longer(keys[go], at, size)
-                yield from counter.add(keys, size)
-        yield from counter.rest()
+                yield from parts.add(size, keys, part[at], part[at + 1], chunk.langs[chunk.row[at]])
+        yield from parts.rest()
     return run
 
 
-def _counting_pass(before, now, longest: int):
-    """Counts and parts of all phrases whose parts are in ``now`` and, with ``before``, were not both in that one.
-    Without it also of every word (its first part is the key of its language), and the number of words of each
-    language (size 0)."""
+def _full_pass(proposed, longest: int):
+    """Every word, and every phrase whose parts are proposed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [Filter(f.value) for f in (before, now) if f is not None]
-        held: dict[int, list[tuple]] = {}
-        words: dict[int, int] = {}
+        known, counter = Filter(proposed.value), _Counter()
+        for chunk, _ in _batches(batches):
+            for size, _, keys, _ in levels(chunk, longest, known):
+                yield from counter.add(keys, size)
+        yield from counter.rest()
+    return run
 
-        def take(size: int) -> pa.RecordBatch:
-            keys, prefix, suffix = (np.concatenate(c) for c in zip(*held.pop(size), strict=True))
-            keys, first, n = np.unique(keys, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), size, np.int32)), pa.array(n),
-                 pa.array(prefix[first].view(np.int64)), pa.array(suffix[first].view(np.int64))], schema=arrow_schema(_PHRASES))
 
+def _expansion_pass(wanted, before, now, longest: int):
+    """Counts and parts of the phrases whose keys are in ``wanted`` (None: of none), and of those whose parts are
+    in ``now`` and were not both in ``before``; with ``wanted`` also each language's number of words (size 0)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = Filter(wanted.value) if wanted is not None else None
+        old, new = Filter(before.value), Filter(now.value)
+        parts, words = _Parts(), {}
         for chunk, _ in _batches(batches):
             langs = chunk.langs[chunk.row]
-            if before is None:
+            if asked is not None:
                 for lang, n in zip(*map(np.ndarray.tolist, _counts(langs.view(np.int64))), strict=True):
                     words[lang] = words.get(lang, 0) + n
             part = np.zeros(len(chunk.words) + 1, np.uint64)      # keys of one word less, by place
-            for size, at, keys, marks in levels(chunk, longest, *filters):
-                if before is None:
-                    parts = (part[at], part[at + 1]) if size > 1 else (langs, np.zeros(len(at), np.uint64))
-                    held.setdefault(size, []).append((keys, *parts))
-                elif size > 1:
-                    fresh = ~marks[0][0]
-                    held.setdefault(size, []).append((keys[fresh], part[at[fresh]], part[at[fresh] + 1]))
+            for size, at, keys, ((counted, _), _) in levels(chunk, longest, old, new):
+                if size > 1:
+                    go = ~counted
+                    if asked is not None:
+                        go |= asked.has(keys)
+                    here = at[go]
+                    yield from parts.add(size, keys[go], part[here], part[here + 1], langs[here])
                 part[at] = keys
-                if size in held and sum(len(h[0]) for h in held[size]) > HELD:
-                    yield take(size)
-        for size in list(held):
-            yield take(size)
+        yield from parts.rest()
         keys, nothing = pa.array(list(words), pa.int64()), pa.array([0] * len(words), pa.int64())
         yield pa.RecordBatch.from_arrays([keys, nothing.cast(pa.int32()), pa.array(list(words.values()), pa.int64()), nothing,
-                                          nothing], schema=arrow_schema(_PHRASES))
+                                          nothing, keys], schema=arrow_schema(_PHRASES))
     return run
 
 
@@ -302,38 +327,47 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def mine(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, sample: int = SAMPLE,
          bits: int = BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What occurs ``min_count`` times, with exact counts: words (key, n, lang_key), and phrases of 2 to ``longest``
-    words (key, size, n, prefix, suffix), where prefix and suffix are the keys of their two parts; and
+    """What occurs ``min_count`` times, with exact counts: words (key, n), and phrases of 2 to ``longest`` words
+    (key, size, n, prefix, suffix, lang_key), where prefix and suffix are the keys of their two parts; and
     (lang_key, n), the words of each language."""
     sc = docs.sparkSession.sparkContext
     texts = _texts(docs)
     drawn, texts = texts.where(F.pmod("draw", F.lit(sample)) == 0).drop("draw"), texts.drop("draw")
     lowered = max(1, int(0.6 * min_count / sample))
 
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in ("size", "prefix", "suffix", "lang_key")))
+
     words = stored(_summed(drawn.mapInArrow(_sample_words, _KEYS), lowered), "sample-words")
     known = sc.broadcast(_filter_words(words, bits))
-    phrases = stored(_summed(drawn.mapInArrow(_sample_phrases(known, longest), _KEYS), lowered), "sample-phrases")
-    before = _filter_words(words.unionByName(phrases), bits)
-
-    tables, now = [], sc.broadcast(before)
-    old = None
+    phrases = stored(summed(drawn.mapInArrow(_sample_phrases(known, longest), _PHRASES)).where(F.col("n") >= lowered),
+                     "sample-phrases")
+    before = _filter_words(words.select("key").unionByName(phrases.select("key")), bits)
+
+    now = sc.broadcast(before)
+    found = stored(_summed(texts.mapInArrow(_full_pass(now, longest), _KEYS), min_count), "frequent-keys")
+    longer = found.where("size > 1").select("key", "n")
+    proposed = longer.join(phrases.drop("n"), "key")              # their parts are known from the sample
+    others = stored(longer.join(phrases.select("key"), "key", "left_anti").select("key"), "not-proposed")
+    wanted = sc.broadcast(_filter_words(others, bits))
+    tables, latest = [], found
     while True:
-        rows = texts.mapInArrow(_counting_pass(old, now, longest), _PHRASES).groupBy("key").agg(
-            F.sum("n").alias("n"), *(F.first(c).alias(c) for c in ("size", "prefix", "suffix")))
-        tables.append(stored(rows.where((F.col("n") >= min_count) | (F.col("size") == 0)), "frequent"))
         # The border failed at these: frequent, able to grow, and in no filter yet.
-        grow = tables[-1].where(F.col("size").between(1, longest - 1)).select("key").mapInArrow(_not_in(now), "key long")
+        grow = latest.where(F.col("size").between(1, longest - 1)).select("key").mapInArrow(_not_in(now), "key long")
         grow = stored(grow, "border-failures")
-        if grow.isEmpty():
+        if tables and grow.isEmpty():
             break
         old, before = now, before | _filter_words(grow, bits)
         now = sc.broadcast(before)
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    phrases = out.where("size > 1").select("key", "size", "n", "prefix", "suffix").dropDuplicates(["key"])
-    return (tables[0].where("size = 1").select("key", "n", F.col("prefix").alias("lang_key")), phrases,
-            tables[0].where("size = 0").select(F.col("key").alias("lang_key"), "n"))
+        rows = summed(texts.mapInArrow(_expansion_pass(wanted if not tables else None, old, now, longest), _PHRASES))
+        latest = stored(rows.where((F.col("n") >= min_count) | (F.col("size") == 0)), "expansion")
+        tables.append(latest)
+    columns = ["key", "size", "n", "prefix", "suffix", "lang_key"]
+    out = proposed.select(*columns)
+    for t in tables:
+        out = out.unionByName(t.where("size > 1").select(*columns))
+    return (found.where("size = 1").select("key", "n"), stored(out.dropDuplicates(["key"]), "frequent-phrases"),
+            tables[0].where("size = 0").select("lang_key", "n"))
 
 
 def names(docs: DataFrame, keys: DataFrame, least: int = 1, longest: int = LONGEST, bits: int = BITS) -> DataFrame:
@@ -355,7 +389,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
 
 
 def scored(words: DataFrame, phrases: DataFrame, longest: int = LONGEST, share: int = SHARE) -> DataFrame:
-    """(key, lang_key, a, l, r, score) of the phrases of ``mine`` that no longer one holds with ``share`` percent."""
+    """(key, lang_key, a, l, r, score) of the phrases of ``mine`` that no longer one holds."""
     # A phrase's heads are its prefix and that one's heads; its tails its suffix and that one's tails.
     level = phrases.where("size = 2").withColumns({"heads": F.array("prefix"), "tails": F.array("suffix")})
     levels_ = [level]
@@ -370,12 +404,13 @@ def scored(words: DataFrame, phrases: DataFrame, longest: int = LONGEST, share:
     every = levels_[0]
     for t in levels_[1:]:
         every = every.unionByName(t)
-    counts = words.select("key", "n", "lang_key").unionByName(phrases.select("key", "n", F.lit(None).cast("long").alias("lang_key")))
-    cut = every.select("key", F.col("n").alias("a"), F.posexplode(F.arrays_zip("heads", "tails")).alias("k", "parts"))
-    cut = cut.select("key", "a", "k", F.col("parts.heads").alias("head"), F.col("parts.tails").alias("tail"))
-    # A first head is a word, and tells the language.
-    cut = cut.join(counts.select(F.col("key").alias("head"), F.col("n").alias("l"), "lang_key"), "head")
-    cut = cut.join(counts.select(F.col("key").alias("tail"), F.col("n").alias("r")), "tail")
+    counts = words.select("key", "n").unionByName(phrases.select("key", "n"))
+
+    def part(column: str, name: str) -> DataFrame:
+        return counts.select(F.col("key").alias(column), F.col("n").alias(name))
+    cut = every.select("key", "lang_key", F.col("n").alias("a"), F.posexplode(F.arrays_zip("heads", "tails")).alias("k", "parts"))
+    cut = cut.select("key", "lang_key", "a", "k", F.col("parts.heads").alias("head"), F.col("parts.tails").alias("tail"))
+    cut = cut.join(part("head", "l"), "head").join(part("tail", "r"), "tail")
     # Decimals: the product of a long and 2,000,000 may pass 64 bits.
     score = F.expr(f"cast(cast(a as decimal(20, 0)) * {SCORE} div (cast(l as decimal(20, 0)) + cast(r as decimal(20, 0))) as long)")
     best = (cut.groupBy("key").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("best"),
