@@ -18,7 +18,7 @@ import duckdb  # noqa: E402
 import __spark_entry__ as E  # noqa: E402
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "documents", "embeddings", "pages", "benchmark", "labels"]
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations", "events"]
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
