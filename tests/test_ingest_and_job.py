@@ -265,3 +265,21 @@ def test_rows_and_lines_are_split_by_one_scan_and_one_parse(spark, tmp_path):
             assert clean.count() == 2
             assert sorted(r[0] for r in spark.read.parquet(str(root / "bad" / name)).collect()) == sorted(bad)
             assert set(spark.read.parquet(str(root / name)).columns) == set(clean.columns)
+
+
+def test_landed_and_routed_lines_are_compressed_files_of_bounded_lines(spark, tmp_path, monkeypatch):
+    """Landing and routed root are stored compressed, hold every line, and no file more than the bound."""
+    import gzip
+
+    from clinark.sources import raw
+    monkeypatch.setitem(raw.TEXT_OPTIONS, "maxRecordsPerFile", "400")
+    land_mixed(spark, SF_SMALL, str(tmp_path / "landing"))
+    landed = spark.read.text(str(tmp_path / "landing")).count()
+    assert run_ingest(spark, str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "ck")) == landed
+    assert routed_counts(spark, str(tmp_path / "raw")).agg(F.sum("lines")).first()[0] == landed
+    for folder in ("landing", "raw"):
+        files = list((tmp_path / folder).rglob("part-*"))
+        lines = [gzip.decompress(f.read_bytes()) for f in files]        # raises on a file that is not compressed
+        assert sum(text.count(b"\n") for text in lines) == landed
+        assert max(text.count(b"\n") for text in lines) <= 400
+        assert sum(f.stat().st_size for f in files) * 4 < sum(map(len, lines))
