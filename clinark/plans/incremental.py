@@ -1,11 +1,12 @@
 """A1, A3-A6 by batch: gold tables that follow new patients and conditions without reading the old ones.
 
 The state is small mergeable counts: conditions per (patient, code, name) and patients per (patient,
-gender, age group, state). A batch adds its own counts as a delta and never rewrites old ones. Of the
-old state only the rows of the batch's patients are joined: their part of every gold table before
-the batch is taken away and their part after it is added, so distinct patients stay exact, a patient
-who comes after their conditions moves these out of the NULL group, and a repeated patient fans out as in
-the join. Gold tables are merged with these differences and written anew (they are small).
+gender, age group, state). A batch adds its own counts as a delta and never rewrites old ones. Batch and
+old state meet per patient and diagnosis, and each such row that the batch changes gives its differences of
+the gold tables: distinct patients stay exact, a patient who comes after their conditions moves these out of
+the NULL group, and a repeated patient fans out as in the join. Gold tables are merged with these differences
+and written anew (they are small). The state lies by patient in its files, so that it is small there and in
+the shuffle by patient that reads it.
 
 Every batch is a version (``sources.tiers``) named after it: it is published whole or not at all, and a batch
 that was published is not applied again. ``compact`` merges the deltas into one when there are many.
@@ -13,11 +14,10 @@ that was published is not applied again. ``compact`` merges the deltas into one
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinark.functions import exprs as X
 from clinark.operators import gold
 from clinark.plans.audit import run_concurrently
 from clinark.schemas import GOLD, conform
@@ -25,6 +25,8 @@ from clinark.sources import tiers
 from clinark.sources.parquet import read_clean, write_parquet
 
 COMPACTED = "compacted"
+# Folders of a version that go when its gold tables are written.
+CHANGES, CELLS = "_changes", "_cells"
 STATE = {
     "conditions": "patient_id string, icd_code string, diagnosis_name string, _n bigint, _active bigint",
     "patients": "patient_id string, gender string, age_group string, state string, _m bigint",
@@ -67,38 +69,46 @@ def read_state(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(STATE[name]).parquet(*paths)
 
 
-def _gold(conditions: DataFrame, patients: DataFrame) -> dict[str, DataFrame]:
-    """The gold counts of some patients' merged states."""
-    by_patient = patients.groupBy("patient_id", "gender", "age_group").agg(F.sum("_m").alias("_m"))
-    cells = (conditions.join(by_patient, "patient_id", "left")
-             .groupBy("icd_code", "diagnosis_name", "gender", "age_group")
-             .agg(F.sum(F.col("_n") * F.coalesce("_m", F.lit(1))).alias("cases")))
-
+def _differences(cells: DataFrame, patients: DataFrame) -> dict[str, DataFrame]:
+    """What a batch adds to the gold tables, from its cells (``gold.diagnosis_cells``) and its patients' counts."""
     def count(column: str, name: str) -> DataFrame:
         return patients.groupBy(column).agg(F.sum("_m").alias(name))
+
+    def cases(column: str) -> DataFrame:
+        return cells.groupBy("icd_code", "diagnosis_name", column).agg(F.sum("cases").alias("cases"))
     return {
-        "diagnosis_statistics": gold.diagnosis_statistics_from(conditions),
+        "diagnosis_statistics": gold.diagnosis_statistics_of_cells(cells),
         "demographics_gender": count("gender", "count"),
         "demographics_age_group": count("age_group", "count"),
         "demographics_geography": count("state", "patient_count"),
-        "diagnosis_by_gender": cells.groupBy("icd_code", "diagnosis_name", "gender").agg(F.sum("cases").alias("cases")),
-        "diagnosis_by_age_group": cells.groupBy("icd_code", "diagnosis_name", "age_group").agg(F.sum("cases").alias("cases")),
+        "diagnosis_by_gender": cases("gender"),
+        "diagnosis_by_age_group": cases("age_group"),
     }
 
 
-def _with_difference(old: DataFrame, before: DataFrame, after: DataFrame, name: str) -> DataFrame:
-    """``old`` less ``before`` plus ``after``; groups that no row is left in go."""
+def _with_difference(old: DataFrame, difference: DataFrame, name: str) -> DataFrame:
+    """``old`` and what a batch adds or takes away; groups that no row is left in go."""
     keys, counts = TABLES[name]
-
-    def signed(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(*keys, *((F.col(c) * sign).alias(c) for c in counts))
-    rows = reduce(DataFrame.unionByName, [signed(old, 1), signed(before, -1), signed(after, 1)])
+    rows = old.select(*keys, *counts).unionByName(difference.select(*keys, *counts))
     out = rows.groupBy(*keys).agg(*(F.sum(c).cast("long").alias(c) for c in counts)).where(F.col(counts[0]) > 0)
     if name == "demographics_gender":
         out = gold.gender_shares(out)
     return conform(out, name)
 
 
+def _changes(old: DataFrame, conditions: DataFrame, people: DataFrame) -> DataFrame:
+    """Per patient and diagnosis that a batch changes: the cases of the old state and of the batch, with the patient's
+    ``_people``. One shuffle by patient serves the counts and the join; old rows lie by patient in their files and
+    stay beside each other in it."""
+    none = F.lit(0).cast("long")
+    rows = gold.packed_diagnoses(conditions).withColumn("_old", none).unionByName(old.select(
+        X.packed_key("patient_id").alias("_k"), "icd_code", "diagnosis_name", none.alias("_n"), none.alias("_active"),
+        F.col("_n").alias("_old")))
+    rows = rows.repartition("_k").groupBy("_k", "icd_code", "diagnosis_name").agg(
+        *(F.sum(c).cast("long").alias(c) for c in ("_old", "_n", "_active")))
+    return gold.with_people(rows, people)
+
+
 def apply_batch(spark: SparkSession, root: str, batch: str, conditions: DataFrame, patients: DataFrame,
                 max_workers: int = 4) -> str:
     """Bring the gold tables under ``root`` up to date with a batch of clean rows; returns the version that
@@ -114,30 +124,31 @@ def apply_batch(spark: SparkSession, root: str, batch: str, conditions: DataFram
     version = tiers.begin(spark, root, batch)
     here = tiers.version_root(root, version)
     old = {name: read_state(spark, root, name) for name in STATE}
+    write_parquet(patient_counts(patients), f"{here}/state/patients")
+    new_patients = spark.read.schema(STATE["patients"]).parquet(f"{here}/state/patients")
+
+    # The batch's rows and the old state's meet once; the new state and every gold table are read from that.
+    changes = _changes(old["conditions"], conditions, gold.people(old["patients"], new_patients))
+    write_parquet(changes.sortWithinPartitions("_k"), f"{here}/{CHANGES}")
+    changes = spark.read.schema(changes.schema).parquet(f"{here}/{CHANGES}")
+    cells = gold.diagnosis_cells(changes)
+    delta = changes.where(F.col("_n") > 0).select(X.unpacked_key("_k").alias("patient_id"),
+                                                 "icd_code", "diagnosis_name", "_n", "_active")
     run_concurrently({
-        "conditions": lambda: write_parquet(gold.patient_diagnoses(conditions), f"{here}/state/conditions"),
-        "patients": lambda: write_parquet(patient_counts(patients), f"{here}/state/patients"),
+        "conditions": lambda: write_parquet(delta, f"{here}/state/conditions"),
+        "cells": lambda: write_parquet(cells, f"{here}/{CELLS}"),
     }, max_workers)
-    delta = {name: spark.read.schema(STATE[name]).parquet(f"{here}/state/{name}") for name in STATE}
-
-    # The state of the batch's patients, before and after it; written once, as every gold table reads it.
-    touched = delta["conditions"].select("patient_id").union(delta["patients"].select("patient_id")).distinct()
-    touched = touched.select(F.col("patient_id").alias("_touched"))
-    same = F.col("patient_id").eqNullSafe(F.col("_touched"))
-    for name in STATE:
-        write_parquet(merged(old[name].join(touched, same, "left_semi")), f"{here}/before/{name}")
-    before = {name: spark.read.schema(STATE[name]).parquet(f"{here}/before/{name}") for name in STATE}
-    after = {name: merged(before[name].unionByName(delta[name])) for name in STATE}
-    lost, won = _gold(before["conditions"], before["patients"]), _gold(after["conditions"], after["patients"])
+    difference = _differences(spark.read.schema(cells.schema).parquet(f"{here}/{CELLS}"), new_patients)
 
     done = tiers.published(spark, root)
     current = f"{tiers.version_root(root, done[-1])}/gold" if done else None
 
     def write(name: str):
         table = read_clean(spark, current, name) if current else spark.createDataFrame([], GOLD[name])
-        return lambda: write_parquet(_with_difference(table, lost[name], won[name], name), f"{here}/gold/{name}")
+        return lambda: write_parquet(_with_difference(table, difference[name], name), f"{here}/gold/{name}")
     run_concurrently({name: write(name) for name in TABLES}, max_workers)
-    tiers.remove(spark, f"{here}/before")
+    for name in (CHANGES, CELLS):
+        tiers.remove(spark, f"{here}/{name}")
     tiers.publish(spark, root, version)
     return version
 
@@ -149,7 +160,8 @@ def compact(spark: SparkSession, root: str) -> str:
     version = tiers.begin(spark, root, COMPACTED)
     here = tiers.version_root(root, version)
     for name in STATE:
-        write_parquet(merged(read_state(spark, root, name)), f"{here}/state/{name}")
+        state = merged(read_state(spark, root, name).repartition("patient_id")).sortWithinPartitions("patient_id")
+        write_parquet(state, f"{here}/state/{name}")
     for name in TABLES:
         write_parquet(read_clean(spark, f"{now}/gold", name), f"{here}/gold/{name}")
     tiers.publish(spark, root, version)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clinark.functions.exprs import PATIENT_BUCKET
 from clinark.schemas import CLEAN, conform
-from clinark.sources.parquet import CLUSTER_KEY, CLUSTERED_TABLES, lookup_options
+from clinark.sources.parquet import CLUSTER_KEY, CLUSTERED_TABLES, COMPRESSION, lookup_options
 
 CATALOG_TABLES = ("patients", "conditions", "encounters")
 BUCKETS = 256
@@ -88,7 +88,7 @@ def write_bucketed(spark: SparkSession, tables: dict[str, DataFrame], root: str,
         name = f"{db}.{_ident(t)}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         dealt = conform(df, t).hint("rebalance", buckets, CLUSTER_KEY)
-        (dealt.write.mode("overwrite").options(**lookup_options(t)).bucketBy(buckets, CLUSTER_KEY).sortBy(CLUSTER_KEY)
+        (dealt.write.mode("overwrite").options(**COMPRESSION, **lookup_options(t)).bucketBy(buckets, CLUSTER_KEY).sortBy(CLUSTER_KEY)
          .option("path", f"{root.rstrip('/')}/{t}").format("parquet").saveAsTable(name))
         names.append(name)
     return names

@@ -94,3 +94,40 @@ def test_batch_names(spark, tmp_path):
     for name in ("", "a/b", I.COMPACTED):
         with pytest.raises(ValueError):
             I.apply_batch(spark, str(tmp_path), name, *_frames(spark, [], []))
+
+
+def test_state_lies_by_patient_and_keeps_odd_ids(spark, tmp_path):
+    """Every file of the conditions' state, compacted or not, has a patient's rows beside each other, and gives back
+    ids of any form."""
+    import hashlib
+    from itertools import groupby
+    ids = [None, "", "p" * 31, "\x00" + "p" * 31, "p" * 32, "a" * 64, "A" * 64, "a" * 64 + "\n", "\u00e9",
+           *(hashlib.sha256(str(i).encode()).hexdigest() for i in range(40))]
+    conditions = [(f"c{i}", ids[i % len(ids)], f"code{i % 11}", f"name{i % 11}", "active", None) for i in range(2000)]
+    frames = _frames(spark, conditions, [(p, "male", None, "s", None, "75+") for p in ids])
+    for i in range(2):
+        I.apply_batch(spark, str(tmp_path), f"b{i}", *frames)
+        if i:
+            I.compact(spark, str(tmp_path))
+        for version in I.state_versions(spark, str(tmp_path)):
+            files = list((tmp_path / "versions" / version / "state" / "conditions").glob("*.parquet"))
+            for file in files:
+                rows = spark.read.schema(I.STATE["conditions"]).parquet(str(file)).select("patient_id").collect()
+                runs = [k for k, _ in groupby(r[0] for r in rows)]
+                assert len(runs) == len(set(runs))
+            whole = spark.read.schema(I.STATE["conditions"]).parquet(*map(str, files))
+            assert {r[0] for r in whole.select("patient_id").collect()} == set(ids)
+    assert _gold(spark, str(tmp_path)) == _whole(*_frames(spark, conditions * 2, [(p, "male", None, "s", None, "75+") for p in ids] * 2))
+
+
+def test_packed_keys_are_one_to_one(spark):
+    from pyspark.sql import functions as F
+
+    from clinark.functions import exprs as X
+    ids = [None, "", "p", "p" * 30, "p" * 31, "p" * 32, "p" * 33, "\x00" + "p" * 31, "\x01\x00" + "p" * 30, "a" * 64, "A" * 64,
+           "a" * 64 + "\n", "ab" * 32, "\u00e9" * 16, "\u00e9" * 32]
+    got = spark.createDataFrame([(i,) for i in ids], "id string").select(
+        "id", X.packed_key("id").alias("k"), X.unpacked_key(X.packed_key("id")).alias("back")).collect()
+    assert all(r["id"] == r["back"] for r in got) and len({r["k"] for r in got}) == len(ids)
+    assert {len(r["k"]) for r in got if r["id"] in ("a" * 64, "ab" * 32)} == {32}
+    assert spark.range(1).select(F.length(X.packed_key(F.lit("A" * 64)))).first()[0] == 65
