@@ -283,3 +283,12 @@ def test_landed_and_routed_lines_are_compressed_files_of_bounded_lines(spark, tm
         assert sum(text.count(b"\n") for text in lines) == landed
         assert max(text.count(b"\n") for text in lines) <= 400
         assert sum(f.stat().st_size for f in files) * 4 < sum(map(len, lines))
+
+
+def test_lines_landed_by_type_are_compressed(spark, tmp_path):
+    from clinark.sources.landing import land_by_type
+    from clinark.sources.raw import malformed_lines
+    land_by_type(spark, SF_SMALL, str(tmp_path))
+    assert all(f.name.endswith(".gz") for f in tmp_path.rglob("part-*"))
+    assert read_raw(spark, str(tmp_path), "Encounter", "directory").count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+    assert malformed_lines(spark, str(tmp_path), "Encounter", "directory").count() > 0
