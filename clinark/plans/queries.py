@@ -183,10 +183,13 @@ def pipeline_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     from clinark.session import run_dir
+    from clinark.sources import fixtures
     from clinark.sources.catalog import analyze, write_bucketed
     d, root = Dataset(spark, sf_dir), run_dir(spark, "bucketed")
+    # One task reads a bucket, so a larger table gets more of them.
+    buckets = fixtures.shares(fixtures.star(spark, sf_dir, "lineitem"), CHECK_BUCKETS)
     names = write_bucketed(spark, {"conditions": d.conditions, "patients": d.patients}, root, BUCKETED_DB,
-                           buckets=CHECK_BUCKETS, db_location=f"{root}/{BUCKETED_DB}.db")
+                           buckets=buckets, db_location=f"{root}/{BUCKETED_DB}.db")
     analyze(spark, names)
     return tuple(spark.table(n) for n in names)
 

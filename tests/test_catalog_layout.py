@@ -117,3 +117,52 @@ def test_clustered_tier_has_the_filters(spark, clean, tmp_path):
     assert file.stat().st_size > next(plain.glob("*.parquet")).stat().st_size       # the filters' bytes
     assert pq.ParquetFile(file).metadata.num_rows > 0
     assert read_clean(spark, str(tmp_path), "conditions", clustered=True).count() == 3000
+
+
+def test_parts_and_buckets_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """The partitions a star table is dealt to, and the buckets of the bucketed query, follow the table's size."""
+    from clinark.plans import queries
+    from clinark.sources import catalog, fixtures
+    from conftest import SF_SMALL
+    made = []
+    monkeypatch.setattr(catalog, "write_bucketed", lambda *a, buckets, **kw: made.append(buckets) or ["x.patients"])
+    monkeypatch.setattr(catalog, "analyze", lambda *a: None)
+    monkeypatch.setattr(type(spark), "table", lambda self, name: None)
+    n = spark.sparkContext.defaultParallelism
+    items = fixtures.star(spark, SF_SMALL, "lineitem")
+    assert fixtures.spread(items, "l_orderkey").rdd.getNumPartitions() == n
+    queries._bucketed(spark, SF_SMALL)
+    monkeypatch.setattr(fixtures, "SPREAD_BYTES", 1000)
+    queries._bucketed(spark, SF_SMALL)
+    assert made[0] == queries.CHECK_BUCKETS < 50 < made[1]
+    dealt = fixtures.spread(items, "l_orderkey")
+    assert dealt.rdd.getNumPartitions() == made[1] and dealt.count() == items.count()
+
+
+def test_clean_and_gold_files_are_zstd(spark, clean, tmp_path):
+    import pyarrow.parquet as pq
+
+    from clinark.plans.jobs import build_gold
+    for name, df in zip(("conditions", "patients"), clean, strict=True):
+        write_parquet(df, f"{tmp_path}/clean/{name}")
+    build_gold(spark, f"{tmp_path}/clean", f"{tmp_path}/gold")
+    files = list(tmp_path.rglob("*.parquet"))
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression
+                      for f in files if pq.ParquetFile(f).metadata.num_row_groups} == {"ZSTD"}
+
+
+def test_gold_of_the_job_is_the_gold_of_each_operator(spark, clean, tmp_path):
+    """Hot, missing and repeated patients: the tables that the job rolls up from one table of cells, with nothing left."""
+    from clinark.plans.jobs import GOLD_TABLES, build_gold
+    for name, df in zip(("conditions", "patients"), clean, strict=True):
+        write_parquet(df, f"{tmp_path}/clean/{name}")
+    rows = build_gold(spark, f"{tmp_path}/clean", f"{tmp_path}/gold")
+    conditions, patients = clean
+    want = {"diagnosis_statistics": gold.diagnosis_statistics(conditions),
+            "diagnosis_by_gender": gold.diagnosis_by_gender(conditions, patients),
+            "diagnosis_by_age_group": gold.diagnosis_by_age_group(conditions, patients)}
+    for name, df in want.items():
+        got = read_clean(spark, f"{tmp_path}/gold", name)
+        assert sorted(got.collect(), key=str) == sorted(conform(df, name).collect(), key=str)
+        assert rows[name] == got.count()
+    assert list(rows) == list(GOLD_TABLES) and sorted(p.name for p in (tmp_path / "gold").iterdir()) == sorted(GOLD_TABLES)
