@@ -292,3 +292,17 @@ def test_lines_landed_by_type_are_compressed(spark, tmp_path):
     assert all(f.name.endswith(".gz") for f in tmp_path.rglob("part-*"))
     assert read_raw(spark, str(tmp_path), "Encounter", "directory").count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
     assert malformed_lines(spark, str(tmp_path), "Encounter", "directory").count() > 0
+
+
+def test_routing_keeps_a_file_open_for_every_route(spark, tmp_path):
+    from clinark.streaming import ingest
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "a.json").write_text("".join(
+        f'{{"resourceType": "{t}", "id": "{i}"}}\n' for i in range(20) for t in (*ingest.ROUTES[:-1], "Claim")))
+    before = spark.conf.get(ingest.OPEN_FILES)
+    q = ingest.start_ingest(spark, str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "ck"))
+    q.awaitTermination()
+    # Without enough open files the write sorts every task's lines by route.
+    assert int(q._jsq.sparkSession().conf().get(ingest.OPEN_FILES)) >= len(ingest.ROUTES)
+    assert spark.conf.get(ingest.OPEN_FILES) == before
+    assert {r[0]: r[1] for r in ingest.routed_counts(spark, str(tmp_path / "raw")).collect()} == dict.fromkeys(ingest.ROUTES, 20)

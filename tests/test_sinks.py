@@ -123,3 +123,23 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
         read_jdbc(spark, "jdbc:none://nowhere", "t", partition_column="id", lower_bound=0)
     with pytest.raises(ValueError):
         read_jdbc(spark, "jdbc:none://nowhere", "t", partition_column="id", predicates=["1 = 1"])
+
+
+def test_clustered_rows_cross_the_shuffle_with_packed_keys(spark, tmp_path):
+    from clinark.sources.parquet import _laid_out, write_split
+    ids = ["ab" * 32, "AB" * 32, "0" * 63, "x" * 31, "ü" * 16, "", None, "ab" * 32]
+    rows = [(p, "male", "1980", "S", f"C{i}", "26-50") for i, p in enumerate(ids)]
+    df = spark.createDataFrame(rows, CLEAN["patients"])
+    # The hash in hex is made bytes below the rebalance, where the shuffle is written.
+    plan = _laid_out(df, "patients")._jdf.queryExecution().optimizedPlan().toString()
+    assert "unhex" in plan.split("RebalancePartitions")[1]
+    write_clustered(df, str(tmp_path / "patients"), "patients")
+    lines = df.withColumn("_line", F.lit(None).cast("string")).unionByName(
+        spark.createDataFrame([("{cut",)], "_line string"), allowMissingColumns=True)
+    assert write_split(lines, str(tmp_path / "s" / "patients"), str(tmp_path / "q"), "patients", clustered=True) == (8, 1)
+    for root in (tmp_path, tmp_path / "s"):
+        got = read_clean(spark, str(root), "patients", clustered=True).collect()
+        assert sorted(tuple(r)[:6] for r in got if r[0] is not None) == sorted(r for r in rows if r[0] is not None)
+        assert [tuple(r)[:6] for r in got if r[0] is None] == [rows[6]]
+        assert all(r["patient_bucket"] == r["patient_id"][:2] for r in got if r["patient_id"])
+    assert [r["line"] for r in spark.read.parquet(str(tmp_path / "q")).collect()] == ["{cut"]
