@@ -306,13 +306,14 @@ def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clinark.session import run_dir
     from clinark.sources.landing import land_by_type
     from clinark.sources.parquet import write_split
-    from clinark.sources.raw import read_lines
+    from clinark.sources.raw import line_session, read_lines
     root = run_dir(spark, "quarantine")
     land_by_type(spark, sf_dir, f"{root}/raw")
     tables = []
     for resource, name, fn in (*CLEAN_JOBS, ("MedicationRequest", "medications", normalize.normalize_medications)):
         path = f"{root}/quarantine/{name}"
-        write_split(fn(read_lines(spark, f"{root}/raw", resource, layout="directory")), f"{root}/clean/{name}", path, name)
+        lines = line_session(spark, f"{root}/raw", resource, layout="directory")
+        write_split(fn(read_lines(lines, f"{root}/raw", resource, layout="directory")), f"{root}/clean/{name}", path, name)
         tables.append(spark.read.schema("line string").parquet(path).select(F.lit(resource).alias("resource"), "line"))
     return reduce(DataFrame.unionByName, tables)
 

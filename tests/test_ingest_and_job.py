@@ -306,3 +306,17 @@ def test_routing_keeps_a_file_open_for_every_route(spark, tmp_path):
     assert int(q._jsq.sparkSession().conf().get(ingest.OPEN_FILES)) >= len(ingest.ROUTES)
     assert spark.conf.get(ingest.OPEN_FILES) == before
     assert {r[0]: r[1] for r in ingest.routed_counts(spark, str(tmp_path / "raw")).collect()} == dict.fromkeys(ingest.ROUTES, 20)
+
+
+def test_tasks_over_compressed_lines_take_less(spark, tmp_path):
+    from clinark.sources.raw import COMPRESSED_SHARE, line_session
+    lines = spark.createDataFrame([(f'{{"resourceType": "Patient", "id": "{i}"}}',) for i in range(50)], "value string")
+    lines.write.text(str(tmp_path / "plain" / "Patient"))
+    lines.write.option("compression", "gzip").text(str(tmp_path / "packed" / "Patient"))
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    assert line_session(spark, str(tmp_path / "plain"), "Patient", "directory") is spark
+    session = line_session(spark, str(tmp_path / "packed"), "Patient", "directory")
+    assert session._jsparkSession.sessionState().conf().filesMaxPartitionBytes() == size // COMPRESSED_SHARE
+    assert session.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() == size
+    assert read_raw(session, str(tmp_path / "packed"), "Patient", layout="directory").count() == 50
