@@ -49,6 +49,8 @@ ROUNDS = 120
 #: Segments a worker remembers the ids of, besides as many from before.
 REMEMBERED = 400_000
 _MARKS = frozenset(".,;:!?")
+#: Runs of marks a worker remembers the ids of: those of at most so many.
+MARKS_KEPT = 4
 SLICE = 1 << 20
 
 #: The characters that byte-level BPE vocabularies write bytes as. Bytes that print stand for
@@ -76,6 +78,8 @@ class Tokens:
 
     _CUT = re.compile(r"(?<=\S) (?=\S)")
     _LINES = re.compile(r"([^\W\d_]+)([.,;:!?])\n([^\W\d_]+)")
+    #: A word and a run of marks, which are neither letters, digits nor part of a contraction.
+    _MARKED = re.compile(r"([^\W\d_]+)([.,;:!?%#&*$@+=~^-]+)")
     _made: dict[str, Tokens] = {}
 
     def __init__(self, path: str) -> None:
@@ -85,6 +89,9 @@ class Tokens:
         pre = spec.get("pre_tokenizer") or {}
         self.cuttable = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
+        # A run of marks is cut off only if no added token lies in such runs.
+        added = "".join(t["content"] for t in spec.get("added_tokens") or [] if not any(map(str.isalnum, t["content"])))
+        self.runs = not added
         self.known: dict[str, bytes | None] = {}        # segments, and those known before the last turnover
         self.older: dict[str, bytes | None] = {}
         self.marks: dict[str, bytes] = {}
@@ -111,6 +118,8 @@ class Tokens:
         return ids
 
     def _mark(self, mark: str) -> bytes:
+        if len(mark) > MARKS_KEPT:
+            return self._run(mark)
         if mark not in self.marks:
             self.marks[mark] = self._run(mark)
         return self.marks[mark]
@@ -129,6 +138,8 @@ class Tokens:
             # An empty segment, or one with white space at an end, means that a blank beside it is not lone.
             elif not s or s[0].isspace() or s[-1].isspace():
                 known[s] = None
+            elif self.runs and (match := self._MARKED.fullmatch(s)) and _latin(match[1]):
+                known[s] = self._word(match[1]) + self._mark(match[2])
             elif match := self._LINES.fullmatch(s):
                 word, mark, rest = match.groups()
                 if _latin(word) and _latin(rest):

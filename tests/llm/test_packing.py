@@ -144,3 +144,15 @@ def test_cut_texts_give_the_ids_of_whole_ones():
     texts = ["".join(rng.choice(alphabet, rng.integers(0, 30))) for _ in range(3000)]
     assert packing.Tokens.of(PATH).encode(texts) == [
         np.array(e.ids, "<u4").tobytes() for e in tokenizer(PATH).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_runs_of_marks_are_cut_from_their_words(monkeypatch):
+    tokens, whole = packing.Tokens(PATH), []
+    encode = tokens._encode
+    monkeypatch.setattr(tokens, "_encode", lambda texts: whole.extend(texts) or encode(texts))
+    text = "a word.%%% été*** it's% w*'s z,,,,,,,, 1.%%% q--- <|endoftext|> x.%\nline é.% 中%% end.%%%"
+    got = np.frombuffer(tokens.encode([text])[0], "<u4")
+    assert np.array_equal(got, plain_ids(text)[:-1])
+    # A word and its marks are taken apart, what may be a contraction, a number or a token is not.
+    assert {" word.%%%", " été***", " z,,,,,,,,", " q---", " end.%%%"}.isdisjoint(whole)
+    assert {" it's%", " w*'s", " 1.%%%", " <|endoftext|>"} <= set(whole)
