@@ -139,8 +139,8 @@ def row_words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "string": pa.string(),
-          "binary": pa.binary(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()),
-          "array<string>": pa.list_(pa.string())}
+          "binary": pa.binary(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()),
+          "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
 
 
 def arrow_schema(ddl: str) -> pa.Schema:

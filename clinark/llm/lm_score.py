@@ -16,7 +16,8 @@ descent with model averaging, ``ROUNDS`` times), so what is gathered grows with
 and what reaches the driver is one set of weights.
 
 Scoring: one pass gives each row's class log-probabilities and its distinct tokens with
-their counts; the tokens are joined to the table and summed per row.
+their counts, as places in the list of distinct tokens of a group of rows (``GROUP`` bytes of
+text); the groups' lists are joined to the table, and each group adds up its rows.
 
 Defined cases: NULL or wordless texts have no tokens, likelihood 0 and a NULL mean; a
 one-token text is predicted from padding; NULL or repeated ids are scored like any row; an
@@ -37,16 +38,23 @@ from clinark.llm.common import NOT_BLANK, arrow_schema, chunks, read_table, row_
 CLASSES, OWN = 128, 96
 SIDE, WIDTH, HIDDEN = 2, 12, 32
 ROUNDS, MINIBATCH, RATE = 2, 256, 0.2
-BLOCK = 8192
 SEED = 9
 SMOOTH = 0.5
 COUNTED = 1 << 20
+CACHED = 1 << 17        # bytes whose 8-byte arrays stay in a core's cache
+GROUP = 8 << 20
+RANGE = 60              # exp of +-RANGE and sums of CLASSES of them are float32 numbers
 
 
 def buckets_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens (64-bit word hashes) of a chunk of texts and the rows' bounds in them."""
-    hashes, bounds = row_words(data, offsets, NOT_BLANK)
-    return hashes.view(np.int64), bounds
+    tokens, bounds, n = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0
+    for a, b in chunks(offsets, CACHED):
+        hashes, ends = row_words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], NOT_BLANK)
+        tokens.append(hashes)
+        bounds.append(ends[1:] + n)
+        n += len(hashes)
+    return np.concatenate(tokens).view(np.int64), np.concatenate(bounds)
 
 
 def _rows(batch: pa.RecordBatch, column: int):
@@ -57,16 +65,26 @@ def _rows(batch: pa.RecordBatch, column: int):
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Token counts, added up while they are at most ``COUNTED`` tokens."""
-    held, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    schema = arrow_schema("token long, n long")
+    parts, held, waiting = [], 0, 0
     for batch in batches:
         for _, _, tokens, _ in _rows(batch, 0):
-            own, count = np.unique(tokens, return_counts=True)
-            held, which = np.unique(np.concatenate([held, own]), return_inverse=True)
-            n = np.bincount(which, weights=np.concatenate([n, count]), minlength=len(held)).astype(np.int64)
-            if len(held) > COUNTED:
-                yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], schema=arrow_schema("token long, n long"))
-                held, n = held[:0], n[:0]
-    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(n)], schema=arrow_schema("token long, n long"))
+            parts.append(np.unique(tokens, return_counts=True))
+            waiting += len(parts[-1][0])
+            if waiting > held:                            # merged when the new lists outgrow the merged one
+                parts = [_merged(parts)]
+                held, waiting = len(parts[0][0]), 0
+            if held > COUNTED:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts[0]], schema=schema)
+                parts, held = [], 0
+    if parts:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _merged(parts)], schema=schema)
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    tokens, which = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)
+    n = np.bincount(which, weights=np.concatenate([n for _, n in parts]), minlength=len(tokens))
+    return tokens, n.astype(np.int64)
 
 
 class Classes:
@@ -75,13 +93,17 @@ class Classes:
     def __init__(self, own: np.ndarray):
         self.rank = np.argsort(own)
         self.own = own[self.rank]
+        self.may_own = np.zeros(1 << 16, bool)            # by a token's highest 16 bits
+        self.may_own[own.view(np.uint64) >> np.uint64(48)] = True
 
     def __getitem__(self, tokens: np.ndarray) -> np.ndarray:
-        out = OWN + (tokens.view(np.uint64) >> np.uint64(40)).astype(np.int64) % (CLASSES - OWN)
+        bits = tokens.view(np.uint64)
+        out = ((bits >> np.uint64(40)).astype(np.uint32) % np.uint32(CLASSES - OWN) + np.uint32(OWN)).astype(np.uint8)
         if len(self.own):
-            at = np.minimum(np.searchsorted(self.own, tokens), len(self.own) - 1)
-            known = self.own[at] == tokens
-            out[known] = self.rank[at[known]]
+            some = np.flatnonzero(self.may_own[(bits >> np.uint64(48)).view(np.int64)])
+            at = np.minimum(np.searchsorted(self.own, tokens[some]), len(self.own) - 1)
+            known = self.own[at] == tokens[some]
+            out[some[known]] = self.rank[at[known]]
         return out
 
 
@@ -144,63 +166,102 @@ def unflat(values: np.ndarray) -> dict[str, np.ndarray]:
 
 def windows(classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Classes of the ``SIDE`` tokens before and after each token; padding beyond the row."""
-    n = len(classes)
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    at = np.arange(n)
-    out = np.empty((n, 2 * SIDE), np.int64)
+    rows = len(bounds) - 1
+    at = np.arange(len(classes)) + np.repeat(SIDE * np.arange(1, rows + 1), np.diff(bounds))
+    padded = np.full(len(classes) + SIDE * (rows + 1), CLASSES, np.uint8)
+    padded[at] = classes
+    out = np.empty((len(classes), 2 * SIDE), np.uint8)
     for j, step in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
-        other = at + step
-        inside = (other >= bounds[row]) & (other < bounds[row + 1])
-        out[:, j] = np.where(inside, classes[np.clip(other, 0, max(n - 1, 0))], CLASSES)
+        out[:, j] = padded[at + step]
+    return out
+
+
+class Room:
+    """The arrays of a minibatch, made once: a step then allocates next to nothing."""
+
+    def __init__(self, size: int = MINIBATCH):
+        def floats(*shape):
+            return np.empty(shape, np.float32)
+        self.x, self.h, self.z = floats(size, 2 * SIDE, WIDTH), floats(size, HIDDEN), floats(size, CLASSES)
+        self.slope, self.back, self.into = floats(size, HIDDEN), floats(size, HIDDEN), floats(size, 2 * SIDE * WIDTH)
+        self.out, self.out_t = floats(HIDDEN, CLASSES), floats(CLASSES, HIDDEN)
+        self.pair = np.empty((size, 2 * SIDE, WIDTH // 2), np.int64)
+        self.start = np.arange(size) * CLASSES
+        self.ones = np.ones(max(size, CLASSES), np.float32)
+
+
+#: Places of a class's embedding in the table seen as pairs of floats.
+_PAIRS = np.arange((CLASSES + 1) * WIDTH // 2).reshape(CLASSES + 1, WIDTH // 2)
+
+
+def _by_halves(a: np.ndarray, b: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """``a @ b`` in two products small enough for the BLAS kernel that need not repack them."""
+    half = len(a) // 2
+    np.matmul(a[:half], b, out=out[:half])
+    np.matmul(a[half:], b, out=out[half:])
     return out
 
 
-def forward(weights: dict, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    x = weights["embed"][around].reshape(len(around), -1)
-    h = np.tanh(x @ weights["hidden"] + weights["hidden_bias"])
-    z = h @ weights["out"] + weights["out_bias"]
-    return x, h, z - z.max(axis=1, keepdims=True)
+def forward(weights: dict, around: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(embeddings, hidden layer, scores of the classes but for a summand a row), all in ``room``."""
+    n = len(around)
+    x = np.take(weights["embed"], around, axis=0, out=room.x[:n], mode="clip").reshape(n, -1)
+    h = np.matmul(x, weights["hidden"], out=room.h[:n])
+    h += weights["hidden_bias"]
+    np.tanh(h, out=h)
+    z = _by_halves(h, weights["out"], room.z[:n])
+    z += weights["out_bias"]
+    if z.max() > RANGE or z.min() < -RANGE:
+        z -= z.max(axis=1, keepdims=True)
+    return x, h, z
 
 
-def descend(weights: dict, around: np.ndarray, target: np.ndarray, rate: float) -> None:
+def descend(weights: dict, around: np.ndarray, target: np.ndarray, rate: float, room: Room | None = None) -> None:
     """One minibatch step, in place."""
-    n = len(target)
-    x, h, z = forward(weights, around)
-    p = np.exp(z)
-    p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(n), target] -= 1
-    p *= np.float32(rate / n)
-    back = (p @ weights["out"].T) * (1 - h * h)
-    into = back @ weights["hidden"].T
-    weights["out"] -= h.T @ p
-    weights["out_bias"] -= p.sum(axis=0)
+    n, room = len(target), room or Room(len(target))
+    around = around.astype(np.intp)
+    x, h, p = forward(weights, around, room)
+    np.exp(p, out=p)
+    total = p @ room.ones[:CLASSES]
+    p.reshape(-1)[room.start[:n] + target] -= total
+    p *= (np.float32(rate / n) / total)[:, None]
+    slope = np.multiply(h, h, out=room.slope[:n])
+    np.subtract(1, slope, out=slope)
+    room.out_t[:] = weights["out"].T
+    back = _by_halves(p, room.out_t, room.back[:n])
+    back *= slope
+    into = np.matmul(back, weights["hidden"].T, out=room.into[:n])
+    weights["out"] -= _by_halves(h.T, p, room.out)
+    weights["out_bias"] -= room.ones[:n] @ p
     weights["hidden"] -= x.T @ back
-    weights["hidden_bias"] -= back.sum(axis=0)
-    slot = around.ravel()[:, None] * WIDTH + np.arange(WIDTH)
-    weights["embed"] -= np.bincount(slot.ravel(), into.ravel(), weights["embed"].size).reshape(-1, WIDTH)
+    weights["hidden_bias"] -= room.ones[:n] @ back
+    # Pairs of floats are subtracted as complex numbers: half as many steps.
+    pair = np.take(_PAIRS, around, axis=0, out=room.pair[:n], mode="clip")
+    np.subtract.at(weights["embed"].reshape(-1).view(np.complex64), pair.reshape(-1), into.reshape(-1).view(np.complex64))
 
 
 def class_log_probs(weights: dict, around: np.ndarray, target: np.ndarray) -> np.ndarray:
-    out = np.empty(len(target))
-    for a in range(0, len(target), BLOCK):
-        _, _, z = forward(weights, around[a:a + BLOCK])
-        own = z[np.arange(len(z)), target[a:a + BLOCK]]
-        out[a:a + BLOCK] = own - np.log(np.exp(z).sum(axis=1))
+    out, room = np.empty(len(target)), Room()
+    for a in range(0, len(target), MINIBATCH):
+        own = target[a:a + MINIBATCH]
+        _, _, z = forward(weights, around[a:a + MINIBATCH].astype(np.intp), room)
+        picked = z.reshape(-1)[room.start[:len(own)] + own]
+        np.exp(z, out=z)
+        out[a:a + MINIBATCH] = picked - np.log(z @ room.ones[:CLASSES])
     return out
 
 
 def _train(weights: dict, cls: Classes, turn: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen = {k: w.copy() for k, w in weights.items()}, 0
+        own, seen, room = {k: w.copy() for k, w in weights.items()}, 0, Room()
         rng = np.random.default_rng(SEED + turn)
         for batch in batches:
             for _, _, tokens, bounds in _rows(batch, 0):
                 target = cls[tokens]
-                around = windows(target, bounds)
                 order = rng.permutation(len(target))
+                around, target = windows(target, bounds)[order], target[order]
                 for a in range(0, len(order), MINIBATCH):
-                    at = order[a:a + MINIBATCH]
-                    descend(own, around[at], target[at], RATE / (1 + turn))
+                    descend(own, around[a:a + MINIBATCH], target[a:a + MINIBATCH], RATE / (1 + turn), room)
                 seen += len(target)
         if seen:
             values = flat(own).astype(np.float64) * seen
@@ -226,45 +287,76 @@ def learn(docs: DataFrame, rounds: int = ROUNDS) -> tuple[dict, Classes, InClass
     return weights, cls, log_p
 
 
-_PARTS = "row long, doc_id long, n_tokens long, class_log_p double, tokens array<long>, counts array<long>"
+_PARTS = ("group long, doc_id long, n_tokens long, class_log_p double, places array<int>, counts array<int>, "
+          "tokens array<long>")
+_SCORES = "doc_id long, n_tokens long, log_likelihood double, mean_log_prob double"
+
+
+def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
 
 
 def _score(weights: dict, cls: Classes):
-    """Each row's class log-probabilities, and its distinct tokens in the classes that are shared."""
+    """Each row's class log-probabilities and its distinct tokens in the classes that are shared.
+
+    The tokens are places in the sorted list of its group's, which the group's first row holds;
+    that row's number is the group's.
+    """
+    def of_chunk(tokens: np.ndarray, bounds: np.ndarray):
+        target = cls[tokens]
+        each = class_log_probs(weights, windows(target, bounds), target)
+        total = np.diff(np.concatenate([[0.0], np.cumsum(each)])[bounds])
+        shared = target >= OWN
+        token, ends = tokens[shared], np.concatenate([[0], np.cumsum(shared)])[bounds]
+        for a, b in zip(ends[:-1], ends[1:]):
+            token[a:b].sort()
+        new = np.zeros(len(token) + 1, bool)
+        new[1:-1] = token[1:] != token[:-1]
+        new[ends] = True                                  # where a row begins, and the end
+        first = np.flatnonzero(new)
+        return np.diff(bounds), total, token[first[:-1]], np.diff(first), np.diff(np.searchsorted(first, ends))
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, tokens, bounds in _rows(batch, 2):
-                target = cls[tokens]
-                each = class_log_probs(weights, windows(target, bounds), target)
-                total = np.diff(np.concatenate([[0.0], np.cumsum(each)])[bounds])
-                shared = np.flatnonzero(target >= OWN)
-                row = np.searchsorted(bounds, shared, side="right") - 1
-                token = tokens[shared]
-                order = np.lexsort((token, row))
-                row, token = row[order], token[order]
-                new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(token, prepend=0) != 0))
-                lists = np.searchsorted(row[new], np.arange(b - a + 1)).astype(np.int32)
-                count = np.diff(np.append(new, len(row)))
+            data, offsets = text_bytes(batch.column(2))
+            for a, b in chunks(offsets, GROUP):
+                parts, at = [], offsets[a:b + 1]
+                for i, j in chunks(at):
+                    parts.append(of_chunk(*buckets_of(data[at[i]:at[j]], at[i:j + 1] - at[i])))
+                n_tokens, total, token, count, distinct = (np.concatenate(x) for x in zip(*parts))
+                own, place = np.unique(token, return_inverse=True)
+                bounds = np.concatenate([[0], np.cumsum(distinct)])
+                first = np.zeros(b - a + 1, np.int64)
+                first[1:] = len(own)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(bounds)),
-                     pa.array(total), pa.ListArray.from_arrays(lists, pa.array(token[new])),
-                     pa.ListArray.from_arrays(lists, pa.array(count))], schema=arrow_schema(_PARTS))
+                    [pa.array(np.full(b - a, batch.column(0)[a].as_py(), np.int64)), batch.column(1).slice(a, b - a),
+                     pa.array(n_tokens), pa.array(total), _lists(place.astype(np.int32), bounds),
+                     _lists(count.astype(np.int32), bounds), _lists(own, first)], schema=arrow_schema(_PARTS))
     return score
 
 
+def _sums(rows: pa.Table, found: pa.Table) -> pa.Table:
+    """Scores of a group's rows from the log-probabilities of its tokens."""
+    log_p = np.zeros(len(found))
+    log_p[found.column("place").to_numpy()] = found.column("log_p").to_numpy()
+    places, counts = (rows.column(c).combine_chunks() for c in ("places", "counts"))
+    row = np.repeat(np.arange(len(rows)), places.value_lengths().to_numpy())
+    x = rows.column("class_log_p").to_numpy() + np.bincount(
+        row, weights=log_p[places.flatten().to_numpy()] * counts.flatten().to_numpy(), minlength=len(rows))
+    n = rows.column("n_tokens").to_numpy()
+    mean = pa.array(x / np.maximum(n, 1), mask=n == 0)
+    return pa.Table.from_arrays([rows.column("doc_id"), rows.column("n_tokens"), pa.array(x), mean],
+                                schema=arrow_schema(_SCORES))
+
+
 def pseudo_likelihood(docs: DataFrame, model) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_prob) of every row of ``docs`` (doc_id, text)."""
     weights, cls, log_p = model
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = stored(rows.mapInArrow(_score(weights, cls), _PARTS), "token-rows")   # written: the rows' numbers stay
-    tokens = parts.select("row", F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
-    sums = (log_p.joined(tokens.select("row", F.col("t.tokens").alias("token"), F.col("t.counts").alias("c")))
-            .select("row", (F.col("c") * F.col("log_p")).alias("x")))
-    whole = parts.select("row", "doc_id", "n_tokens", F.col("class_log_p").alias("x"))
-    every = whole.unionByName(sums, allowMissingColumns=True).groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("x").alias("log_likelihood"))
-    return every.select("doc_id", "n_tokens", "log_likelihood", F.when(
-        F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_prob"))
+    tokens = parts.where(F.size("tokens") > 0).select("group", F.posexplode("tokens").alias("place", "token"))
+    found = log_p.joined(tokens).select(F.col("group").alias("of"), "place", "log_p")
+    return parts.drop("tokens").groupBy("group").cogroup(found.groupBy("of")).applyInArrow(_sums, _SCORES)
 
 
 def op9_lm_score(spark, sf_dir: str) -> DataFrame:
