@@ -10,14 +10,16 @@ share the rest by hash; tokens are words by a 64-bit hash, and only the classes
 Corpus statistics: token counts of every document, summed in Spark to a table with a row
 for each token, however many there are. A class without a token of its own keeps a mass of
 ``SMOOTH`` for a token never counted. The driver holds the ``OWN`` tokens and the classes'
-masses. Training: every task runs minibatch descent over its share of the documents, all of
-them, from the same weights; the weights are averaged by token counts in Spark (local
-descent with model averaging, ``ROUNDS`` times), so what is gathered grows with the input
-and what reaches the driver is one set of weights.
+masses. Texts are split into words twice: for the counts, and once the classes are known to
+write each row's classes (a byte a token), which training and scoring read. Training: every
+task runs minibatch descent over its share of the documents, all of them, from the same
+weights; the weights are averaged by token counts in Spark (local descent with model
+averaging, ``ROUNDS`` times), so what is gathered grows with the input and what reaches the
+driver is one set of weights.
 
-Scoring: one pass gives each row's class log-probabilities and its distinct tokens with
-their counts, as places in the list of distinct tokens of a group of rows (``GROUP`` bytes of
-text); the groups' lists are joined to the table, and each group adds up its rows.
+Scoring: with its classes a row holds its distinct tokens and their counts, as places in the
+list of distinct tokens of a group of rows (``GROUP`` bytes of text). The groups' lists are
+joined to the table; then a group's rows get their class log-probabilities and add up.
 
 Defined cases: NULL or wordless texts have no tokens, likelihood 0 and a NULL mean; a
 one-token text is predicted from padding; NULL or repeated ids are scored like any row; an
@@ -42,7 +44,7 @@ SEED = 9
 SMOOTH = 0.5
 COUNTED = 1 << 20
 CACHED = 1 << 17        # bytes whose 8-byte arrays stay in a core's cache
-GROUP = 8 << 20
+GROUP = 16 << 20
 RANGE = 60              # exp of +-RANGE and sums of CLASSES of them are float32 numbers
 
 
@@ -121,7 +123,7 @@ class InClass:
     def joined(self, rows: DataFrame) -> DataFrame:
         """``rows`` (token, ...) of tokens without a class of their own, with log_p."""
         mass = F.get(F.array(*(F.lit(float(x)) for x in self.mass[OWN:])), shared_class("token") - OWN)
-        return rows.join(self.table, "token", "left").withColumn(
+        return rows.join(self.table.hint("shuffle_hash"), "token", "left").withColumn(
             "log_p", F.log((F.coalesce("n", F.lit(0)) + F.lit(SMOOTH)) / mass)).drop("n")
 
     def __getitem__(self, tokens: np.ndarray) -> np.ndarray:
@@ -145,11 +147,13 @@ def class_tables(counts: DataFrame) -> tuple[Classes, InClass]:
 
 
 def new_weights(seed: int = SEED) -> dict[str, np.ndarray]:
+    """Random weights; the last row of ``out`` is the classes' bias."""
     rng = np.random.default_rng(seed)
     shapes = {"embed": (CLASSES + 1, WIDTH), "hidden": (2 * SIDE * WIDTH, HIDDEN), "hidden_bias": (HIDDEN,),
-              "out": (HIDDEN, CLASSES), "out_bias": (CLASSES,)}
+              "out": (HIDDEN, CLASSES), "out_bias": (1, CLASSES)}
     scale = {"embed": 0.3, "hidden": 0.15, "out": 0.15}
-    return {k: (rng.normal(0, scale[k], s) if k in scale else np.zeros(s)).astype(np.float32) for k, s in shapes.items()}
+    new = {k: (rng.normal(0, scale[k], s) if k in scale else np.zeros(s)).astype(np.float32) for k, s in shapes.items()}
+    return new | {"out": np.concatenate([new["out"], new.pop("out_bias")])}
 
 
 def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
@@ -182,9 +186,9 @@ class Room:
     def __init__(self, size: int = MINIBATCH):
         def floats(*shape):
             return np.empty(shape, np.float32)
-        self.x, self.h, self.z = floats(size, 2 * SIDE, WIDTH), floats(size, HIDDEN), floats(size, CLASSES)
-        self.slope, self.back, self.into = floats(size, HIDDEN), floats(size, HIDDEN), floats(size, 2 * SIDE * WIDTH)
-        self.out, self.out_t = floats(HIDDEN, CLASSES), floats(CLASSES, HIDDEN)
+        self.x, self.h, self.z = floats(size, 2 * SIDE, WIDTH), floats(size, HIDDEN + 1), floats(size, CLASSES)
+        self.slope, self.back, self.into = floats(size, HIDDEN + 1), floats(size, HIDDEN), floats(size, 2 * SIDE * WIDTH)
+        self.out, self.out_t = floats(HIDDEN + 1, CLASSES), floats(CLASSES, HIDDEN)
         self.pair = np.empty((size, 2 * SIDE, WIDTH // 2), np.int64)
         self.start = np.arange(size) * CLASSES
         self.ones = np.ones(max(size, CLASSES), np.float32)
@@ -203,14 +207,16 @@ def _by_halves(a: np.ndarray, b: np.ndarray, out: np.ndarray) -> np.ndarray:
 
 
 def forward(weights: dict, around: np.ndarray, room: Room) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(embeddings, hidden layer, scores of the classes but for a summand a row), all in ``room``."""
+    """(embeddings, hidden layer with a 1 for the bias, scores of the classes but for a summand a row), in ``room``."""
     n = len(around)
     x = np.take(weights["embed"], around, axis=0, out=room.x[:n], mode="clip").reshape(n, -1)
-    h = np.matmul(x, weights["hidden"], out=room.h[:n])
-    h += weights["hidden_bias"]
+    h = room.h[:n]
+    inner = np.matmul(x, weights["hidden"], out=h[:, :HIDDEN])
+    inner += weights["hidden_bias"]
+    h[:, HIDDEN] = 0
     np.tanh(h, out=h)
+    h[:, HIDDEN] = 1
     z = _by_halves(h, weights["out"], room.z[:n])
-    z += weights["out_bias"]
     if z.max() > RANGE or z.min() < -RANGE:
         z -= z.max(axis=1, keepdims=True)
     return x, h, z
@@ -224,15 +230,16 @@ def descend(weights: dict, around: np.ndarray, target: np.ndarray, rate: float,
     np.exp(p, out=p)
     total = p @ room.ones[:CLASSES]
     p.reshape(-1)[room.start[:n] + target] -= total
-    p *= (np.float32(rate / n) / total)[:, None]
+    share = (np.float32(rate / n) / total)[:, None]       # what p lacks of the gradient; h and slope are smaller
     slope = np.multiply(h, h, out=room.slope[:n])
     np.subtract(1, slope, out=slope)
-    room.out_t[:] = weights["out"].T
+    slope *= share
+    room.out_t[:] = weights["out"][:HIDDEN].T
     back = _by_halves(p, room.out_t, room.back[:n])
-    back *= slope
+    back *= slope[:, :HIDDEN]
     into = np.matmul(back, weights["hidden"].T, out=room.into[:n])
+    h *= share
     weights["out"] -= _by_halves(h.T, p, room.out)
-    weights["out_bias"] -= room.ones[:n] @ p
     weights["hidden"] -= x.T @ back
     weights["hidden_bias"] -= room.ones[:n] @ back
     # Pairs of floats are subtracted as complex numbers: half as many steps.
@@ -251,62 +258,25 @@ def class_log_probs(weights: dict, around: np.ndarray, target: np.ndarray) -> np
     return out
 
 
-def _train(weights: dict, cls: Classes, turn: int):
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen, room = {k: w.copy() for k, w in weights.items()}, 0, Room()
-        rng = np.random.default_rng(SEED + turn)
-        for batch in batches:
-            for _, _, tokens, bounds in _rows(batch, 0):
-                target = cls[tokens]
-                order = rng.permutation(len(target))
-                around, target = windows(target, bounds)[order], target[order]
-                for a in range(0, len(order), MINIBATCH):
-                    descend(own, around[a:a + MINIBATCH], target[a:a + MINIBATCH], RATE / (1 + turn), room)
-                seen += len(target)
-        if seen:
-            values = flat(own).astype(np.float64) * seen
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(values))), pa.array(values), pa.array(np.full(len(values), seen, np.int64))],
-                schema=arrow_schema("slot long, w double, n long"))
-    return train
-
-
-def learn(docs: DataFrame, rounds: int = ROUNDS) -> tuple[dict, Classes, InClass]:
-    """(weights, class of each token, log-probability of the token given its class)."""
-    texts = docs.select("text")
-    cls, log_p = class_tables(stored(
-        texts.mapInArrow(_counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")), "token-counts"))
-    weights = new_weights()
-    for turn in range(rounds):
-        mean = (texts.mapInArrow(_train(weights, cls, turn), "slot long, w double, n long")
-                .groupBy("slot").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow())
-        if len(mean):
-            values = np.zeros(flat(weights).size)
-            values[mean.column("slot").to_numpy()] = mean.column("w").to_numpy()
-            weights = unflat(values)
-    return weights, cls, log_p
-
-
-_PARTS = ("group long, doc_id long, n_tokens long, class_log_p double, places array<int>, counts array<int>, "
-          "tokens array<long>")
+_ROWS = ("group long, chunk long, doc_id long, classes binary, places binary, counts binary, tokens array<long>")
 _SCORES = "doc_id long, n_tokens long, log_likelihood double, mean_log_prob double"
 
 
-def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
+def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` by row: Spark moves them without a look at each value."""
+    at = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(values)])
 
 
-def _score(weights: dict, cls: Classes):
-    """Each row's class log-probabilities and its distinct tokens in the classes that are shared.
+def _class_rows(cls: Classes):
+    """Each row's classes, and its distinct tokens in the classes that are shared, with their counts.
 
-    The tokens are places in the sorted list of its group's, which the group's first row holds;
-    that row's number is the group's.
+    The tokens are places (int) in the sorted list of its group's, which the group's first row
+    holds; groups and chunks bear the number of their first row.
     """
     def of_chunk(tokens: np.ndarray, bounds: np.ndarray):
-        target = cls[tokens]
-        each = class_log_probs(weights, windows(target, bounds), target)
-        total = np.diff(np.concatenate([[0.0], np.cumsum(each)])[bounds])
-        shared = target >= OWN
+        classes = cls[tokens]
+        shared = classes >= OWN
         token, ends = tokens[shared], np.concatenate([[0], np.cumsum(shared)])[bounds]
         for a, b in zip(ends[:-1], ends[1:]):
             token[a:b].sort()
@@ -314,52 +284,121 @@ def _score(weights: dict, cls: Classes):
         new[1:-1] = token[1:] != token[:-1]
         new[ends] = True                                  # where a row begins, and the end
         first = np.flatnonzero(new)
-        return np.diff(bounds), total, token[first[:-1]], np.diff(first), np.diff(np.searchsorted(first, ends))
+        return (classes, np.diff(bounds), token[first[:-1]], np.diff(first).astype(np.int32),
+                np.diff(np.searchsorted(first, ends)))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            number = batch.column(0).to_numpy()
             data, offsets = text_bytes(batch.column(2))
             for a, b in chunks(offsets, GROUP):
-                parts, at = [], offsets[a:b + 1]
+                parts, at, chunk = [], offsets[a:b + 1], np.empty(b - a, np.int64)
                 for i, j in chunks(at):
                     parts.append(of_chunk(*buckets_of(data[at[i]:at[j]], at[i:j + 1] - at[i])))
-                n_tokens, total, token, count, distinct = (np.concatenate(x) for x in zip(*parts))
+                    chunk[i:j] = number[a + i]
+                classes, n_tokens, token, count, distinct = (np.concatenate(x) for x in zip(*parts))
                 own, place = np.unique(token, return_inverse=True)
                 bounds = np.concatenate([[0], np.cumsum(distinct)])
-                first = np.zeros(b - a + 1, np.int64)
-                first[1:] = len(own)
+                first = np.full(b - a + 1, len(own), np.int32)
+                first[0] = 0
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(b - a, batch.column(0)[a].as_py(), np.int64)), batch.column(1).slice(a, b - a),
-                     pa.array(n_tokens), pa.array(total), _lists(place.astype(np.int32), bounds),
-                     _lists(count.astype(np.int32), bounds), _lists(own, first)], schema=arrow_schema(_PARTS))
+                    [pa.array(np.full(b - a, number[a])), pa.array(chunk), batch.column(1).slice(a, b - a),
+                     _blobs(classes, np.concatenate([[0], np.cumsum(n_tokens)])), _blobs(place.astype(np.int32), bounds),
+                     _blobs(count, bounds), pa.ListArray.from_arrays(pa.array(first), pa.array(own))],
+                    schema=arrow_schema(_ROWS))
+    return rows
+
+
+def class_rows(docs: DataFrame, cls: Classes) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text) as ``_class_rows`` gives them, written: their numbers stay."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return stored(rows.mapInArrow(_class_rows(cls), _ROWS), "token-rows")
+
+
+def _train(weights: dict, turn: int):
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen, room = {k: w.copy() for k, w in weights.items()}, 0, Room()
+        rng = np.random.default_rng(SEED + turn)
+        for batch in batches:
+            classes, bounds = text_bytes(batch.column(1))
+            edges = np.flatnonzero(np.diff(batch.column(0).to_numpy(), prepend=-1, append=-1))
+            for a, b in zip(edges[:-1], edges[1:]):
+                target = classes[bounds[a]:bounds[b]]
+                order = rng.permutation(len(target))
+                around, target = windows(target, bounds[a:b + 1] - bounds[a])[order], target[order]
+                for i in range(0, len(order), MINIBATCH):
+                    descend(own, around[i:i + MINIBATCH], target[i:i + MINIBATCH], RATE / (1 + turn), room)
+                seen += len(target)
+        if seen:
+            values = flat(own).astype(np.float64) * seen
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(values))), pa.array(values), pa.array(np.full(len(values), seen, np.int64))],
+                schema=arrow_schema("slot long, w double, n long"))
+    return train
+
+
+def count_tokens(docs: DataFrame) -> tuple[Classes, InClass]:
+    """(class of each token, log-probability of the token given its class)."""
+    return class_tables(stored(docs.select("text").mapInArrow(_counts, "token long, n long")
+                               .groupBy("token").agg(F.sum("n").alias("n")), "token-counts"))
+
+
+def train(rows: DataFrame, rounds: int = ROUNDS) -> dict:
+    """The network's weights, learned from all of ``class_rows``."""
+    classes, weights = rows.select("chunk", "classes"), new_weights()
+    for turn in range(rounds):
+        mean = (classes.mapInArrow(_train(weights, turn), "slot long, w double, n long")
+                .groupBy("slot").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow())
+        if len(mean):
+            values = np.zeros(flat(weights).size)
+            values[mean.column("slot").to_numpy()] = mean.column("w").to_numpy()
+            weights = unflat(values)
+    return weights
+
+
+def learn(docs: DataFrame, rounds: int = ROUNDS) -> tuple[dict, Classes, InClass]:
+    """(weights, class of each token, log-probability of the token given its class)."""
+    cls, log_p = count_tokens(docs)
+    return train(class_rows(docs.select(F.lit(0).alias("doc_id"), "text"), cls), rounds), cls, log_p
+
+
+def _score(weights: dict):
+    def score(rows: pa.Table, found: pa.Table) -> pa.Table:
+        """Scores of a group's rows, with the log-probabilities of its tokens given their classes."""
+        rows = rows.combine_chunks()
+        classes, ends = text_bytes(rows.column("classes").chunk(0))
+        total, n = np.zeros(len(rows)), np.diff(ends)
+        for a, b in chunks(ends, COUNTED):
+            target, bounds = classes[ends[a]:ends[b]], ends[a:b + 1] - ends[a]
+            each = class_log_probs(weights, windows(target, bounds), target)
+            total[a:b] = np.diff(np.concatenate([[0.0], np.cumsum(each)])[bounds])
+        log_p = np.zeros(len(found))
+        log_p[found.column("place").to_numpy()] = found.column("log_p").to_numpy()
+        (places, at), (counts, _) = (text_bytes(rows.column(c).chunk(0)) for c in ("places", "counts"))
+        row = np.repeat(np.arange(len(rows)), np.diff(at) // 4)
+        total += np.bincount(row, weights=log_p[places.view(np.int32)] * counts.view(np.int32), minlength=len(rows))
+        return pa.Table.from_arrays([rows.column("doc_id"), pa.array(n), pa.array(total),
+                                     pa.array(total / np.maximum(n, 1), mask=n == 0)], schema=arrow_schema(_SCORES))
     return score
 
 
-def _sums(rows: pa.Table, found: pa.Table) -> pa.Table:
-    """Scores of a group's rows from the log-probabilities of its tokens."""
-    log_p = np.zeros(len(found))
-    log_p[found.column("place").to_numpy()] = found.column("log_p").to_numpy()
-    places, counts = (rows.column(c).combine_chunks() for c in ("places", "counts"))
-    row = np.repeat(np.arange(len(rows)), places.value_lengths().to_numpy())
-    x = rows.column("class_log_p").to_numpy() + np.bincount(
-        row, weights=log_p[places.flatten().to_numpy()] * counts.flatten().to_numpy(), minlength=len(rows))
-    n = rows.column("n_tokens").to_numpy()
-    mean = pa.array(x / np.maximum(n, 1), mask=n == 0)
-    return pa.Table.from_arrays([rows.column("doc_id"), rows.column("n_tokens"), pa.array(x), mean],
-                                schema=arrow_schema(_SCORES))
+def score_rows(rows: DataFrame, weights: dict, log_p: InClass) -> DataFrame:
+    """(doc_id, n_tokens, log_likelihood, mean_log_prob) of every row of ``class_rows``."""
+    tokens = rows.where(F.size("tokens") > 0).select("group", F.posexplode("tokens").alias("place", "token"))
+    found = log_p.joined(tokens).select(F.col("group").alias("of"), "place", "log_p")
+    return (rows.select("group", "doc_id", "classes", "places", "counts").groupBy("group")
+            .cogroup(found.groupBy("of")).applyInArrow(_score(weights), _SCORES))
 
 
 def pseudo_likelihood(docs: DataFrame, model) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_prob) of every row of ``docs`` (doc_id, text)."""
     weights, cls, log_p = model
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = stored(rows.mapInArrow(_score(weights, cls), _PARTS), "token-rows")   # written: the rows' numbers stay
-    tokens = parts.where(F.size("tokens") > 0).select("group", F.posexplode("tokens").alias("place", "token"))
-    found = log_p.joined(tokens).select(F.col("group").alias("of"), "place", "log_p")
-    return parts.drop("tokens").groupBy("group").cogroup(found.groupBy("of")).applyInArrow(_sums, _SCORES)
+    return score_rows(class_rows(docs, cls), weights, log_p)
 
 
 def op9_lm_score(spark, sf_dir: str) -> DataFrame:
     """Masked pseudo-log-likelihood of every document under a network learned from the corpus."""
     docs = read_table(spark, sf_dir, "documents")
-    return pseudo_likelihood(docs, learn(docs))
+    cls, log_p = count_tokens(docs)
+    rows = class_rows(docs, cls)
+    return score_rows(rows, train(rows), log_p)

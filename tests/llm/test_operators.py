@@ -399,6 +399,63 @@ def test_lm_counts_every_token(spark):
     assert all(r["p"] + lm_score.SMOOTH / log_p.mass[r["c"]] == pytest.approx(1) for r in rows.collect())
 
 
+def plain_lm(weights, around):
+    """(embeddings, hidden layer, class probabilities) of windows by float64 formulas."""
+    w = {k: v.astype(float) for k, v in weights.items()}
+    x = w["embed"][around].reshape(len(around), -1)
+    h = np.tanh(x @ w["hidden"] + w["hidden_bias"])
+    z = h @ w["out"][:-1] + w["out"][-1]
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    return x, h, p / p.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize(("n", "scale"), [(256, 1), (255, 1), (1, 1), (64, 400)])
+def test_lm_step_is_the_plain_gradient(n, scale):
+    rng = np.random.default_rng(n)
+    weights = lm_score.new_weights()
+    weights["out"] *= np.float32(scale)                   # at 400 exp of a score would be infinite
+    weights["out"][-1] = rng.normal(size=lm_score.CLASSES)
+    around, target = rng.integers(0, lm_score.CLASSES + 1, (n, 4)), rng.integers(0, lm_score.CLASSES, n)
+    x, h, p = plain_lm(weights, around)
+    own = p[np.arange(n), target]
+    some = own > 1e-30
+    got = lm_score.class_log_probs(weights, around, target)
+    assert np.isfinite(got).all() if scale == 1 else not np.isnan(got).any()
+    assert np.allclose(got[some], np.log(own[some]), rtol=1e-4, atol=1e-4)
+    before = {k: v.astype(float) for k, v in weights.items()}
+    p[np.arange(n), target] -= 1
+    p *= 0.2 / n
+    back = (p @ before["out"][:-1].T) * (1 - h * h)
+    into = (back @ before["hidden"].T).reshape(n, 4, -1)
+    embed = before["embed"].copy()
+    np.subtract.at(embed, around, into)
+    lm_score.descend(weights, around.astype(np.uint8), target.astype(np.uint8), 0.2, lm_score.Room())
+    want = {"embed": embed, "hidden": before["hidden"] - x.T @ back, "hidden_bias": before["hidden_bias"] - back.sum(0),
+            "out": before["out"] - np.concatenate([h.T @ p, p.sum(0)[None]])}
+    assert all(np.allclose(weights[k], want[k], rtol=1e-4, atol=1e-4) for k in want)
+
+
+def test_lm_joins_a_groups_tokens_once(spark, monkeypatch):
+    """Rows of one group share one list of tokens; scores do not depend on where groups and chunks end."""
+    docs = frame(spark, [(i, prose(60, i % 9) if i % 7 else None) for i in range(120)] + [(None, "one"), (5, "")]).coalesce(1)
+    weights, cls, log_p = model = lm_score.learn(docs)
+    rows = lm_score.class_rows(docs, cls)
+    words = {w.lower() for r in docs.collect() for w in (r["text"] or "").split()}
+    shared = [t for w in words for t in lm_score.buckets_of(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]))[0]
+              if cls[np.array([t])][0] >= lm_score.OWN]
+    assert sorted(r["t"] for r in rows.select(F.explode("tokens").alias("t")).collect()) == sorted(shared)
+    assert [len(r["classes"]) for r in rows.orderBy("group", "chunk").collect()].count(0) == 19
+    one = sorted(map(tuple, lm_score.score_rows(rows, weights, log_p).collect()), key=str)
+    for doc_id, n, total, mean in one:
+        assert (n == 0 and total == 0 and mean is None) or mean == pytest.approx(total / n)
+    monkeypatch.setattr(lm_score, "GROUP", 1500)
+    many = sorted(map(tuple, lm_score.pseudo_likelihood(docs, model).collect()), key=str)
+    assert lm_score.class_rows(docs, cls).select("group").distinct().count() > 5
+    assert len(one) == len(many) == 122
+    for a, b in zip(sorted(one, key=lambda r: (str(r[0]), r[2])), sorted(many, key=lambda r: (str(r[0]), r[2]))):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2])
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
     rows = [(i, prose(200, i)) for i in range(30)] + [(100, prose(200, 3)), (101, "12 34"), (102, None)]
