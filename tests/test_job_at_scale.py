@@ -1,0 +1,165 @@
+"""What the landing, the ingest and the batch job do once: join line items, parse a line for its route, shuffle
+conditions by patient; and what they leave behind (no shuffle files)."""
+
+import json
+from collections import Counter
+from functools import reduce
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from clinark.functions import exprs as X
+from clinark.operators import gold, normalize
+from clinark.plans.jobs import run_pipeline
+from clinark.schemas import CLEAN, LINE
+from clinark.sources import fixtures
+from clinark.sources.landing import _json_lines, land_mixed
+from clinark.sources.parquet import read_clean, write_clustered, write_split
+from clinark.sources.raw import read_lines
+from clinark.streaming.ingest import ROUTES, route, run_ingest
+from conftest import SF_SMALL
+
+
+def test_landing_joins_line_items_once_and_holds_every_resource(spark, tmp_path, monkeypatch):
+    joins, join = [], fixtures._line_orders_parts
+    monkeypatch.setattr(fixtures, "_line_orders_parts", lambda *a: joins.append(a) or join(*a))
+    land_mixed(spark, SF_SMALL, str(tmp_path / "landing"))
+    assert len(joins) == 1
+    landed = Counter(r[0] for r in spark.read.text(str(tmp_path / "landing")).collect())
+    resources = [_json_lines(build(spark, SF_SMALL)) for build in fixtures.RAW_BUILDERS.values()]
+    expected = Counter(r[0] for r in reduce(DataFrame.unionByName, resources).collect())
+    assert not expected - landed
+    rest = landed - expected                     # the dirty lines: none is a whole resource of a routed type
+    assert rest and all('"Observation"' in x or '"Claim"' in x or not x.endswith("}") for x in rest)
+
+
+def _shuffle_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_no_shuffle_file_outlives_its_query(spark, tmp_path):
+    before = _shuffle_files(spark)
+    land_mixed(spark, SF_SMALL, str(tmp_path / "landing"))
+    run_ingest(spark, str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "ck"))
+    audit = run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    assert not _shuffle_files(spark) - before
+    assert audit.sparkSession is spark and dict(audit.collect())["conditions"] > 0
+
+
+def test_a_line_is_parsed_once_for_its_route(spark):
+    lines = ['{"resourceType": "Patient"}', '{"resourceType": "patient"}', '{"id": "Patient"}', "", "[]",
+             '{"resourceType": null}', '{"resourceType": ["Patient"]}', '{"resourceType": "Condition", "id":',
+             '{"resourceType": "_unmatched"}', '{"id": 1, "resourceType": "Encounter"}']
+    routed = route(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert [r[1] for r in routed.collect()] == ["Patient", *["_unmatched"] * 8, "Encounter"]
+    assert {*ROUTES} >= {r[1] for r in routed.collect()}
+    assert routed._jdf.queryExecution().optimizedPlan().toString().count("get_json_object(") == 1
+
+
+_IDS = st.one_of(st.none(), st.sampled_from(["1", "2", "pat-3", "", "é", "a" * 64, "f" * 63]))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(_IDS, st.sampled_from(["male", "female"])), max_size=30))
+def test_plain_ids_are_written_hashed(spark, tmp_path_factory, people):
+    root = tmp_path_factory.mktemp("split")
+    folder = root / "raw" / "Patient"
+    folder.mkdir(parents=True)
+    lines = [json.dumps({"resourceType": "Patient", "gender": g} | ({} if i is None else {"id": i})) for i, g in people]
+    (folder / "part-0.json").write_text("\n".join([*lines, "{broken"]) + "\n")
+    raw = read_lines(spark, str(root / "raw"), "Patient", layout="directory")
+    counts = write_split(normalize.normalize_patients(raw, hashed=False), f"{root}/a/patients", f"{root}/q", "patients",
+                         clustered=True, plain=True)
+    rows = normalize.normalize_patients(raw).where(F.col(LINE).isNull()).drop(LINE)
+    write_clustered(rows, f"{root}/b/patients", "patients")
+    a, b = (sorted(read_clean(spark, f"{root}/{x}", "patients", clustered=True).collect(), key=str) for x in "ab")
+    assert a == b and counts == (len(a), 1) and all(len(r["patient_id"]) == 64 for r in a)
+    assert [r[0] for r in spark.read.parquet(f"{root}/q").collect()] == ["{broken"]
+
+
+def test_plain_ids_need_the_clustered_layout(spark, tmp_path):
+    rows = spark.createDataFrame([], f"{CLEAN['patients'].simpleString()[7:-1].replace(':', ' ')}, {LINE} string")
+    with pytest.raises(ValueError):
+        write_split(rows, f"{tmp_path}/patients", f"{tmp_path}/q", "patients", plain=True)
+
+
+def _tables(spark, conditions, patients):
+    c = [(f"c{i}", k, code, name, status, None) for i, (k, code, name, status) in enumerate(conditions)]
+    p = [(k, gender, None, None, None, age) for k, gender, age in patients]
+    return spark.createDataFrame(c, CLEAN["conditions"]), spark.createDataFrame(p, CLEAN["patients"])
+
+
+def _people(patients):
+    return gold.people(None, patients.groupBy("patient_id", "gender", "age_group").agg(F.count(F.lit(1)).alias("_m")))
+
+
+_KEYS = st.one_of(st.none(), st.sampled_from(["hot", "b", "A" * 64, "a" * 64, "x"]))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(_KEYS, st.sampled_from([None, "1", "2"]), st.sampled_from([None, "n", "m"]),
+                          st.sampled_from([None, "active", "resolved"])), min_size=1, max_size=40),
+       st.lists(st.tuples(_KEYS, st.sampled_from([None, "male", "female"]), st.sampled_from(["75+", "0-25"])), max_size=12))
+def test_cells_of_all_give_the_gold_tables(spark, conditions, patients):
+    """With duplicate patients, patients without a row, no patient at all, and patients dealt to several parts."""
+    cond, pts = _tables(spark, conditions, patients)
+    cells = gold.cells_of_all(cond, _people(pts), hot_rows=2).localCheckpoint()
+    for got, expected in ((gold.diagnosis_statistics_of_cells(cells), gold.diagnosis_statistics(cond)),
+                          (gold.diagnosis_by_gender(None, None, cells), gold.diagnosis_by_gender(cond, pts)),
+                          (gold.diagnosis_by_age_group(None, None, cells), gold.diagnosis_by_age_group(cond, pts))):
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, expected.select(*got.columns).collect()))
+
+
+def test_cells_shuffle_conditions_by_patient_once(spark, tmp_path):
+    cond, pts = _tables(spark, [("a", "1", "n", "active")] * 9, [("a", "male", "75+")])
+    cond.write.parquet(f"{tmp_path}/conditions")
+    pts.write.parquet(f"{tmp_path}/patients")
+    cond, pts = (spark.read.parquet(f"{tmp_path}/{x}") for x in ("conditions", "patients"))
+    plan = gold.cells_of_all(cond, _people(pts))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    assert sum("_k" in x and "_part" in x and "REPARTITION_BY_COL" in x for x in exchanges) == 1
+    assert not any("_k" in x and "icd_code" in x for x in exchanges)   # no shuffle by patient and diagnosis before the join
+
+
+def test_a_hot_patient_is_dealt_to_several_parts(spark):
+    n = 400
+    cond, pts = _tables(spark, [("hot", str(i % 50), "n", "active") for i in range(n)] + [("b", "1", "n", None)],
+                        [("hot", "male", "75+"), ("b", None, "75+")])
+    cells = gold.cells_of_all(cond, _people(pts), hot_rows=n // 8)
+    assert cells.agg(F.sum("cases"), F.sum("unique_patients")).first()[:] == (n + 1, 51)
+
+
+def test_packed_keys_of_hex_and_other_text(spark):
+    keys = ["a" * 64, "A" * 64, "g" * 64, "0" * 62, "é" * 32, "a" * 63 + "\n", "", "a" * 31, None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    rows = df.select("k", X.packed_key("k").alias("p"), X.unpacked_key(X.packed_key("k")).alias("u")).collect()
+    assert [r["u"] for r in rows] == keys
+    assert [len(r["p"]) for r in rows[:2]] == [32, 65] and len({bytes(r["p"]) for r in rows[:-1]}) == len(keys) - 1
+
+
+def test_id_of_a_reference(spark):
+    refs = {"Patient/1": "1", "a/b/c": "b", "a/": "", "/": "", "//": "", "/x": "x", "urn:uuid:1": None, "": None, None: None,
+            "Patient/é/": "é"}
+    rows = spark.createDataFrame([(r,) for r in refs], "r string").select("r", X.id_of_ref("r"), F.get(F.split("r", "/"), 1))
+    assert [tuple(r) for r in rows.collect()] == [(r, x, x) for r, x in refs.items()]
+
+
+def test_clustered_files_are_sorted_by_key(spark, tmp_path):
+    """Small partitions and a hot folder: every file holds one folder's rows in order, whatever task wrote it."""
+    n = 500
+    (tmp_path / "raw" / "Encounter").mkdir(parents=True)
+    (tmp_path / "raw" / "Encounter" / "part-0.json").write_text("".join(json.dumps(
+        {"resourceType": "Encounter", "id": f"e{(i * 7919) % n:04d}", "subject": {"reference": f"Patient/{i % 90 if i % 3 else 'hot'}"}}) + "\n"
+        for i in range(n)) + "{broken\n")
+    raw = read_lines(spark, str(tmp_path / "raw"), "Encounter", layout="directory").repartition(7)
+    assert write_split(normalize.normalize_encounters(raw, hashed=False), f"{tmp_path}/encounters", f"{tmp_path}/q",
+                       "encounters", clustered=True, plain=True) == (n, 1)
+    files = list((tmp_path / "encounters").rglob("*.parquet"))
+    assert len(files) > 1
+    for file in files:
+        rows = [(r["patient_id"], r["encounter_id"]) for r in spark.read.parquet(str(file)).coalesce(1).collect()]
+        assert rows == sorted(rows) and {k[:2] for k, _ in rows} == {file.parent.name.split("=")[1]}
