@@ -1,6 +1,7 @@
 """What the landing, the ingest and the batch job do once: join line items, parse a line for its route, shuffle
 conditions by patient; and what they leave behind (no shuffle files)."""
 
+import gzip
 import json
 from collections import Counter
 from functools import reduce
@@ -163,3 +164,13 @@ def test_clustered_files_are_sorted_by_key(spark, tmp_path):
     for file in files:
         rows = [(r["patient_id"], r["encounter_id"]) for r in spark.read.parquet(str(file)).coalesce(1).collect()]
         assert rows == sorted(rows) and {k[:2] for k, _ in rows} == {file.parent.name.split("=")[1]}
+
+
+def test_landed_and_routed_lines_are_written_at_level_3(spark, tmp_path):
+    land_mixed(spark, SF_SMALL, str(tmp_path / "landing"))
+    run_ingest(spark, str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "ck"))
+    for folder in ("landing", "raw"):
+        file = max((tmp_path / folder).rglob("part-*.gz"), key=lambda f: f.stat().st_size)
+        text = gzip.decompress(file.read_bytes())
+        off = {level: abs(len(gzip.compress(text, level)) - file.stat().st_size) for level in (1, 3, 6, 9)}
+        assert min(off, key=off.get) == 3
